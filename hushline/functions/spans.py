@@ -5,15 +5,11 @@ A span is half open, in characters of the turn's text. Nothing here uses a UDF.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 from hushline.functions.text import MARK, let
 from hushline.rules import LABEL_ORDER, UNMAPPED_PLACEHOLDER
 
-HIT_TYPE = "struct<start:int,end:int,matched:string>"
-HITS_TYPE = f"array<{HIT_TYPE}>"
 SPAN_TYPE = (
     "struct<start:int,end:int,entity:string,matched:string,score:double,detector:string>"
 )
@@ -22,20 +18,14 @@ BLOCK_TYPE = "struct<start:int,end:int,entity:string>"
 BLOCKS_TYPE = f"array<{BLOCK_TYPE}>"
 
 
-def no_hits() -> Column:
-    return F.array().cast(HITS_TYPE)
-
-
 def no_spans() -> Column:
     return F.array().cast(SPANS_TYPE)
 
 
-def _hit(start: Column, end: Column, matched: Column) -> Column:
-    return F.struct(start.alias("start"), end.alias("end"), matched.alias("matched"))
-
-
-def locate_all(text: Column, regex: str, group: bool = False) -> Column:
-    """All matches of ``regex`` in folded ``text`` with their offsets, in order.
+def locate_all(
+    text: Column, regex: str, entity: str, detector: str, score: float, group: bool = False
+) -> Column:
+    """Spans of all matches of ``regex`` in folded ``text``, in order.
 
     Spark returns matched strings but not where they are. One replace puts a mark
     on both sides of each match; splitting at the mark gives gaps and matches in
@@ -46,49 +36,40 @@ def locate_all(text: Column, regex: str, group: bool = False) -> Column:
     pieces = F.split(F.regexp_replace(text, F.lit(regex), F.lit(template)), MARK)
 
     def walk(parts: Column) -> Column:
-        start = F.struct(
-            F.lit(0).alias("at"), F.lit(False).alias("inside"), no_hits().alias("hits")
+        zero = F.struct(
+            F.lit(0).alias("at"), F.lit(False).alias("inside"), no_spans().alias("spans")
         )
 
         def step(acc: Column, part: Column) -> Column:
-            end = acc["at"] + F.length(part)
+            at = acc["at"]
+            end = at + F.length(part)
+            found = F.concat(acc["spans"], F.array(_span(at, end, part, entity, detector, score)))
             return F.struct(
                 end.alias("at"),
                 (~acc["inside"]).alias("inside"),
-                F.when(
-                    acc["inside"], F.concat(acc["hits"], F.array(_hit(acc["at"], end, part)))
-                ).otherwise(acc["hits"]).alias("hits"),
+                F.when(acc["inside"], found).otherwise(acc["spans"]).alias("spans"),
             )
 
-        return F.when(F.size(parts) < 3, no_hits()).otherwise(
-            F.aggregate(parts, start, step, lambda acc: acc["hits"])
+        return F.when(F.size(parts) < 3, no_spans()).otherwise(
+            F.aggregate(parts, zero, step, lambda acc: acc["spans"])
         )
 
     return let(pieces, walk)
 
 
-def locate_first(text: Column, regex: str) -> Column:
-    """The leftmost match only, as an array of at most one hit."""
-    return F.slice(locate_all(text, regex), 1, 1)
+def locate_first(text: Column, regex: str, entity: str, detector: str, score: float) -> Column:
+    """The leftmost match only, as an array of at most one span."""
+    return F.slice(locate_all(text, regex, entity, detector, score), 1, 1)
 
 
-def whole(text: Column) -> Column:
-    """The whole text as one hit."""
-    return F.array(_hit(F.lit(0), F.length(text), text)).cast(HITS_TYPE)
+def whole(text: Column, entity: str, detector: str, score: float) -> Column:
+    """The whole text as one span."""
+    return F.array(_span(F.lit(0), F.length(text), text, entity, detector, score)).cast(SPANS_TYPE)
 
 
-def as_spans(hits: Column, entity: str, detector: str, score: float) -> Column:
-    return F.transform(
-        hits,
-        lambda h: F.struct(
-            h["start"].alias("start"),
-            h["end"].alias("end"),
-            F.lit(entity).alias("entity"),
-            h["matched"].alias("matched"),
-            F.lit(score).alias("score"),
-            F.lit(detector).alias("detector"),
-        ),
-    ).cast(SPANS_TYPE)
+def _span(start: Column, end: Column, matched: Column, entity: str, detector: str, score: float) -> Column:
+    fields = (start, end, F.lit(entity), matched, F.lit(score), F.lit(detector))
+    return F.struct(*fields).cast(SPAN_TYPE)
 
 
 def _lookup(mapping: dict[str, object], key: Column, default: object) -> Column:
@@ -165,13 +146,3 @@ def replaced(text: Column, blocks: Column, placeholders: dict[str, str]) -> Colu
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     return F.when(F.size(blocks) == 0, text).otherwise(F.aggregate(blocks, zero, step, rest))
 
-
-def map_spans(spans: Column, change: Callable[[Column], dict[str, Column]]) -> Column:
-    """Replace some fields of each span."""
-    return F.transform(
-        spans,
-        lambda s: F.struct(*[
-            change(s).get(name, s[name]).alias(name)
-            for name in ("start", "end", "entity", "matched", "score", "detector")
-        ]),
-    ).cast(SPANS_TYPE)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Callable, Iterable
+from itertools import groupby
 
 from pyspark.sql import Column, functions as F
 
@@ -32,12 +33,17 @@ def fold(text: Column) -> Column:
 
     All lists and patterns are ASCII; the two other letters whose upper case is an
     ASCII letter are folded too. The mark used by the span functions is replaced
-    by another control character, which no pattern tells apart from it.
+    by another control character, which no pattern tells apart from it. Plain
+    ASCII text takes the built-in upper, which is many times faster. The text is
+    used several times: bind it, and the result, with ``let`` inside a lambda.
     """
-    return F.translate(
-        text,
-        string.ascii_lowercase + "ſı" + MARK,
-        string.ascii_uppercase + "SI" + _MARK_STAND_IN,
+    plain = (F.octet_length(text) == F.length(text)) & ~text.contains(MARK)
+    return F.when(plain, F.upper(text)).otherwise(
+        F.translate(
+            text,
+            string.ascii_lowercase + "ſı" + MARK,
+            string.ascii_uppercase + "SI" + _MARK_STAND_IN,
+        )
     )
 
 
@@ -47,9 +53,19 @@ def pattern(regex: str) -> str:
 
 
 def any_of(words: Iterable[str]) -> str:
-    """An alternation of literal words, longest first so that it never stops short."""
-    unique = sorted(dict.fromkeys(words), key=lambda w: (-len(w), w))
-    return "(?:" + "|".join(quote(w) for w in unique) + ")"
+    """A pattern for any of the literal words, common beginnings written once.
+
+    The matcher then tries one branch per next letter, not one per word. A longer
+    word is tried before the one it begins with, so that it never stops short.
+    """
+    unique = sorted(set(words))
+    branches = []
+    for first, group in groupby((w for w in unique if w), key=lambda w: w[0]):
+        rests = [w[1:] for w in group]
+        branches.append(quote(first) + (any_of(rests) if rests != [""] else ""))
+    if not branches:
+        return ""
+    return f"(?:{'|'.join(branches)}){'?' if '' in unique else ''}"
 
 
 def quote(word: str) -> str:
@@ -66,10 +82,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def words_of(text: Column) -> Column:
-    """Blank-separated words; no empty ones."""
-    return F.regexp_extract_all(text, F.lit(pattern(INK + "+")), F.lit(0))
+def token(body: str) -> str:
+    """A whole blank-separated token."""
+    return f"{TOKEN_START}(?:{body}){TOKEN_END}"
+
+
+def but_not(words: Iterable[str]) -> str:
+    """Placed before a token: it is none of the words."""
+    words = tuple(words)
+    return f"(?!{any_of(words)}{TOKEN_END})" if words else ""
+
+
+def count_tokens(text: Column, body: str = INK + "++") -> Column:
+    """How many tokens of that form; by default, how many words."""
+    return F.regexp_count(text, F.lit(pattern(token(body))))
+
+
+def is_one_of(text: Column, words: Iterable[str]) -> Column:
+    """The whole text is one of the words. One literal, however long the list is."""
+    return text.rlike(pattern(rf"\A{any_of(words)}\z"))
+
+
+def has_word(text: Column, words: Iterable[str]) -> Column:
+    """Some token of the text is one of the words."""
+    return text.rlike(pattern(token(any_of(words))))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(INK)
+    return ~text.rlike(pattern(INK))

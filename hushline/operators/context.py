@@ -12,6 +12,11 @@ from hushline.rules import DEFAULT_RULES, KINDS, Rules
 BLOCK_TURNS = 65536
 
 
+def text_signals(content: Column, rules: Rules) -> Column:
+    """The kinds a turn asks for; the text is folded once."""
+    return let(fold(content), lambda folded: ctx.signals(folded, rules))
+
+
 def with_context(
     turns: DataFrame,
     rules: Rules = DEFAULT_RULES,
@@ -35,7 +40,7 @@ def with_context(
         turns.where(F.col(conversation).isNotNull() & F.col(turn).isNotNull() & F.col(content).isNotNull())
         .select(
             F.col(conversation), F.col(turn),
-            ctx.signals(fold(F.col(content)), rules).alias("_bits"),
+            text_signals(F.col(content), rules).alias("_bits"),
         )
         .groupBy(conversation, turn)
         .agg(F.bit_or("_bits").alias("_bits"))
@@ -74,7 +79,7 @@ def elements_context(elements: Column, rules: Rules) -> Column:
     """
     own = F.transform(
         elements,
-        lambda e: F.when(e["is_turn"] & e["content"].isNotNull(), ctx.signals(fold(e["content"]), rules)),
+        lambda e: F.when(e["is_turn"] & e["content"].isNotNull(), text_signals(e["content"], rules)),
     )
 
     def look_back(bits: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.text import let, words_of
+from hushline.functions.text import any_of, count_tokens, has_word, is_one_of
 from hushline.operators.spoken import Turn
 from hushline.rules import Rules
 
@@ -14,9 +14,9 @@ LOOKUP_DETECTORS = ("gazetteer", "model")
 
 def _denied(span: Column, rules: Rules) -> Column:
     """The text, or any word of it, is a deny word."""
-    return span["matched"].isin(*rules.deny_words) | F.exists(
-        words_of(span["matched"]), lambda w: w.isin(*rules.deny_words)
-    )
+    phrases = [w for w in rules.deny_words if " " in w]
+    denied = has_word(span["matched"], rules.deny_words)
+    return denied | is_one_of(span["matched"], phrases) if phrases else denied
 
 
 def deny_filter(spans: Column, rules: Rules) -> Column:
@@ -39,25 +39,23 @@ def combined_filter(spans: Column, combined: Column) -> Column:
     return F.filter(spans, lambda s: ~(combined & (s["entity"] == "PERSON")))
 
 
+def _deny_count(text: Column, rules: Rules) -> Column:
+    return count_tokens(text, any_of(rules.deny_words))
+
+
 def conversational_share(text: Column, rules: Rules) -> Column:
     """Share of deny words among the words of a folded text; null for a blank one."""
-    return let(words_of(text), lambda ws: F.try_divide(
-        F.size(F.filter(ws, lambda w: w.isin(*rules.deny_words))), F.size(ws)
-    ))
+    return F.try_divide(_deny_count(text, rules), count_tokens(text))
 
 
 def looks_conversational(text: Column, rules: Rules) -> Column:
     """One or two words: all of them deny words. More: a share above the limit (E5)."""
     if not rules.check_conversational:
         return F.lit(False)
-
-    def judge(ws: Column) -> Column:
-        denied = F.size(F.filter(ws, lambda w: w.isin(*rules.deny_words)))
-        return F.when(F.size(ws) <= 2, denied == F.size(ws)).otherwise(
-            denied / F.size(ws) > rules.max_conversational_ratio
-        )
-
-    return let(words_of(text), judge)
+    words, denied = count_tokens(text), _deny_count(text, rules)
+    return F.when(words <= 2, denied == words).otherwise(
+        denied / words > rules.max_conversational_ratio
+    )
 
 
 def conversational_filter(spans: Column, turn: Turn) -> Column:

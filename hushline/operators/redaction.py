@@ -4,18 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hushline.functions.spans import SPANS_TYPE, map_spans, merged, no_spans, replaced
+from hushline.functions.memo import per_application
+from hushline.functions.spans import SPANS_TYPE, merged, no_spans, replaced
 from hushline.functions.text import fold, let
 from hushline.operators.context import elements_context, with_context
 from hushline.operators.filters import apply_filters
-from hushline.operators.registry import detect
+from hushline.operators.registry import detect, signature
 from hushline.operators.spoken import Turn
 from hushline.rules import DEFAULT_RULES, Rules
 
-REDACTED_TYPE = (
-    f"array<struct<is_turn:boolean,raw:string,role:string,content:string,spans:{SPANS_TYPE}>>"
-)
-
 
 def turn_spans(
     content: Column, context: Column, rules: Rules = DEFAULT_RULES, *,
@@ -33,16 +30,22 @@ def turn_spans(
             found = F.concat(found, F.coalesce(lookups, no_spans()))
         return apply_filters(found, turn, lookups is not None) if filtered else found
 
-    def as_written(s: Column) -> dict[str, Column]:
-        return {"matched": F.substring(content, s["start"] + 1, s["end"] - s["start"])}
+    def as_written(s: Column) -> Column:
+        return s.withField("matched", F.substring(content, s["start"] + 1, s["end"] - s["start"]))
 
     found = let(fold(content), search)
     ordered = let(found, lambda spans: F.when(F.size(spans) == 0, no_spans()).otherwise(
-        map_spans(F.array_sort(spans), as_written)
+        F.transform(F.array_sort(spans), as_written)
     ))
     return F.when(content.isNull(), no_spans()).otherwise(ordered)
 
 
+@per_application
+def _column_spans(content: str, context: str, rules: Rules, lookups: str | None, signature: tuple) -> Column:
+    extra = None if lookups is None else F.col(lookups)
+    return turn_spans(F.col(content), F.col(context), rules, lookups=extra)
+
+
 def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES) -> Column:
     """The text with every block of overlapping spans replaced."""
     return let(merged(spans), lambda blocks: replaced(content, blocks, rules.placeholders))
@@ -76,9 +79,14 @@ def redact_elements(elements: Column, rules: Rules = DEFAULT_RULES) -> Column:
     )
 
 
+@per_application
+def _redacted_column(elements: str, rules: Rules, signature: tuple) -> Column:
+    return redact_elements(F.col(elements), rules)
+
+
 def redact_transcripts(parsed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Add ``redacted``: the conversation with its spans, null where parsing failed."""
-    return parsed.withColumn("redacted", redact_elements(F.col("elements"), rules))
+    return parsed.withColumn("redacted", _redacted_column("elements", rules, signature()))
 
 
 def redact_turns(
@@ -91,15 +99,16 @@ def redact_turns(
     """
     conversation = columns.get("conversation", "conv_id")
     turn = columns.get("turn", "turn")
-    content = F.col(columns.get("content", "content"))
+    text = columns.get("content", "content")
+    content = F.col(text)
     known = with_context(turns, rules, **columns)
     extra = None
     if lookups is not None:
         known = known.join(lookup_spans(lookups, conversation, turn), [conversation, turn], "left")
-        extra = F.col("_lookups")
+        extra = "_lookups"
     placed = F.col(conversation).isNotNull() & F.col(turn).isNotNull()
     return (
-        known.withColumn("spans", turn_spans(content, F.col("context"), rules, lookups=extra))
+        known.withColumn("spans", _column_spans(text, "context", rules, extra, signature()))
         .drop("_lookups")
         .withColumn("redacted", F.when(placed, redact_text(content, F.col("spans"), rules)))
         .withColumn("status", F.when(placed, F.lit("ok")).otherwise(F.lit("no_conversation")))

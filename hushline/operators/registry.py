@@ -39,7 +39,7 @@ _added: dict[str, Detector] = {}
 def register(name: str, detector: Detector) -> None:
     """Add a detector: a function from a ``Turn`` to an array of spans.
 
-    Build the spans with ``functions.spans.as_spans(locate_all(turn.text, regex), ...)``.
+    Build the spans with ``functions.spans.locate_all``.
     """
     if name in SPOKEN or name in WRITTEN:
         raise ValueError(f"{name!r} is taken by a built-in detector")
@@ -62,3 +62,8 @@ def detect(turn: Turn, only: str | None = None) -> Column:
     if only is not None:
         return {**SPOKEN, **WRITTEN, **_added}[only](turn)
     return F.concat(*[d(turn) for d in all_detectors(turn)])
+
+
+def signature() -> tuple:
+    """Changes whenever a detector is added or taken away."""
+    return tuple(_added.items())

@@ -10,16 +10,14 @@ does not exhaust the matcher's stack.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 from hushline.functions import context as ctx
-from hushline.functions.spans import (
-    as_spans, locate_all, locate_first, no_hits, no_spans, whole,
-)
+from hushline.functions.spans import locate_all, locate_first, no_spans, whole
 from hushline.functions.text import (
-    BLANK, DIGIT_CHAR, INK, TOKEN_END, TOKEN_START, any_of, is_blank, let, pattern, words_of,
+    BLANK, DIGIT_CHAR, INK, TOKEN_END, TOKEN_START, any_of, but_not, count_tokens, is_blank, is_one_of,
+    let, pattern, token,
 )
 from hushline.rules import SPOKEN_SCORE, Rules
 
@@ -40,22 +38,12 @@ class Turn:
         return ctx.combined(self.context)
 
 
-def _token(body: str) -> str:
-    return f"{TOKEN_START}(?:{body}){TOKEN_END}"
-
-
-def _but_not(words) -> str:
-    """A token which is none of the words."""
-    return f"(?!{any_of(words)}{TOKEN_END})"
-
-
-def _run(token: str, at_least: int) -> str:
+def _run(body: str, at_least: int) -> str:
     """A maximal run of at least so many tokens."""
-    return f"{TOKEN_START}(?:{token}){TOKEN_END}(?:{BLANK}++(?:{token}){TOKEN_END}){{{at_least - 1},}}+"
+    return f"{token(body)}(?:{BLANK}++(?:{body}){TOKEN_END}){{{at_least - 1},}}+"
 
 
-def _spans(turn: Turn, gate: Column, hits: Column, entity: str, detector: str) -> Column:
-    spans = as_spans(hits, entity, detector, SPOKEN_SCORE)
+def _when(gate: Column, spans: Column) -> Column:
     return F.when(gate, spans).otherwise(no_spans())
 
 
@@ -64,13 +52,10 @@ def _spans(turn: Turn, gate: Column, hits: Column, entity: str, detector: str) -
 def reference_number(turn: Turn) -> Column:
     words = pattern(_run(any_of(turn.rules.number_words), 5))
     digits = pattern(r"\b\d{7,}\b")
-    return F.when(
-        turn.expects("reference_number"),
-        F.concat(
-            as_spans(locate_all(turn.text, words), "REFERENCE_NUMBER", "spelled_reference_number", SPOKEN_SCORE),
-            as_spans(locate_all(turn.text, digits), "REFERENCE_NUMBER", "digit_reference_number", SPOKEN_SCORE),
-        ),
-    ).otherwise(no_spans())
+    return _when(turn.expects("reference_number"), F.concat(
+        locate_all(turn.text, words, "REFERENCE_NUMBER", "spelled_reference_number", SPOKEN_SCORE),
+        locate_all(turn.text, digits, "REFERENCE_NUMBER", "digit_reference_number", SPOKEN_SCORE),
+    ))
 
 
 # -- C2 ---------------------------------------------------------------------
@@ -78,10 +63,8 @@ def reference_number(turn: Turn) -> Column:
 def bank_digits(turn: Turn) -> Column:
     # Leftmost match of the alternation: a digit inside "DOUBLE 5" is not found again.
     regex = pattern(rf"\bDOUBLE{BLANK}+\d\b|\b\d{{1,2}}\b")
-    return _spans(
-        turn, turn.expects("bank_digits"), locate_all(turn.text, regex),
-        "BANK_ACCOUNT_LAST_DIGITS", "bank_digits",
-    )
+    spans = locate_all(turn.text, regex, "BANK_ACCOUNT_LAST_DIGITS", "bank_digits", SPOKEN_SCORE)
+    return _when(turn.expects("bank_digits"), spans)
 
 
 # -- C3 ---------------------------------------------------------------------
@@ -89,16 +72,10 @@ def bank_digits(turn: Turn) -> Column:
 def card_digits(turn: Turn) -> Column:
     unit = f"(?:{any_of(turn.rules.card_digit_words)}|\\d)"
     four = pattern(rf"\b{unit}(?:{BLANK}+{unit}){{3}}\b")
-
-    def choose(fours: Column) -> Column:
-        singles = locate_all(turn.text, pattern(r"\b\d\b"))
-        return F.when(
-            F.size(fours) > 0, as_spans(fours, "CREDIT_CARD", "four_card_digits", SPOKEN_SCORE)
-        ).otherwise(as_spans(singles, "CREDIT_CARD", "single_card_digit", SPOKEN_SCORE))
-
-    return F.when(
-        turn.expects("card_digits"), let(locate_all(turn.text, four), choose)
-    ).otherwise(no_spans())
+    fours = locate_all(turn.text, four, "CREDIT_CARD", "four_card_digits", SPOKEN_SCORE)
+    singles = locate_all(turn.text, pattern(r"\b\d\b"), "CREDIT_CARD", "single_card_digit", SPOKEN_SCORE)
+    best = let(fours, lambda found: F.when(F.size(found) > 0, found).otherwise(singles))
+    return _when(turn.expects("card_digits"), best)
 
 
 # -- C4 ---------------------------------------------------------------------
@@ -108,16 +85,15 @@ def _introduced(turn: Turn) -> Column:
     rules = turn.rules
     after = rf"(?={BLANK}+{any_of(rules.name_boundaries)}|{BLANK}*[,.]|{BLANK}*\z)"
     regex = pattern(rf"(MY{BLANK}+NAME(?:{BLANK}+IS|'S){BLANK}+)([A-Z]{{3,}})\b{after}")
-    hits = F.filter(
-        locate_all(turn.text, regex, group=True),
-        lambda h: ~h["matched"].isin(*rules.deny_words),
-    )
-    return F.when(turn.text.contains("NAME"), hits).otherwise(no_hits())
+    spans = locate_all(turn.text, regex, "PERSON", "agent_my_name_is", SPOKEN_SCORE, group=True)
+    named = F.filter(spans, lambda s: ~is_one_of(s["matched"], rules.deny_words))
+    return _when(turn.text.contains("NAME"), named)
 
 
 def _letter(rules: Rules) -> str:
     """A single letter which is not a common word such as I or A."""
-    return rf"{_but_not(rules.deny_words)}\p{{L}}{TOKEN_END}"
+    barred = [w for w in rules.deny_words if len(w) == 1]
+    return rf"{but_not(barred)}\p{{L}}{TOKEN_END}"
 
 
 def _spelled_out(turn: Turn) -> Column:
@@ -133,29 +109,24 @@ def _spelled_out(turn: Turn) -> Column:
 
 def _spelled(turn: Turn) -> Column:
     """A row of single letters inside the turn."""
-    rules = turn.rules
     regex = pattern(rf"\b[A-Z](?:{BLANK}++[A-Z]\b){{2,}}+")
-
-    def enough(hit: Column) -> Column:
-        letters = F.filter(words_of(hit["matched"]), lambda w: ~w.isin(*rules.deny_words))
-        return F.size(letters) >= 3
-
-    hits = F.filter(locate_all(turn.text, regex), enough)
-    return as_spans(hits, "PERSON", "spelled_name", SPOKEN_SCORE)
+    letter = _letter(turn.rules)
+    spans = locate_all(turn.text, regex, "PERSON", "spelled_name", SPOKEN_SCORE)
+    return F.filter(spans, lambda s: count_tokens(s["matched"], letter) >= 3)
 
 
 def _after_cue(turn: Turn) -> Column:
     """NAME IS ... and CALLED ..., with a title or with one or two words (C4d)."""
     titled = rf"{any_of(turn.rules.titles)}{BLANK}+[A-Z]{{3,}}"
     plain = rf"[A-Z]{{3,}}(?:{BLANK}+[A-Z]{{3,}})?"
-    found = [
-        as_spans(
-            locate_all(turn.text, pattern(f"({cue}{BLANK}+)({name})"), group=True),
-            "PERSON", "name_introduction", SPOKEN_SCORE,
-        )
-        for cue in (f"NAME{BLANK}+IS", "CALLED")
-        for name in (titled, plain)
-    ]
+    found = []
+    for word, cue in (("NAME", f"NAME{BLANK}+IS"), ("CALLED", "CALLED")):
+        spans = [
+            locate_all(turn.text, pattern(f"({cue}{BLANK}+)({name})"), "PERSON", "name_introduction",
+                       SPOKEN_SCORE, group=True)
+            for name in (titled, plain)
+        ]
+        found.append(_when(turn.text.contains(word), F.concat(*spans)))
     return F.array_distinct(F.concat(*found))
 
 
@@ -164,57 +135,49 @@ def _direct_answer(turn: Turn) -> Column:
     rules = turn.rules
     filler = any_of(rules.filler_words) + TOKEN_END
     barred = (*rules.deny_words, *rules.non_name_words, *rules.filler_words)
-    name = rf"{_but_not(barred)}\p{{L}}{{3,}}+{TOKEN_END}"
+    name = rf"{but_not(barred)}\p{{L}}{{3,}}+{TOKEN_END}"
     regex = pattern(rf"{TOKEN_START}{name}(?:(?:{BLANK}++{filler})*+{BLANK}++{name})*+")
-    few = lambda h: F.size(
-        F.filter(words_of(h["matched"]), lambda w: ~w.isin(*rules.filler_words))
-    ) <= 3
-    hits = F.filter(locate_first(turn.text, regex), few)
-    return as_spans(hits, "PERSON", "direct_name_response", SPOKEN_SCORE)
+    spans = locate_first(turn.text, regex, "PERSON", "direct_name_response", SPOKEN_SCORE)
+    return F.filter(spans, lambda s: count_tokens(s["matched"], name) <= 3)
 
 
 def person(turn: Turn) -> Column:
     """Names. An introduction or a fully spelled answer ends the search (C4)."""
-    spelled_out = as_spans(whole(turn.text), "PERSON", "spelled_name_full_response", SPOKEN_SCORE)
-
-    def by_context() -> Column:
-        cued = F.concat(_spelled(turn), _after_cue(turn))
-        return let(cued, lambda s: F.when(F.size(s) > 0, s).otherwise(_direct_answer(turn)))
+    spelled_out = whole(turn.text, "PERSON", "spelled_name_full_response", SPOKEN_SCORE)
+    cued = F.concat(_spelled(turn), _after_cue(turn))
+    by_context = let(cued, lambda s: F.when(F.size(s) > 0, s).otherwise(_direct_answer(turn)))
 
     def search(intro: Column) -> Column:
         return (
-            F.when(F.size(intro) > 0, as_spans(intro, "PERSON", "agent_my_name_is", SPOKEN_SCORE))
+            F.when(F.size(intro) > 0, intro)
             .when(~turn.expects("name"), no_spans())
             .when(_spelled_out(turn), spelled_out)
-            .otherwise(by_context())
+            .otherwise(by_context)
         )
 
     worth_it = turn.expects("name") | turn.text.contains("NAME")
-    return F.when(worth_it & ~turn.combined, let(_introduced(turn), search)).otherwise(no_spans())
+    return _when(worth_it & ~turn.combined, let(_introduced(turn), search))
 
 
 # -- C5, C6 -----------------------------------------------------------------
 
-def _significant(rules: Rules) -> str:
-    """A token with content: letters only, digits only, or a number word; no filler."""
-    return (
-        rf"{_but_not(rules.filler_words)}"
-        rf"(?:\p{{L}}++|{DIGIT_CHAR}++|{any_of(rules.number_words)}){TOKEN_END}"
-    )
-
-
 def _first_to_last(rules: Rules) -> str:
-    """From the first significant token to the last; there must be two."""
-    token = TOKEN_START + _significant(rules)
-    return pattern(rf"(?s){token}.*{token}")
+    """From the first significant token to the last; there must be two.
+
+    Significant: letters only, digits only, or a number word, and no filler.
+    """
+    edge = token(
+        rf"{but_not(rules.filler_words)}"
+        rf"(?:\p{{L}}++|{DIGIT_CHAR}++|{any_of(rules.number_words)})"
+    )
+    return pattern(rf"(?s){edge}.*{edge}")
 
 
 def location(turn: Turn) -> Column:
-    answer = as_spans(
-        locate_all(turn.text, _first_to_last(turn.rules)),
-        "LOCATION", "simple_alphanumeric_sequence", SPOKEN_SCORE,
+    answer = locate_all(
+        turn.text, _first_to_last(turn.rules), "LOCATION", "simple_alphanumeric_sequence", SPOKEN_SCORE
     )
-    everything = as_spans(whole(turn.text), "LOCATION", "combined_address_postcode", SPOKEN_SCORE)
+    everything = whole(turn.text, "LOCATION", "combined_address_postcode", SPOKEN_SCORE)
     return (
         F.when(~turn.expects("address") | is_blank(turn.text), no_spans())
         .when(turn.combined, everything)
@@ -225,13 +188,12 @@ def location(turn: Turn) -> Column:
 def postcode(turn: Turn) -> Column:
     rules = turn.rules
     number = any_of(rules.number_words)
-    letters = pattern(_token(rf"{_but_not((*rules.filler_words, *rules.number_words))}\p{{L}}++"))
-    numbers = pattern(_token(rf"{_but_not(rules.filler_words)}(?:{DIGIT_CHAR}++|{number})"))
-    gate = turn.expects("postcode")
-    return _spans(
-        turn, gate & turn.text.rlike(letters) & turn.text.rlike(numbers),
-        locate_all(turn.text, _first_to_last(rules)), "UK_POSTCODE", "simple_letters_and_numbers",
+    letters = pattern(token(rf"{but_not((*rules.filler_words, *rules.number_words))}\p{{L}}++"))
+    numbers = pattern(token(rf"{but_not(rules.filler_words)}(?:{DIGIT_CHAR}++|{number})"))
+    spans = locate_all(
+        turn.text, _first_to_last(rules), "UK_POSTCODE", "simple_letters_and_numbers", SPOKEN_SCORE
     )
+    return _when(turn.expects("postcode") & turn.text.rlike(letters) & turn.text.rlike(numbers), spans)
 
 
 # -- C7 ---------------------------------------------------------------------
@@ -245,10 +207,11 @@ def email(turn: Turn) -> Column:
         rf"[A-Z]++{at}[A-Z]++{dots}",
         rf"[A-Z]{BLANK}++FOR{at}[A-Z]++{dots}",
     )
-    hits = F.concat(*[locate_all(turn.text, pattern(r)) for r in regexes])
-    spans = F.array_distinct(as_spans(hits, "EMAIL_ADDRESS", "spoken_email_pattern", SPOKEN_SCORE))
-    gate = turn.expects("email") & turn.text.contains("DOT")
-    return F.when(gate, spans).otherwise(no_spans())
+    spans = [
+        locate_all(turn.text, pattern(r), "EMAIL_ADDRESS", "spoken_email_pattern", SPOKEN_SCORE)
+        for r in regexes
+    ]
+    return _when(turn.expects("email") & turn.text.contains("DOT"), F.array_distinct(F.concat(*spans)))
 
 
 # -- C8 ---------------------------------------------------------------------
@@ -256,25 +219,21 @@ def email(turn: Turn) -> Column:
 def password(turn: Turn) -> Column:
     rules = turn.rules
     number = any_of(rules.number_words)
-    piece = rf"{_but_not(rules.deny_words)}(?:\p{{L}}|{DIGIT_CHAR}++|{number})"
-    run = locate_first(turn.text, pattern(_run(piece, 2)))
+    barred = [w for w in rules.deny_words if len(w) == 1 or w.isdigit() or w in rules.number_words]
+    piece = rf"{but_not(barred)}(?:\p{{L}}|{DIGIT_CHAR}++|{number})"
+    run = locate_first(turn.text, pattern(_run(piece, 2)), "PASSWORD", "password_sequence", SPOKEN_SCORE)
 
-    letter = turn.text.rlike(pattern(_token(r"\p{L}")))
-    digit = turn.text.rlike(pattern(_token(f"{DIGIT_CHAR}++|{number}")))
+    letter = turn.text.rlike(pattern(token(r"\p{L}")))
+    digit = turn.text.rlike(pattern(token(f"{DIGIT_CHAR}++|{number}")))
+    words = count_tokens(turn.text)
+    plain = count_tokens(turn.text, but_not(rules.deny_words) + INK + "++")
+    short = letter & digit & (words <= 15) & (plain >= words * F.lit(0.6))
+    everything = whole(turn.text, "PASSWORD", "short_password_response", SPOKEN_SCORE)
 
-    def mostly_plain(words: Column) -> Column:
-        plain = F.filter(words, lambda w: ~w.isin(*rules.deny_words))
-        return (F.size(words) <= 15) & (F.size(plain) >= F.size(words) * F.lit(0.6))
+    def choose(found: Column) -> Column:
+        return F.when(F.size(found) > 0, found).when(short, everything).otherwise(no_spans())
 
-    def choose(hits: Column) -> Column:
-        short = letter & digit & let(words_of(turn.text), mostly_plain)
-        return (
-            F.when(F.size(hits) > 0, as_spans(hits, "PASSWORD", "password_sequence", SPOKEN_SCORE))
-            .when(short, as_spans(whole(turn.text), "PASSWORD", "short_password_response", SPOKEN_SCORE))
-            .otherwise(no_spans())
-        )
-
-    return F.when(turn.expects("password"), let(run, choose)).otherwise(no_spans())
+    return _when(turn.expects("password"), let(run, choose))
 
 
 # -- C9 ---------------------------------------------------------------------
@@ -284,16 +243,12 @@ def phone(turn: Turn) -> Column:
     number = any_of(turn.rules.number_words)
     spoken = pattern(rf"\b{number}(?:{BLANK}++{number}\b){{8,}}+")
     written = pattern(r"\b0\d{9,10}\b")
-    # Every nine-word run holds a number word, and every written number a zero:
-    # plain substring tests keep the patterns away from most turns.
-    hints = reduce(lambda a, b: a | b, [turn.text.contains(w) for w in _stems(turn.rules.number_words)])
+    # Nine words and their blanks have a least length, and every written number a zero:
+    # these tests keep the patterns away from many turns.
+    shortest = 9 * min(map(len, turn.rules.number_words)) + 8
     return F.concat(
-        _spans(turn, hints & turn.text.rlike(spoken), locate_all(turn.text, spoken),
-               "PHONE_NUMBER", "spoken_phone_number"),
-        _spans(turn, turn.text.contains("0"), locate_all(turn.text, written),
-               "PHONE_NUMBER", "digit_phone_number"),
+        _when(F.length(turn.text) >= shortest,
+              locate_all(turn.text, spoken, "PHONE_NUMBER", "spoken_phone_number", SPOKEN_SCORE)),
+        _when(turn.text.contains("0"),
+              locate_all(turn.text, written, "PHONE_NUMBER", "digit_phone_number", SPOKEN_SCORE)),
     )
-
-
-def _stems(words) -> list[str]:
-    return [w for w in dict.fromkeys(words) if not any(v != w and v in w for v in words)]

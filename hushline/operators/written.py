@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.spans import as_spans, locate_all, no_spans
-from hushline.functions.text import let, pattern
+from hushline.functions.spans import locate_all, no_spans
+from hushline.functions.text import pattern
 from hushline.operators.spoken import Turn
 
 #: Scores of the written forms: a check digit is worth full confidence.
@@ -48,33 +48,25 @@ def iban_ok(iban: Column) -> Column:
 
 
 def written_email(turn: Turn) -> Column:
-    spans = as_spans(locate_all(turn.text, pattern(EMAIL)), "EMAIL_ADDRESS", "written_email", CHECKED_SCORE)
+    spans = locate_all(turn.text, pattern(EMAIL), "EMAIL_ADDRESS", "written_email", CHECKED_SCORE)
     return F.when(turn.text.contains("@"), spans).otherwise(no_spans())
 
 
 def written_card(turn: Turn) -> Column:
-    regex = pattern(CARD)
-
-    def check(hits: Column) -> Column:
-        good = F.filter(hits, lambda h: luhn_ok(h["matched"]))
-        return as_spans(good, "CREDIT_CARD", "written_card", CHECKED_SCORE)
-
-    return F.when(turn.text.rlike("[0-9]{4}"), let(locate_all(turn.text, regex), check)).otherwise(no_spans())
+    spans = locate_all(turn.text, pattern(CARD), "CREDIT_CARD", "written_card", CHECKED_SCORE)
+    good = F.filter(spans, lambda s: luhn_ok(s["matched"]))
+    return F.when(turn.text.rlike(pattern(CARD)), good).otherwise(no_spans())
 
 
 def iban(turn: Turn) -> Column:
-    regex = pattern(IBAN)
-
-    def check(hits: Column) -> Column:
-        good = F.filter(hits, lambda h: iban_ok(h["matched"]))
-        return as_spans(good, "IBAN_CODE", "iban", CHECKED_SCORE)
-
-    return F.when(turn.text.rlike(regex), let(locate_all(turn.text, regex), check)).otherwise(no_spans())
+    spans = locate_all(turn.text, pattern(IBAN), "IBAN_CODE", "iban", CHECKED_SCORE)
+    good = F.filter(spans, lambda s: iban_ok(s["matched"]))
+    return F.when(turn.text.rlike(pattern(IBAN)), good).otherwise(no_spans())
 
 
 def age(turn: Turn) -> Column:
-    return as_spans(locate_all(turn.text, pattern(AGE)), "AGE", "age", PATTERN_SCORE)
+    return locate_all(turn.text, pattern(AGE), "AGE", "age", PATTERN_SCORE)
 
 
 def money(turn: Turn) -> Column:
-    return as_spans(locate_all(turn.text, pattern(MONEY)), "MONEY", "money", PATTERN_SCORE)
+    return locate_all(turn.text, pattern(MONEY), "MONEY", "money", PATTERN_SCORE)

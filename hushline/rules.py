@@ -181,6 +181,9 @@ class Rules:
         if self.audit_text not in ("clear", "hash", "none"):
             raise RulesError(f"unknown audit_text {self.audit_text!r}")
 
+    def __hash__(self):
+        return hash(repr(self))
+
     def with_(self, **changes) -> "Rules":
         """A copy with some fields changed."""
         return replace(self, **changes)
