@@ -35,26 +35,26 @@ def locate_all(
     template = f"$1{MARK}$2{MARK}" if group else f"{MARK}$0{MARK}"
     pieces = F.split(F.regexp_replace(text, F.lit(regex), F.lit(template)), MARK)
 
-    def walk(parts: Column) -> Column:
-        zero = F.struct(
-            F.lit(0).alias("at"), F.lit(False).alias("inside"), no_spans().alias("spans")
-        )
-
-        def step(acc: Column, part: Column) -> Column:
-            at = acc["at"]
-            end = at + F.length(part)
-            found = F.concat(acc["spans"], F.array(_span(at, end, part, entity, detector, score)))
-            return F.struct(
-                end.alias("at"),
-                (~acc["inside"]).alias("inside"),
-                F.when(acc["inside"], found).otherwise(acc["spans"]).alias("spans"),
-            )
-
-        return F.when(F.size(parts) < 3, no_spans()).otherwise(
-            F.aggregate(parts, zero, step, lambda acc: acc["spans"])
-        )
-
-    return let(pieces, walk)
+    walk = F.expr(_WALK.format(entity=_sql(entity), detector=_sql(detector), score=float(score)))
+    return F.get(F.call_function("transform", F.array(pieces), walk), F.lit(0))
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+#: From pieces (gap, match, gap, ...) to spans. One SQL lambda: the same built node by
+#: node from Python costs a hundred calls into the JVM for each pattern.
+_WALK = f"""parts -> if(size(parts) < 3, cast(array() as {SPANS_TYPE}), aggregate(
+  parts,
+  named_struct('at', 0, 'inside', false, 'spans', cast(array() as {SPANS_TYPE})),
+  (acc, part) -> named_struct(
+    'at', acc.at + length(part),
+    'inside', not acc.inside,
+    'spans', if(acc.inside, concat(acc.spans, array(cast(named_struct(
+      'start', acc.at, 'end', acc.at + length(part), 'entity', {{entity}},
+      'matched', part, 'score', {{score}}D, 'detector', {{detector}}) as {SPAN_TYPE}))), acc.spans)),
+  acc -> acc.spans))"""
 
 
 def locate_first(text: Column, regex: str, entity: str, detector: str, score: float) -> Column:

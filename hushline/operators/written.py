@@ -13,8 +13,12 @@ CHECKED_SCORE = 1.0
 PATTERN_SCORE = 0.85
 
 EMAIL = r"[A-Z0-9][A-Z0-9._%+-]*@[A-Z0-9-]+(?:\.[A-Z0-9-]+)*\.[A-Z]{2,}"
-#: Thirteen to nineteen digits, single blanks or hyphens allowed between them.
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}+(?![0-9])"
+#: Thirteen to nineteen digits in one piece, or in the groups printed on cards.
+CARD = (
+    r"(?<![0-9])(?:[0-9]{13,19}"
+    r"|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}"
+    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"
+)
 #: Country, check digits and 11 to 30 more letters or digits, blanks every four.
 IBAN = r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"
 AGE = r"(?<![0-9])[0-9]{1,3}[ -]YEARS?[ -]OLD\b|\bAGED? [0-9]{1,3}\b"

@@ -360,7 +360,7 @@ def scored_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rounded(report: DataFrame) -> DataFrame:
     return report.select(*[
-        F.round(f.name, 6).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+        F.round(f.name, 9).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in report.schema
     ])
 

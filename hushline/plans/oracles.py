@@ -194,7 +194,9 @@ _DETECTION = 'conv_id, turn, role, entity, "start", "end", matched, score, detec
 
 #: Written forms: matches and the gaps between them, so that offsets follow.
 _EMAIL_RE = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-_CARD_RE = r"[0-9]([ -]?[0-9])*"
+_CARD_RE = (
+    r"[0-9]{4}([ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]+"
+)
 
 
 def _matches(regex: str) -> str:
@@ -300,8 +302,9 @@ def oracle_sql() -> dict[str, str]:
               (c_custkey % 7) || ' pounds' AS f FROM customer)
             SELECT c_custkey, 'AGE' AS entity, CAST(7 AS INTEGER) AS "start", CAST(length(a || b) AS INTEGER) AS "end",
               substr(a || b, 8) AS matched FROM c
-            UNION ALL SELECT c_custkey, 'MONEY', length(a || b || c), length(a || b || c || d), d FROM c
-            UNION ALL SELECT c_custkey, 'MONEY', length(a || b || c || d || e), length(a || b || c || d || e || f), f FROM c""",
+            UNION ALL SELECT c_custkey, 'MONEY', CAST(length(a || b || c) AS INTEGER), CAST(length(a || b || c || d) AS INTEGER), d FROM c
+            UNION ALL SELECT c_custkey, 'MONEY', CAST(length(a || b || c || d || e) AS INTEGER),
+              CAST(length(a || b || c || d || e || f) AS INTEGER), f FROM c""",
         "detect_gazetteer_names": f"""WITH {_GAZETTEER} SELECT k AS conv_id, CAST(turn AS BIGINT) AS turn, role,
             'PERSON' AS entity, CAST(s AS INTEGER) AS "start", CAST(s + length(name) AS INTEGER) AS "end",
             name AS matched, 'gazetteer' AS detector FROM spoken WHERE name IN (SELECT name FROM names)""",
@@ -337,6 +340,9 @@ def oracle_sql() -> dict[str, str]:
             FROM whole_calls w LEFT JOIN audits a ON w.conv_id = a.conv_id""",
         "redact_turns": f"WITH {REDACTED} SELECT conv_id, turn, role, redacted, 'ok' AS status FROM redacted",
         "redact_with_lookups": f"WITH {REDACTED} SELECT conv_id, turn, redacted FROM redacted",
+        # The given conversations hold no personal data the default rules look for: nothing may change.
+        "redact_conversations": """SELECT conv_id, turn, role, text AS redacted, CAST(0 AS INTEGER) AS spans
+            FROM conversations""",
         "redact_documents": f"""WITH {_matches(_EMAIL_RE)}, no_mail AS (
               SELECT doc_id, regexp_replace(text, {_q(_EMAIL_RE)}, '[REDACTED EMAIL]', 'g') AS text FROM documents),
             cut AS (SELECT doc_id, regexp_extract_all(text, {_q(_CARD_RE)}) AS m,
@@ -358,20 +364,20 @@ def oracle_sql() -> dict[str, str]:
               json AS transcription_redacted, coalesce(audit, '') AS redacted_entity
             FROM keys JOIN whole_calls w ON k = w.conv_id LEFT JOIN audits a ON k = a.conv_id""",
         "record_count": "SELECT CAST(o_orderdate AS DATE) AS file_date, count(*) AS records FROM orders GROUP BY 1",
-        "setting_quality": f"""WITH {_SCORES} SELECT setting, round(avg(model_score), 6) AS avg_model_score,
-            round(stddev_samp(model_score), 6) AS std_model_score, round(avg(sentiment), 6) AS avg_sentiment,
-            round(stddev_samp(sentiment), 6) AS std_sentiment FROM scores GROUP BY setting""",
+        "setting_quality": f"""WITH {_SCORES} SELECT setting, round(avg(model_score), 9) AS avg_model_score,
+            round(stddev_samp(model_score), 9) AS std_model_score, round(avg(sentiment), 9) AS avg_sentiment,
+            round(stddev_samp(sentiment), 9) AS std_sentiment FROM scores GROUP BY setting""",
         "setting_flag_rates": f"""WITH {_SCORES} SELECT setting, count(*) AS records,
-            round(avg(CAST(reason_agrees AS INTEGER)), 6) AS reason_agreement_rate, """
-        + ", ".join(f"round(avg(CAST({f} AS INTEGER)), 6) AS {f}_flag_rate" for f in FLAGS)
+            round(avg(CAST(reason_agrees AS INTEGER)), 9) AS reason_agreement_rate, """
+        + ", ".join(f"round(avg(CAST({f} AS INTEGER)), 9) AS {f}_flag_rate" for f in FLAGS)
         + " FROM scores GROUP BY setting",
         "setting_winners": f"""WITH {_SCORES}, {best}, ranked AS (SELECT *,
               row_number() OVER w AS place, score - lead(score) OVER w AS margin FROM best
               WINDOW w AS (PARTITION BY call_id ORDER BY score DESC, setting))
-            SELECT setting, count(*) AS calls_won, round(avg(score), 6) AS avg_winning_score,
-              round(avg(margin), 6) AS avg_margin FROM ranked WHERE place = 1 GROUP BY setting""",
+            SELECT setting, count(*) AS calls_won, round(avg(score), 9) AS avg_winning_score,
+              round(avg(margin), 9) AS avg_margin FROM ranked WHERE place = 1 GROUP BY setting""",
         "setting_repeatability": f"""WITH {_SCORES}, runs AS (SELECT setting, call_id,
               var_samp(model_score) AS variance, count(*) AS n FROM scores GROUP BY ALL)
             SELECT setting, count(*) AS calls, CAST(sum(n) AS BIGINT) AS runs,
-              round(avg(variance), 6) AS avg_variance FROM runs GROUP BY setting""",
+              round(avg(variance), 9) AS avg_variance FROM runs GROUP BY setting""",
     }

@@ -23,7 +23,7 @@ def oracle_connection(sf_dir: str):
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6)
+        return None if math.isnan(value) else round(value, 9)
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return value
