@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hushline.functions.rows import explode_items
 from hushline.rules import DEFAULT_RULES, Rules
 
 
@@ -29,13 +30,11 @@ def audit_string(redacted: Column, rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def detections(turns: DataFrame, *keys: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The structured audit: one row per span of a turn table with ``spans``.
-
-    The explode drops turns without spans itself, so no filter repeats the search.
-    """
-    return turns.select(*keys, "turn", "role", F.explode("spans").alias("_s")).select(
-        *keys, "turn", "role", "_s.entity", "_s.start", "_s.end",
-        shown_text(F.col("_s.matched"), rules).alias("matched"), "_s.score", "_s.detector",
+    """The structured audit: one row per span of a turn table with ``spans``."""
+    rows = explode_items(turns, F.col("spans"), *keys, "turn", "role")
+    return rows.select(
+        *keys, "turn", "role", "_item.entity", "_item.start", "_item.end",
+        shown_text(F.col("_item.matched"), rules).alias("matched"), "_item.score", "_item.detector",
     )
 
 

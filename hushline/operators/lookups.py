@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from hushline.functions.rows import explode_items
 from hushline.functions.spans import locate_all
 from hushline.functions.text import fold, is_one_of, pattern, token
 from hushline.rules import DEFAULT_RULES, SPOKEN_SCORE, Rules
@@ -30,9 +31,10 @@ def name_tokens(turns: DataFrame, *keys: str, content: str = "content", rules: R
         fold(F.col(content)), pattern(token(r"\p{L}{3,}+")), "PERSON", "gazetteer", SPOKEN_SCORE
     )
     useful = F.filter(hits, lambda h: ~is_one_of(h["matched"], (*rules.deny_words, *rules.non_name_words)))
-    return turns.select(*keys, "turn", "role", content, F.explode(useful).alias("_h")).select(
-        *keys, "turn", "role", "_h.start", "_h.end", F.col("_h.matched").alias("_name"),
-        F.substring(F.col(content), F.col("_h.start") + 1, F.col("_h.end") - F.col("_h.start")).alias("matched"),
+    rows = explode_items(turns, useful, *keys, "turn", "role", content)
+    return rows.select(
+        *keys, "turn", "role", "_item.start", "_item.end", F.col("_item.matched").alias("_name"),
+        F.substring(F.col(content), F.col("_item.start") + 1, F.col("_item.end") - F.col("_item.start")).alias("matched"),
     )
 
 

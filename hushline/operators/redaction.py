@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hushline.functions.memo import per_application
+from hushline.functions.rows import explode_items
 from hushline.functions.spans import SPANS_TYPE, merged, no_spans, replaced
 from hushline.functions.text import fold, let
 from hushline.operators.context import elements_context, with_context
@@ -147,7 +148,5 @@ def flat_transcript(redacted: Column) -> Column:
 
 def redacted_turns(redacted: DataFrame, *keys: str) -> DataFrame:
     """One row per turn of redacted conversations."""
-    item = F.posexplode("redacted").alias("turn", "_e")
-    return redacted.select(*keys, item).where(F.col("_e.is_turn")).select(
-        *keys, F.col("turn").cast("long").alias("turn"), "_e.role", "_e.content", "_e.spans"
-    )
+    rows = explode_items(redacted, F.col("redacted"), *keys, position="turn").where(F.col("_item.is_turn"))
+    return rows.select(*keys, "turn", "_item.role", "_item.content", "_item.spans")

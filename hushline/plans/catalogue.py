@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hushline.functions.rows import explode_items, spread
 from hushline.functions.spans import SPANS_TYPE, merged
 from hushline.functions.text import fold
 from hushline.operators import analytics, audit
@@ -34,13 +35,18 @@ CONVERSATION_RULES = Rules(indicators={
     "password": ("THE",), "phone_number": ("HELP",),
 })
 
-_key = F.col("transaction_id").cast("long").alias("conv_id")
+def _key() -> Column:
+    return F.col("transaction_id").cast("long").alias("conv_id")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").withColumnRenamed("text", "content")
 
@@ -133,8 +139,8 @@ def turns_with_context(spark, sf_dir):
 
 def transcript_context(spark, sf_dir):
     bits = elements_context(F.col("elements"), DEFAULT_RULES)
-    rows = _parsed_calls(spark, sf_dir).select(_key, F.posexplode(bits).alias("turn", "context"))
-    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), *flag_columns(F.col("context")))
+    rows = explode_items(_parsed_calls(spark, sf_dir), bits, _key(), position="turn")
+    return rows.select("conv_id", "turn", *flag_columns(F.col("_item")))
 
 
 def context_flag_counts(spark, sf_dir):
@@ -158,10 +164,8 @@ def _call_turns_with_bits(spark, sf_dir) -> DataFrame:
     """Turn rows of parsed transcripts with their context: no shuffle."""
     bits = elements_context(F.col("elements"), DEFAULT_RULES)
     pairs = F.arrays_zip(F.col("elements").alias("element"), bits.alias("context"))
-    rows = _parsed_calls(spark, sf_dir).select(_key, F.posexplode(pairs).alias("turn", "_p"))
-    return rows.select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), "_p.element.role", "_p.element.content", "_p.context"
-    )
+    rows = explode_items(_parsed_calls(spark, sf_dir), pairs, _key(), position="turn")
+    return rows.select("conv_id", "turn", "_item.element.role", "_item.element.content", "_item.context")
 
 
 def detect_kind(kind: str, spark, sf_dir):
@@ -170,11 +174,9 @@ def detect_kind(kind: str, spark, sf_dir):
 
 
 def _document_spans(spark, sf_dir, names: tuple[str, ...], rules: Rules = DEFAULT_RULES) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    text = F.col("text")
-    parts = [turn_spans(text, F.lit(0), rules, only=n) for n in names]
-    return docs.select("doc_id", F.explode(F.concat(*parts)).alias("_s")).select(
-        "doc_id", "_s.entity", "_s.start", "_s.end", "_s.matched", "_s.score"
+    parts = [turn_spans(F.col("text"), F.lit(0), rules, only=n) for n in names]
+    return explode_items(_documents(spark, sf_dir), F.concat(*parts), "doc_id").select(
+        "doc_id", "_item.entity", "_item.start", "_item.end", "_item.matched", "_item.score"
     )
 
 
@@ -193,8 +195,8 @@ def detect_written_iban(spark, sf_dir):
     text = F.concat(F.lit("pay to GB"), check, body, F.lit(" today"))
     rows = _table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
     spans = turn_spans(F.col("text"), F.lit(0), only="iban")
-    return rows.select("c_custkey", F.explode(spans).alias("_s")).select(
-        "c_custkey", "_s.start", "_s.end", F.length("_s.matched").alias("length")
+    return explode_items(rows, spans, "c_custkey").select(
+        "c_custkey", "_item.start", "_item.end", F.length("_item.matched").alias("length")
     )
 
 
@@ -206,17 +208,21 @@ def detect_age_money(spark, sf_dir):
     )
     rows = _table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
     spans = F.concat(*[turn_spans(F.col("text"), F.lit(0), only=n) for n in ("age", "money")])
-    return rows.select("c_custkey", F.explode(spans).alias("_s")).select(
-        "c_custkey", "_s.entity", "_s.start", "_s.end", "_s.matched"
+    return explode_items(rows, spans, "c_custkey").select(
+        "c_custkey", "_item.entity", "_item.start", "_item.end", "_item.matched"
     )
 
 
-def detect_gazetteer_names(spark, sf_dir):
+def _lookup_detections(spark, sf_dir) -> DataFrame:
     """Names which agents introduced themselves with, looked up in every turn."""
     turns = call_turns(spark, sf_dir)
     introduced = turn_spans(F.col("content"), F.lit(0), only="person")
-    names = turns.select(F.explode(introduced).alias("_s")).select(F.col("_s.matched").alias("name"))
-    return gazetteer_detections(turns, name_table(names), "conv_id").drop("score")
+    names = explode_items(turns, introduced).select(F.col("_item.matched").alias("name"))
+    return gazetteer_detections(turns, name_table(names), "conv_id")
+
+
+def detect_gazetteer_names(spark, sf_dir):
+    return _lookup_detections(spark, sf_dir).drop("score")
 
 
 # -- filters and spans --------------------------------------------------------
@@ -225,11 +231,10 @@ def filter_person_deny(spark, sf_dir):
     """Every name hit before the filters, and whether the filters keep it."""
     turns = _call_turns_with_bits(spark, sf_dir)
     content, bits = F.col("content"), F.col("context")
-    raw = turns.select(
-        "conv_id", "turn", "context", F.explode(turn_spans(content, bits, only="person", filtered=False)).alias("_s")
-    )
-    kept = F.size(apply_filters(F.array("_s").cast(SPANS_TYPE), Turn(F.lit(""), bits, DEFAULT_RULES))) > 0
-    return raw.select("conv_id", "turn", "_s.start", "_s.end", "_s.matched", kept.alias("kept"))
+    spans = turn_spans(content, bits, only="person", filtered=False)
+    raw = explode_items(turns, spans, "conv_id", "turn", "context")
+    kept = F.size(apply_filters(F.array("_item").cast(SPANS_TYPE), Turn(F.lit(""), bits, DEFAULT_RULES))) > 0
+    return raw.select("conv_id", "turn", "_item.start", "_item.end", "_item.matched", kept.alias("kept"))
 
 
 def filter_score(spark, sf_dir):
@@ -265,9 +270,10 @@ def merge_spans(spark, sf_dir):
         )
 
     spans = F.array(*[span(i) for i in range(6)]).cast(SPANS_TYPE)
-    return _table(spark, sf_dir, "orders").select(
-        key.alias("conv_id"), F.explode(merged(spans)).alias("_b")
-    ).select("conv_id", "_b.start", "_b.end", "_b.entity")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    return explode_items(spread(orders), merged(spans), key.alias("conv_id")).select(
+        "conv_id", "_item.start", "_item.end", "_item.entity"
+    )
 
 
 # -- redaction and audit -------------------------------------------------------
@@ -276,7 +282,7 @@ def redact_calls(spark, sf_dir):
     """The flagship: transcripts in, redacted transcripts and audit out."""
     done = _redacted_calls(spark, sf_dir)
     return done.select(
-        _key, flat_transcript(F.col("redacted")).alias("redacted_transcript"),
+        _key(), flat_transcript(F.col("redacted")).alias("redacted_transcript"),
         audit.audit_string(F.col("redacted")).alias("redacted_entity"),
     )
 
@@ -293,13 +299,6 @@ def redact_with_lookups(spark, sf_dir):
     ).select("conv_id", "turn", "redacted")
 
 
-def _lookup_detections(spark, sf_dir) -> DataFrame:
-    turns = call_turns(spark, sf_dir)
-    introduced = turn_spans(F.col("content"), F.lit(0), only="person")
-    names = turns.select(F.explode(introduced).alias("_s")).select(F.col("_s.matched").alias("name"))
-    return gazetteer_detections(turns, name_table(names), "conv_id")
-
-
 def redact_conversations(spark, sf_dir):
     done = redact_turns(_conversations(spark, sf_dir))
     return done.select("conv_id", "turn", "role", "redacted", F.size("spans").alias("spans"))
@@ -309,26 +308,26 @@ def redact_documents(spark, sf_dir):
     text = F.col("text")
     names = ("written_email", "written_card")
     spans = F.concat(*[turn_spans(text, F.lit(0), only=n) for n in names])
-    return _table(spark, sf_dir, "documents").withColumn("spans", spans).select(
+    return _documents(spark, sf_dir).withColumn("spans", spans).select(
         "doc_id", redact_text(text, F.col("spans")).alias("redacted")
     )
 
 
 def audit_rows(spark, sf_dir):
-    done = _redacted_calls(spark, sf_dir).withColumn("conv_id", _key)
+    done = _redacted_calls(spark, sf_dir).withColumn("conv_id", _key())
     return audit.detections(redacted_turns(done, "conv_id"), "conv_id")
 
 
 def audit_string(spark, sf_dir):
     return _redacted_calls(spark, sf_dir).select(
-        _key, audit.audit_string(F.col("redacted")).alias("redacted_entity")
+        _key(), audit.audit_string(F.col("redacted")).alias("redacted_entity")
     )
 
 
 def audit_hashed(spark, sf_dir):
     rules = DEFAULT_RULES.with_(audit_text="hash")
     return _redacted_calls(spark, sf_dir, rules).select(
-        _key, audit.audit_string(F.col("redacted"), rules).alias("redacted_entity")
+        _key(), audit.audit_string(F.col("redacted"), rules).alias("redacted_entity")
     )
 
 

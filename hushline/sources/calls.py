@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hushline.functions.rows import explode_items, spread
+
 NAMES = ("SHAUNA", "ADRIAN", "ROSEMARY", "TERRY", "GRACE", "STANLEY", "DAMIEN", "WILL")
 DIGIT_WORDS = ("ZERO", "ONE", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "NINE")
 
@@ -93,16 +95,16 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("agent" if i % 2 == 0 else "customer").alias("role"), c.alias("content"))
         for i, c in enumerate(contents)
     ])
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    return spread(orders).select(
         key.alias("conv_id"), F.to_date("o_orderdate").alias("file_date"), turns.alias("turns")
     )
 
 
 def call_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per turn: conv_id, turn, role, content."""
-    return calls(spark, sf_dir).select("conv_id", F.posexplode("turns").alias("turn", "_t")).select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), "_t.role", "_t.content"
-    )
+    rows = explode_items(calls(spark, sf_dir), F.col("turns"), "conv_id", position="turn")
+    return rows.select("conv_id", "turn", "_item.role", "_item.content")
 
 
 def call_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:

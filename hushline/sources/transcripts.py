@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hushline.functions.rows import explode_items
 from hushline.functions.text import let
 
 TURNS_TYPE = "array<struct<role:string,content:string>>"
@@ -109,10 +110,8 @@ def parse_transcripts(
 
 def explode_turns(parsed: DataFrame, *keys: str) -> DataFrame:
     """One row per turn in order; elements which are no turns are left out (A5)."""
-    item = F.posexplode("elements").alias("turn", "_e")
-    return parsed.select(*keys, item).where(F.col("_e.is_turn")).select(
-        *keys, F.col("turn").cast("long").alias("turn"), "_e.role", "_e.content"
-    )
+    rows = explode_items(parsed, F.col("elements"), *keys, position="turn").where(F.col("_item.is_turn"))
+    return rows.select(*keys, "turn", "_item.role", "_item.content")
 
 
 def quarantined(parsed: DataFrame, *keys: str) -> DataFrame:
