@@ -43,18 +43,28 @@ def _sql(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-#: From pieces (gap, match, gap, ...) to spans. One SQL lambda: the same built node by
-#: node from Python costs a hundred calls into the JVM for each pattern.
-_WALK = f"""parts -> if(size(parts) < 3, cast(array() as {SPANS_TYPE}), aggregate(
-  parts,
-  named_struct('at', 0, 'inside', false, 'spans', cast(array() as {SPANS_TYPE})),
-  (acc, part) -> named_struct(
-    'at', acc.at + length(part),
-    'inside', not acc.inside,
-    'spans', if(acc.inside, concat(acc.spans, array(cast(named_struct(
-      'start', acc.at, 'end', acc.at + length(part), 'entity', {{entity}},
-      'matched', part, 'score', {{score}}D, 'detector', {{detector}}) as {SPAN_TYPE}))), acc.spans)),
-  acc -> acc.spans))"""
+def _sql_span(start: str, matched: str) -> str:
+    return (
+        f"cast(named_struct('start', {start}, 'end', {start} + length({matched}), 'entity', {{entity}}, "
+        f"'matched', {matched}, 'score', {{score}}D, 'detector', {{detector}}) as {SPAN_TYPE})"
+    )
+
+
+#: From pieces (gap, match, gap, ...) to spans; one match is the usual case. One SQL
+#: lambda: built node by node from Python it costs a hundred calls into the JVM for
+#: each pattern.
+_WALK = f"""parts -> case
+  when size(parts) < 3 then cast(array() as {SPANS_TYPE})
+  when size(parts) = 3 then array({_sql_span("length(parts[0])", "parts[1]")})
+  else aggregate(
+    parts,
+    named_struct('at', 0, 'inside', false, 'spans', cast(array() as {SPANS_TYPE})),
+    (acc, part) -> named_struct(
+      'at', acc.at + length(part),
+      'inside', not acc.inside,
+      'spans', if(acc.inside, concat(acc.spans, array({_sql_span("acc.at", "part")})), acc.spans)),
+    acc -> acc.spans)
+  end"""
 
 
 def locate_first(text: Column, regex: str, entity: str, detector: str, score: float) -> Column:

@@ -76,9 +76,9 @@ def test_hot_conversation_is_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    # Narrow shuffles to combine copies, to look back in the block, to look back between
-    # blocks; then both sides of the join. None is by the conversation alone.
-    assert len(keys) == 5 and all(k.split(")")[0].count("#") == 2 for k in keys), keys
+    # Narrow shuffles to look back in the block and between blocks, then both sides of
+    # the join: none is by the conversation alone.
+    assert len(keys) >= 4 and all(k.split(")")[0].count("#") == 2 for k in keys), keys
 
 
 def test_rows_without_conversation_are_withheld(spark):

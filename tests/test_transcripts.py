@@ -70,8 +70,9 @@ def test_flat_text_and_audit(spark):
     assert row.n.startswith("[agent] PERSON:  (score: 0.85); ")
 
 
-def test_no_shuffle_between_scan_and_write(spark, sf_dir):
-    plan = output_rows(redact_transcripts(parse_transcripts(call_transcripts(spark, sf_dir))))
+def test_no_shuffle_between_scan_and_write(spark, sf_dir, tmp_path):
+    call_transcripts(spark, sf_dir).write.parquet(str(tmp_path / "calls"))
+    plan = output_rows(redact_transcripts(parse_transcripts(spark.read.parquet(str(tmp_path / "calls")))))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text
     # The text is parsed once and each pattern is looked for once.
