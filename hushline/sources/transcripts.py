@@ -127,14 +127,12 @@ def assemble_transcripts(
 
     A conversation of usual length is one part, number 0. A long one becomes several
     rows, so no row and no task has to hold all of it; read in order of ``part``
-    they are the whole conversation. A redelivered copy of a turn counts once.
+    they are the whole conversation. A redelivered copy of a turn counts once, and is
+    dropped before the shuffle where it meets its twin.
     """
     entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
-    once = turns.select(conversation, turn, role, content).groupBy(conversation, turn, role, content).agg(
-        F.count("*").alias("copies")
-    )
-    grouped = once.groupBy(conversation, F.floor(F.col(turn) / part_turns).alias("part")).agg(
-        F.sort_array(F.collect_list(entry)).alias("_turns")
+    grouped = turns.groupBy(conversation, F.floor(F.col(turn) / part_turns).alias("part")).agg(
+        F.sort_array(F.collect_set(entry)).alias("_turns")
     )
     as_turns = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
     return grouped.select(
