@@ -36,7 +36,8 @@ def locate_all(
     pieces = F.split(F.regexp_replace(text, F.lit(regex), F.lit(template)), MARK)
 
     walk = F.expr(_WALK.format(entity=_sql(entity), detector=_sql(detector), score=float(score)))
-    return F.get(F.call_function("transform", F.array(pieces), walk), F.lit(0))
+    keep = F.expr("(acc, x) -> acc")
+    return F.call_function("aggregate", F.array().cast("array<int>"), pieces, keep, walk)
 
 
 def _sql(text: str) -> str:

@@ -76,10 +76,13 @@ def quote(word: str) -> str:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside ``body``.
 
-    Inside a lambda the optimizer cannot share a repeated expression; a
-    one-element transform evaluates it exactly once.
+    Inside a lambda the optimizer cannot share a repeated expression. An aggregate
+    over nothing starts with the value and hands it to its finishing lambda, so it is
+    evaluated exactly once. (Taking the item of a one-element transform does the same,
+    but works out the type of the whole body again for every row.)
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    nothing = F.array().cast("array<int>")
+    return F.aggregate(nothing, value, lambda acc, _: acc, body)
 
 
 def token(body: str) -> str:

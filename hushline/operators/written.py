@@ -59,13 +59,13 @@ def written_email(turn: Turn) -> Column:
 def written_card(turn: Turn) -> Column:
     spans = locate_all(turn.text, pattern(CARD), "CREDIT_CARD", "written_card", CHECKED_SCORE)
     good = F.filter(spans, lambda s: luhn_ok(s["matched"]))
-    return F.when(turn.text.rlike(pattern(CARD)), good).otherwise(no_spans())
+    return F.when(turn.text.rlike("[0-9]{4}"), good).otherwise(no_spans())
 
 
 def iban(turn: Turn) -> Column:
     spans = locate_all(turn.text, pattern(IBAN), "IBAN_CODE", "iban", CHECKED_SCORE)
     good = F.filter(spans, lambda s: iban_ok(s["matched"]))
-    return F.when(turn.text.rlike(pattern(IBAN)), good).otherwise(no_spans())
+    return F.when(turn.text.rlike("[A-Z]{2}[0-9]{2}"), good).otherwise(no_spans())
 
 
 def age(turn: Turn) -> Column:
