@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from hushline.llm.arrowtext import appended, chunks
 from hushline.llm.storage import free_name
@@ -281,7 +281,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     shared = _rank_file(docs, ranks_path)
     kept = [c for c in docs.columns if c != text]
     column = free_name(docs.select(*kept), column)
-    out = StructType([*docs.select(*kept).schema.fields]).add(column, "array<long>")
+    out = StructType([*docs.select(*kept).schema.fields]).add(column, ArrayType(LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value, pattern)

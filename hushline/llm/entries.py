@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hushline.llm import bpe, quality, token_counts
+from hushline.llm import bpe, minhash, quality, substring, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,14 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(_table(spark, sf_dir, "documents"))
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.verdicts(quality.ledger(_table(spark, sf_dir, "documents")))
     return rows.select(
@@ -34,7 +42,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op8_quality_ledger, op9_token_counts)}
+    return {f.__name__: f for f in (
+        op1_bpe_round_trip, op5_near_copies, op7_repeated_passages, op8_quality_ledger, op9_token_counts,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:

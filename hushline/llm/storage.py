@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,18 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's checkpoint folder.
 
-    Where the session names none (single-machine runs such as tests), a temporary folder
-    of this machine is set for the session.
+    Where the session names none, a single-machine run (as in tests) gets a temporary
+    folder of its own; on a cluster that is an error.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    context = spark.sparkContext
+    root = spark.conf.get(SETTING, None) or context.getConf().get(SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,]*\])?", context.master):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="hushline-shared-")
-        spark.conf.set(SETTING, root)
+        root = _own.get(context.applicationId) or tempfile.mkdtemp(prefix="hushline-shared-")
+        _own[context.applicationId] = root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
