@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hushline.llm import bpe, minhash, quality, substring, token_counts
+from hushline.llm import ann, bpe, minhash, packing, quality, substring, token_counts, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +21,27 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", packing.word_count(F.col("text")).alias("n_words"))
+    return packing.packed(docs, "n_words")
+
+
+def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_table(spark, sf_dir, "pages"))
+
+
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(_table(spark, sf_dir, "documents"))
 
@@ -43,7 +60,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_bpe_round_trip, op5_near_copies, op7_repeated_passages, op8_quality_ledger, op9_token_counts,
+        op1_bpe_round_trip, op2_length_buckets, op3_warc_captures, op4_url_templates, op5_near_copies,
+        op6_nearest_vectors, op7_repeated_passages, op8_quality_ledger, op9_token_counts,
     )}
 
 
