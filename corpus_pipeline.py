@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hushline.llm import quality
+from hushline.llm import minhash, packing, quality, substring, token_counts
 from hushline.llm.storage import written
 
 
@@ -13,7 +14,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies (five-word shingles, similarity of 0.8 or more)."""
+    return minhash.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 50 words or more that start anywhere else too."""
+    return substring.without_repeats(docs, window=50)
+
+
+def packing_in_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their tokens counted and their place in a batch."""
+    counted = token_counts.with_token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), limit=packing.BUDGET)
+    # Written, so that tokens are counted once for the histogram and the batches.
+    return packing.packed(written(counted, "counted"), "n_tokens")
+
+
+STAGES = [
+    ("quality_rules", quality_rules), ("near_copies", near_copies), ("repeated_passages", repeated_passages),
+    ("packing", packing_in_buckets),
+]
 ORACLE_SQL = None
 
 
