@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hushline.llm import ann, bpe, minhash, packing, quality, substring, token_counts, urls, warc
+from hushline.llm import ann, bpe, lm, minhash, packing, quality, substring, token_counts, urls, warc
+from hushline.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,10 +60,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_length_buckets, op3_warc_captures, op4_url_templates, op5_near_copies,
-        op6_nearest_vectors, op7_repeated_passages, op8_quality_ledger, op9_token_counts,
+        op6_nearest_vectors, op7_repeated_passages, op8_quality_ledger, op9_token_counts, op10_language_model,
     )}
 
 
