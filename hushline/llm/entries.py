@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hushline.llm import ann, bpe, lm, minhash, packing, quality, substring, token_counts, urls, warc
+from hushline.llm import ann, bpe, lm, minhash, oracles, packing, quality, substring, token_counts, urls, warc
 from hushline.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,4 +72,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
