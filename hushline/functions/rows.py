@@ -18,13 +18,3 @@ def explode_items(df: DataFrame, items: Column, *keep: Column | str, position: s
         made = F.posexplode_outer(items).alias(position, "_item")
     rows = df.select(*keep, made).where(F.col("_item").isNotNull())
     return rows if position is None else rows.withColumn(position, F.col(position).cast("long"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan that comes as fewer tasks, such as one small file.
-
-    The work per row is far more than a shuffle of it. A scan with enough tasks, as any
-    large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -51,20 +51,35 @@ def _sql_span(start: str, matched: str) -> str:
     )
 
 
-#: From pieces (gap, match, gap, ...) to spans; one match is the usual case. One SQL
+#: From pieces (gap, match, gap, ...) to spans; one match is the usual case. Many pieces
+#: are walked in blocks of about the root of their number, as an array that grows by one
+#: is copied each time; the blocks' spans are then moved to their places. One SQL
 #: lambda: built node by node from Python it costs a hundred calls into the JVM for
 #: each pattern.
-_WALK = f"""parts -> case
-  when size(parts) < 3 then cast(array() as {SPANS_TYPE})
-  when size(parts) = 3 then array({_sql_span("length(parts[0])", "parts[1]")})
-  else aggregate(
-    parts,
+_WALK_BLOCK = f"""aggregate(
+    {{pieces}},
     named_struct('at', 0, 'inside', false, 'spans', cast(array() as {SPANS_TYPE})),
     (acc, part) -> named_struct(
       'at', acc.at + length(part),
       'inside', not acc.inside,
-      'spans', if(acc.inside, concat(acc.spans, array({_sql_span("acc.at", "part")})), acc.spans)),
-    acc -> acc.spans)
+      'spans', if(acc.inside, concat(acc.spans, array({_sql_span("acc.at", "part")})), acc.spans)))"""
+_WALK = f"""parts -> case
+  when size(parts) < 3 then cast(array() as {SPANS_TYPE})
+  when size(parts) = 3 then array({_sql_span("length(parts[0])", "parts[1]")})
+  when size(parts) <= 65 then {_WALK_BLOCK.format(pieces="parts", entity="{entity}", detector="{detector}", score="{score}")}.spans
+  else aggregate(
+    transform(
+      sequence(0, (size(parts) - 1) div (2 * int(sqrt(size(parts))))),
+      b -> {_WALK_BLOCK.format(
+          pieces="slice(parts, b * 2 * int(sqrt(size(parts))) + 1, 2 * int(sqrt(size(parts))))",
+          entity="{entity}", detector="{detector}", score="{score}")}),
+    named_struct('at', 0, 'spans', cast(array() as array<{SPANS_TYPE}>)),
+    (acc, x) -> named_struct(
+      'at', acc.at + x.at,
+      'spans', concat(acc.spans, array(transform(x.spans, s -> cast(named_struct(
+        'start', s.start + acc.at, 'end', s.end + acc.at, 'entity', s.entity, 'matched', s.matched,
+        'score', s.score, 'detector', s.detector) as {SPAN_TYPE}))))),
+    acc -> flatten(acc.spans))
   end"""
 
 
@@ -130,8 +145,47 @@ def merged(spans: Column) -> Column:
     def simple(s: Column) -> Column:
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"))
 
+    def inner(part: Column) -> Column:
+        return F.aggregate(part, F.array().cast(f"array<{open_type}>"), step)
+
+    def join(acc: Column, found: Column) -> Column:
+        """Add the blocks of the next part; those which begin inside the open block go into it."""
+        at = acc["open"]
+        first = F.get(found, F.lit(0))
+        hit = F.when(at.isNull(), F.lit(0)).otherwise(F.size(F.filter(found, lambda x: x["start"] < at["end"])))
+
+        def with_hits(n: Column) -> Column:
+            eaten = F.slice(found, F.lit(1), n)
+            grown = block(
+                at["start"],
+                F.greatest(at["end"], F.coalesce(F.array_max(F.transform(eaten, lambda x: x["end"])), at["end"])),
+                F.array_min(F.concat(F.array(at["best"]), F.transform(eaten, lambda x: x["best"]))),
+            ).cast(open_type)
+            left = F.slice(found, n + 1, F.size(found))
+            closed = F.concat(F.array(grown), F.slice(left, F.lit(1), F.greatest(F.size(left) - 1, F.lit(0))))
+            return F.when(F.size(left) == 0, F.struct(acc["done"].alias("done"), grown.alias("open"))).otherwise(
+                F.struct(F.concat(acc["done"], F.array(closed)).alias("done"), F.get(left, F.size(left) - 1).alias("open"))
+            )
+
+        fresh = F.struct(
+            F.concat(acc["done"], F.array(F.slice(found, F.lit(1), F.size(found) - 1))).alias("done"),
+            F.get(found, F.size(found) - 1).alias("open"),
+        )
+        return F.when(first.isNull(), acc).when(at.isNull(), fresh).otherwise(let(hit, with_hits))
+
+    def in_parts(ordered: Column) -> Column:
+        zero = F.struct(
+            F.array().cast(f"array<array<{open_type}>>").alias("done"), F.lit(None).cast(open_type).alias("open")
+        )
+        return F.aggregate(
+            F.transform(parts(ordered), inner), zero, join,
+            lambda acc: F.concat(F.flatten(acc["done"]), F.array(acc["open"])),
+        )
+
+    ordered = F.array_sort(spans)
+    found = let(ordered, lambda o: F.when(F.size(o) <= FEW, inner(o)).otherwise(in_parts(o)))
     many = F.transform(
-        F.aggregate(F.array_sort(spans), F.array().cast(f"array<{open_type}>"), step),
+        found,
         lambda b: F.struct(
             b["start"].alias("start"), b["end"].alias("end"), b["best"]["entity"].alias("entity")
         ),
@@ -139,21 +193,62 @@ def merged(spans: Column) -> Column:
     return F.when(F.size(spans) < 2, F.transform(spans, simple).cast(BLOCKS_TYPE)).otherwise(many)
 
 
+#: Up to this many spans are handled one after the other; more of them in parts, which give the same.
+FEW = 32
+
+
+def parts(items: Column) -> Column:
+    """An array of more than no items cut into about the root of their number of parts."""
+    width = F.ceil(F.sqrt(F.size(items))).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / width).cast("int")),
+        lambda k: F.slice(items, k * width + 1, width),
+    )
+
+
+def as_written(text: Column, spans: Column) -> Column:
+    """The spans, in order of their starts, with the text they cover.
+
+    A cut walks the text from its beginning; so each part of many spans is cut out once,
+    and its spans from that.
+    """
+
+    def cut(source: Column, base: Column | int, s: Column) -> Column:
+        return s.withField("matched", F.substring(source, s["start"] - base + 1, s["end"] - s["start"]))
+
+    def one(part: Column) -> Column:
+        base = F.get(part, F.lit(0))["start"]
+        reach = F.array_max(F.transform(part, lambda s: s["end"]))
+        return let(F.substring(text, base + 1, reach - base), lambda piece: F.transform(part, lambda s: cut(piece, base, s)))
+
+    return F.when(F.size(spans) <= FEW, F.transform(spans, lambda s: cut(text, F.lit(0), s))).otherwise(
+        F.flatten(F.transform(parts(spans), one))
+    )
+
+
 def replaced(text: Column, blocks: Column, placeholders: dict[str, str]) -> Column:
     """Put the placeholder of each block in place of its characters (F1)."""
 
-    def label(b: Column) -> Column:
-        return _lookup(placeholders, b["entity"], UNMAPPED_PLACEHOLDER)
+    def pieces(source: Column, base: Column | int, part: Column) -> Column:
+        def one(b: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(part, k - 1)["end"], base)
+            gap = F.substring(source, before - base + 1, b["start"] - before)
+            return F.concat(gap, _lookup(placeholders, b["entity"], UNMAPPED_PLACEHOLDER))
 
-    def step(acc: Column, b: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, b["start"] - acc["at"])
-        return F.struct(
-            F.concat(acc["out"], gap, label(b)).alias("out"), b["end"].alias("at")
-        )
+        return F.array_join(F.transform(part, one), "")
+
+    last = F.get(blocks, F.size(blocks) - 1)["end"]
+    rest = F.substring(text, last + 1, F.length(text))
 
-    def rest(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    def in_parts(ps: Column) -> Column:
+        def one(part: Column, k: Column) -> Column:
+            earlier = F.get(ps, k - 1)
+            base = F.coalesce(F.get(earlier, F.size(earlier) - 1)["end"], F.lit(0))
+            end = F.get(part, F.size(part) - 1)["end"]
+            return let(base, lambda at: let(F.substring(text, at + 1, end - at), lambda piece: pieces(piece, at, part)))
 
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.when(F.size(blocks) == 0, text).otherwise(F.aggregate(blocks, zero, step, rest))
+        return F.array_join(F.transform(ps, one), "")
 
+    few = F.concat(pieces(text, F.lit(0), blocks), rest)
+    many = F.concat(let(parts(blocks), in_parts), rest)
+    return F.when(F.size(blocks) == 0, text).when(F.size(blocks) <= FEW, few).otherwise(many)

@@ -25,7 +25,7 @@ DIGIT_CHAR = (
 
 #: Puts a mark around each match. The folded text never holds it.
 MARK = "\x01"
-_MARK_STAND_IN = "\x02"
+MARK_STAND_IN = "\x02"
 
 
 def fold(text: Column) -> Column:
@@ -42,7 +42,7 @@ def fold(text: Column) -> Column:
         F.translate(
             text,
             string.ascii_lowercase + "ſı" + MARK,
-            string.ascii_uppercase + "SI" + _MARK_STAND_IN,
+            string.ascii_uppercase + "SI" + MARK_STAND_IN,
         )
     )
 

@@ -72,21 +72,47 @@ def flag_columns(context: Column, prefix: str = "expects_") -> list[Column]:
     return [*flags, ctx.combined(context).alias(prefix + "address_with_postcode")]
 
 
-def elements_context(elements: Column, rules: Rules) -> Column:
+def elements_context(elements: Column, rules: Rules, context_in: Column | None = None) -> Column:
     """Context bits for each element of a conversation held as an array.
 
     Elements which are no turns, and turns without text, do not move the context.
+    ``context_in`` is the context of the first element, where the array is a later part
+    of a conversation. One running pass over the bits, however many elements have none:
+    the bits of a stretch are looked up by the number of the latest element with text.
     """
     own = F.transform(
         elements,
         lambda e: F.when(e["is_turn"] & e["content"].isNotNull(), text_signals(e["content"], rules)),
     )
+    start = F.lit(0) if context_in is None else F.coalesce(context_in, F.lit(0))
 
     def look_back(bits: Column) -> Column:
         def before(_: Column, i: Column) -> Column:
-            earlier = F.filter(F.slice(bits, F.lit(1), i), lambda b: b.isNotNull())
-            return F.coalesce(F.get(bits, i - 1), F.try_element_at(earlier, F.lit(-1)), F.lit(0))
+            return F.coalesce(F.get(bits, i - 1), F.when(i == 0, start))
 
-        return F.transform(bits, before)
+        direct = F.transform(bits, before)
+        # Only where an element without text comes in between is there anything to fill.
+        return F.when(~F.exists(direct, lambda b: b.isNull()), direct).otherwise(filled(bits, start))
 
     return let(own, look_back)
+
+
+def filled(bits: Column, start: Column) -> Column:
+    """For each place the latest earlier value which is not null, else ``start``.
+
+    The values and their places are gathered once; each then holds up to the place of
+    the next, so a repeat of it covers its stretch.
+    """
+    places = F.filter(F.transform(bits, lambda b, i: F.when(b.isNotNull(), i)), lambda i: i.isNotNull())
+    size = F.size(bits)
+
+    def stretches(at: Column) -> Column:
+        head = F.array_repeat(start, F.coalesce(F.get(at, F.lit(0)) + 1, size))
+
+        def stretch(i: Column, k: Column) -> Column:
+            until = F.coalesce(F.get(at, k + 1), size - 1)
+            return F.array_repeat(F.get(bits, i), until - i)
+
+        return F.slice(F.concat(head, F.flatten(F.transform(at, stretch))), F.lit(1), size)
+
+    return let(places, stretches)

@@ -4,57 +4,110 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hushline.functions.rows import explode_items
 from hushline.functions.spans import locate_all
-from hushline.functions.text import fold, is_one_of, pattern, token
+from hushline.functions.text import MARK, MARK_STAND_IN, fold, is_one_of, let, pattern
 from hushline.rules import DEFAULT_RULES, SPOKEN_SCORE, Rules
 
-#: A table of names up to this many rows is sent to all tasks.
-BROADCAST_NAMES = 200_000
+#: Words of a name that are compared; a longer name is found by its first ones.
+NAME_WORDS = 6
 
 DETECTION_TYPE = "entity string, start int, end int, matched string, score double, detector string"
 
+#: A word with inner hyphens and apostrophes, and the blanks after it. Words with nothing
+#: but blanks between them are then neighbours, and punctuation parts them.
+_WORD = r"(?<![\p{L}\p{N}])\p{L}++(?:['’-]\p{L}++)*+(?![\p{L}\p{N}])[\s\x1c-\x1f]*+"
+
+
+def _plain(word: Column) -> Column:
+    """Folded, with straight apostrophes and no blanks at the end."""
+    bare = F.regexp_replace(word, r"(?U)[\s\x1c-\x1f]+\z", "")
+    return let(bare, lambda w: F.replace(fold(w), F.lit("’"), F.lit("'")))
+
 
 def name_table(names: DataFrame, column: str = "name") -> DataFrame:
-    """Distinct folded one-word names."""
-    return names.select(fold(F.trim(F.col(column))).alias("_name")).where(F.length("_name") > 0).distinct()
+    """Distinct folded names: the first word, and the words after it.
+
+    Names may have several words, hyphens and apostrophes, and be as short as one letter.
+    """
+    words = F.filter(F.split(_plain(F.trim(F.col(column))), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
+    folded = names.select(F.slice(words, 1, NAME_WORDS).alias("_words")).where(F.size("_words") > 0).distinct()
+    return folded.select(
+        F.get("_words", F.lit(0)).alias("_first"), F.slice("_words", 2, NAME_WORDS).alias("_rest")
+    )
 
 
 def name_tokens(turns: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Words which could be a name, with offsets: letters only, three or more, no deny word.
+    """Words at which a name could begin, with offsets and the words that follow.
 
-    The deny words are the frequent ones, so they are left out before any shuffle.
+    Deny words are left out here, before any shuffle: a name hit which holds one would be
+    dropped later all the same. The words are cut from the text inside its row, so the text
+    itself is not copied for each of them.
     """
-    hits = locate_all(
-        fold(F.col(content)), pattern(token(r"\p{L}{3,}+")), "PERSON", "gazetteer", SPOKEN_SCORE
-    )
-    useful = F.filter(hits, lambda h: ~is_one_of(h["matched"], (*rules.deny_words, *rules.non_name_words)))
-    rows = explode_items(turns, useful, *keys, "turn", "role", content)
+    text = F.translate(F.col(content), MARK, MARK_STAND_IN)
+    hits = locate_all(text, pattern(_WORD), "PERSON", "gazetteer", SPOKEN_SCORE)
+    shown = F.transform(hits, lambda h: F.struct(
+        h["start"].alias("start"), h["end"].alias("end"), h["matched"].alias("raw"), _plain(h["matched"]).alias("word")
+    ))
+
+    def begin(words: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            # Neighbours only: each starts where the one before, with its blanks, ends.
+            ahead = let(F.slice(words, i + 2, F.lit(NAME_WORDS - 1)), lambda ws: _until_gap(ws, w["end"]))
+            return F.struct(
+                w["start"].alias("start"), w["word"].alias("word"), w["raw"].alias("raw"), ahead.alias("ahead")
+            )
+
+        return F.filter(F.transform(words, one), lambda w: ~is_one_of(w["word"], rules.deny_words))
+
+    rows = explode_items(turns, let(shown, begin), *keys, "turn", "role")
+    # A genitive also stands for the name itself.
+    bare = F.regexp_replace("_item.word", "'S\\z", "")
+    forms = F.array_distinct(F.array(F.col("_item.word"), bare))
     return rows.select(
-        *keys, "turn", "role", "_item.start", "_item.end", F.col("_item.matched").alias("_name"),
-        F.substring(F.col(content), F.col("_item.start") + 1, F.col("_item.end") - F.col("_item.start")).alias("matched"),
+        *keys, "turn", "role", "_item.start", "_item.raw", "_item.ahead", F.explode(forms).alias("_first")
     )
 
 
+def _until_gap(ahead: Column, end: Column) -> Column:
+    """The beginning of the words which follow one another."""
+    def step(acc: Column, w: Column) -> Column:
+        goes_on = acc["open"] & (w["start"] == acc["at"])
+        return F.struct(
+            goes_on.alias("open"), F.when(goes_on, w["end"]).otherwise(acc["at"]).alias("at"),
+            (acc["n"] + F.when(goes_on, 1).otherwise(0)).alias("n"),
+        )
+
+    start = F.struct(F.lit(True).alias("open"), end.alias("at"), F.lit(0).alias("n"))
+    return F.slice(ahead, F.lit(1), F.aggregate(ahead, start, step, lambda acc: acc["n"]))
+
+
 def gazetteer_detections(
-    turns: DataFrame, names: DataFrame, *keys: str, content: str = "content",
-    rules: Rules = DEFAULT_RULES, broadcast_names: int = BROADCAST_NAMES,
+    turns: DataFrame, names: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
-    """PERSON spans of words found in ``names`` (made by ``name_table``).
+    """PERSON spans of the names in ``names`` (made by ``name_table``).
 
-    The table is counted up to the limit first. Within it, it is broadcast and the
-    turns are not shuffled. Beyond it, both sides are shuffled by word; the words of
-    the turns are the left side of a semi join, which adaptive execution splits
-    where one word is far more frequent than the others.
+    A join on the first word, then a comparison of the words after it. Spark picks the
+    join by the measured size of the table; where both sides are shuffled, the words of
+    the turns are the side which adaptive execution splits when one word is very frequent.
     """
-    small = names.limit(broadcast_names + 1).count() <= broadcast_names
-    found = name_tokens(turns, *keys, content=content, rules=rules).join(
-        F.broadcast(names) if small else names.hint("merge"), "_name", "left_semi"
-    )
+    rest, ahead = F.col("_rest"), F.col("ahead")
+    near = F.slice(ahead, F.lit(1), F.size(rest))
+    words = F.transform(near, lambda w: w["word"])
+    # The last word may be a genitive of the name's.
+    bare = F.transform(words, lambda w, k: F.when(k == F.size(rest) - 1, F.regexp_replace(w, "'S\\z", "")).otherwise(w))
+    found = name_tokens(turns, *keys, content=content, rules=rules).join(names, "_first").where((words == rest) | (bare == rest))
+    text = F.concat(F.col("raw"), F.array_join(F.transform(near, lambda w: w["raw"]), ""))
+    text = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
+    # A genitive's ending is no part of the name, unless the table has it.
+    text = F.when(F.size(rest) == 0, F.substring(text, F.lit(1), F.length("_first"))).when(
+        words != rest, F.substring(text, F.lit(1), F.length(text) - 2)
+    ).otherwise(text)
     return found.select(
-        *keys, "turn", "role", F.lit("PERSON").alias("entity"), "start", "end", "matched",
+        *keys, "turn", "role", F.lit("PERSON").alias("entity"), "start",
+        (F.col("start") + F.length(text)).alias("end"), text.alias("matched"),
         F.lit(SPOKEN_SCORE).alias("score"), F.lit("gazetteer").alias("detector"),
     )
 

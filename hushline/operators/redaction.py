@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hushline.functions.memo import per_application
 from hushline.functions.rows import explode_items
-from hushline.functions.spans import SPANS_TYPE, merged, no_spans, replaced
+from hushline.functions.spans import SPANS_TYPE, as_written, merged, no_spans, replaced
 from hushline.functions.text import fold, let
 from hushline.operators.context import elements_context, with_context
 from hushline.operators.filters import apply_filters
@@ -31,12 +31,9 @@ def turn_spans(
             found = F.concat(found, F.coalesce(lookups, no_spans()))
         return apply_filters(found, turn, lookups is not None) if filtered else found
 
-    def as_written(s: Column) -> Column:
-        return s.withField("matched", F.substring(content, s["start"] + 1, s["end"] - s["start"]))
-
     found = let(fold(content), search)
     ordered = let(found, lambda spans: F.when(F.size(spans) == 0, no_spans()).otherwise(
-        F.transform(F.array_sort(spans), as_written)
+        let(F.array_sort(spans), lambda ordered: as_written(content, ordered))
     ))
     return F.when(content.isNull(), no_spans()).otherwise(ordered)
 
@@ -52,10 +49,14 @@ def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES) ->
     return let(merged(spans), lambda blocks: replaced(content, blocks, rules.placeholders))
 
 
-def redact_elements(elements: Column, rules: Rules = DEFAULT_RULES) -> Column:
+def redact_elements(
+    elements: Column, rules: Rules = DEFAULT_RULES, context_in: Column | None = None, lookups: Column | None = None,
+) -> Column:
     """Redact a conversation held as an array, in place and in order.
 
     The array never leaves its row: no shuffle, and no size limit beyond the row.
+    ``context_in`` is the context of the first element. ``lookups`` holds spans found
+    elsewhere, a map from the place of an element to its spans.
     """
 
     def each(contexts: Column, items: Column) -> Column:
@@ -69,25 +70,44 @@ def redact_elements(elements: Column, rules: Rules = DEFAULT_RULES) -> Column:
                     spans.alias("spans"),
                 )
 
-            spans = F.when(e["is_turn"], turn_spans(e["content"], F.get(contexts, i), rules))
+            extra = None if lookups is None else F.try_element_at(lookups, i)
+            spans = F.when(e["is_turn"], turn_spans(e["content"], F.get(contexts, i), rules, lookups=extra))
             return let(spans.otherwise(no_spans()), rebuild)
 
         return F.transform(items, one)
 
     return let(
         elements,
-        lambda items: let(elements_context(items, rules), lambda contexts: each(contexts, items)),
+        lambda items: let(elements_context(items, rules, context_in), lambda contexts: each(contexts, items)),
     )
 
 
 @per_application
-def _redacted_column(elements: str, rules: Rules, signature: tuple) -> Column:
-    return redact_elements(F.col(elements), rules)
+def _redacted_column(elements: str, start: str | None, lookups: str | None, rules: Rules, signature: tuple) -> Column:
+    named = [None if c is None else F.col(c) for c in (start, lookups)]
+    return redact_elements(F.col(elements), rules, *named)
 
 
-def redact_transcripts(parsed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Add ``redacted``: the conversation with its spans, null where parsing failed."""
-    return parsed.withColumn("redacted", _redacted_column("elements", rules, signature()))
+def redact_transcripts(
+    parsed: DataFrame, rules: Rules = DEFAULT_RULES, lookups: DataFrame | None = None, keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """Add ``redacted``: the conversation with its spans, null where parsing failed.
+
+    A column ``context_in`` is the context of the first turn (see ``assemble_transcripts``).
+    ``lookups`` are detections of a name table or model in the turns of ``explode_turns``,
+    by ``keys`` and ``turn``. They become one map a conversation before they are joined,
+    so the transcripts themselves are shuffled at most once.
+    """
+    start = "context_in" if "context_in" in parsed.columns else None
+    if lookups is None:
+        return parsed.withColumn("redacted", _redacted_column("elements", start, None, rules, signature()))
+    spans = lookup_spans(lookups, *keys, "turn")
+    entry = F.struct(F.col("turn").cast("int").alias("key"), F.col("_lookups").alias("value"))
+    maps = spans.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_lookups"))
+    joined = parsed.join(maps, list(keys), "left")
+    return joined.withColumn(
+        "redacted", _redacted_column("elements", start, "_lookups", rules, signature())
+    ).drop("_lookups")
 
 
 def redact_turns(
@@ -116,14 +136,14 @@ def redact_turns(
     )
 
 
-def lookup_spans(detections: DataFrame, conversation: str, turn: str) -> DataFrame:
+def lookup_spans(detections: DataFrame, *keys: str) -> DataFrame:
     """Spans of a name table or model, one array per turn.
 
     A turn has at most one span per place in its text, so the group is bounded by
     the turn; copies are combined before the shuffle.
     """
     span = F.struct("start", "end", "entity", F.upper("matched").alias("matched"), "score", "detector")
-    return detections.groupBy(conversation, turn).agg(
+    return detections.groupBy(*keys).agg(
         F.collect_set(span).cast(SPANS_TYPE).alias("_lookups")
     )
 

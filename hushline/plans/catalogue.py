@@ -7,18 +7,21 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hushline.functions.rows import explode_items, spread
+from hushline.functions.rows import explode_items
 from hushline.functions.spans import SPANS_TYPE, merged
 from hushline.functions.text import fold
 from hushline.operators import analytics, audit
 from hushline.operators.context import elements_context, flag_columns, with_context
-from hushline.operators.filters import apply_filters, conversational_share, looks_conversational
+from hushline.operators.filters import (
+    apply_filters, combined_filter, conversational_filter, conversational_share, deny_filter, looks_conversational,
+)
 from hushline.operators.lookups import gazetteer_detections, name_table
 from hushline.operators.redaction import (
     flat_transcript, redact_text, redact_transcripts, redact_turns, redacted_turns, turn_spans,
 )
 from hushline.operators.registry import SPOKEN
 from hushline.operators.spoken import Turn
+from hushline.plans.job import redact_with_lookups
 from hushline.rules import DEFAULT_RULES, Rules
 from hushline.sources.calls import call_transcripts, call_turns
 from hushline.sources.sinks import output_rows
@@ -44,7 +47,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +77,13 @@ def sample_ordered(spark, sf_dir):
     )
 
 
+def sample_all(spark, sf_dir):
+    """The published production cap, which no table here reaches: all rows."""
+    return select_rows(
+        call_transcripts(spark, sf_dir), ("transaction_id", "file_date"), limit=999_999_999, order_by="transaction_id"
+    )
+
+
 def messy_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts of every shape that can go wrong, one per order."""
     key = F.col("o_orderkey")
@@ -88,10 +98,12 @@ def messy_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("[]"),
         F.concat(F.lit("["), turn),
         F.concat(F.lit('[{"role":"agent","content":null},{"role":"customer","content":'), shown, F.lit("}]")),
+        F.concat(F.lit("["), turn, F.lit("] ["), turn, F.lit("]")),
+        F.concat(F.lit("["), turn, F.lit("] junk [1]")),
     )
     text = None
     for i, shape in enumerate(shapes):
-        text = F.when(key % 8 == i, shape) if text is None else text.when(key % 8 == i, shape)
+        text = F.when(key % 10 == i, shape) if text is None else text.when(key % 10 == i, shape)
     return _table(spark, sf_dir, "orders").select(key.alias("conv_id"), text.alias("transcription"))
 
 
@@ -213,18 +225,67 @@ def detect_age_money(spark, sf_dir):
     )
 
 
-def _lookup_detections(spark, sf_dir) -> DataFrame:
-    """Names which agents introduced themselves with, looked up in every turn."""
-    turns = call_turns(spark, sf_dir)
+def _introduced(spark, sf_dir) -> DataFrame:
+    """Names which agents introduced themselves with."""
     introduced = turn_spans(F.col("content"), F.lit(0), only="person")
-    names = explode_items(turns, introduced).select(F.col("_item.matched").alias("name"))
-    return gazetteer_detections(turns, name_table(names), "conv_id")
+    names = explode_items(call_turns(spark, sf_dir), introduced).select(F.col("_item.matched").alias("name"))
+    return name_table(names)
+
+
+def _lookup_detections(spark, sf_dir) -> DataFrame:
+    """These names, looked up in every turn."""
+    return gazetteer_detections(call_turns(spark, sf_dir), _introduced(spark, sf_dir), "conv_id")
 
 
 def detect_gazetteer_names(spark, sf_dir):
     return _lookup_detections(spark, sf_dir).drop("score")
 
 
+def _customer_names(spark, sf_dir) -> DataFrame:
+    """A name a customer, in seven forms: short, hyphened, with apostrophe, of several words."""
+    key = F.col("c_custkey")
+    own = F.translate(key.cast("string"), "0123456789", "ABCDEFGHIJ")
+    forms = (
+        own, F.concat(F.lit("Zel"), own), F.concat(F.lit("Jean-"), own), F.concat(F.lit("O'"), own),
+        F.concat(F.lit("Mary "), own), F.concat(F.lit("Van  der "), own), F.concat(F.lit("Q "), own, F.lit(" Third")),
+    )
+    name = None
+    for i, form in enumerate(forms):
+        name = F.when(key % 7 == i, form) if name is None else name.when(key % 7 == i, form)
+    return _table(spark, sf_dir, "customer").select("c_custkey", name.alias("name"))
+
+
+def detect_names_forms(spark, sf_dir):
+    """Each customer's name between punctuation, before a genitive, and where it is none."""
+    rows = _customer_names(spark, sf_dir)
+    said = F.concat(
+        F.lit("this is "), F.col("name"), F.lit(", x"), F.col("name"), F.lit(" met ("), F.upper("name"), F.lit(")'s and "),
+        F.col("name"), F.lit("'s."),
+    )
+    turns = rows.select("c_custkey", F.lit(0).alias("turn"), F.lit("agent").alias("role"), said.alias("content"))
+    found = gazetteer_detections(turns, name_table(rows), "c_custkey", rules=DEFAULT_RULES.with_(deny_words=("~",)))
+    # Other customers' names may be among the words as well: each one's own name only.
+    own = found.join(rows, "c_custkey").where(fold(F.col("matched")) == fold(F.col("name")))
+    return own.select("c_custkey", "start", "end", "matched")
+
+
+def filter_lookups(spark, sf_dir):
+    """Every hit of a table of names and small talk, and which filter would let it pass."""
+    turns = _call_turns_with_bits(spark, sf_dir)
+    names = ("DAMIEN", "GRACE", "ROSEMARY", "IT IS WRITTEN DOWN", "THAT IS FINE", "MILTON DRIVE")
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    hits = gazetteer_detections(turns, name_table(listed), "conv_id", rules=DEFAULT_RULES.with_(deny_words=("~",)))
+    known = hits.join(turns.select("conv_id", "turn", "context"), ["conv_id", "turn"])
+    span = F.struct("start", "end", "entity", fold(F.col("matched")).alias("matched"), "score", "detector")
+    one, turn = F.array(span).cast(SPANS_TYPE), Turn(F.lit(""), F.col("context"), DEFAULT_RULES)
+    return known.select(
+        "conv_id", "turn", "start", "matched",
+        (F.size(deny_filter(one, DEFAULT_RULES)) > 0).alias("not_denied"),
+        (F.size(combined_filter(one, turn.combined)) > 0).alias("not_in_an_address"),
+        (F.size(conversational_filter(one, turn)) > 0).alias("not_small_talk"),
+    )
+
+
 # -- filters and spans --------------------------------------------------------
 
 def filter_person_deny(spark, sf_dir):
@@ -271,7 +332,8 @@ def merge_spans(spark, sf_dir):
 
     spans = F.array(*[span(i) for i in range(6)]).cast(SPANS_TYPE)
     orders = _table(spark, sf_dir, "orders").select("o_orderkey")
-    return explode_items(spread(orders), merged(spans), key.alias("conv_id")).select(
+    orders = orders.repartition(2 * spark.sparkContext.defaultParallelism)
+    return explode_items(orders, merged(spans), key.alias("conv_id")).select(
         "conv_id", "_item.start", "_item.end", "_item.entity"
     )
 
@@ -287,12 +349,28 @@ def redact_calls(spark, sf_dir):
     )
 
 
+def redact_calls_with_names(spark, sf_dir):
+    """The flagship with a name table: callers' names are found wherever they are said."""
+    done = redact_with_lookups(_parsed_calls(spark, sf_dir), names=_introduced(spark, sf_dir))
+    return done.select(
+        _key(), flat_transcript(F.col("redacted")).alias("redacted_transcript"),
+        F.size(F.flatten(F.transform("redacted", lambda e: e["spans"]))).alias("spans"),
+    )
+
+
+def redact_parts(spark, sf_dir):
+    """Turn rows to transcripts in parts of three turns, redacted: answers just after a border too."""
+    parts = assemble_transcripts(call_turns(spark, sf_dir), part_turns=3, rules=DEFAULT_RULES)
+    done = redact_transcripts(parse_transcripts(parts, keep_original=None))
+    return done.select("conv_id", "part", flat_transcript(F.col("redacted")).alias("redacted_transcript"))
+
+
 def redact_turn_rows(spark, sf_dir):
     done = redact_turns(call_turns(spark, sf_dir))
     return done.select("conv_id", "turn", "role", "redacted", "status")
 
 
-def redact_with_lookups(spark, sf_dir):
+def redact_turns_with_lookups(spark, sf_dir):
     """Turn rows redacted with the name table next to the detectors."""
     return redact_turns(
         call_turns(spark, sf_dir), lookups=_lookup_detections(spark, sf_dir)
@@ -340,8 +418,11 @@ def output(spark, sf_dir):
 
 
 def record_count(spark, sf_dir):
+    """Records a day, and the length of what is written: a count alone would not need the redaction."""
     rows = output_rows(_redacted_calls(spark, sf_dir))
-    return rows.groupBy("file_date").agg(F.count("*").alias("records"))
+    return rows.groupBy("file_date").agg(
+        F.count("*").alias("records"), F.sum(F.length("transcription_redacted")).alias("characters")
+    )
 
 
 # -- scored calls --------------------------------------------------------------
@@ -372,6 +453,7 @@ def queries() -> dict[str, Query]:
     return {
         "scan_where": scan_where,
         "sample_ordered": sample_ordered,
+        "sample_all": sample_all,
         "parse_transcripts": parse_status,
         "parse_turns": parse_turns,
         "quarantine": quarantine,
@@ -388,13 +470,17 @@ def queries() -> dict[str, Query]:
         "detect_written_iban": detect_written_iban,
         "detect_age_money": detect_age_money,
         "detect_gazetteer_names": detect_gazetteer_names,
+        "detect_names_forms": detect_names_forms,
+        "filter_lookups": filter_lookups,
         "filter_person_deny": filter_person_deny,
         "filter_score": filter_score,
         "conversational_ratio": conversational_ratio,
         "merge_spans": merge_spans,
         "redact_calls": redact_calls,
         "redact_turns": redact_turn_rows,
-        "redact_with_lookups": redact_with_lookups,
+        "redact_with_lookups": redact_turns_with_lookups,
+        "redact_calls_with_names": redact_calls_with_names,
+        "redact_parts": redact_parts,
         "redact_conversations": redact_conversations,
         "redact_documents": redact_documents,
         "audit_rows": audit_rows,

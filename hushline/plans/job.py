@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hushline.operators.lookups import Model, gazetteer_detections, model_detections, name_table
 from hushline.operators.redaction import redact_transcripts
 from hushline.rules import DEFAULT_RULES, Rules
 from hushline.sources.sinks import output_rows, write_rows
-from hushline.sources.transcripts import DEFAULT_FIELDS, parse_transcripts, quarantined, read_transcripts
+from hushline.sources.transcripts import DEFAULT_FIELDS, explode_turns, parse_transcripts, quarantined, read_transcripts
 
 
 class JobError(ValueError):
@@ -36,6 +39,9 @@ class Job:
     columns: dict[str, str] = field(default_factory=dict)
     #: Target column names, by role; a role left out keeps its own name.
     target_columns: dict[str, str] = field(default_factory=dict)
+    #: A table of names to look up in every turn, and its column; none by default.
+    names: str | None = None
+    names_column: str = "name"
     source_options: dict[str, str] = field(default_factory=dict)
     target_options: dict[str, str] = field(default_factory=dict)
 
@@ -63,6 +69,8 @@ class Job:
                 "batch_size": processing.get("batch_size"),
                 "columns": dict(tables["source"].get("columns", {})),
                 "target_columns": dict(tables["target"].get("columns", {})),
+                "names": (tables.get("names") or {}).get("name"),
+                "names_column": (tables.get("names") or {}).get("column", "name"),
             }
         except KeyError as e:
             raise JobError(f"{path}: {e} is missing") from e
@@ -87,22 +95,57 @@ def read_and_parse(spark: SparkSession, job: Job) -> DataFrame:
     return parse_transcripts(rows.select(*[F.col(c).alias(n) for n, c in named.items()]))
 
 
-def redacted_output(spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The rows the job writes. One stage from scan to write, unless a row cap is set."""
-    rows = output_rows(redact_transcripts(read_and_parse(spark, job), rules), rules)
+def transcript_lookups(
+    parsed: DataFrame, key: str, rules: Rules, names: DataFrame | None = None, model: Callable[[], Model] | None = None,
+) -> DataFrame | None:
+    """Spans of a name table and of a user's model in every turn; None without either."""
+    turns = explode_turns(parsed, key)
+    found = []
+    if names is not None:
+        found.append(gazetteer_detections(turns, names, key, rules=rules))
+    if model is not None:
+        found.append(model_detections(turns, model, key))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def redact_with_lookups(
+    parsed: DataFrame, rules: Rules = DEFAULT_RULES, names: DataFrame | None = None,
+    model: Callable[[], Model] | None = None, text: str = "transcription",
+) -> DataFrame:
+    """``redact_transcripts`` with a name table (of ``name_table``) and a model.
+
+    What they find depends on the text alone, so rows are matched to it by a digest of
+    the text: rows without an id, or with the same one, cannot be mixed up.
+    """
+    keyed = parsed.withColumn("_digest", F.md5(F.col(text)))
+    found = transcript_lookups(keyed, "_digest", rules, names, model)
+    if found is None:
+        return redact_transcripts(parsed, rules)
+    return redact_transcripts(keyed, rules, found, ("_digest",)).drop("_digest")
+
+
+def redacted_output(
+    spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES, model: Callable[[], Model] | None = None,
+) -> DataFrame:
+    """The rows the job writes. One stage from scan to write, unless a row cap or lookups are set."""
+    parsed = read_and_parse(spark, job)
+    names = name_table(spark.table(job.names), job.names_column) if job.names else None
+    rows = output_rows(redact_with_lookups(parsed, rules, names, model), rules)
     renames = {n: to for n, to in job.target_columns.items() if n in rows.columns and n != to}
     return rows.withColumnsRenamed(renames)
 
 
 def run_job(
-    spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES, quarantine_target: str | None = None
+    spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES, quarantine_target: str | None = None,
+    model: Callable[[], Model] | None = None,
 ) -> int:
     """Run the job; returns the number of rows written.
 
-    With ``quarantine_target`` the ids of unreadable transcripts are written as well.
+    With ``quarantine_target`` the ids of unreadable transcripts are written as well. They
+    are found by their status alone; the second scan parses, but redacts nothing.
     """
     written = write_rows(
-        redacted_output(spark, job, rules), job.target, format=job.target_format, mode=job.mode,
+        redacted_output(spark, job, rules, model), job.target, format=job.target_format, mode=job.mode,
         partition_by=job.partition_by, only_touched_partitions=job.only_touched_partitions,
         batch_size=job.batch_size, options=job.target_options,
     )

@@ -226,9 +226,9 @@ _CARD_OK = (
 )
 _SPAN_OUT = 'doc_id, CAST(s AS INTEGER) AS "start", CAST(s + length(matched) AS INTEGER) AS "end", matched'
 
-_MESSY = """CASE k % 8
+_MESSY = """CASE k % 10
   WHEN 0 THEN 'ok' WHEN 1 THEN 'missing' WHEN 2 THEN 'unparsable' WHEN 3 THEN 'not_an_array'
-  WHEN 4 THEN 'ok' WHEN 5 THEN 'ok' WHEN 6 THEN 'unparsable' ELSE 'ok' END"""
+  WHEN 4 THEN 'ok' WHEN 5 THEN 'ok' WHEN 6 THEN 'unparsable' WHEN 7 THEN 'ok' ELSE 'unparsable' END"""
 
 _WORDS = r"regexp_extract_all(upper(text), '[^\s\x1c-\x1f\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}]+')"
 
@@ -261,19 +261,21 @@ def oracle_sql() -> dict[str, str]:
             '[{{"role":"agent","content":"' || t0 || '"}},{{"role":"customer","content":"' || t1
             || '"}},{{"role":"agent","content":"' || t2 || '"}},{{"role":"customer","content":"' || t3 || '"}}]'
             AS transcription FROM said WHERE file_date >= DATE '1996-01-01' ORDER BY k LIMIT 100""",
+        "sample_all": """SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(o_orderdate AS DATE) AS file_date
+            FROM orders""",
         "parse_transcripts": f"""SELECT k AS conv_id, {_MESSY} AS status,
-            CAST(CASE k % 8 WHEN 0 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN 0 WHEN 7 THEN 2 ELSE -1 END AS INTEGER) AS elements,
-            CAST(CASE k % 8 WHEN 0 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 7 THEN 2 END AS INTEGER) AS turns
+            CAST(CASE k % 10 WHEN 0 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN 0 WHEN 7 THEN 2 ELSE -1 END AS INTEGER) AS elements,
+            CAST(CASE k % 10 WHEN 0 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 7 THEN 2 END AS INTEGER) AS turns
             FROM (SELECT o_orderkey AS k FROM orders)""",
         "parse_turns": """WITH keys AS (SELECT o_orderkey AS k FROM orders)
-            SELECT k AS conv_id, CAST(0 AS BIGINT) AS turn, 'agent' AS role, 'CALL ' || k AS content FROM keys WHERE k % 8 = 0
-            UNION ALL SELECT k, 1, '', 'NO ROLE' FROM keys WHERE k % 8 = 0
-            UNION ALL SELECT k, 2, 'agent', 'CALL ' || k FROM keys WHERE k % 8 = 4
-            UNION ALL SELECT k, 0, 'agent', NULL FROM keys WHERE k % 8 = 7
-            UNION ALL SELECT k, 1, 'customer', CAST(k AS VARCHAR) FROM keys WHERE k % 8 = 7""",
+            SELECT k AS conv_id, CAST(0 AS BIGINT) AS turn, 'agent' AS role, 'CALL ' || k AS content FROM keys WHERE k % 10 = 0
+            UNION ALL SELECT k, 1, '', 'NO ROLE' FROM keys WHERE k % 10 = 0
+            UNION ALL SELECT k, 2, 'agent', 'CALL ' || k FROM keys WHERE k % 10 = 4
+            UNION ALL SELECT k, 0, 'agent', NULL FROM keys WHERE k % 10 = 7
+            UNION ALL SELECT k, 1, 'customer', CAST(k AS VARCHAR) FROM keys WHERE k % 10 = 7""",
         "quarantine": f"""SELECT k AS conv_id, {_MESSY} AS status FROM (SELECT o_orderkey AS k FROM orders)
-            WHERE k % 8 IN (1, 2, 3, 6)""",
-        "non_turns_kept": """SELECT k AS conv_id, CASE k % 8
+            WHERE k % 10 IN (1, 2, 3, 6, 8, 9)""",
+        "non_turns_kept": """SELECT k AS conv_id, CASE k % 10
             WHEN 0 THEN '[{"role":"agent","content":"CALL ' || k || '"},{"role":"","content":"NO ROLE"}]'
             WHEN 4 THEN '["A BARE STRING",{"note":' || k || '},{"role":"agent","content":"CALL ' || k || '"}]'
             WHEN 5 THEN '[]'
@@ -308,6 +310,37 @@ def oracle_sql() -> dict[str, str]:
         "detect_gazetteer_names": f"""WITH {_GAZETTEER} SELECT k AS conv_id, CAST(turn AS BIGINT) AS turn, role,
             'PERSON' AS entity, CAST(s AS INTEGER) AS "start", CAST(s + length(name) AS INTEGER) AS "end",
             name AS matched, 'gazetteer' AS detector FROM spoken WHERE name IN (SELECT name FROM names)""",
+        # Who is named where: a caller's own name is found as an answer and as a name.
+        "redact_calls_with_names": f"""WITH {REDACTED} SELECT w.conv_id, redacted_transcript,
+              CAST((SELECT count(*) FROM found f WHERE f.conv_id = w.conv_id)
+                + CASE WHEN greeter <> 'WILL' THEN 1 ELSE 0 END
+                + CASE k % 16 WHEN 5 THEN CASE WHEN caller <> 'WILL' THEN 1 ELSE 0 END WHEN 11 THEN 1 ELSE 0 END AS INTEGER) AS spans
+            FROM whole_calls w JOIN said ON k = w.conv_id""",
+        "redact_parts": f"""WITH {REDACTED} SELECT conv_id, turn // 3 AS part,
+            string_agg(redacted, ' ' ORDER BY turn) AS redacted_transcript FROM redacted GROUP BY ALL""",
+        "detect_names_forms": """WITH n AS (
+              SELECT c_custkey, translate(CAST(c_custkey AS VARCHAR), '0123456789', 'ABCDEFGHIJ') AS own FROM customer),
+            f AS (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN own WHEN 1 THEN 'Zel' || own WHEN 2 THEN 'Jean-' || own
+              WHEN 3 THEN 'O' || chr(39) || own WHEN 4 THEN 'Mary ' || own WHEN 5 THEN 'Van  der ' || own
+              ELSE 'Q ' || own || ' Third' END AS name FROM n),
+            p AS (SELECT *, length(name) AS k FROM f)
+            SELECT c_custkey, CAST(8 AS INTEGER) AS "start", CAST(8 + k AS INTEGER) AS "end", name AS matched FROM p
+            UNION ALL SELECT c_custkey, CAST(17 + 2 * k AS INTEGER), CAST(17 + 3 * k AS INTEGER), upper(name) FROM p
+            UNION ALL SELECT c_custkey, CAST(25 + 3 * k AS INTEGER), CAST(25 + 4 * k AS INTEGER), name FROM p""",
+        "filter_lookups": f"""WITH {CALLS},
+            hits(k, turn, s, matched) AS (
+              SELECT k, 0, 33, greeter FROM said WHERE greeter IN ('DAMIEN', 'GRACE', 'ROSEMARY')
+              UNION ALL SELECT k, 3, 5, caller FROM said WHERE k % 16 = 5 AND caller IN ('DAMIEN', 'GRACE', 'ROSEMARY')
+              UNION ALL SELECT k, 3, 0, 'DAMIEN' FROM said WHERE k % 16 = 9
+              UNION ALL SELECT k, 3, 0, 'IT IS WRITTEN DOWN' FROM said WHERE k % 16 = 12
+              UNION ALL SELECT k, 3, 13, 'THAT IS FINE' FROM said WHERE k % 16 = 15
+              UNION ALL SELECT k, 3, strpos(t3, 'MILTON') - 1, 'MILTON DRIVE' FROM said WHERE k % 16 IN (7, 9)),
+            counted AS (SELECT *, len(string_split(matched, ' ')) AS n,
+              len(list_filter(string_split(matched, ' '), lambda x: list_contains({_list(DENY_WORDS)}, x))) AS c FROM hits)
+            SELECT k AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(s AS INTEGER) AS "start", matched, c = 0 AS not_denied,
+              NOT (k % 16 = 9 AND turn = 3) AS not_in_an_address,
+              (k % 16 IN (5, 9) AND turn = 3) OR CASE WHEN n <= 2 THEN c < n ELSE c / n <= 0.5 END AS not_small_talk
+            FROM counted""",
         "filter_person_deny": f"""WITH {FOUND}
             SELECT conv_id, turn, "start", "end", matched, TRUE AS kept FROM found WHERE entity = 'PERSON'
             UNION ALL SELECT k, 1, 18, 33, 'CHANGE MY ORDER', FALSE FROM said""",
@@ -363,7 +396,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT file_date, CAST(k AS VARCHAR) AS transaction_id, 'call-' || k AS transaction_identifier,
               json AS transcription_redacted, coalesce(audit, '') AS redacted_entity
             FROM keys JOIN whole_calls w ON k = w.conv_id LEFT JOIN audits a ON k = a.conv_id""",
-        "record_count": "SELECT CAST(o_orderdate AS DATE) AS file_date, count(*) AS records FROM orders GROUP BY 1",
+        "record_count": f"""WITH {REDACTED} SELECT file_date, count(*) AS records, CAST(sum(length(json)) AS BIGINT) AS characters
+            FROM keys JOIN whole_calls w ON k = w.conv_id GROUP BY file_date""",
         "setting_quality": f"""WITH {_SCORES} SELECT setting, round(avg(model_score), 9) AS avg_model_score,
             round(stddev_samp(model_score), 9) AS std_model_score, round(avg(sentiment), 9) AS avg_sentiment,
             round(stddev_samp(sentiment), 9) AS std_sentiment FROM scores GROUP BY setting""",

@@ -42,7 +42,8 @@ def write_rows(
     Replacing the target is one overwrite, so a rerun cannot leave rows twice; with
     ``only_touched_partitions`` only partitions with new rows are replaced.
     ``format='table'`` writes to a table of the session catalogue and creates it if
-    needed. ``batch_size`` is rows per insert for JDBC, rows per file otherwise.
+    needed; a table which is there keeps its schema, partitioning and rights, and rows
+    go into it by column name. ``batch_size`` is rows per insert for JDBC, rows per file otherwise.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
@@ -63,7 +64,28 @@ def write_rows(
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if format == "table":
-        writer.saveAsTable(target)
+        if mode == "overwrite" and rows.sparkSession.catalog.tableExists(target):
+            _replace_rows(counted, target, batch_size, only_touched_partitions)
+        else:
+            writer.saveAsTable(target)
     else:
         writer.format(format).save(target)
     return seen.get["rows"]
+
+
+def _replace_rows(rows: DataFrame, target: str, batch_size: int | None, only_touched_partitions: bool) -> None:
+    """Put the rows in place of those of a table, or of the partitions they fall into."""
+    session = rows.sparkSession
+    columns = session.table(target).columns
+    if set(columns) != set(rows.columns):
+        raise ValueError(f"{target} has columns {sorted(columns)}, the rows have {sorted(rows.columns)}")
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = session.conf.get(setting)
+    writer = rows.select(*columns).write
+    if batch_size:
+        writer = writer.option("maxRecordsPerFile", batch_size)
+    session.conf.set(setting, "dynamic" if only_touched_partitions else "static")
+    try:
+        writer.insertInto(target, overwrite=True)
+    finally:
+        session.conf.set(setting, before)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from hushline.functions import context as ctx
 from hushline.functions.rows import explode_items
-from hushline.functions.text import let
+from hushline.functions.text import fold, let
+from hushline.rules import Rules
+from hushline.sources.cap import first_rows
 
 TURNS_TYPE = "array<struct<role:string,content:string>>"
 ELEMENT_TYPE = "struct<is_turn:boolean,raw:string,role:string,content:string>"
@@ -24,14 +27,14 @@ def select_rows(
     """Select list, row predicate and row cap (A1 to A3).
 
     The cap takes the first rows in ``order_by`` (by default the first field), so
-    that a run can be repeated; Spark keeps only that many rows per task.
+    that a run can be repeated. A cap which the rows do not reach changes nothing.
     """
     out = rows.where(F.expr(condition))
     if fields:
         out = out.select(*fields)
     if limit is not None:
         keys = (order_by,) if isinstance(order_by, str) else order_by
-        out = out.orderBy(*(keys or out.columns[:1])).limit(limit)
+        out = first_rows(out, limit, tuple(keys or out.columns[:1]))
     return out
 
 
@@ -78,6 +81,17 @@ def _looks_like_array(text: Column) -> Column:
     return text.rlike(r"(?s)\A\s*\[.*\]\s*\z")
 
 
+def _is_one_value(text: Column) -> Column:
+    """Nothing follows the array. Where no bracket closes but the last sign, that is plain to see.
+
+    The parsers stop after the first value, so the others are parsed inside one more pair of
+    brackets, which must then hold one item.
+    """
+    inside = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    closes = F.locate("]", text)
+    return (closes == F.length(F.regexp_replace(text, r"\s+\z", ""))) | (F.coalesce(F.size(inside), F.lit(0)) == 1)
+
+
 def parse_transcripts(
     rows: DataFrame, column: str = "transcription", keep_original: str | None = "transcript_original"
 ) -> DataFrame:
@@ -89,13 +103,14 @@ def parse_transcripts(
     unless ok.
     """
     text = F.col(column)
-    typed = F.when(_looks_like_array(text), F.from_json(text, TURNS_TYPE))
+    # The typed parse alone would stop after the first value and lose what follows.
+    typed = F.when(_looks_like_array(text) & _is_one_value(text), F.from_json(text, TURNS_TYPE))
 
     def choose(turns: Column) -> Column:
         plain = turns.isNotNull() & F.forall(turns, lambda t: t["content"].isNotNull())
         return (
             F.when(plain, _plain_elements(turns))
-            .when(_looks_like_array(text), _mixed_elements(text))
+            .when(_looks_like_array(text) & _is_one_value(text), _mixed_elements(text))
         )
 
     status = (
@@ -119,24 +134,48 @@ def quarantined(parsed: DataFrame, *keys: str) -> DataFrame:
     return parsed.where(F.col("status") != "ok").select(*keys, "status")
 
 
+def unplaced_turns(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Turn rows without a conversation or a number; they have no place in any transcript."""
+    return turns.where(F.col(conversation).isNull() | F.col(turn).isNull())
+
+
 def assemble_transcripts(
     turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
     role: str = "role", content: str = "content", part_turns: int = 10_000,
+    rules: Rules | None = None,
 ) -> DataFrame:
     """Turn rows to JSON transcripts, in parts of a bounded number of turns.
 
     A conversation of usual length is one part, number 0. A long one becomes several
     rows, so no row and no task has to hold all of it; read in order of ``part``
     they are the whole conversation. A redelivered copy of a turn counts once, and is
-    dropped before the shuffle where it meets its twin.
+    dropped before the shuffle where it meets its twin. Rows of ``unplaced_turns`` are
+    left out.
+
+    With ``rules`` each part gets ``context_in``: the bits of the latest earlier turn
+    with text, from whichever part before. ``redact_transcripts`` starts from it, so
+    an answer just after a border is judged by its question.
     """
-    entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
-    grouped = turns.groupBy(conversation, F.floor(F.col(turn) / part_turns).alias("part")).agg(
-        F.sort_array(F.collect_set(entry)).alias("_turns")
+    placed = turns.where(F.col(conversation).isNotNull() & F.col(turn).isNotNull()).withColumn(
+        "part", F.floor(F.col(turn) / part_turns)
     )
+    entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
+    grouped = placed.groupBy(conversation, "part").agg(F.sort_array(F.collect_set(entry)).alias("_turns"))
     as_turns = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return grouped.select(
+    parts = grouped.select(
         conversation, "part", F.size("_turns").alias("turns"),
         F.to_json(as_turns, {"ignoreNullFields": "false"}).alias("transcription"),
         F.array_join(F.transform("_turns", lambda t: t["content"]), " ").alias("flat"),
     )
+    if rules is None:
+        return parts
+    # Nine bits a part: a window over these, never over the texts.
+    bits = let(fold(F.col(content)), lambda folded: ctx.signals(folded, rules))
+    ends = placed.where(F.col(content).isNotNull()).groupBy(conversation, "part", turn).agg(F.bit_or(bits).alias("_bits"))
+    ends = ends.groupBy(conversation, "part").agg(F.max_by("_bits", turn).alias("_bits"))
+    known = placed.select(conversation, "part").distinct().join(ends, [conversation, "part"], "left")
+    earlier = Window.partitionBy(conversation).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = known.select(
+        conversation, "part", F.coalesce(F.last("_bits", ignorenulls=True).over(earlier), F.lit(0)).alias("context_in")
+    )
+    return parts.join(start, [conversation, "part"])

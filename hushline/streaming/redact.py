@@ -19,42 +19,52 @@ def redact_transcript_stream(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> D
 def redact_turn_stream(
     turns: DataFrame, rules: Rules = DEFAULT_RULES, wait: str = "10 minutes", first_turn: int = 0
 ) -> DataFrame:
-    """Turns arriving one by one: conv_id, turn, role, content, ts.
+    """Turns arriving one by one: conv_id, turn, role, content, ts; out without content.
 
     Each turn meets the bits of the turn numbered one less in a stream-stream outer
     join on (conversation, turn number). That key spreads a busy conversation over
     all tasks, where per-conversation state would sit in one. The look-back side
-    keeps nine bits and no text. When the turn before is not seen within ``wait``
-    of event time, the turn comes out with an empty context and
-    ``context_missing`` set. First turns need no look-back and come out at once.
+    keeps nine bits and no text. First turns need no look-back and come out at once.
     A redelivered turn of the look-back side is dropped, so no turn comes out twice
     because of it.
+
+    No text comes out unless its context is known. When the turn before is not seen
+    within ``wait`` of event time, has no text, or is missing from the numbering, the
+    turn comes out with ``redacted`` null and status ``context_missing``: the batch, which
+    can look further back, then gives its text. Rows without a conversation, a number or
+    a time come out withheld as ``no_conversation``, as in the batch. Rows later than the
+    watermark are dropped by Spark, which counts them in the progress of the query.
     """
     timed = turns.withWatermark("ts", wait)
-    first = timed.where(F.col("turn") <= first_turn).select(
+    placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull() & F.col("ts").isNotNull()
+    # A condition that is never null, so that every row goes one of the two ways.
+    at_once = ~placed | F.coalesce(F.col("turn") <= first_turn, F.lit(True))
+    first = timed.where(at_once).select(
         "conv_id", "turn", "role", "content", "ts",
-        F.lit(0).alias("context"), F.lit(False).alias("context_missing"),
+        F.lit(0).alias("context"), F.when(placed, "ok").otherwise("no_conversation").alias("status"),
     )
     asked = (
-        turns.select(
+        turns.where(placed & F.col("content").isNotNull()).select(
             F.col("conv_id").alias("_conv"),
             (F.col("turn") + 1).alias("_next"),
-            F.coalesce(text_signals(F.col("content"), rules), F.lit(0)).alias("_bits"),
+            text_signals(F.col("content"), rules).alias("_bits"),
             F.col("ts").alias("_ts"),
         )
         .withWatermark("_ts", wait)
         .dropDuplicatesWithinWatermark(["_conv", "_next"])
     )
     near = F.expr(f"_ts >= ts - interval {wait} and _ts <= ts + interval {wait}")
-    later = timed.where(F.col("turn") > first_turn).join(
+    later = timed.where(~at_once).join(
         asked, (F.col("conv_id") == F.col("_conv")) & (F.col("turn") == F.col("_next")) & near, "left"
     ).select(
         "conv_id", "turn", "role", "content", "ts",
-        F.coalesce("_bits", F.lit(0)).alias("context"), F.col("_bits").isNull().alias("context_missing"),
+        F.coalesce("_bits", F.lit(0)).alias("context"),
+        F.when(F.col("_bits").isNull(), "context_missing").otherwise("ok").alias("status"),
     )
-    content = F.col("content")
+    content, known = F.col("content"), F.col("status") == "ok"
     return (
         first.unionByName(later)
-        .withColumn("spans", turn_spans(content, F.col("context"), rules))
-        .withColumn("redacted", redact_text(content, F.col("spans"), rules))
+        .withColumn("spans", F.when(known, turn_spans(content, F.col("context"), rules)))
+        .withColumn("redacted", F.when(known, redact_text(content, F.col("spans"), rules)))
+        .drop("content")
     )

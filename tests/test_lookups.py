@@ -21,20 +21,40 @@ def turns(spark):
 
 def test_name_table_both_ways(spark):
     names = name_table(spark.createDataFrame([("Zelda",), ("WILL",), (" ",), ("zelda ",)], "name string"))
-    expected = [(1, 1, 8, 13, "Zelda"), (1, 1, 38, 43, "ZELDA")]
-    for limit in (100, 0):
-        found = gazetteer_detections(turns(spark), names, "conv_id", broadcast_names=limit)
+    expected = [(1, 1, 8, 13, "Zelda"), (1, 1, 17, 22, "zelda"), (1, 1, 38, 43, "ZELDA"), (3, 0, 0, 5, "Zelda")]
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        found = gazetteer_detections(turns(spark), names, "conv_id")
         assert sorted((r.conv_id, r.turn, r.start, r.end, r.matched) for r in found.collect()) == expected
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (limit > 0)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_name_forms(spark):
+    names = name_table(spark.createDataFrame(
+        [("Zelda",), ("Jean-Paul",), ("O'Brien",), ("Mary  Ann",), ("Bo",), ("Ann",), ("A B C D E F G",)], "name string"
+    ))
+    texts = {
+        0: "this is Zelda, and Jean-Paul met O’Brien with Mary Ann and Bo. Zelda? Zelda",
+        1: "Mary, Ann; xBo Bo2 Zelda's (JEAN-PAUL)'s Mary\tann's a b c d e f x",
+        2: "Jean Paul, Zelda-Bo, Bonnie O'Brienne",
+    }
+    rows = [(k, 0, "agent", t) for k, t in texts.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    found = gazetteer_detections(df, names, "conv_id").collect()
+    got = {k: sorted(r.matched for r in found if r.conv_id == k) for k in texts}
+    assert got[0] == sorted(["Zelda", "Jean-Paul", "O’Brien", "Mary Ann", "Ann", "Bo", "Zelda", "Zelda"])
+    # Seven words are found by the first six, unless a deny word (A) begins them.
+    assert got[1] == sorted(["Ann", "Zelda", "JEAN-PAUL", "Mary\tann", "ann"])
+    assert got[2] == []
+    assert all(texts[r.conv_id][r.start:r.end] == r.matched for r in found)
 
 
 def test_redaction_with_names(spark):
     names = name_table(spark.createDataFrame([("Zelda",)], "name string"))
     found = gazetteer_detections(turns(spark), names, "conv_id")
     got = {(r.conv_id, r.turn): r.redacted for r in redact_turns(turns(spark), lookups=found).collect()}
-    assert got[1, 1] == "ask for [REDACTED NAME] or zelda, or Will, said [REDACTED NAME]"
-    assert got[2, 0] is None and got[3, 0] == "Zelda?"
+    assert got[1, 1] == "ask for [REDACTED NAME] or [REDACTED NAME], or Will, said [REDACTED NAME]"
+    assert got[2, 0] is None and got[3, 0] == "[REDACTED NAME]?"
 
 
 def test_model_hook(spark):

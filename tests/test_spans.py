@@ -27,14 +27,16 @@ def merge(spans):
 
 def test_merge_and_replace(spark):
     rng = random.Random(11)
-    text = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" * 2
+    text = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" * 40
     kinds = [*LABEL_ORDER, "ZEBRA", "AARDVARK"]
     cases = []
     for i in range(300):
         spans = []
-        for _ in range(rng.randint(0, 7)):
+        # Few spans are merged one by one, many in parts.
+        for _ in range(rng.choice([0, 1, 3, 7, 32, 33, 40, 150])):
             a = rng.randint(0, 60)
-            spans.append((a, a + rng.randint(1, 10), rng.choice(kinds), "", rng.choice([0.85, 1.0]), "d"))
+            a = a * rng.choice([1, 1, 20])
+            spans.append((a, a + rng.choice([1, 2, 3, 10, 200 * (i % 3 == 0) + 1]), rng.choice(kinds), "", rng.choice([0.85, 1.0]), "d"))
         cases.append((i, text, spans))
     df = spark.createDataFrame(cases, f"i int, t string, s {SPANS_TYPE}").withColumn("b", merged(F.col("s")))
     df = df.withColumn("r", replaced(F.col("t"), F.col("b"), DEFAULT_RULES.placeholders))
@@ -52,7 +54,7 @@ def test_merge_and_replace(spark):
 def test_offsets_are_those_of_a_plain_search(spark):
     rng = random.Random(5)
     alphabet = ["AB", "12", " ", "  ", "\n", "\U0001F600", "é", "\x02", "7", "X"]
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.choice([0, 5, 30, 200, 900]))) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     for regex in (r"[0-9]+", r"AB", r"[A-Z0-9]+"):
         spans = locate_all(fold(F.col("t")), regex, "E", "d", 1.0)
@@ -61,6 +63,24 @@ def test_offsets_are_those_of_a_plain_search(spark):
             assert got[i] == [(m.start(), m.end(), m.group()) for m in re.finditer(regex, t)]
 
 
+def test_time_grows_about_linearly_with_spans(spark):
+    import time
+
+    from hushline.operators.redaction import redact_text, turn_spans
+
+    def seconds(n):
+        df = spark.createDataFrame([("MY NUMBER IS 07912345678 " * n,)], "t string")
+        found = turn_spans(F.col("t"), F.lit(1 << 8), only="phone")
+        began = time.perf_counter()
+        (row,) = df.select(redact_text(F.col("t"), found).alias("r"), F.size(found).alias("n")).collect()
+        assert row.n == n and row.r == "MY NUMBER IS [REDACTED PHONE] " * n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    small, large = seconds(5000), seconds(40_000)
+    assert large < 60 and large < 8 * 4 * max(small, 0.5)
+
+
 def test_any_of_matches_exactly_the_words():
     words = ["SIX", "SIXTEEN", "SIXTY", "SEVEN", "I'M", "A", "AN", "AND", "E-MAIL", "C++", "x.y"]
     compiled = re.compile(any_of(words))

@@ -37,9 +37,17 @@ def test_turns_one_by_one(spark, sf_dir, tmp_path):
     source = tmp_path / "turns"
     at = F.lit(NOON) + F.make_dt_interval(secs=F.col("turn"))
     whole = call_turns(spark, sf_dir).where("conv_id < 64").withColumn("ts", at)
+    # A question without text, a gap in the numbers, and rows which have no place.
+    whole = whole.withColumn("content", F.expr("if(conv_id = 13 and turn = 2, null, content)")).withColumn(
+        "turn", F.expr("if(conv_id = 14 and turn = 3, 7, turn)")
+    )
+    odd = spark.createDataFrame(
+        [(None, 1, "customer", "SECRET", NOON), (60, None, "customer", "SECRET", NOON)], schema
+    )
+    whole = whole.unionByName(odd)
     # Answers arrive before their questions; one question never arrives.
-    late = whole.where("turn = 3")
-    rest = whole.where("turn < 3 and not (conv_id = 12 and turn = 2)")
+    late = whole.where("turn >= 3 or turn is null or conv_id is null")
+    rest = whole.where("turn < 3 and conv_id is not null and not (conv_id = 12 and turn = 2)")
     later = spark.createDataFrame([(-1, 0, "agent", "BYE", NOON + datetime.timedelta(hours=h)) for h in (2, 4)], schema)
     # Files are read one a batch, in the order of their times.
     for i, part in enumerate([late, rest, rest.where("turn = 2"), later.limit(1), later.orderBy(F.desc("ts")).limit(1)]):
@@ -49,11 +57,13 @@ def test_turns_one_by_one(spark, sf_dir, tmp_path):
         time.sleep(1.1 if i < 4 else 0)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source))
     run(redact_turn_stream(stream), "by_turn", tmp_path)
-    got = spark.table("by_turn").where("conv_id >= 0")
-    expected = {(r.conv_id, r.turn): r.redacted for r in redact_turns(whole).collect()}
-    seen = got.collect()
-    missing = [(r.conv_id, r.turn) for r in seen if r.context_missing]
-    assert missing == [(12, 3)]
-    wrong = [r for r in seen if r.redacted != expected[r.conv_id, r.turn] and (r.conv_id, r.turn) != (12, 3)]
-    assert wrong == []
+    seen = spark.table("by_turn").where("conv_id >= 0 or conv_id is null").collect()
+    assert "content" not in seen[0]
+    expected = {(r.conv_id, r.turn): (r.status, r.redacted) for r in redact_turns(whole).collect()}
+    missing = {(r.conv_id, r.turn) for r in seen if r.status == "context_missing"}
+    assert missing == {(12, 3), (13, 3), (14, 7)}
+    # Nothing comes out in clear without its context; all else is as in the batch.
+    assert all(r.redacted is None and r.spans is None for r in seen if r.status != "ok")
+    assert all((r.status, r.redacted) == expected[r.conv_id, r.turn] for r in seen if (r.conv_id, r.turn) not in missing)
     assert {(r.conv_id, r.turn) for r in seen} == set(expected) - {(12, 2)}
+    assert {r.status for r in seen if r.conv_id is None or r.turn is None} == {"no_conversation"}

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from hushline.plans.job import Job, JobError, redacted_output, run_job
 from hushline.rules import DEFAULT_RULES, Rules, RulesError
 from hushline.sources.calls import call_transcripts
 from hushline.sources.sinks import OUTPUT_COLUMNS, output_rows, write_rows
-from hushline.sources.transcripts import parse_transcripts, quarantined, read_transcripts, select_rows
+from hushline.sources.transcripts import (
+    assemble_transcripts, parse_transcripts, quarantined, read_transcripts, select_rows, unplaced_turns,
+)
 
 EDGES = {
     "empty": ("[]", "ok", []),
@@ -88,11 +91,81 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "text:" not in text.split("ReadSchema")[1]
 
 
-def test_row_cap_is_ordered(spark):
+def test_row_cap_is_ordered(spark, monkeypatch):
+    from hushline.sources import cap
+
     df = spark.range(1000, 0, -1).withColumn("x", F.lit(1))
-    got = select_rows(df, ("id",), limit=5)
-    assert [r.id for r in got.collect()] == [1, 2, 3, 4, 5]
-    assert "TakeOrderedAndProject" in got._jdf.queryExecution().executedPlan().toString()
+    for few in (10_000, 3):
+        monkeypatch.setattr(cap, "FEW", few)
+        got = select_rows(df, ("id",), limit=5)
+        assert sorted(r.id for r in got.collect()) == [1, 2, 3, 4, 5]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "SinglePartition" not in plan and "Exchange" not in plan
+    # A cap which is not reached leaves the scan as it is.
+    whole = select_rows(df, ("id",), limit=999_999_999)
+    assert whole.count() == 1000 and "Filter" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert select_rows(df, ("id",), limit=0).collect() == []
+
+
+def test_row_cap_with_ties_nulls_and_repeats(spark, monkeypatch):
+    import random
+
+    from hushline.sources import cap
+
+    monkeypatch.setattr(cap, "FEW", 5)
+    monkeypatch.setattr(cap, "BORDERS", 4)
+    draw = random.Random(1)
+    rows = [(draw.choice([None, "a", "b", "b", "b", "c"]), draw.choice([None, 1, 2, 3]), draw.randrange(40)) for _ in range(400)]
+    rows += [("b", 2, 7)] * 50
+    df = spark.createDataFrame(rows, "s string, n int, v int").repartition(5)
+    order = lambda r: tuple((x is not None, x or 0) if not isinstance(x, str) else (True, x) for x in r[:2])
+    for limit in (1, 60, 150, 222, 300, 449, 450):
+        got = [tuple(r) for r in cap.first_rows(df, limit, ("s", "n")).collect()]
+        assert len(got) == limit
+        # The keys are those of the first rows; no row comes more often than it is there.
+        assert sorted(map(order, got)) == sorted(map(order, rows))[:limit]
+        assert not Counter(got) - Counter(rows)
+    again = cap.first_rows(df.repartition(3), 222, ("s", "n")).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, cap.first_rows(df, 222, ("s", "n")).collect()))
+
+
+def test_text_after_the_array_is_unparsable(spark):
+    one = '[{"role":"a","content":"x"}]'
+    texts = [one, one + " ", one + one, one + "," + one, one + ' null,["y"]', one + " junk [1]", '[{"content":"a ] b"}]', '["]"] ', '[[1],[2]]']
+    got = parse_transcripts(spark.createDataFrame([(t,) for t in texts], "transcription string")).collect()
+    assert [r.status for r in got] == ["ok", "ok"] + ["unparsable"] * 4 + ["ok"] * 3
+
+
+def test_table_replace_keeps_the_table_and_other_partitions(spark):
+    rows = spark.range(10).select("id", (F.col("id") % 2).alias("part"))
+    put = lambda df, **options: write_rows(df, "kept", format="table", partition_by=("part",), **options)
+    spark.sql("DROP TABLE IF EXISTS kept")
+    assert put(rows) == 10
+    spark.sql("ALTER TABLE kept SET TBLPROPERTIES ('owner_note' = 'mine')")
+    new = spark.createDataFrame([(1, 100), (1, 101)], "part long, id long")
+    assert put(new, only_touched_partitions=True) == 2
+    assert sorted(map(tuple, spark.table("kept").select("id", "part").collect())) == [(0, 0), (2, 0), (4, 0), (6, 0), (8, 0), (100, 1), (101, 1)]
+    assert put(rows.where("id < 3")) == 3 and spark.table("kept").count() == 3
+    assert put(rows.where("id = 9"), mode="append") == 1 and spark.table("kept").count() == 4
+    assert "owner_note" in str(spark.sql("SHOW TBLPROPERTIES kept").collect())
+    with pytest.raises(ValueError):
+        put(rows.drop("id"))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_context_passes_part_borders(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "agent", "CAN YOU PROVIDE YOUR PASSWORD"), (1, 1, "customer", None), (1, 2, "customer", None),
+         (1, 3, "customer", None), (1, 4, "customer", "B C SEVEN SEVEN"), (2, 0, "a", "HI"), (None, 1, "x", "lost"), (3, None, "x", "lost")],
+        "conv_id long, turn long, role string, content string",
+    )
+    for size in (1, 2, 3, 100):
+        parts = assemble_transcripts(turns, part_turns=size, rules=DEFAULT_RULES)
+        done = redact_transcripts(parse_transcripts(parts))
+        texts = [e.content for r in done.where("conv_id = 1").orderBy("part").collect() for e in r.redacted]
+        assert texts == ["CAN YOU PROVIDE YOUR PASSWORD", None, None, None, "[REDACTED PASSWORD]"]
+        assert {r.conv_id for r in done.collect()} == {1, 2}
+    assert unplaced_turns(turns).count() == 2
 
 
 def test_overwrite_append_and_count(spark, sf_dir, tmp_path):
