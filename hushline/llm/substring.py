@@ -24,9 +24,11 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from hushline.llm.arrowtext import CHUNK_BYTES, Chunk, Hasher, WindowHasher, Words, appended, chunks, mix, words
+from hushline.llm.arrowtext import Chunk, Hasher, WindowHasher, Words, appended, chunks, mix, words
 from hushline.llm.storage import free_name, written
 
+#: Bytes of text handled at a time.
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 _WORDS, _MORE_WORDS = Hasher(7), Hasher(8)
 _WINDOWS, _MORE_WINDOWS = WindowHasher(7), WindowHasher(8)
@@ -43,10 +45,20 @@ def levels(window: int) -> list[int]:
 def _named(found: Words, at: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """For windows starting at `at` the start of the run each names; hashes of all runs of the length."""
     runs = _WINDOWS.windows(found.hashes, np.arange(max(len(found.hashes) - length + 1, 0)), length)
-    span = window - length + 1
-    if span == 1 or not len(at):
-        return at, runs
-    return at + np.lib.stride_tricks.sliding_window_view(runs, span).argmin(axis=1)[at], runs
+    if len(at):
+        at = _least(runs, window - length + 1)[at]
+    return at, runs
+
+
+def _least(values: np.ndarray, span: int) -> np.ndarray:
+    """For each run of `span` values the place of the least, the first among equals."""
+    best, width = np.arange(len(values)), 1
+    while width < span:
+        step = min(width, span - width)
+        one, other = best[:-step], best[step:]
+        best = np.where(values[one] <= values[other], one, other)
+        width += step
+    return best
 
 
 def _candidates(found: Words, window: int, lengths: list[int], alive: list[list[np.ndarray]]) -> np.ndarray:
@@ -82,7 +94,7 @@ def _digests(docs: DataFrame, window: int) -> DataFrame:
     out = out.add("sha256", "string").add("runs", ArrayType(LongType())).add("places", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", CHUNK_BYTES):
             found = words(chunk, _WORDS)
             at, runs = _named(found, found.window_starts(window), length, window)
             at = np.unique(at)
@@ -107,7 +119,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     """Fingerprint and compressed text of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", CHUNK_BYTES):
             f1, f2 = _fingerprints(chunk, words(chunk, _WORDS))
             packed = pa.array([press.compress(chunk.text(i)) for i in range(len(chunk))], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), packed], names=["f1", "f2", "packed"])
@@ -256,7 +268,7 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = 50) -> Da
     out = StructType([*docs.schema.fields]).add(one, "long").add(two, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, text):
+        for chunk in chunks(batches, text, CHUNK_BYTES):
             f1, f2 = _fingerprints(chunk, words(chunk, _WORDS))
             yield appended(chunk.rows, {one: f1, two: f2})
 
