@@ -103,9 +103,11 @@ def _lookup(mapping: dict[str, object], key: Column, default: object) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*entries), key), F.lit(default))
 
 
-def merged(spans: Column) -> Column:
+def merged(spans: Column, ordered: bool = False) -> Column:
     """Merge spans which overlap (touching is not overlapping) into blocks.
 
+    ``ordered``: the spans are sorted already and bound to a name.
+
     A block takes the label of its longest span, then of the best score, then of
     the fixed label order, then by name.
     """
@@ -152,38 +154,37 @@ def merged(spans: Column) -> Column:
         """Add the blocks of the next part; those which begin inside the open block go into it."""
         at = acc["open"]
         first = F.get(found, F.lit(0))
-        hit = F.when(at.isNull(), F.lit(0)).otherwise(F.size(F.filter(found, lambda x: x["start"] < at["end"])))
-
-        def with_hits(n: Column) -> Column:
-            eaten = F.slice(found, F.lit(1), n)
-            grown = block(
-                at["start"],
-                F.greatest(at["end"], F.coalesce(F.array_max(F.transform(eaten, lambda x: x["end"])), at["end"])),
-                F.array_min(F.concat(F.array(at["best"]), F.transform(eaten, lambda x: x["best"]))),
-            ).cast(open_type)
-            left = F.slice(found, n + 1, F.size(found))
-            closed = F.concat(F.array(grown), F.slice(left, F.lit(1), F.greatest(F.size(left) - 1, F.lit(0))))
-            return F.when(F.size(left) == 0, F.struct(acc["done"].alias("done"), grown.alias("open"))).otherwise(
-                F.struct(F.concat(acc["done"], F.array(closed)).alias("done"), F.get(left, F.size(left) - 1).alias("open"))
-            )
+        eaten = F.filter(found, lambda x: x["start"] < at["end"])
+        left = F.filter(found, lambda x: x["start"] >= at["end"])
+        grown = block(
+            at["start"],
+            F.greatest(at["end"], F.coalesce(F.array_max(eaten["end"]), at["end"])),
+            F.array_min(F.concat(F.array(at["best"]), eaten["best"])),
+        ).cast(open_type)
+        closed = F.concat(F.array(grown), F.slice(left, F.lit(1), F.greatest(F.size(left) - 1, F.lit(0))))
+        going_on = F.when(F.size(left) == 0, F.struct(acc["done"].alias("done"), grown.alias("open"))).otherwise(
+            F.struct(F.concat(acc["done"], F.array(closed)).alias("done"), F.get(left, F.size(left) - 1).alias("open"))
+        )
 
         fresh = F.struct(
             F.concat(acc["done"], F.array(F.slice(found, F.lit(1), F.size(found) - 1))).alias("done"),
             F.get(found, F.size(found) - 1).alias("open"),
         )
-        return F.when(first.isNull(), acc).when(at.isNull(), fresh).otherwise(let(hit, with_hits))
+        return F.when(first.isNull(), acc).when(at.isNull(), fresh).otherwise(going_on)
 
-    def in_parts(ordered: Column) -> Column:
+    def in_parts(sorted_spans: Column) -> Column:
         zero = F.struct(
             F.array().cast(f"array<array<{open_type}>>").alias("done"), F.lit(None).cast(open_type).alias("open")
         )
         return F.aggregate(
-            F.transform(parts(ordered), inner), zero, join,
+            F.transform(parts(sorted_spans), inner), zero, join,
             lambda acc: F.concat(F.flatten(acc["done"]), F.array(acc["open"])),
         )
 
-    ordered = F.array_sort(spans)
-    found = let(ordered, lambda o: F.when(F.size(o) <= FEW, inner(o)).otherwise(in_parts(o)))
+    def found_in(sorted_spans: Column) -> Column:
+        return F.when(F.size(sorted_spans) <= FEW, inner(sorted_spans)).otherwise(in_parts(sorted_spans))
+
+    found = found_in(spans) if ordered else let(F.array_sort(spans), found_in)
     many = F.transform(
         found,
         lambda b: F.struct(
@@ -219,10 +220,12 @@ def as_written(text: Column, spans: Column) -> Column:
     def one(part: Column) -> Column:
         base = F.get(part, F.lit(0))["start"]
         reach = F.array_max(F.transform(part, lambda s: s["end"]))
-        return let(F.substring(text, base + 1, reach - base), lambda piece: F.transform(part, lambda s: cut(piece, base, s)))
+        piece = F.substring(text, base + 1, reach - base)
+        return F.struct(part.alias("part"), base.alias("base"), piece.alias("piece"))
 
+    pieces = F.transform(parts(spans), one)
     return F.when(F.size(spans) <= FEW, F.transform(spans, lambda s: cut(text, F.lit(0), s))).otherwise(
-        F.flatten(F.transform(parts(spans), one))
+        F.flatten(F.transform(pieces, lambda c: F.transform(c["part"], lambda s: cut(c["piece"], c["base"], s))))
     )
 
 
@@ -241,13 +244,14 @@ def replaced(text: Column, blocks: Column, placeholders: dict[str, str]) -> Colu
     rest = F.substring(text, last + 1, F.length(text))
 
     def in_parts(ps: Column) -> Column:
-        def one(part: Column, k: Column) -> Column:
+        def cut(part: Column, k: Column) -> Column:
             earlier = F.get(ps, k - 1)
             base = F.coalesce(F.get(earlier, F.size(earlier) - 1)["end"], F.lit(0))
             end = F.get(part, F.size(part) - 1)["end"]
-            return let(base, lambda at: let(F.substring(text, at + 1, end - at), lambda piece: pieces(piece, at, part)))
+            piece = F.substring(text, base + 1, end - base)
+            return F.struct(part.alias("part"), base.alias("base"), piece.alias("piece"))
 
-        return F.array_join(F.transform(ps, one), "")
+        return F.array_join(F.transform(F.transform(ps, cut), lambda c: pieces(c["piece"], c["base"], c["part"])), "")
 
     few = F.concat(pieces(text, F.lit(0), blocks), rest)
     many = F.concat(let(parts(blocks), in_parts), rest)

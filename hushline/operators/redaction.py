@@ -31,10 +31,8 @@ def turn_spans(
             found = F.concat(found, F.coalesce(lookups, no_spans()))
         return apply_filters(found, turn, lookups is not None) if filtered else found
 
-    found = let(fold(content), search)
-    ordered = let(found, lambda spans: F.when(F.size(spans) == 0, no_spans()).otherwise(
-        let(F.array_sort(spans), lambda ordered: as_written(content, ordered))
-    ))
+    found = F.array_sort(let(fold(content), search))
+    ordered = let(found, lambda spans: F.when(F.size(spans) == 0, no_spans()).otherwise(as_written(content, spans)))
     return F.when(content.isNull(), no_spans()).otherwise(ordered)
 
 
@@ -44,9 +42,9 @@ def _column_spans(content: str, context: str, rules: Rules, lookups: str | None,
     return turn_spans(F.col(content), F.col(context), rules, lookups=extra)
 
 
-def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """The text with every block of overlapping spans replaced."""
-    return let(merged(spans), lambda blocks: replaced(content, blocks, rules.placeholders))
+def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> Column:
+    """The text with every block of overlapping spans replaced; ``ordered`` as for ``merged``."""
+    return let(merged(spans, ordered), lambda blocks: replaced(content, blocks, rules.placeholders))
 
 
 def redact_elements(
@@ -66,7 +64,7 @@ def redact_elements(
                     e["is_turn"].alias("is_turn"),
                     e["raw"].alias("raw"),
                     e["role"].alias("role"),
-                    redact_text(e["content"], spans, rules).alias("content"),
+                    redact_text(e["content"], spans, rules, ordered=True).alias("content"),
                     spans.alias("spans"),
                 )
 

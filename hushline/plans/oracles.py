@@ -10,7 +10,7 @@ from __future__ import annotations
 from hushline.operators.analytics import FLAGS
 from hushline.plans.catalogue import CONVERSATION_RULES
 from hushline.rules import DENY_WORDS, KINDS, PLACEHOLDERS, Rules, DEFAULT_RULES
-from hushline.sources.calls import DIGIT_WORDS, NAMES, QUESTIONS
+from hushline.sources.calls import DIGIT_WORDS, NAMES, QUESTIONS, SCENARIOS
 
 
 def _q(text: str) -> str:
@@ -30,7 +30,7 @@ def _words(digits: str) -> str:
 
 def _case(choices: dict[int, str], other: str = "NULL") -> str:
     whens = " ".join(f"WHEN {i} THEN {sql}" for i, sql in choices.items())
-    return f"CASE k % 16 {whens} ELSE {other} END"
+    return f"CASE k % {SCENARIOS} {whens} ELSE {other} END"
 
 
 _EIGHT = "lpad(CAST(k AS VARCHAR), 8, '0')"
@@ -57,6 +57,11 @@ _ANSWERS = {
     13: f"'IS ZERO DOUBLE SEVEN ' || {_words(_EIGHT)}",
     14: f"'MY NUMBER IS 079' || {_EIGHT}",
     15: "'NO THANK YOU THAT IS FINE'",
+    16: "'IT ENDS WITH A ' || CAST(k % 10 AS VARCHAR)",
+    17: "'IT IS B R K AND THEN AFTER THAT S T'",
+    18: "'I AM CALLED MILLICENT BEESTON'",
+    19: "'M FOR AT GMAIL DOT COM'",
+    20: "'X MARKS 7 ROSES'",
 }
 
 #: keys k, their answers, and one row per turn.
@@ -106,9 +111,15 @@ _SPANS = [
     (12, "PASSWORD", "run_start", "run_start + length(run)", "password_sequence"),
     (13, "PHONE_NUMBER", "3", _END, "spoken_phone_number"),
     (14, "PHONE_NUMBER", "13", _END, "digit_phone_number"),
+    (16, "CREDIT_CARD", "15", _END, "single_card_digit"),
+    (17, "PERSON", "6", "11", "spelled_name"),
+    (18, "PERSON", "12", _END, "name_introduction"),
+    (19, "EMAIL_ADDRESS", "0", _END, "spoken_email_pattern"),
+    (19, "EMAIL_ADDRESS", "2", _END, "spoken_email_pattern"),
+    (20, "PASSWORD", "0", _END, "short_password_response"),
 ]
 _SPAN_ROWS = "\n  UNION ALL ".join(
-    f"SELECT k, 3, 'customer', t3, {_q(e)}, {s}, {n}, {_q(d)} FROM runs WHERE k % 16 = {i}"
+    f"SELECT k, 3, 'customer', t3, {_q(e)}, {s}, {n}, {_q(d)} FROM runs WHERE k % {SCENARIOS} = {i}"
     for i, e, s, n, d in _SPANS
 )
 FOUND = f"""{CALLS},
@@ -121,7 +132,7 @@ spelled AS (
 ),
 password_runs AS (SELECT *, {_RUN} AS run FROM spelled),
 runs AS (
-  SELECT *, CASE WHEN k % 16 = 12 THEN length({_DOWN} || w1 || ' ' || w2 || ' ' || w3 || ' C D')
+  SELECT *, CASE WHEN k % {SCENARIOS} = 12 THEN length({_DOWN} || w1 || ' ' || w2 || ' ' || w3 || ' C D')
     - CASE WHEN run LIKE '%C D' THEN length(run) ELSE length(w1 || ' ' || w2 || ' ' || w3 || ' C D') END END AS run_start
   FROM password_runs
 ),
@@ -243,9 +254,9 @@ _GAZETTEER = f"""{CALLS},
 names AS (SELECT DISTINCT greeter AS name FROM said WHERE greeter <> 'WILL'),
 spoken AS (
   SELECT k, 0 AS turn, 'agent' AS role, greeter AS name, 33 AS s FROM said
-  UNION ALL SELECT k, 3, 'customer', caller, 5 FROM said WHERE k % 16 = 5
-  UNION ALL SELECT k, 3, 'customer', 'DAMIEN', 0 FROM said WHERE k % 16 = 9
-  UNION ALL SELECT k, 3, 'customer', 'ADRIAN', 5 FROM said WHERE k % 16 = 11
+  UNION ALL SELECT k, 3, 'customer', caller, 5 FROM said WHERE k % {SCENARIOS} = 5
+  UNION ALL SELECT k, 3, 'customer', 'DAMIEN', 0 FROM said WHERE k % {SCENARIOS} = 9
+  UNION ALL SELECT k, 3, 'customer', 'ADRIAN', 5 FROM said WHERE k % {SCENARIOS} = 11
 )"""
 
 
@@ -314,7 +325,7 @@ def oracle_sql() -> dict[str, str]:
         "redact_calls_with_names": f"""WITH {REDACTED} SELECT w.conv_id, redacted_transcript,
               CAST((SELECT count(*) FROM found f WHERE f.conv_id = w.conv_id)
                 + CASE WHEN greeter <> 'WILL' THEN 1 ELSE 0 END
-                + CASE k % 16 WHEN 5 THEN CASE WHEN caller <> 'WILL' THEN 1 ELSE 0 END WHEN 11 THEN 1 ELSE 0 END AS INTEGER) AS spans
+                + CASE k % {SCENARIOS} WHEN 5 THEN CASE WHEN caller <> 'WILL' THEN 1 ELSE 0 END WHEN 11 THEN 1 ELSE 0 END AS INTEGER) AS spans
             FROM whole_calls w JOIN said ON k = w.conv_id""",
         "redact_parts": f"""WITH {REDACTED} SELECT conv_id, turn // 3 AS part,
             string_agg(redacted, ' ' ORDER BY turn) AS redacted_transcript FROM redacted GROUP BY ALL""",
@@ -330,16 +341,16 @@ def oracle_sql() -> dict[str, str]:
         "filter_lookups": f"""WITH {CALLS},
             hits(k, turn, s, matched) AS (
               SELECT k, 0, 33, greeter FROM said WHERE greeter IN ('DAMIEN', 'GRACE', 'ROSEMARY')
-              UNION ALL SELECT k, 3, 5, caller FROM said WHERE k % 16 = 5 AND caller IN ('DAMIEN', 'GRACE', 'ROSEMARY')
-              UNION ALL SELECT k, 3, 0, 'DAMIEN' FROM said WHERE k % 16 = 9
-              UNION ALL SELECT k, 3, 0, 'IT IS WRITTEN DOWN' FROM said WHERE k % 16 = 12
-              UNION ALL SELECT k, 3, 13, 'THAT IS FINE' FROM said WHERE k % 16 = 15
-              UNION ALL SELECT k, 3, strpos(t3, 'MILTON') - 1, 'MILTON DRIVE' FROM said WHERE k % 16 IN (7, 9)),
+              UNION ALL SELECT k, 3, 5, caller FROM said WHERE k % {SCENARIOS} = 5 AND caller IN ('DAMIEN', 'GRACE', 'ROSEMARY')
+              UNION ALL SELECT k, 3, 0, 'DAMIEN' FROM said WHERE k % {SCENARIOS} = 9
+              UNION ALL SELECT k, 3, 0, 'IT IS WRITTEN DOWN' FROM said WHERE k % {SCENARIOS} = 12
+              UNION ALL SELECT k, 3, 13, 'THAT IS FINE' FROM said WHERE k % {SCENARIOS} = 15
+              UNION ALL SELECT k, 3, strpos(t3, 'MILTON') - 1, 'MILTON DRIVE' FROM said WHERE k % {SCENARIOS} IN (7, 9)),
             counted AS (SELECT *, len(string_split(matched, ' ')) AS n,
               len(list_filter(string_split(matched, ' '), lambda x: list_contains({_list(DENY_WORDS)}, x))) AS c FROM hits)
             SELECT k AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(s AS INTEGER) AS "start", matched, c = 0 AS not_denied,
-              NOT (k % 16 = 9 AND turn = 3) AS not_in_an_address,
-              (k % 16 IN (5, 9) AND turn = 3) OR CASE WHEN n <= 2 THEN c < n ELSE c / n <= 0.5 END AS not_small_talk
+              NOT (k % {SCENARIOS} = 9 AND turn = 3) AS not_in_an_address,
+              (k % {SCENARIOS} IN (5, 9) AND turn = 3) OR CASE WHEN n <= 2 THEN c < n ELSE c / n <= 0.5 END AS not_small_talk
             FROM counted""",
         "filter_person_deny": f"""WITH {FOUND}
             SELECT conv_id, turn, "start", "end", matched, TRUE AS kept FROM found WHERE entity = 'PERSON'

@@ -2,7 +2,7 @@
 
 The given tables hold no trigger phrase, so the context-bound detectors would
 find nothing in them. These calls are a function of the order key: four turns,
-sixteen scenarios, and every expected result is known in closed form.
+as many scenarios as there are questions, and every expected result is known in closed form.
 """
 
 from __future__ import annotations
@@ -31,7 +31,13 @@ QUESTIONS = (
     "CAN I HAVE YOUR MOBILE",
     "ANYTHING ELSE TO ADD",
     "IS THERE ANYTHING ELSE",
+    "CAN I TAKE THE LAST FOUR DIGITS OF YOUR CARD",
+    "HOW DO YOU SPELL YOUR SURNAME",
+    "CAN I HAVE YOUR FULL NAME",
+    "WHAT IS YOUR E MAIL",
+    "CAN YOU PROVIDE YOUR PASSWORD",
 )
+SCENARIOS = len(QUESTIONS)
 
 
 def _name(key: Column) -> Column:
@@ -68,6 +74,11 @@ def _answers(key: Column) -> tuple[Column, ...]:
         F.concat(F.lit("IS ZERO DOUBLE SEVEN "), _in_words(eight)),
         F.concat(F.lit("MY NUMBER IS 079"), eight),
         F.lit("NO THANK YOU THAT IS FINE"),
+        F.concat(F.lit("IT ENDS WITH A "), (key % 10).cast("string")),
+        F.lit("IT IS B R K AND THEN AFTER THAT S T"),
+        F.lit("I AM CALLED MILLICENT BEESTON"),
+        F.lit("M FOR AT GMAIL DOT COM"),
+        F.lit("X MARKS 7 ROSES"),
     )
 
 
@@ -75,7 +86,7 @@ def _pick(key: Column, choices) -> Column:
     out = None
     for i, choice in enumerate(choices):
         value = choice if isinstance(choice, Column) else F.lit(choice)
-        out = F.when(key % 16 == i, value) if out is None else out.when(key % 16 == i, value)
+        out = F.when(key % SCENARIOS == i, value) if out is None else out.when(key % SCENARIOS == i, value)
     return out
 
 
