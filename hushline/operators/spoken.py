@@ -53,8 +53,8 @@ def reference_number(turn: Turn) -> Column:
     words = pattern(_run(any_of(turn.rules.number_words), 5))
     digits = pattern(r"\b\d{7,}\b")
     return _when(turn.expects("reference_number"), F.concat(
-        locate_all(turn.text, words, "REFERENCE_NUMBER", "spelled_reference_number", SPOKEN_SCORE),
-        locate_all(turn.text, digits, "REFERENCE_NUMBER", "digit_reference_number", SPOKEN_SCORE),
+        locate_all(turn.text, words, "REFERENCE_NUMBER", "reference_in_words", SPOKEN_SCORE),
+        locate_all(turn.text, digits, "REFERENCE_NUMBER", "reference_in_digits", SPOKEN_SCORE),
     ))
 
 
@@ -72,8 +72,8 @@ def bank_digits(turn: Turn) -> Column:
 def card_digits(turn: Turn) -> Column:
     unit = f"(?:{any_of(turn.rules.card_digit_words)}|\\d)"
     four = pattern(rf"\b{unit}(?:{BLANK}+{unit}){{3}}\b")
-    fours = locate_all(turn.text, four, "CREDIT_CARD", "four_card_digits", SPOKEN_SCORE)
-    singles = locate_all(turn.text, pattern(r"\b\d\b"), "CREDIT_CARD", "single_card_digit", SPOKEN_SCORE)
+    fours = locate_all(turn.text, four, "CREDIT_CARD", "card_four_in_a_row", SPOKEN_SCORE)
+    singles = locate_all(turn.text, pattern(r"\b\d\b"), "CREDIT_CARD", "card_lone_digit", SPOKEN_SCORE)
     best = let(fours, lambda found: F.when(F.size(found) > 0, found).otherwise(singles))
     return _when(turn.expects("card_digits"), best)
 
@@ -85,7 +85,7 @@ def _introduced(turn: Turn) -> Column:
     rules = turn.rules
     after = rf"(?={BLANK}+{any_of(rules.name_boundaries)}|{BLANK}*[,.]|{BLANK}*\z)"
     regex = pattern(rf"(MY{BLANK}+NAME(?:{BLANK}+IS|'S){BLANK}+)([A-Z]{{3,}})\b{after}")
-    spans = locate_all(turn.text, regex, "PERSON", "agent_my_name_is", SPOKEN_SCORE, group=True)
+    spans = locate_all(turn.text, regex, "PERSON", "after_my_name_is", SPOKEN_SCORE, group=True)
     named = F.filter(spans, lambda s: ~is_one_of(s["matched"], rules.deny_words))
     return _when(turn.text.contains("NAME"), named)
 
@@ -111,7 +111,7 @@ def _spelled(turn: Turn) -> Column:
     """A row of single letters inside the turn."""
     regex = pattern(rf"\b[A-Z](?:{BLANK}++[A-Z]\b){{2,}}+")
     letter = _letter(turn.rules)
-    spans = locate_all(turn.text, regex, "PERSON", "spelled_name", SPOKEN_SCORE)
+    spans = locate_all(turn.text, regex, "PERSON", "letters_in_a_row", SPOKEN_SCORE)
     return F.filter(spans, lambda s: count_tokens(s["matched"], letter) >= 3)
 
 
@@ -122,7 +122,7 @@ def _after_cue(turn: Turn) -> Column:
     found = []
     for word, cue in (("NAME", f"NAME{BLANK}+IS"), ("CALLED", "CALLED")):
         spans = [
-            locate_all(turn.text, pattern(f"({cue}{BLANK}+)({name})"), "PERSON", "name_introduction",
+            locate_all(turn.text, pattern(f"({cue}{BLANK}+)({name})"), "PERSON", "after_name_cue",
                        SPOKEN_SCORE, group=True)
             for name in (titled, plain)
         ]
@@ -137,13 +137,13 @@ def _direct_answer(turn: Turn) -> Column:
     barred = (*rules.deny_words, *rules.non_name_words, *rules.filler_words)
     name = rf"{but_not(barred)}\p{{L}}{{3,}}+{TOKEN_END}"
     regex = pattern(rf"{TOKEN_START}{name}(?:(?:{BLANK}++{filler})*+{BLANK}++{name})*+")
-    spans = locate_first(turn.text, regex, "PERSON", "direct_name_response", SPOKEN_SCORE)
+    spans = locate_first(turn.text, regex, "PERSON", "name_words", SPOKEN_SCORE)
     return F.filter(spans, lambda s: count_tokens(s["matched"], name) <= 3)
 
 
 def person(turn: Turn) -> Column:
     """Names. An introduction or a fully spelled answer ends the search (C4)."""
-    spelled_out = whole(turn.text, "PERSON", "spelled_name_full_response", SPOKEN_SCORE)
+    spelled_out = whole(turn.text, "PERSON", "letters_throughout", SPOKEN_SCORE)
     cued = F.concat(_spelled(turn), _after_cue(turn))
     by_context = let(cued, lambda s: F.when(F.size(s) > 0, s).otherwise(_direct_answer(turn)))
 
@@ -175,9 +175,9 @@ def _first_to_last(rules: Rules) -> str:
 
 def location(turn: Turn) -> Column:
     answer = locate_all(
-        turn.text, _first_to_last(turn.rules), "LOCATION", "simple_alphanumeric_sequence", SPOKEN_SCORE
+        turn.text, _first_to_last(turn.rules), "LOCATION", "first_to_last_word", SPOKEN_SCORE
     )
-    everything = whole(turn.text, "LOCATION", "combined_address_postcode", SPOKEN_SCORE)
+    everything = whole(turn.text, "LOCATION", "whole_answer", SPOKEN_SCORE)
     return (
         F.when(~turn.expects("address") | is_blank(turn.text), no_spans())
         .when(turn.combined, everything)
@@ -191,7 +191,7 @@ def postcode(turn: Turn) -> Column:
     letters = pattern(token(rf"{but_not((*rules.filler_words, *rules.number_words))}\p{{L}}++"))
     numbers = pattern(token(rf"{but_not(rules.filler_words)}(?:{DIGIT_CHAR}++|{number})"))
     spans = locate_all(
-        turn.text, _first_to_last(rules), "UK_POSTCODE", "simple_letters_and_numbers", SPOKEN_SCORE
+        turn.text, _first_to_last(rules), "UK_POSTCODE", "letters_and_numbers", SPOKEN_SCORE
     )
     return _when(turn.expects("postcode") & turn.text.rlike(letters) & turn.text.rlike(numbers), spans)
 
@@ -208,7 +208,7 @@ def email(turn: Turn) -> Column:
         rf"[A-Z]{BLANK}++FOR{at}[A-Z]++{dots}",
     )
     spans = [
-        locate_all(turn.text, pattern(r), "EMAIL_ADDRESS", "spoken_email_pattern", SPOKEN_SCORE)
+        locate_all(turn.text, pattern(r), "EMAIL_ADDRESS", "email_in_words", SPOKEN_SCORE)
         for r in regexes
     ]
     return _when(turn.expects("email") & turn.text.contains("DOT"), F.array_distinct(F.concat(*spans)))
@@ -221,14 +221,14 @@ def password(turn: Turn) -> Column:
     number = any_of(rules.number_words)
     barred = [w for w in rules.deny_words if len(w) == 1 or w.isdigit() or w in rules.number_words]
     piece = rf"{but_not(barred)}(?:\p{{L}}|{DIGIT_CHAR}++|{number})"
-    run = locate_first(turn.text, pattern(_run(piece, 2)), "PASSWORD", "password_sequence", SPOKEN_SCORE)
+    run = locate_first(turn.text, pattern(_run(piece, 2)), "PASSWORD", "password_run", SPOKEN_SCORE)
 
     letter = turn.text.rlike(pattern(token(r"\p{L}")))
     digit = turn.text.rlike(pattern(token(f"{DIGIT_CHAR}++|{number}")))
     words = count_tokens(turn.text)
     plain = count_tokens(turn.text, but_not(rules.deny_words) + INK + "++")
     short = letter & digit & (words <= 15) & (plain >= words * F.lit(0.6))
-    everything = whole(turn.text, "PASSWORD", "short_password_response", SPOKEN_SCORE)
+    everything = whole(turn.text, "PASSWORD", "short_answer_with_digit", SPOKEN_SCORE)
 
     def choose(found: Column) -> Column:
         return F.when(F.size(found) > 0, found).when(short, everything).otherwise(no_spans())
@@ -248,7 +248,7 @@ def phone(turn: Turn) -> Column:
     shortest = 9 * min(map(len, turn.rules.number_words)) + 8
     return F.concat(
         _when(F.length(turn.text) >= shortest,
-              locate_all(turn.text, spoken, "PHONE_NUMBER", "spoken_phone_number", SPOKEN_SCORE)),
+              locate_all(turn.text, spoken, "PHONE_NUMBER", "phone_in_words", SPOKEN_SCORE)),
         _when(turn.text.contains("0"),
-              locate_all(turn.text, written, "PHONE_NUMBER", "digit_phone_number", SPOKEN_SCORE)),
+              locate_all(turn.text, written, "PHONE_NUMBER", "phone_in_digits", SPOKEN_SCORE)),
     )

@@ -94,29 +94,29 @@ _RUN = f"""CASE
 _END = "length(t3)"
 #: entity, start, end, detector of the answer's spans, by scenario.
 _SPANS = [
-    (0, "REFERENCE_NUMBER", "9", _END, "spelled_reference_number"),
-    (1, "REFERENCE_NUMBER", "6", _END, "digit_reference_number"),
+    (0, "REFERENCE_NUMBER", "9", _END, "reference_in_words"),
+    (1, "REFERENCE_NUMBER", "6", _END, "reference_in_digits"),
     (2, "BANK_ACCOUNT_LAST_DIGITS", "0", _END, "bank_digits"),
     (3, "BANK_ACCOUNT_LAST_DIGITS", "8", _END, "bank_digits"),
-    (4, "CREDIT_CARD", "0", _END, "four_card_digits"),
-    (5, "PERSON", "CASE WHEN caller = 'WILL' THEN 10 ELSE 5 END", _END, "direct_name_response"),
-    (6, "PERSON", "0", _END, "spelled_name_full_response"),
-    (7, "LOCATION", "5", _END, "simple_alphanumeric_sequence"),
-    (8, "UK_POSTCODE", "5", _END, "simple_letters_and_numbers"),
-    (9, "LOCATION", "0", _END, "combined_address_postcode"),
-    (9, "UK_POSTCODE", "0", _END, "simple_letters_and_numbers"),
-    (10, "EMAIL_ADDRESS", "0", _END, "spoken_email_pattern"),
-    (11, "LOCATION", "5", _END, "simple_alphanumeric_sequence"),
-    (11, "EMAIL_ADDRESS", "length('IT''S ADRIAN BEESTON ')", _END, "spoken_email_pattern"),
-    (12, "PASSWORD", "run_start", "run_start + length(run)", "password_sequence"),
-    (13, "PHONE_NUMBER", "3", _END, "spoken_phone_number"),
-    (14, "PHONE_NUMBER", "13", _END, "digit_phone_number"),
-    (16, "CREDIT_CARD", "15", _END, "single_card_digit"),
-    (17, "PERSON", "6", "11", "spelled_name"),
-    (18, "PERSON", "12", _END, "name_introduction"),
-    (19, "EMAIL_ADDRESS", "0", _END, "spoken_email_pattern"),
-    (19, "EMAIL_ADDRESS", "2", _END, "spoken_email_pattern"),
-    (20, "PASSWORD", "0", _END, "short_password_response"),
+    (4, "CREDIT_CARD", "0", _END, "card_four_in_a_row"),
+    (5, "PERSON", "CASE WHEN caller = 'WILL' THEN 10 ELSE 5 END", _END, "name_words"),
+    (6, "PERSON", "0", _END, "letters_throughout"),
+    (7, "LOCATION", "5", _END, "first_to_last_word"),
+    (8, "UK_POSTCODE", "5", _END, "letters_and_numbers"),
+    (9, "LOCATION", "0", _END, "whole_answer"),
+    (9, "UK_POSTCODE", "0", _END, "letters_and_numbers"),
+    (10, "EMAIL_ADDRESS", "0", _END, "email_in_words"),
+    (11, "LOCATION", "5", _END, "first_to_last_word"),
+    (11, "EMAIL_ADDRESS", "length('IT''S ADRIAN BEESTON ')", _END, "email_in_words"),
+    (12, "PASSWORD", "run_start", "run_start + length(run)", "password_run"),
+    (13, "PHONE_NUMBER", "3", _END, "phone_in_words"),
+    (14, "PHONE_NUMBER", "13", _END, "phone_in_digits"),
+    (16, "CREDIT_CARD", "15", _END, "card_lone_digit"),
+    (17, "PERSON", "6", "11", "letters_in_a_row"),
+    (18, "PERSON", "12", _END, "after_name_cue"),
+    (19, "EMAIL_ADDRESS", "0", _END, "email_in_words"),
+    (19, "EMAIL_ADDRESS", "2", _END, "email_in_words"),
+    (20, "PASSWORD", "0", _END, "short_answer_with_digit"),
 ]
 _SPAN_ROWS = "\n  UNION ALL ".join(
     f"SELECT k, 3, 'customer', t3, {_q(e)}, {s}, {n}, {_q(d)} FROM runs WHERE k % {SCENARIOS} = {i}"
@@ -137,7 +137,7 @@ runs AS (
   FROM password_runs
 ),
 spans(k, turn, role, content, entity, s, e, detector) AS (
-  SELECT k, 0, 'agent', t0, 'PERSON', 33, 33 + length(greeter), 'agent_my_name_is' FROM runs WHERE greeter <> 'WILL'
+  SELECT k, 0, 'agent', t0, 'PERSON', 33, 33 + length(greeter), 'after_my_name_is' FROM runs WHERE greeter <> 'WILL'
   UNION ALL {_SPAN_ROWS}
 ),
 found AS (
