@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hushline.llm.storage import written
+from hushline.llm.storage import discard, written
 
 MAX_STEPS = 60
 
@@ -19,10 +19,13 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The new edges, and the table they are made from."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    # Written, so that the other side of the join can be split where one node has very many edges.
+    least = written(least, "least")
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), least
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +44,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges = written(edges.select("a", "b").where("a != b").distinct(), name)
     before = _state(edges)
     for _ in range(MAX_STEPS):
-        edges = written(_small_star(_large_star(edges)), name)
+        large, least = _large_star(edges)
+        following = written(_small_star(large), name)
+        discard(edges, least)
+        edges = following
         now = _state(edges)
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

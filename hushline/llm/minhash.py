@@ -8,14 +8,21 @@ coordinate with the probability of their similarity. Coordinates are banded; doc
 share a band are candidates, and a link holds only if the whole sets confirm it.
 
 Equal sets are one class from the start. Within a band's bucket no list of all pairs is made:
-a few leaders are compared with the members that are not yet in the leader's component; then
-they leave the bucket, and the number of leaders grows until no bucket joins two components.
-So each candidate pair is either compared or already connected, and no link is lost.
+a few leaders are compared with the members that are not yet known to be connected with them;
+then they leave the bucket, and the number of leaders grows until each bucket is connected.
+The first to lead are those that share most, as an original does with its altered copies; one
+round then connects most of a large group. A pair is screened inside the join by a longer
+sketch of two bits a coordinate, and only what may reach the threshold is compared as whole sets. So each
+candidate pair is screened, compared or already connected.
+
+A pair right at the threshold is missed by the bands with a chance of one in 8 million and by
+the screen with one in 300,000; both fall fast above it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +30,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hushline.llm.arrowtext import Chunk, Hasher, WindowHasher, appended, chunks, mix, words
 from hushline.llm.components import components
-from hushline.llm.storage import written
+from hushline.llm.storage import discard, written
 
 #: A pair at the threshold of 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40, about one in 8 million.
 BANDS, ROWS = 40, 5
 SIZE = BANDS * ROWS
+#: Coordinates of the sketch that candidates are screened by, and the standard errors which a pair at the threshold may lack.
+BITS, ERRORS = 1024, 4.5
+#: Leaders of a bucket grow by this factor from round to round.
+MORE_LEADERS = 32
 U64 = np.uint64
 _WORDS, _WINDOWS = Hasher(5, fold=True), WindowHasher(5)
 
@@ -46,26 +57,26 @@ def shingles(chunk: Chunk, n: int) -> list[np.ndarray]:
     ]
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of SIZE coordinates for each nonempty set; empty sets have a row of the largest value."""
+def sketches(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
+    """A row of coordinates for each nonempty set; empty sets have a row of the largest value."""
     n = len(sets)
     most = U64(0xFFFFFFFFFFFFFFFF)
-    out = np.full((n, SIZE), most)
+    out = np.full((n, size), most)
     sizes = np.array([len(s) for s in sets])
     active = np.flatnonzero(sizes)
     if not len(active):
         return out
     items = np.concatenate([sets[i] for i in active])
     owner = np.repeat(active, sizes[active])
-    for turn in range(2 * SIZE):
+    for turn in range(2 * size):
         value = mix(items + U64((turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        if turn < SIZE:
-            place = ((value >> U64(32)) * U64(SIZE)) >> U64(32)
+        if turn < size:
+            place = ((value >> U64(32)) * U64(size)) >> U64(32)
         else:
-            place = np.full(len(items), turn - SIZE, U64)
+            place = np.full(len(items), turn - size, U64)
         value = (value << U64(32)) | (value >> U64(32))
-        fresh = np.full((n, SIZE), most)
-        np.minimum.at(fresh.reshape(-1), owner * SIZE + place.astype(np.int64), value)
+        fresh = np.full((n, size), most)
+        np.minimum.at(fresh.reshape(-1), owner * size + place.astype(np.int64), value)
         np.copyto(out, fresh, where=out == most)
         open_ = (out[active] == most).any(axis=1)
         if not open_.all():
@@ -89,14 +100,21 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key
 
 
+def bit_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """The lowest two bits of each coordinate of a longer sketch, as two rows of bits, 64 to a number."""
+    found = sketches(sets, BITS)
+    rows = [np.packbits(((found >> U64(k)) & U64(1)).astype(np.uint8), axis=1).view(np.int64) for k in range(2)]
+    return np.concatenate(rows, axis=1)
+
+
 def _list_array(rows: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     flat = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-#: Rows sketched together; bounds the arrays of coordinates.
-SKETCHED = 1024
+#: Rows sketched together and bytes of text whose sets are made together; they bound the arrays.
+SKETCHED, SET_BYTES = 1024, 1 << 20
 
 
 def _sketched(docs: DataFrame, n: int) -> DataFrame:
@@ -125,10 +143,12 @@ def _sketched(docs: DataFrame, n: int) -> DataFrame:
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "text"):
-            yield appended(chunk.rows.select(["id"]), {"shingles": _list_array(shingles(chunk, n))})
+        for chunk in chunks(batches, "text", SET_BYTES):
+            sets = shingles(chunk, n)
+            bits = np.concatenate([bit_sketches(sets[i:i + SKETCHED // 4]) for i in range(0, len(sets), SKETCHED // 4)])
+            yield appended(chunk.rows.select(["id"]), {"shingles": _list_array(sets), "bits": _list_array(list(bits))})
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, shingles array<long>, bits array<long>")
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -136,6 +156,20 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether longer sketches agree often enough for the threshold.
+
+    Two sets agree in both bits of a coordinate with the probability of their similarity, and
+    by chance in a quarter of the others.
+    """
+    share = (1 + 3 * percent / 100) / 4
+    least = BITS * share - ERRORS * (BITS * share * (1 - share)) ** 0.5
+    n = BITS // 64
+    differ = [F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) for i in range(2 * n)]
+    unlike = sum(F.bit_count(differ[i].bitwiseOR(differ[n + i])) for i in range(n))
+    return unlike <= BITS - int(least)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (member, leader) those whose whole sets reach the threshold.
 
@@ -168,66 +202,107 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
         "classes",
     )
     members = filled.select("id", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).select("id", "rep")
-    # Equal sets, and keys which have several texts.
-    edges = members.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    links = edges.unionByName(_bucket_links(docs, key, text, classes, n, percent))
-    label = components(links, "copies")
-    found = table.select("id", "n_shingles").join(
-        label.select(F.col("node").alias("id"), "component"), "id", "left"
+    # Equal sets need no graph: their representative stands for them. Keys with several texts do.
+    several = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high")
+    several = written(several.select("id", "low"), "several")
+    edges = members.join(several, "id").where("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    found_links = _bucket_links(docs, key, text, classes, n, percent)
+    label = components(reduce(DataFrame.unionByName, found_links, edges), "copies")
+    labelled = written(
+        classes.select("f1", "f2", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "f1", "f2", F.coalesce("component", "rep").alias("component")
+        ), "labelled",
     )
-    component = F.coalesce("component", "id")
+    discard(classes, several, label, *found_links)
+    rows = table.withColumn("alone", F.col("id").isNull() | (F.col("n_shingles") == 0))
+    found = rows.where("not alone").join(labelled, ["f1", "f2"]).select("id", "n_shingles", "component").unionByName(
+        rows.where("alone").select("id", "n_shingles", F.col("id").alias("component"))
+    )
+    component = F.col("component")
     return found.select(
         F.col("id").alias(key), "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
     )
 
 
-def _bucket_links(docs: DataFrame, key: str, text: str, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) between representatives of classes, enough to connect all that are linked."""
-    spark = docs.sparkSession
-    rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high")
-    buckets = written(rows.join(shared.select("bucket"), "bucket").select("bucket", "rep", "n"), "buckets")
-    wanted = buckets.select(F.col("rep").alias("id")).distinct()
+def _bucket_links(
+    docs: DataFrame, key: str, text: str, classes: DataFrame, n: int, percent: int
+) -> list[DataFrame]:
+    """Tables of links (a, b) between representatives of classes, enough to connect all that are linked."""
+    rows = classes.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
+    shared = rows.groupBy("bucket").agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("size")
+    ).where("low != high").select("bucket", "size")
+    shared = written(shared, "shared")  # so that the rows of a very full bucket can be split
+    buckets = written(rows.join(shared, "bucket").select("bucket", "band", "rep", "n", "size"), "buckets")
+    weights = written(buckets.groupBy("rep").agg(F.sum("size").alias("weight")), "weights")
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = written(_sets(source.join(wanted, "id", "left_semi"), n), "sets")
+    sets = written(_sets(source.join(weights.select(F.col("rep").alias("id")), "id", "left_semi"), n), "sets")
+    halves = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
+    about = sets.select(F.col("id").alias("rep"), "bits").join(weights, "rep").join(
+        classes.select("rep", halves.alias("bands")), "rep"
+    )
 
-    links = spark.createDataFrame([], "a long, b long")
-    label, degree = None, None
+    links: list[DataFrame] = []
+    label = written(weights.select("rep", F.col("rep").alias("comp"), F.lit(0).alias("degree")), "labels")
     leaders = 1
-    live = buckets
+    live = written(buckets.select("bucket", "band", "rep", "n").join(about, "rep"), "live")
+    discard(buckets, shared)
     while True:
-        rows = live if label is None else live.join(label, "rep", "left")
-        comp = F.col("rep") if label is None else F.coalesce("component", "rep")
-        rows = rows.select("bucket", "rep", "n", comp.alias("comp"))
-        if degree is not None:
-            rows = rows.join(degree, "rep", "left")
-        # Those with most links so far lead next: the original among its altered copies.
-        order = F.lit(0) if degree is None else -F.coalesce("degree", F.lit(0))
-        rows = rows.select("bucket", "rep", "n", "comp", order.alias("order"), F.xxhash64("rep").alias("tie"))
+        rows = live.join(label, "rep")
+        # Buckets whose members are all known to be connected are done.
         open_ = rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        rows = written(rows.join(open_.select("bucket"), "bucket"), "open")
+        open_ = written(open_.select("bucket"), "open_buckets")
+        rows = written(rows.join(open_, "bucket"), "open")
+        discard(open_, live, label)
         if rows.isEmpty():
+            discard(rows, sets, weights)
             return links
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "tie", "rep"))
+        # First those with most links so far, then those that share most with others.
+        order = [F.desc("degree"), F.desc("weight"), "rep"]
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(*order))
         heads = written(
             rows.withColumn("place", place).where(F.col("place") <= leaders).select(
-                "bucket", F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("comp").alias("leader_comp"), "place"
+                "bucket", F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("comp").alias("leader_comp"),
+                F.col("bits").alias("leader_bits"), F.col("bands").alias("leader_bands"),
             ), "heads",
         )
-        pairs = (
-            rows.join(heads, "bucket")
-            .where((F.col("comp") != F.col("leader_comp")) & _close(F.col("n"), F.col("leader_n"), percent))
-            .select(F.col("rep").alias("member"), "leader").distinct()
-        )
-        linked = written(_linked(pairs, sets, percent).select(F.col("member").alias("a"), F.col("leader").alias("b")), "links")
-        links = links.unionByName(linked)
-        label = components(links, "labels").select(F.col("node").alias("rep"), "component")
-        ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep")))
-        degree = written(ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+        wanted = (rows["comp"] != heads["leader_comp"]) & _close(rows["n"], heads["leader_n"], percent)
+        # A pair that shares many buckets is looked at in the first of them alone. Both stay in that
+        # bucket until one of them leads it, so the pair's turn comes.
+        shares = F.zip_with("bands", "leader_bands", lambda a, b: a == b)
+        earlier = F.exists(F.slice(shares, F.lit(1), F.col("band")), lambda x: x)
+        on = (rows["bucket"] == heads["bucket"]) & wanted & _alike("bits", "leader_bits", percent) & ~earlier
+        pairs = rows.join(heads, on).select(F.col("rep").alias("member"), "leader").distinct()
+        linked = _linked(pairs, sets, percent).select(F.col("member").alias("a"), F.col("leader").alias("b"))
+        links.append(written(linked, "links"))
+        label = _labels(weights, reduce(DataFrame.unionByName, links))
         gone = heads.select("bucket", F.col("leader").alias("rep"))
-        live = written(rows.select("bucket", "rep", "n").join(gone, ["bucket", "rep"], "left_anti"), "live")
-        leaders *= 4
+        rest = rows.join(gone, ["bucket", "rep"], "left_anti")
+        live = written(rest.select("bucket", "band", "rep", "n", "bits", "bands", "weight"), "live")
+        discard(rows, heads)
+        leaders *= MORE_LEADERS
+
+
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, comp, degree): comp is the neighbour with most links, or the node itself if that has more.
+
+    Nodes of one comp are connected by way of it. Those of one component may have several; they
+    are then compared once more than needed, and joined in the end all the same.
+    """
+    ends = links.select(F.col("a").alias("rep"), F.col("b").alias("other"))
+    ends = ends.unionByName(links.select(F.col("b").alias("rep"), F.col("a").alias("other")))
+    degrees = written(ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+    near = ends.join(degrees.withColumnRenamed("rep", "other"), "other").groupBy("rep").agg(
+        F.max(F.struct("degree", F.col("other").alias("rep"))).alias("best")
+    )
+    own = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), F.col("rep"))
+    rows = nodes.select("rep").join(degrees, "rep", "left").join(near, "rep", "left")
+    label = written(rows.select(
+        "rep", F.greatest(own, F.coalesce("best", own))["rep"].alias("comp"), own["degree"].alias("degree")
+    ), "labels")
+    discard(degrees)
+    return label
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
