@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from hushline.llm.arrowtext import Chunk, Hasher, WindowHasher, Words, appended, chunks, mix, words
-from hushline.llm.storage import free_name, written
+from hushline.llm.storage import discard, free_name, written
 
 #: Bytes of text handled at a time.
 CHUNK_BYTES = 1 << 20
@@ -172,10 +172,11 @@ def _level_rows(texts: DataFrame, window: int, level: int) -> DataFrame:
     )
 
 
-def _surviving(rows: DataFrame, by: list[str], key: str, name: str) -> DataFrame:
-    """Places of repeated runs by text."""
+def _surviving(rows: DataFrame, by: list[str], key: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Places of repeated runs by text, and the table of these runs."""
     again = rows.groupBy(*by).agg(F.sum("weight").alias("n")).where("n > 1").select(*by)
-    return rows.join(again, by, "left_semi").groupBy(key).agg(F.collect_set("place").alias(name))
+    again = written(again, "again")  # so that the places of a very frequent run can be split
+    return rows.join(again, by, "left_semi").groupBy(key).agg(F.collect_set("place").alias(name)), again
 
 
 def repeated(docs: DataFrame, key: str, text: str, window: int) -> tuple[DataFrame, DataFrame]:
@@ -183,19 +184,21 @@ def repeated(docs: DataFrame, key: str, text: str, window: int) -> tuple[DataFra
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     digests = written(_digests(source, window), "digests")
     rows = digests.select("f1", F.inline(F.arrays_zip("runs", "places")).alias("h1", "place")).withColumn("weight", F.lit(1))
-    alive = _surviving(rows, ["h1"], "f1", "alive0")
+    alive, again = _surviving(rows, ["h1"], "f1", "alive0")
     classes = digests.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("weight")).join(alive, "f1")
     texts = _packed(source).dropDuplicates(["f1", "f2"]).join(classes, ["f1", "f2"])
     texts = written(texts.withColumn("cid", F.monotonically_increasing_id()), "texts")
+    discard(again)
     final = len(levels(window)) - 1
     for level in range(1, final + 1):
         rows = _level_rows(texts, window, level)
         by = ["h1", "h2"] if level == final else ["h1"]
-        alive = _surviving(rows, by, "cid", f"alive{level}")
+        alive, again = _surviving(rows, by, "cid", f"alive{level}")
         joined = texts.join(alive, "cid")
         if level == final:
             return digests, joined.select("f1", "f2", "packed", F.col(f"alive{level}").alias("starts"))
-        texts = written(joined, "texts")
+        before, texts = texts, written(joined, "texts")
+        discard(before, again)
     # A window of one word has no level above the first.
     return digests, texts.select("f1", "f2", "packed", F.col("alive0").alias("starts"))
 
@@ -263,7 +266,8 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = 50) -> Da
     A document all of whose words go stays with an empty text. Null texts stay null.
     """
     one, two = free_name(docs, "f1"), free_name(docs, "f2")
-    _, found = repeated(docs.select(text).withColumn("_row_key", F.lit(None).cast("long")), "_row_key", text, window)
+    digests, found = repeated(docs.select(text).withColumn("_row_key", F.lit(None).cast("long")), "_row_key", text, window)
+    discard(digests)
     changed = spans(found, window).select(F.col("f1").alias(one), F.col("f2").alias(two), F.col("rest").alias("_rest"))
     out = StructType([*docs.schema.fields]).add(one, "long").add(two, "long")
 

@@ -213,6 +213,7 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     targets = found.select(F.col("response.record_id").alias("refers_to"), number.alias("target")).where(
         F.col("response.type") == "response"
     ).dropDuplicates(["refers_to"])
+    targets = written(targets, "targets")  # so that very many revisits of one page can be split
     return rows.join(targets, "refers_to", "left").select(
         "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("target").alias("refers_to")
     )
