@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hushline.llm.arrowtext import Chunk, Hasher, WindowHasher, appended, chunks, mix, words
 from hushline.llm.components import components
-from hushline.llm.storage import discard, written
+from hushline.llm.storage import discard, free_name, written
 
 #: A pair at the threshold of 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40, about one in 8 million.
 BANDS, ROWS = 40, 5
@@ -311,5 +311,6 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     Of rows with one key, one stays. Rows with a null key stay.
     """
     kept = near_copies(docs.select(key, text), key, text, n, percent).where("kept").select(key).where(F.col(key).isNotNull()).distinct()
-    chosen = docs.join(kept.withColumnRenamed(key, "_kept_key"), F.col(key) == F.col("_kept_key"), "left_semi")
+    other = free_name(docs, "kept_key")
+    chosen = docs.join(kept.withColumnRenamed(key, other), F.col(key) == F.col(other), "left_semi")
     return chosen.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))

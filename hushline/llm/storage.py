@@ -23,7 +23,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     root = spark.conf.get(SETTING, None) or context.getConf().get(SETTING, None)
     if not root:
-        if not re.fullmatch(r"local(\[[^,]*\])?", context.master):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
         root = _own.get(context.applicationId) or tempfile.mkdtemp(prefix="hushline-shared-")
         _own[context.applicationId] = root

@@ -265,10 +265,10 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = 50) -> Da
 
     A document all of whose words go stays with an empty text. Null texts stay null.
     """
-    one, two = free_name(docs, "f1"), free_name(docs, "f2")
+    one, two, rest = (free_name(docs, name) for name in ("f1", "f2", "rest"))
     digests, found = repeated(docs.select(text).withColumn("_row_key", F.lit(None).cast("long")), "_row_key", text, window)
     discard(digests)
-    changed = spans(found, window).select(F.col("f1").alias(one), F.col("f2").alias(two), F.col("rest").alias("_rest"))
+    changed = spans(found, window).select(F.col("f1").alias(one), F.col("f2").alias(two), F.col("rest").alias(rest))
     out = StructType([*docs.schema.fields]).add(one, "long").add(two, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,4 +277,4 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = 50) -> Da
             yield appended(chunk.rows, {one: f1, two: f2})
 
     marked = docs.mapInArrow(run, out).join(changed, [one, two], "left")
-    return marked.select(*(F.coalesce("_rest", text).alias(c) if c == text else F.col(c) for c in docs.columns))
+    return marked.select(*(F.coalesce(rest, text).alias(c) if c == text else F.col(c) for c in docs.columns))

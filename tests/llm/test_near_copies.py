@@ -44,7 +44,7 @@ def test_nulls_repeated_rows_and_one_of_each(spark, prose):
     a, b = prose(1, 50), prose(2, 50)
     docs = spark.createDataFrame(
         [(1, a, "x"), (1, a, "x"), (2, a, "y"), (3, b, None), (None, a, "n"), (None, None, "n"), (4, None, "z"), (2, b, "y")],
-        "doc_id long, text string, kept string",
+        "doc_id long, text string, kept_key string",
     )
     got = sorted(map(tuple, minhash.near_copies(docs).collect()), key=str)
     n = len(set(zip(*(a.split()[k:] for k in range(4)))))

@@ -38,7 +38,7 @@ def test_texts_are_cut_and_columns_stay(spark, prose):
     shared, a, b, c = prose(1, 55), prose(2, 8), prose(3, 8), prose(4, 8)
     docs = spark.createDataFrame(
         [(1, f" {a}\n\n{shared}\n{b} ", "p"), (2, f"{shared} {c}", None), (3, shared, "q"), (4, None, "r"), (5, "", None), (6, "keep\tthis  ", "s")],
-        "doc_id long, text string, f1 string",
+        "doc_id long, text string, rest string",
     )
     got = substring.without_repeats(docs)
     assert got.columns == docs.columns
