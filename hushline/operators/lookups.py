@@ -56,11 +56,12 @@ def name_tokens(turns: DataFrame, *keys: str, content: str = "content", rules: R
         def one(w: Column, i: Column) -> Column:
             # Neighbours only: each starts where the one before, with its blanks, ends.
             ahead = let(F.slice(words, i + 2, F.lit(NAME_WORDS - 1)), lambda ws: _until_gap(ws, w["end"]))
-            return F.struct(
+            found = F.struct(
                 w["start"].alias("start"), w["word"].alias("word"), w["raw"].alias("raw"), ahead.alias("ahead")
             )
+            return F.when(~is_one_of(w["word"], rules.deny_words), found)
 
-        return F.filter(F.transform(words, one), lambda w: ~is_one_of(w["word"], rules.deny_words))
+        return F.filter(F.transform(words, one), lambda w: w.isNotNull())
 
     rows = explode_items(turns, let(shown, begin), *keys, "turn", "role")
     # A genitive also stands for the name itself.
