@@ -11,9 +11,6 @@ from hushline.functions.spans import locate_all
 from hushline.functions.text import MARK, MARK_STAND_IN, fold, is_one_of, let, pattern
 from hushline.rules import DEFAULT_RULES, SPOKEN_SCORE, Rules
 
-#: Words of a name that are compared; a longer name is found by its first ones.
-NAME_WORDS = 6
-
 DETECTION_TYPE = "entity string, start int, end int, matched string, score double, detector string"
 
 #: A word with inner hyphens and apostrophes, and the blanks after it. Words with nothing
@@ -33,14 +30,16 @@ def name_table(names: DataFrame, column: str = "name") -> DataFrame:
     Names may have several words, hyphens and apostrophes, and be as short as one letter.
     """
     words = F.filter(F.split(_plain(F.trim(F.col(column))), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
-    folded = names.select(F.slice(words, 1, NAME_WORDS).alias("_words")).where(F.size("_words") > 0).distinct()
+    folded = names.select(words.alias("_words")).where(F.size("_words") > 0).distinct()
     return folded.select(
-        F.get("_words", F.lit(0)).alias("_first"), F.slice("_words", 2, NAME_WORDS).alias("_rest")
+        F.get("_words", F.lit(0)).alias("_first"), F.slice("_words", F.lit(2), F.size("_words")).alias("_rest")
     )
 
 
-def name_tokens(turns: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Words at which a name could begin, with offsets and the words that follow.
+def name_tokens(
+    turns: DataFrame, *keys: str, follow: int, content: str = "content", rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """Words at which a name could begin, with offsets and up to `follow` words that follow.
 
     Deny words are left out here, before any shuffle: a name hit which holds one would be
     dropped later all the same. The words are cut from the text inside its row, so the text
@@ -55,7 +54,7 @@ def name_tokens(turns: DataFrame, *keys: str, content: str = "content", rules: R
     def begin(words: Column) -> Column:
         def one(w: Column, i: Column) -> Column:
             # Neighbours only: each starts where the one before, with its blanks, ends.
-            ahead = let(F.slice(words, i + 2, F.lit(NAME_WORDS - 1)), lambda ws: _until_gap(ws, w["end"]))
+            ahead = let(F.slice(words, i + 2, F.lit(follow)), lambda ws: _until_gap(ws, w["end"]))
             found = F.struct(
                 w["start"].alias("start"), w["word"].alias("word"), w["raw"].alias("raw"), ahead.alias("ahead")
             )
@@ -93,13 +92,15 @@ def gazetteer_detections(
     A join on the first word, then a comparison of the words after it. Spark picks the
     join by the measured size of the table; where both sides are shuffled, the words of
     the turns are the side which adaptive execution splits when one word is very frequent.
+    Names are compared whole: as many words are taken from the turns as the longest name has.
     """
+    follow = names.agg(F.max(F.size("_rest"))).first()[0] or 0
     rest, ahead = F.col("_rest"), F.col("ahead")
     near = F.slice(ahead, F.lit(1), F.size(rest))
     words = F.transform(near, lambda w: w["word"])
     # The last word may be a genitive of the name's.
     bare = F.transform(words, lambda w, k: F.when(k == F.size(rest) - 1, F.regexp_replace(w, "'S\\z", "")).otherwise(w))
-    found = name_tokens(turns, *keys, content=content, rules=rules).join(names, "_first").where((words == rest) | (bare == rest))
+    found = name_tokens(turns, *keys, follow=follow, content=content, rules=rules).join(names, "_first").where((words == rest) | (bare == rest))
     text = F.concat(F.col("raw"), F.array_join(F.transform(near, lambda w: w["raw"]), ""))
     text = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
     # A genitive's ending is no part of the name, unless the table has it.

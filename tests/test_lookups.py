@@ -49,6 +49,24 @@ def test_name_forms(spark):
     assert all(texts[r.conv_id][r.start:r.end] == r.matched for r in found)
 
 
+def test_long_names_are_compared_whole(spark):
+    long = "Zelda Maria del Carmen Ruiz y Picasso Blasco"
+    names = name_table(spark.createDataFrame([(long,), ("Bo",)], "name string"))
+    texts = {
+        0: f"this is {long.upper()} speaking",
+        1: "Zelda Maria del Carmen Ruiz y Ortega",
+        2: f"{long}'s dog",
+        3: "Zelda Maria del Carmen Ruiz y Picasso",
+    }
+    rows = [(k, 0, "agent", t) for k, t in texts.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    found = gazetteer_detections(df, names, "conv_id")
+    assert sorted((r.conv_id, r.matched) for r in found.collect()) == [(0, long.upper()), (2, long)]
+    got = {r.conv_id: r.redacted for r in redact_turns(df, lookups=found).collect()}
+    assert got[0] == "this is [REDACTED NAME] speaking" and got[1] == texts[1]
+    assert gazetteer_detections(df, names.limit(0), "conv_id").collect() == []
+
+
 def test_redaction_with_names(spark):
     names = name_table(spark.createDataFrame([("Zelda",)], "name string"))
     found = gazetteer_detections(turns(spark), names, "conv_id")
