@@ -54,6 +54,28 @@ def test_clusters_hot_vectors_and_ties(spark, monkeypatch):
     assert hit >= 0.9 * 5 * len(want)
 
 
+def test_all_vectors_are_compared_where_probes_do_not_find_enough(spark):
+    draw = np.random.default_rng(3)
+    # As many hashes as for millions of vectors.
+    sample = ann._unit(draw.standard_normal((1500, 64)))
+    assert ann.fitted_probes(ann.Tables(64, 10), sample, 5, limit=1024) is None
+    rows = [(i, draw.standard_normal(64).astype(np.float32).tolist(), 0) for i in range(3000)]
+    assert answers(ann.nearest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def test_probes_where_they_find_enough(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PROBE_ROWS", 1)
+    looked = []
+    search = ann._search
+    monkeypatch.setattr(ann, "_search", lambda *a: looked.append(a[5]) or search(*a))
+    draw = np.random.default_rng(4)
+    centres = draw.standard_normal((20, 16))
+    rows = [(i, (centres[i % 20] + 0.02 * draw.standard_normal(16)).astype(np.float32).tolist(), 0) for i in range(900)]
+    want, got = brute(rows), answers(ann.nearest(spark.createDataFrame(rows, SCHEMA)))
+    assert len(looked) == 1
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
 def test_vectors_that_take_no_part_and_few_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (1, [2.0, 0.1], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (6, [None, 1.0], 1)]
