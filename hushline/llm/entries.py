@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hushline.llm import ann, bpe, lm, minhash, oracles, packing, quality, substring, token_counts, urls, warc
 from hushline.llm.shipping import ship
+from hushline.llm.storage import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +25,12 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", packing.word_count(F.col("text")).alias("n_words"))
-    return packing.packed(docs, "n_words")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(
+        docs, public_tokenizers.path("word_bpe_49k.json"), limit=packing.BUDGET, keep=["doc_id"]
+    ).select("doc_id", "n_tokens")
+    # Written, so that tokens are counted once for the histogram and the batches.
+    return packing.packed(written(counted, "counted"), "n_tokens")
 
 
 def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:

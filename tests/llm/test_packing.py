@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hushline.llm import packing
+from hushline.llm import entries, packing
 
 
 def test_bounds_are_optimal():
@@ -54,3 +54,14 @@ def test_empty_table_and_word_counts(spark):
     texts = ["", None, " a\tb\n\nc ", "é\xa0é x"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(packing.word_count(F.col("t"))).collect()] == [0, 0, 3, 2]
+
+
+def test_the_query_packs_by_tokens(spark, tmp_path):
+    # One word each for white space, thousands of tokens.
+    texts = ["\u6f22\u5b57" * 4000, "a1b2c3" * 3000, "short text", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    counted = {r["doc_id"]: r["n_tokens"] for r in entries.op9_token_counts(spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r for r in entries.op2_length_buckets(spark, str(tmp_path)).collect()}
+    assert {k: r["n_tokens"] for k, r in got.items()} == counted and min(counted[0], counted[1]) > 1000
+    assert all(r["width"] >= max(counted[k], 1) for k, r in got.items())
