@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hushline.llm import ann, bpe, lm, minhash, oracles, packing, quality, substring, token_counts, urls, warc
+from hushline.llm import (
+    ann, bpe, lm, merkle, minhash, oracles, packing, quality, spelling, substring, token_counts, urls, warc,
+)
 from hushline.llm.shipping import ship
 from hushline.llm.storage import written
 
@@ -69,10 +71,19 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_length_buckets, op3_warc_captures, op4_url_templates, op5_near_copies,
         op6_nearest_vectors, op7_repeated_passages, op8_quality_ledger, op9_token_counts, op10_language_model,
+        op11_spelling_variants, op12_merkle_manifest,
     )}
 
 
