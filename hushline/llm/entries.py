@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hushline.llm import (
-    ann, bpe, lm, merkle, minhash, oracles, packing, quality, spelling, substring, token_counts, urls, warc,
+    ann, bpe, lm, merkle, minhash, oracles, packing, quality, spelling, substring, token_counts, toxicity, urls,
+    warc,
 )
 from hushline.llm.shipping import ship
 from hushline.llm.storage import written
@@ -79,11 +80,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_length_buckets, op3_warc_captures, op4_url_templates, op5_near_copies,
         op6_nearest_vectors, op7_repeated_passages, op8_quality_ledger, op9_token_counts, op10_language_model,
-        op11_spelling_variants, op12_merkle_manifest,
+        op11_spelling_variants, op12_merkle_manifest, op13_toxicity,
     )}
 
 
