@@ -31,7 +31,7 @@ POSITIVES, UNLABELLED = 20_000, 40_000
 PREFIXES, LEAST, CANDIDATES, FEATURES = (5, 6, 7, 8), 3, 1 << 17, 1 << 13
 #: How much more often, in standard errors, positives have a feature than others.
 EXCESS = 4.0
-SHARDS, EPOCHS, BATCH, RATE, DECAY = 4, 60, 256, 0.05, 2e-4
+SHARDS, EPOCHS, BATCH, RATE, DECAY = 4, 60, 256, 0.05, 1e-3
 THRESHOLD = 0.3
 
 _WORDS = Hasher(13)
