@@ -121,7 +121,7 @@ class Linear:
 
 
 def fit(positive: list, unlabelled: list, width: int, prior: float, seed: int) -> Linear:
-    """A classifier from documents, each (columns, values), by the non-negative risk with logistic loss."""
+    """A classifier from documents, each (columns, values, copies), by the non-negative risk with logistic loss."""
     draw = np.random.Generator(np.random.PCG64(seed))
     w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
     m, v, t = np.zeros(width + 1), np.zeros(width + 1), 0
@@ -129,14 +129,14 @@ def fit(positive: list, unlabelled: list, width: int, prior: float, seed: int) -
     steps = max(1, -(-len(docs) // BATCH))
 
     def gradient(some: list, sign: float) -> np.ndarray:
-        """Of the mean of log(1 + exp(sign * margin)), and its value."""
-        if not some:
-            return np.zeros(width + 1), 0.0
+        """Of the mean of log(1 + exp(sign * margin)) over documents and copies, and its value."""
+        copies = np.array([d[2] for d in some], float)
+        part = copies / copies.sum()
         row = np.repeat(np.arange(len(some)), [len(d[0]) for d in some])
         column, x = np.concatenate([d[0] for d in some]), np.concatenate([d[1] for d in some])
         z = sign * (np.bincount(row, w[column] * x, len(some)) + b)
-        pull = sign / (1 + np.exp(-np.clip(z, -30, 30))) / len(some)
-        return np.append(np.bincount(column, pull[row] * x, width), pull.sum()), float(np.logaddexp(0, z).mean())
+        pull = sign * part / (1 + np.exp(-np.clip(z, -30, 30)))
+        return np.append(np.bincount(column, pull[row] * x, width), pull.sum()), float((part * np.logaddexp(0, z)).sum())
 
     for _ in range(EPOCHS):
         p, u = draw.permutation(len(positive)), draw.permutation(len(unlabelled))
@@ -160,10 +160,9 @@ def fit(positive: list, unlabelled: list, width: int, prior: float, seed: int) -
     return Linear(w, b)
 
 
-def _share(rows: DataFrame, bound: int, column: str) -> DataFrame:
-    """About `bound` rows at most, chosen by a hash of the column."""
-    n = rows.count()
-    return rows if n <= bound else rows.where(F.pmod(F.xxhash64(column), F.lit(1 << 30)) < int((1 << 30) * bound / n))
+def _share(rows: DataFrame, bound: int, n: int, *columns: str) -> DataFrame:
+    """About `bound` of the n rows at most, chosen by a hash of the columns; equal rows stay together."""
+    return rows if n <= bound else rows.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int((1 << 30) * bound / n))
 
 
 def _candidates(positives: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -216,9 +215,8 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     if not toxic:
         return nothing
     # At most some POSITIVES keys, so every task can have them.
-    confirmed = _share(marks.where("mark = 1").select(key), POSITIVES, key)
-    positives = written(docs.join(F.broadcast(confirmed), key).select("text"), "positives")
-    positives = _share(positives, POSITIVES, "text")
+    confirmed = _share(marks.where("mark = 1").select(key), POSITIVES, toxic, key)
+    positives = written(docs.join(F.broadcast(confirmed), key).select(key, "text"), "positives")
     n = positives.count()
     if not n:
         return nothing
@@ -229,8 +227,7 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     if not len(best):
         return nothing
     width, shared = len(best), context.broadcast(best)
-    share = min(1.0, UNLABELLED / int(every[-1]))
-    unlabelled = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * share))
+    unlabelled = _share(docs, UNLABELLED, int(every[-1]), key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, "text"):
@@ -240,13 +237,19 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
             shard, mark = (chunk.rows.column(chunk.rows.schema.get_field_index(c)) for c in ("shard", "mark"))
             yield pa.RecordBatch.from_arrays([shard, mark, *lists], names=["shard", "mark", "columns", "values"])
 
-    shard = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(SHARDS)).cast("int").alias("shard")
+    shard = F.pmod(F.xxhash64(key, "text", F.lit(1)), F.lit(SHARDS)).cast("int").alias("shard")
     rows = positives.select("text", shard, F.lit(1).alias("mark")).unionByName(unlabelled.select("text", shard, F.lit(0).alias("mark")))
-    rows = written(rows.mapInArrow(run, "shard int, mark int, columns array<int>, values array<double>"), "sample")
+    rows = rows.mapInArrow(run, "shard int, mark int, columns array<int>, values array<double>")
+    # Copies are one row with their number, so that many of them weigh on no task.
+    rows = rows.groupBy("shard", "mark", "columns", "values").agg(F.count(F.lit(1)).alias("copies"))
+    rows = written(rows, "sample")
 
     def learn(table: pa.Table) -> pa.Table:
         mark = table["mark"].to_numpy()
-        docs = [(np.asarray(c, np.int64), np.asarray(x)) for c, x in zip(table["columns"].to_pylist(), table["values"].to_pylist())]
+        docs = [
+            (np.asarray(c, np.int64), np.asarray(x), n)
+            for c, x, n in zip(table["columns"].to_pylist(), table["values"].to_pylist(), table["copies"].to_pylist())
+        ]
         # In an order of their own, whatever came first.
         order = sorted(range(len(docs)), key=lambda i: (docs[i][0].tobytes(), docs[i][1].tobytes()))
         model = fit([docs[i] for i in order if mark[i]], [docs[i] for i in order if not mark[i]], width, prior, int(table["shard"][0].as_py()))

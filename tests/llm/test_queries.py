@@ -11,7 +11,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in entries.queries()) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in entries.queries()) == list(range(1, 14))
 
 
 def test_pipeline_catches_planted_cases(spark, prose, tmp_path):
