@@ -8,10 +8,6 @@ from hushline.functions import context as ctx
 from hushline.functions.text import fold, let
 from hushline.rules import DEFAULT_RULES, KINDS, Rules
 
-#: Turns of one conversation which a single window group may hold.
-BLOCK_TURNS = 65536
-
-
 def text_signals(content: Column, rules: Rules) -> Column:
     """The kinds a turn asks for; the text is folded once."""
     return let(fold(content), lambda folded: ctx.signals(folded, rules))
@@ -23,19 +19,23 @@ def with_context(
     conversation: str = "conv_id",
     turn: str = "turn",
     content: str = "content",
-    block_turns: int = BLOCK_TURNS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``context``: the bits of the latest earlier turn which has text, else 0.
 
-    A plain ``lag`` over the conversation would send a conversation which holds a
-    third of all turns to one task, text and all. So only (conversation, turn,
-    bits) is shuffled for the look-back. Redelivered turns are combined before
-    that shuffle, a conversation is cut into blocks of turn numbers, and the first
-    row of each block takes its value from the block before. The wide rows then
-    join on (conversation, turn), a key which spreads a long conversation evenly;
-    copies of one turn on the wide side are left to the skew join of adaptive
-    execution.
+    A segmented scan over all turns in the order of (conversation, turn). Only narrow rows
+    (conversation, turn, bits) take part; redelivered turns are combined before their first
+    shuffle. The rows are dealt to ``slices`` (by default as many as there are shuffle
+    partitions) by ranges of that order, so a conversation of any length is cut wherever its
+    share of the rows says, however its turns are numbered. Inside a slice each row looks
+    at the one before it. The first row of a slice finds it among the edges, two rows a slice,
+    which are one small group. What comes before belongs to the same conversation, or counts
+    as nothing. The wide rows then join on (conversation, turn), a key which spreads a long
+    conversation evenly; copies of one turn on the wide side are left to the skew join of
+    adaptive execution.
     """
+    if slices is None:
+        slices = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = (
         turns.where(F.col(conversation).isNotNull() & F.col(turn).isNotNull() & F.col(content).isNotNull())
         .select(
@@ -44,22 +44,21 @@ def with_context(
         )
         .groupBy(conversation, turn)
         .agg(F.bit_or("_bits").alias("_bits"))
-        .withColumn("_block", F.floor(F.col(turn) / F.lit(block_turns)))
     )
-    in_block = Window.partitionBy(conversation, "_block").orderBy(turn)
-    whole_block = in_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    looked = seen.select(
-        conversation, turn, "_block",
-        F.lag("_bits").over(in_block).alias("_before"),
-        F.last("_bits").over(whole_block).alias("_block_end"),
+    # The number of a slice is made once, below the one plan that uses it.
+    dealt = seen.repartitionByRange(slices, conversation, turn).withColumn("_slice", F.spark_partition_id())
+    own = F.struct(F.col(conversation).alias("conversation"), F.col("_bits").alias("bits"))
+    in_slice = Window.partitionBy("_slice").orderBy(conversation, turn)
+    looked = dealt.select(
+        conversation, turn, "_bits", "_slice", F.lag(own).over(in_slice).alias("_before"),
+        F.lead(F.lit(True)).over(in_slice).isNull().alias("_last"),
     )
-    # Block heads form one group per conversation, the other rows stay in their block.
-    heads = Window.partitionBy(
-        conversation, F.when(F.col("_before").isNull(), F.lit(None)).otherwise(F.col("_block"))
-    ).orderBy(turn)
-    before = looked.select(
+    edge = F.col("_before").isNull() | F.col("_last")
+    edges = Window.partitionBy(F.when(edge, F.lit(-1)).otherwise(F.col("_slice"))).orderBy(conversation, turn)
+    found = looked.select(conversation, turn, F.coalesce("_before", F.lag(own).over(edges)).alias("_before"))
+    before = found.select(
         conversation, turn,
-        F.coalesce("_before", F.lag("_block_end").over(heads), F.lit(0)).alias("context"),
+        F.when(F.col("_before.conversation") == F.col(conversation), F.col("_before.bits")).otherwise(F.lit(0)).alias("context"),
     )
     return turns.join(before, [conversation, turn], "left").withColumn(
         "context", F.coalesce("context", F.lit(0))

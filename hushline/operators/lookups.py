@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hushline.functions.rows import explode_items
 from hushline.functions.spans import locate_all
-from hushline.functions.text import MARK, MARK_STAND_IN, fold, is_one_of, let, pattern
+from hushline.functions.text import MARK, MARK_STAND_IN, fold, let, pattern
 from hushline.rules import DEFAULT_RULES, SPOKEN_SCORE, Rules
 
 DETECTION_TYPE = "entity string, start int, end int, matched string, score double, detector string"
 
 #: A word with inner hyphens and apostrophes, and the blanks after it. Words with nothing
 #: but blanks between them are then neighbours, and punctuation parts them.
-_WORD = r"(?<![\p{L}\p{N}])\p{L}++(?:['’-]\p{L}++)*+(?![\p{L}\p{N}])[\s\x1c-\x1f]*+"
+_BARE_WORD = r"(?<![\p{L}\p{N}])\p{L}++(?:['’-]\p{L}++)*+(?![\p{L}\p{N}])"
+_WORD = _BARE_WORD + r"[\s\x1c-\x1f]*+"
 
 
 def _plain(word: Column) -> Column:
@@ -36,84 +38,118 @@ def name_table(names: DataFrame, column: str = "name") -> DataFrame:
     )
 
 
+def _words_of(content: Column) -> Column:
+    """The words of a text in order: start, end (blanks behind it included), as written, and folded.
+
+    Folding keeps every letter one letter, so the folded text falls into the same words and is
+    cut once, not folded word by word.
+    """
+    text = F.translate(content, MARK, MARK_STAND_IN)
+    hits = locate_all(text, pattern(_WORD), "PERSON", "gazetteer", SPOKEN_SCORE)
+    straight = let(text, lambda t: F.replace(fold(t), F.lit("’"), F.lit("'")))
+    marked = F.regexp_replace(straight, F.lit(pattern(_BARE_WORD)), F.lit(f"{MARK}$0{MARK}"))
+    folded = F.filter(F.split(marked, MARK), lambda _, i: i % 2 == 1)
+
+    def both(words: Column) -> Column:
+        return F.transform(hits, lambda h, i: F.struct(
+            h["start"].alias("start"), h["end"].alias("end"), h["matched"].alias("raw"), F.get(words, i).alias("word")
+        ))
+
+    return let(folded, both)
+
+
 def name_tokens(
-    turns: DataFrame, *keys: str, follow: int, content: str = "content", rules: Rules = DEFAULT_RULES,
+    turns: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
-    """Words at which a name could begin, with offsets and up to `follow` words that follow.
+    """Words at which a name could begin, with offset, place among the words, and the word behind.
 
     Deny words are left out here, before any shuffle: a name hit which holds one would be
     dropped later all the same. The words are cut from the text inside its row, so the text
-    itself is not copied for each of them.
+    itself is not copied for each of them; a digest says which text it was.
     """
-    text = F.translate(F.col(content), MARK, MARK_STAND_IN)
-    hits = locate_all(text, pattern(_WORD), "PERSON", "gazetteer", SPOKEN_SCORE)
-    shown = F.transform(hits, lambda h: F.struct(
-        h["start"].alias("start"), h["end"].alias("end"), h["matched"].alias("raw"), _plain(h["matched"]).alias("word")
-    ))
-
     def begin(words: Column) -> Column:
         def one(w: Column, i: Column) -> Column:
-            # Neighbours only: each starts where the one before, with its blanks, ends.
-            ahead = let(F.slice(words, i + 2, F.lit(follow)), lambda ws: _until_gap(ws, w["end"]))
+            behind = F.get(words, i + 1)
             found = F.struct(
-                w["start"].alias("start"), w["word"].alias("word"), w["raw"].alias("raw"), ahead.alias("ahead")
+                w["start"].alias("start"), i.alias("at"), w["word"].alias("word"), w["raw"].alias("raw"),
+                # A neighbour only: it starts where the word, with its blanks, ends.
+                F.when(behind["start"] == w["end"], behind).alias("behind"),
             )
-            return F.when(~is_one_of(w["word"], rules.deny_words), found)
+            return F.when(~w["word"].isin(*rules.deny_words), found)
 
         return F.filter(F.transform(words, one), lambda w: w.isNotNull())
 
-    rows = explode_items(turns, let(shown, begin), *keys, "turn", "role")
+    known = turns.where(F.col(content).isNotNull()).withColumn("_text", F.md5(F.col(content)))
+    rows = explode_items(known, let(_words_of(F.col(content)), begin), *keys, "turn", "role", "_text")
     # A genitive also stands for the name itself.
-    bare = F.regexp_replace("_item.word", "'S\\z", "")
-    forms = F.array_distinct(F.array(F.col("_item.word"), bare))
+    word = F.col("_item.word")
+    forms = F.when(word.endswith("'S"), F.array(word, F.substring(word, F.lit(1), F.length(word) - 2))).otherwise(F.array(word))
     return rows.select(
-        *keys, "turn", "role", "_item.start", "_item.raw", "_item.ahead", F.explode(forms).alias("_first")
+        *keys, "turn", "role", "_text", "_item.start", "_item.at", "_item.raw", "_item.behind", F.explode(forms).alias("_first")
     )
 
 
-def _until_gap(ahead: Column, end: Column) -> Column:
-    """The beginning of the words which follow one another."""
-    def step(acc: Column, w: Column) -> Column:
-        goes_on = acc["open"] & (w["start"] == acc["at"])
-        return F.struct(
-            goes_on.alias("open"), F.when(goes_on, w["end"]).otherwise(acc["at"]).alias("at"),
-            (acc["n"] + F.when(goes_on, 1).otherwise(0)).alias("n"),
-        )
-
-    start = F.struct(F.lit(True).alias("open"), end.alias("at"), F.lit(0).alias("n"))
-    return F.slice(ahead, F.lit(1), F.aggregate(ahead, start, step, lambda acc: acc["n"]))
-
+def _no_gap(words: Column) -> Column:
+    """Each word starts where the one before ends."""
+    return F.forall(
+        F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+        lambda i: F.coalesce(F.get(words, i)["start"] == F.get(words, i - 1)["end"], F.lit(True)),
+    )
 
-def gazetteer_detections(
-    turns: DataFrame, names: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES,
-) -> DataFrame:
-    """PERSON spans of the names in ``names`` (made by ``name_table``).
 
-    A join on the first word, then a comparison of the words after it. Spark picks the
-    join by the measured size of the table; where both sides are shuffled, the words of
-    the turns are the side which adaptive execution splits when one word is very frequent.
-    Names are compared whole: as many words are taken from the turns as the longest name has.
-    """
-    follow = names.agg(F.max(F.size("_rest"))).first()[0] or 0
-    rest, ahead = F.col("_rest"), F.col("ahead")
-    near = F.slice(ahead, F.lit(1), F.size(rest))
+def _named(found: DataFrame, keys: tuple[str, ...], near: Column, rest: Column) -> DataFrame:
+    """Spans where the words ``near`` are a name's ``rest``; the last may be a genitive of it."""
     words = F.transform(near, lambda w: w["word"])
-    # The last word may be a genitive of the name's.
     bare = F.transform(words, lambda w, k: F.when(k == F.size(rest) - 1, F.regexp_replace(w, "'S\\z", "")).otherwise(w))
-    found = name_tokens(turns, *keys, follow=follow, content=content, rules=rules).join(names, "_first").where((words == rest) | (bare == rest))
     text = F.concat(F.col("raw"), F.array_join(F.transform(near, lambda w: w["raw"]), ""))
     text = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
     # A genitive's ending is no part of the name, unless the table has it.
     text = F.when(F.size(rest) == 0, F.substring(text, F.lit(1), F.length("_first"))).when(
         words != rest, F.substring(text, F.lit(1), F.length(text) - 2)
     ).otherwise(text)
-    return found.select(
+    return found.where((words == rest) | (bare == rest)).select(
         *keys, "turn", "role", F.lit("PERSON").alias("entity"), "start",
         (F.col("start") + F.length(text)).alias("end"), text.alias("matched"),
         F.lit(SPOKEN_SCORE).alias("score"), F.lit("gazetteer").alias("detector"),
     )
 
 
+def gazetteer_detections(
+    turns: DataFrame, names: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """PERSON spans of the names in ``names`` (made by ``name_table``).
+
+    Matches grow with the words. A row carries a word and its neighbour, which are joined with the
+    names' first words and compared with their second; names of one and two words are then
+    found. Of longer names, only what is left by then meets the words of its text, and is
+    compared whole, however many words that are. That second step reads the turns again,
+    and nothing of them if the table has no such name: the longest name is asked for inside the
+    plan, so no job runs while it is built.
+
+    Spark picks the joins by the measured sizes; where both sides are shuffled, the words of
+    the turns are the side which adaptive execution splits when one word is very frequent.
+    """
+    rest = F.col("_rest")
+    behind = F.when(F.size(rest) > 0, F.array("behind")).otherwise(F.slice(F.array("behind"), 1, 0))
+    short = name_tokens(turns, *keys, content=content, rules=rules).join(names.where(F.size("_rest") <= 1), "_first")
+    short = _named(short.where((F.size(rest) == 0) | F.col("behind").isNotNull()), keys, behind, rest)
+
+    long_names = names.where(F.size("_rest") > 1)
+    some = turns.where(long_names.agg(F.count(F.lit(1)).alias("n")).scalar() > 0)
+    begun = name_tokens(some, *keys, content=content, rules=rules).where("behind is not null").withColumn("_second", F.col("behind.word"))
+    begun = begun.join(long_names.withColumn("_second", F.get("_rest", F.lit(0))), ["_first", "_second"])
+    texts = some.where(F.col(content).isNotNull()).select(
+        *(F.col(k).alias(f"_k{i}") for i, k in enumerate((*keys, "turn"))), F.md5(F.col(content)).alias("_own"), F.col(content).alias("_content")
+    ).distinct().withColumn("_words", _words_of(F.col("_content"))).drop("_content")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate((*keys, "turn"))))
+    grown = begun.join(texts, same & (F.col("_text") == F.col("_own")))
+    # With the begin, so that gaps are seen; then without it.
+    line = F.slice(F.col("_words"), F.col("at") + 1, F.size(rest) + 1)
+    grown = grown.withColumn("_line", line).where((F.size("_line") == F.size(rest) + 1) & _no_gap(F.col("_line")))
+    near = F.slice(F.col("_line"), F.lit(2), F.size(rest))
+    return short.unionByName(_named(grown, keys, near, rest))
+
+
 Model = Callable[[Sequence[str]], Sequence[Sequence[tuple[str, int, int, float]]]]
 
 

@@ -23,7 +23,7 @@ from hushline.operators.registry import SPOKEN
 from hushline.operators.spoken import Turn
 from hushline.plans.job import redact_with_lookups
 from hushline.rules import DEFAULT_RULES, Rules
-from hushline.sources.calls import call_transcripts, call_turns
+from hushline.sources.calls import QUESTIONS, SCENARIOS, call_transcripts, call_turns
 from hushline.sources.sinks import output_rows
 from hushline.sources.transcripts import (
     assemble_transcripts, explode_turns, parse_transcripts, quarantined, select_rows,
@@ -100,10 +100,13 @@ def messy_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('[{"role":"agent","content":null},{"role":"customer","content":'), shown, F.lit("}]")),
         F.concat(F.lit("["), turn, F.lit("] ["), turn, F.lit("]")),
         F.concat(F.lit("["), turn, F.lit("] junk [1]")),
+        F.concat(F.lit("["), turn, F.lit("]] junk [["), turn, F.lit("]")),
+        F.concat(F.lit("["), turn, F.lit("]] , [["), turn, F.lit("]")),
+        F.concat(F.lit('[{"role":"agent","content":"A ] IN \\"QUOTES\\" [ '), shown, F.lit('"},[["]",[]],'), shown, F.lit("]]")),
     )
     text = None
     for i, shape in enumerate(shapes):
-        text = F.when(key % 10 == i, shape) if text is None else text.when(key % 10 == i, shape)
+        text = F.when(key % 13 == i, shape) if text is None else text.when(key % 13 == i, shape)
     return _table(spark, sf_dir, "orders").select(key.alias("conv_id"), text.alias("transcription"))
 
 
@@ -166,6 +169,21 @@ def conversation_context(spark, sf_dir):
     return known.select("conv_id", "turn", "role", *flag_columns(F.col("context")))
 
 
+def sparse_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as turns numbered by microseconds: two of three are one conversation."""
+    key = F.col("event_id")
+    phrase = F.element_at(F.array(*[F.lit(q) for q in QUESTIONS]), (key % SCENARIOS + 1).cast("int"))
+    return _table(spark, sf_dir, "events").select(
+        F.when(key % 3 == 0, F.col("user_id") + 1).otherwise(0).cast("long").alias("conv_id"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("turn"), key.alias("event_id"), phrase.alias("content"),
+    )
+
+
+def context_sparse(spark, sf_dir):
+    known = with_context(sparse_turns(spark, sf_dir))
+    return known.select("conv_id", "event_id", *flag_columns(F.col("context")))
+
+
 # -- detection ---------------------------------------------------------------
 
 def _found(turns: DataFrame, spans: Column) -> DataFrame:
@@ -464,6 +482,7 @@ def queries() -> dict[str, Query]:
         "transcript_context": transcript_context,
         "context_flag_counts": context_flag_counts,
         "conversation_context": conversation_context,
+        "context_sparse": context_sparse,
         **{f"detect_{kind}": partial(detect_kind, kind) for kind in SPOKEN},
         "detect_written_email": partial(detect_written, "written_email"),
         "detect_written_card": partial(detect_written, "written_card"),

@@ -237,9 +237,9 @@ _CARD_OK = (
 )
 _SPAN_OUT = 'doc_id, CAST(s AS INTEGER) AS "start", CAST(s + length(matched) AS INTEGER) AS "end", matched'
 
-_MESSY = """CASE k % 10
+_MESSY = """CASE k % 13
   WHEN 0 THEN 'ok' WHEN 1 THEN 'missing' WHEN 2 THEN 'unparsable' WHEN 3 THEN 'not_an_array'
-  WHEN 4 THEN 'ok' WHEN 5 THEN 'ok' WHEN 6 THEN 'unparsable' WHEN 7 THEN 'ok' ELSE 'unparsable' END"""
+  WHEN 4 THEN 'ok' WHEN 5 THEN 'ok' WHEN 6 THEN 'unparsable' WHEN 7 THEN 'ok' WHEN 12 THEN 'ok' ELSE 'unparsable' END"""
 
 _WORDS = r"regexp_extract_all(upper(text), '[^\s\x1c-\x1f\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}]+')"
 
@@ -275,22 +275,24 @@ def oracle_sql() -> dict[str, str]:
         "sample_all": """SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(o_orderdate AS DATE) AS file_date
             FROM orders""",
         "parse_transcripts": f"""SELECT k AS conv_id, {_MESSY} AS status,
-            CAST(CASE k % 10 WHEN 0 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN 0 WHEN 7 THEN 2 ELSE -1 END AS INTEGER) AS elements,
-            CAST(CASE k % 10 WHEN 0 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 7 THEN 2 END AS INTEGER) AS turns
+            CAST(CASE k % 13 WHEN 0 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN 0 WHEN 7 THEN 2 WHEN 12 THEN 2 ELSE -1 END AS INTEGER) AS elements,
+            CAST(CASE k % 13 WHEN 0 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 7 THEN 2 WHEN 12 THEN 1 END AS INTEGER) AS turns
             FROM (SELECT o_orderkey AS k FROM orders)""",
         "parse_turns": """WITH keys AS (SELECT o_orderkey AS k FROM orders)
-            SELECT k AS conv_id, CAST(0 AS BIGINT) AS turn, 'agent' AS role, 'CALL ' || k AS content FROM keys WHERE k % 10 = 0
-            UNION ALL SELECT k, 1, '', 'NO ROLE' FROM keys WHERE k % 10 = 0
-            UNION ALL SELECT k, 2, 'agent', 'CALL ' || k FROM keys WHERE k % 10 = 4
-            UNION ALL SELECT k, 0, 'agent', NULL FROM keys WHERE k % 10 = 7
-            UNION ALL SELECT k, 1, 'customer', CAST(k AS VARCHAR) FROM keys WHERE k % 10 = 7""",
+            SELECT k AS conv_id, CAST(0 AS BIGINT) AS turn, 'agent' AS role, 'CALL ' || k AS content FROM keys WHERE k % 13 = 0
+            UNION ALL SELECT k, 1, '', 'NO ROLE' FROM keys WHERE k % 13 = 0
+            UNION ALL SELECT k, 2, 'agent', 'CALL ' || k FROM keys WHERE k % 13 = 4
+            UNION ALL SELECT k, 0, 'agent', NULL FROM keys WHERE k % 13 = 7
+            UNION ALL SELECT k, 1, 'customer', CAST(k AS VARCHAR) FROM keys WHERE k % 13 = 7
+            UNION ALL SELECT k, 0, 'agent', 'A ] IN "QUOTES" [ ' || k FROM keys WHERE k % 13 = 12""",
         "quarantine": f"""SELECT k AS conv_id, {_MESSY} AS status FROM (SELECT o_orderkey AS k FROM orders)
-            WHERE k % 10 IN (1, 2, 3, 6, 8, 9)""",
-        "non_turns_kept": """SELECT k AS conv_id, CASE k % 10
+            WHERE k % 13 IN (1, 2, 3, 6, 8, 9, 10, 11)""",
+        "non_turns_kept": """SELECT k AS conv_id, CASE k % 13
             WHEN 0 THEN '[{"role":"agent","content":"CALL ' || k || '"},{"role":"","content":"NO ROLE"}]'
             WHEN 4 THEN '["A BARE STRING",{"note":' || k || '},{"role":"agent","content":"CALL ' || k || '"}]'
             WHEN 5 THEN '[]'
             WHEN 7 THEN '[{"role":"agent","content":null},{"role":"customer","content":"' || k || '"}]'
+            WHEN 12 THEN '[{"role":"agent","content":"A ] IN \\"QUOTES\\" [ ' || k || '"},[["]",[]],' || k || ']]'
             END AS transcription FROM (SELECT o_orderkey AS k FROM orders)""",
         "json_roundtrip": "SELECT conv_id, turn, role, text AS content FROM conversations",
         "flatten_transcript": """SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS turns,
@@ -305,6 +307,12 @@ def oracle_sql() -> dict[str, str]:
         "conversation_context": f"""WITH t AS (SELECT conv_id, turn, role,
             lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)
             SELECT conv_id, turn, role, {_flags('before', CONVERSATION_RULES)} FROM t""",
+        "context_sparse": f"""WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN user_id + 1 ELSE 0 END AS conv_id, ts,
+              list_extract({_list(QUESTIONS)}, CAST(event_id % {SCENARIOS} AS INTEGER) + 1) AS content FROM events),
+            t AS (SELECT conv_id, ts, string_agg(content, ' | ') AS content FROM e GROUP BY ALL),
+            b AS (SELECT conv_id, ts, lag(content) OVER (PARTITION BY conv_id ORDER BY ts) AS before FROM t)
+            SELECT CAST(e.conv_id AS BIGINT) AS conv_id, event_id, {_flags('before', DEFAULT_RULES)}
+            FROM e JOIN b ON b.conv_id = e.conv_id AND b.ts = e.ts""",
         **detect,
         "detect_written_email": f"WITH {_matches(_EMAIL_RE)} SELECT {_SPAN_OUT} FROM hits",
         "detect_written_card": f"WITH {_matches(_CARD_RE)} SELECT {_SPAN_OUT} FROM hits WHERE {_CARD_OK}",

@@ -82,14 +82,28 @@ def _looks_like_array(text: Column) -> Column:
 
 
 def _is_one_value(text: Column) -> Column:
-    """Nothing follows the array. Where no bracket closes but the last sign, that is plain to see.
+    """Nothing follows the array: its last bracket is the first that closes all that are open.
 
-    The parsers stop after the first value, so the others are parsed inside one more pair of
-    brackets, which must then hold one item.
+    Where no bracket closes but the last sign, that is plain to see. Of other texts the strings
+    are taken out (one quote stands for each), the brackets that are left are counted up and
+    down, and the count may come to nothing at the end only. The parsers cannot tell: they
+    stop after the first value, whatever is behind it.
     """
-    inside = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    bare = F.regexp_replace(text, r'(?s)"(?:[^"\\]++|\\.)*+"', '"')
+
+    def closed_at_end(bare: Column) -> Column:
+        brackets = F.regexp_replace(bare, r"[^\[\]]++", "")
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends"))
+
+        def step(acc: Column, sign: Column) -> Column:
+            depth = acc["depth"] + F.when(sign == "[", 1).otherwise(-1)
+            return F.struct(depth.alias("depth"), (acc["ends"] + F.when(depth == 0, 1).otherwise(0)).alias("ends"))
+
+        counted = F.aggregate(F.split(brackets, "(?<=.)(?=.)"), start, step, lambda acc: (acc["depth"] == 0) & (acc["ends"] == 1))
+        return bare.rlike(r"\]\s*\z") & ((brackets == "[]") | counted)
+
     closes = F.locate("]", text)
-    return (closes == F.length(F.regexp_replace(text, r"\s+\z", ""))) | (F.coalesce(F.size(inside), F.lit(0)) == 1)
+    return (closes == F.length(F.regexp_replace(text, r"\s+\z", ""))) | let(bare, closed_at_end)
 
 
 def parse_transcripts(
@@ -103,23 +117,23 @@ def parse_transcripts(
     unless ok.
     """
     text = F.col(column)
-    # The typed parse alone would stop after the first value and lose what follows.
-    typed = F.when(_looks_like_array(text) & _is_one_value(text), F.from_json(text, TURNS_TYPE))
-
-    def choose(turns: Column) -> Column:
-        plain = turns.isNotNull() & F.forall(turns, lambda t: t["content"].isNotNull())
-        return (
-            F.when(plain, _plain_elements(turns))
-            .when(_looks_like_array(text) & _is_one_value(text), _mixed_elements(text))
-        )
 
+    def parse(one_array: Column) -> Column:
+        def choose(turns: Column) -> Column:
+            plain = turns.isNotNull() & F.forall(turns, lambda t: t["content"].isNotNull())
+            return F.when(plain, _plain_elements(turns)).when(one_array, _mixed_elements(text))
+
+        # The typed parse alone would stop after the first value and lose what follows.
+        return let(F.when(one_array, F.from_json(text, TURNS_TYPE)), choose)
+
+    elements = let(_looks_like_array(text) & _is_one_value(text), parse)
     status = (
         F.when(text.isNull(), F.lit("missing"))
         .when(F.col("elements").isNotNull(), F.lit("ok"))
         .when(F.try_parse_json(text).isNull() | text.rlike(r"\A\s*\["), F.lit("unparsable"))
         .otherwise(F.lit("not_an_array"))
     )
-    parsed = rows.withColumn("elements", let(typed, choose)).withColumn("status", status)
+    parsed = rows.withColumn("elements", elements).withColumn("status", status)
     return parsed if keep_original is None else parsed.withColumn(keep_original, text)
 
 

@@ -44,7 +44,7 @@ def check(spark, rows, **options):
     assert ours == pairs
 
 
-def test_gaps_copies_and_blocks(spark):
+def test_gaps_copies_and_slices(spark):
     rng = random.Random(7)
     rows = []
     for conv in range(12):
@@ -53,32 +53,39 @@ def test_gaps_copies_and_blocks(spark):
     rows += rng.sample(rows, 25)
     rng.shuffle(rows)
     check(spark, rows)
-    check(spark, rows, block_turns=7)
-    check(spark, rows, block_turns=1)
+    check(spark, rows, slices=7)
+    check(spark, rows, slices=1)
+    check(spark, rows, slices=200)
 
 
 def test_one_conversation_holds_most_turns(spark):
     rng = random.Random(3)
     rows = [(1, t, "agent", rng.choice(PHRASES)) for t in range(400)]
     rows += [(2 + i, 0, "agent", "YOUR PIN PLEASE") for i in range(50)]
-    check(spark, rows, block_turns=16)
+    check(spark, rows, slices=16)
+    # Numbers with any gaps, as time stamps have.
+    check(spark, [(c, (t - 200) * 10**15 + t * t, r, x) for c, t, r, x in rows], slices=16)
+    check(spark, [], slices=3)
 
 
 def test_hot_conversation_is_spread(spark):
-    """The wide join is on (conversation, turn), not on the conversation alone."""
-    df = spark.range(2000).select(
-        F.least("id", F.lit(7)).alias("conv_id"), F.col("id").alias("turn"), F.lit("agent").alias("role"),
-        F.lit("YOUR PIN PLEASE").alias("content"),
+    """No shuffle is by the conversation alone, and no slice holds more than its share."""
+    df = spark.range(20000).select(
+        F.when(F.col("id") < 3, F.col("id")).otherwise(7).alias("conv_id"), (F.col("id") * 10**12).alias("turn"),
+        F.lit("agent").alias("role"), F.lit("YOUR PIN PLEASE").alias("content"),
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = with_context(df)._jdf.queryExecution().executedPlan().toString()
+        known = with_context(df, slices=8)
+        plan = known._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    # Narrow shuffles to look back in the block and between blocks, then both sides of
-    # the join: none is by the conversation alone.
-    assert len(keys) >= 4 and all(k.split(")")[0].count("#") == 2 for k in keys), keys
+    keys = [line.split("partitioning(")[1] for line in plan.splitlines() if "Exchange " in line]
+    assert sum("conv_id" in k and "turn" in k for k in keys) == 4 and len(keys) == 6, keys
+    assert not any("conv_id" in k and "turn" not in k for k in keys), keys
+    dealt = df.repartitionByRange(8, "conv_id", "turn").groupBy(F.spark_partition_id()).count()
+    assert dealt.agg(F.max("count")).first()[0] < 2 * 20000 / 8
+    assert known.where("context > 0").count() == 20000 - 4
 
 
 def test_rows_without_conversation_are_withheld(spark):

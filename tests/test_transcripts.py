@@ -136,6 +136,22 @@ def test_text_after_the_array_is_unparsable(spark):
     assert [r.status for r in got] == ["ok", "ok"] + ["unparsable"] * 4 + ["ok"] * 3
 
 
+def test_arrays_that_close_and_open_again(spark):
+    x, y = '{"role":"a","content":"x ] y"}', '{"role":"b","content":"[ z \\" ]"}'
+    lost = [
+        f"[{x}]] junk [[{y}]", f"[{x}]] , [[{y}]", f"[{x}]][[{y}]", f"[{x}][{y}]", f"[[{x}]]] [[[{y}]]", f'[{x}] "[" , "]"', f'[{x}] ["]',
+        f"[{x}]]", f"[[{x}]", f'[{x},"]"] ]',
+    ]
+    whole = [f"[{x},{y}]", f"[[{x}],[[]],{y}]", f' [ {x} , ["]"], {y} ] \n', '["[[", "]", "\\\\"]', "[[[[]]]]", f"[{x}, {{\"a\":[1,[2]]}}]"]
+    got = parse_transcripts(spark.createDataFrame([(t,) for t in lost + whole], "transcription string")).collect()
+    assert [r.status for r in got] == ["unparsable"] * len(lost) + ["ok"] * len(whole)
+    assert [len(r.elements) for r in got[len(lost):]] == [2, 3, 3, 3, 1, 2]
+    deep = "[" * 400 + "]" * 400
+    many = "[" + ",".join(['{"content":"]"},[]'] * 20_000) + "]"
+    got = parse_transcripts(spark.createDataFrame([(many,), (many + "]",), (deep,)], "transcription string")).collect()
+    assert [r.status for r in got][:2] == ["ok", "unparsable"] and len(got[0].elements) == 40_000
+
+
 def test_table_replace_keeps_the_table_and_other_partitions(spark):
     rows = spark.range(10).select("id", (F.col("id") % 2).alias("part"))
     put = lambda df, **options: write_rows(df, "kept", format="table", partition_by=("part",), **options)
