@@ -9,10 +9,11 @@ number of bytes less its merges. Counts of pieces are kept in a dictionary of bo
 
 from __future__ import annotations
 
-import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,20 @@ from pyspark.sql.types import LongType, StructField, StructType
 from hushline.llm.arrowtext import appended, chunks
 from hushline.llm.storage import free_name
 
-#: Pieces whose count a worker remembers before it starts afresh.
+#: Pieces whose count a worker remembers.
 REMEMBERED = 400_000
 WORD_END = "</w>"
+#: Letters, numbers and white space of the first 256 signs, for texts which have no others.
+FEW_LETTERS, FEW_NUMBERS, FEW_SPACES = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+#: Letters and numbers that are newer than the tokenizer's tables, which has them as signs.
+NEWER = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 "
+    "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 "
+    "16EBB-16ED3 16FF2-16FF3 16FF4-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 "
+    "1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 "
+    "1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F "
+)
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 #: White space as the tokenizer's patterns see it.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -37,68 +49,93 @@ def byte_signs() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+#: A heap entry is one number: rank of the pair above PLACE bits, place of its first symbol below.
+PLACE = 40
+
+
 class Merges:
-    """Ranks of symbol pairs; symbols are numbers, pairs one number."""
+    """Ranks of symbol pairs; symbols are numbers, pairs one number, a byte's symbol is the byte."""
 
     def __init__(self, merges: list):
         ids: dict[str, int] = {}
         number = lambda s: ids.setdefault(s, len(ids))
         signs = byte_signs()
-        self.inner = [number(s) for s in signs]
-        self.last = [number(s + WORD_END) for s in signs]
-        self.pairs: dict[int, tuple[int, int]] = {}
-        for rank, pair in enumerate(merges):
+        for end in ("", WORD_END):
+            for sign in signs:
+                number(sign + end)
+        #: By the left symbol: the right one to the pair's rank, shifted as in the heap; by rank: the symbol made.
+        self.made: list[int] = []
+        found = []
+        for pair in merges:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs[number(a) << 32 | number(b)] = (rank, number(a + b))
+            found.append((number(a), number(b)))
+            self.made.append(number(a + b))
+        self.right: list[dict[int, int]] = [{} for _ in ids]
+        for rank, (a, b) in enumerate(found):
+            self.right[a][b] = rank << PLACE
 
     def count(self, piece: bytes) -> int:
         """Symbols left when no adjacent pair has a rank."""
         n = len(piece)
         if n < 2:
             return n
-        inner, pairs = self.inner, self.pairs
-        symbol = [inner[b] for b in piece]
-        symbol[-1] = self.last[piece[-1]]
+        right = self.right
+        symbol = list(piece)
+        symbol[-1] += 256
+        #: By place of its first symbol: the heap entry of a pair that is still there.
+        current = []
+        for i, two in enumerate(symbol[1:]):
+            rank = right[symbol[i]].get(two)
+            current.append(-1 if rank is None else rank | i)
+        heap = [entry for entry in current if entry >= 0]
+        if not heap:
+            return n
+        current.append(-1)
+        made_by, mask = self.made, (1 << PLACE) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            found = pairs.get(symbol[i] << 32 | symbol[i + 1])
-            if found:
-                heap.append((found[0], i, found[1]))
-        heapq.heapify(heap)
+        heapify(heap)
         left = n
         while heap:
-            rank, i, made = heapq.heappop(heap)
-            j = after[i]
-            if symbol[i] < 0 or j >= n:
-                continue
-            found = pairs.get(symbol[i] << 32 | symbol[j])
-            if not found or found[0] != rank:
+            entry = heappop(heap)
+            i = entry & mask
+            if current[i] != entry:
                 continue
-            symbol[i], symbol[j] = made, -1
+            j = after[i]
+            symbol[i] = made = made_by[entry >> PLACE]
+            current[i] = current[j] = -1
             left -= 1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = pairs.get(made << 32 | symbol[k])
-                if found:
-                    heapq.heappush(heap, (found[0], i, found[1]))
+                rank = right[made].get(symbol[k])
+                if rank is not None:
+                    current[i] = entry = rank | i
+                    heappush(heap, entry)
             h = before[i]
             if h >= 0:
-                found = pairs.get(symbol[h] << 32 | made)
-                if found:
-                    heapq.heappush(heap, (found[0], h, found[1]))
+                rank = right[symbol[h]].get(made)
+                if rank is None:
+                    current[h] = -1
+                else:
+                    current[h] = entry = rank | h
+                    heappush(heap, entry)
         return left
 
 
 class _Remembered(dict):
+    """Counts of pieces in two generations: what was asked for since the last change outlives the next."""
+
     def __init__(self, merges: Merges, limit: int):
-        self.merges, self.limit = merges, limit
+        self.merges, self.half, self.older = merges, max(limit // 2, 1), {}
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= self.limit:
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        n = self[piece] = self.merges.count(piece.encode("utf-8", "surrogatepass"))
+        n = self.older.get(piece)
+        if n is None:
+            n = self.merges.count(piece.encode("utf-8", "surrogatepass"))
+        self[piece] = n
         return n
 
 
@@ -111,7 +148,11 @@ class Counter:
             raise ValueError("a BPE vocabulary with word ends is asked for")
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self.pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+        self.pieces = regex.compile(rf"{_SHORT}|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+        newer = "".join("-".join(rf"\U{int(end, 16):08X}" for end in part.split("-")) for part in NEWER.split())
+        self.newer = re.compile(f"[{newer}]")
+        self.careful = regex.compile(rf"(?V1){_SHORT}|[\p{{L}}--[{newer}]]+|[\p{{N}}--[{newer}]]|(?:[^{SPACES}\p{{L}}\p{{N}}]|[{newer}])+")
+        self.few = re.compile(rf"{_SHORT}|[{FEW_LETTERS}]+|[{FEW_NUMBERS}]|[^{FEW_SPACES}{FEW_LETTERS}{FEW_NUMBERS}]+")
         self.counts = _Remembered(Merges(spec["model"]["merges"]), remembered)
 
     def count(self, text: str) -> int:
@@ -121,11 +162,22 @@ class Counter:
         return self._count(text)
 
     def _count(self, text: str) -> int:
-        if not text.isascii():
+        few = text.isascii()
+        if not few:
             text = unicodedata.normalize("NFC", text)
         # Sign by sign, as the tokenizer does: no special form of sigma at a word's end.
         text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-        return sum(map(self.counts.__getitem__, self.pieces.findall(text)))
+        pieces = self.few if few or _is_latin(text) else self.careful if self.newer.search(text) else self.pieces
+        return sum(map(self.counts.__getitem__, pieces.findall(text)))
+
+
+def _is_latin(text: str) -> bool:
+    """All signs are among the first 256."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _COUNTERS: dict[int, Counter] = {}
