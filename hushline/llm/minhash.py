@@ -306,11 +306,14 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but the first of each group of near copies, columns unchanged.
+    """The rows without all but one of each group of near copies, columns unchanged.
 
-    Of rows with one key, one stays. Rows with a null key stay.
+    Rows are compared, whatever their keys: each gets a number of its own, written once. So two
+    different texts under one key are two documents, and copies without a key are copies all
+    the same. Null texts and texts without words are copies of nothing and stay. Texts of any length
+    are compared whole. Columns may have any names; an empty table gives no rows.
     """
-    kept = near_copies(docs.select(key, text), key, text, n, percent).where("kept").select(key).where(F.col(key).isNotNull()).distinct()
-    other = free_name(docs, "kept_key")
-    chosen = docs.join(kept.withColumnRenamed(key, other), F.col(key) == F.col(other), "left_semi")
-    return chosen.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))
+    own = free_name(docs, "row_number")
+    numbered = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    kept = near_copies(numbered.select(own, text), own, text, n, percent).where("kept").select(own)
+    return numbered.join(kept, own, "left_semi").drop(own)
