@@ -113,3 +113,32 @@ def has_word(text: Column, words: Iterable[str]) -> Column:
 
 def is_blank(text: Column) -> Column:
     return ~text.rlike(pattern(INK))
+
+
+#: Control characters whose escape holds a letter; the JSON writer gives it in upper case.
+_LETTERED = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
+
+
+def ascii_json(json: Column) -> Column:
+    """JSON text in ASCII alone, byte for byte as the job publishes it.
+
+    Every other sign, and the one that deletes, becomes the escapes of its UTF-16 units (two for signs outside the basic
+    plane), in lower-case hexadecimal; so do the escapes of control characters. JSON text holds no
+    control character as such, so the mark cannot be part of it. Plain text is left as it is.
+    """
+    def lowered(text: Column) -> Column:
+        for code in _LETTERED:
+            # An escape begins with a backslash that is not itself escaped.
+            text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*+)\\u00{code}", rf"$1\\u00{code.lower()}")
+        return text
+
+    def escaped(text: Column) -> Column:
+        pieces = F.split(F.regexp_replace(text, F.lit(r"[^\x00-\x7E]+"), F.lit(f"{MARK}$0{MARK}")), MARK)
+        units = lambda run: F.regexp_replace(F.lower(F.hex(F.encode(run, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        return F.array_join(F.transform(pieces, lambda piece, i: F.when(i % 2 == 1, units(piece)).otherwise(piece)), "")
+
+    def ascii_only(text: Column) -> Column:
+        plain = (F.octet_length(text) == F.length(text)) & ~text.contains("\x7f")
+        return F.when(plain, text).otherwise(escaped(text))
+
+    return let(json, lambda text: let(F.when(text.contains("\\u00"), lowered(text)).otherwise(text), ascii_only))

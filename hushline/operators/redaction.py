@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hushline.functions.memo import per_application
 from hushline.functions.rows import explode_items
 from hushline.functions.spans import SPANS_TYPE, as_written, merged, no_spans, replaced
-from hushline.functions.text import fold, let
+from hushline.functions.text import ascii_json, fold, let
 from hushline.operators.context import elements_context, with_context
 from hushline.operators.filters import apply_filters
 from hushline.operators.registry import detect, signature
@@ -149,13 +149,13 @@ def lookup_spans(detections: DataFrame, *keys: str) -> DataFrame:
 # -- shapes of a redacted conversation ---------------------------------------
 
 def transcript_json(redacted: Column) -> Column:
-    """Compact JSON of the conversation; elements which are no turns stay as they were."""
+    """Compact ASCII JSON of the conversation; elements which are no turns keep their value."""
 
     def text(e: Column) -> Column:
         turn = F.struct(e["role"].alias("role"), e["content"].alias("content"))
         return F.when(e["is_turn"], F.to_json(turn, {"ignoreNullFields": "false"})).otherwise(e["raw"])
 
-    return F.concat(F.lit("["), F.array_join(F.transform(redacted, text), ","), F.lit("]"))
+    return ascii_json(F.concat(F.lit("["), F.array_join(F.transform(redacted, text), ","), F.lit("]")))
 
 
 def flat_transcript(redacted: Column) -> Column:

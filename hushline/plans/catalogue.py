@@ -17,7 +17,7 @@ from hushline.operators.filters import (
 )
 from hushline.operators.lookups import gazetteer_detections, name_table
 from hushline.operators.redaction import (
-    flat_transcript, redact_text, redact_transcripts, redact_turns, redacted_turns, turn_spans,
+    flat_transcript, redact_text, redact_transcripts, redact_turns, redacted_turns, transcript_json, turn_spans,
 )
 from hushline.operators.registry import SPOKEN
 from hushline.operators.spoken import Turn
@@ -127,12 +127,25 @@ def quarantine(spark, sf_dir):
 
 
 def non_turns_kept(spark, sf_dir):
-    from hushline.operators.redaction import transcript_json
-
     done = redact_transcripts(parse_transcripts(messy_transcripts(spark, sf_dir)))
     return done.select("conv_id", transcript_json(F.col("redacted")).alias("transcription"))
 
 
+def json_bytes(spark, sf_dir):
+    """Published JSON byte for byte: signs beyond ASCII and the basic plane, control characters, backslashes."""
+    key = F.col("c_custkey").cast("string")
+    said = F.concat(
+        F.lit("STRASSE Straße "), key, F.lit(" 😀 "), F.chr(F.lit(31)), F.lit('\t"QUOTE" \\ \\u001F '), F.chr(F.lit(127)), F.col("c_name")
+    )
+    turn = F.struct(F.lit("agent").alias("role"), said.alias("content"))
+    rows = _table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("["), F.to_json(turn), F.lit(',"ÄÖ 𝄞"]')).alias("transcription")
+    )
+    done = redact_transcripts(parse_transcripts(rows, keep_original=None))
+    published = transcript_json(F.col("redacted"))
+    return done.select("c_custkey", published.alias("transcription"), F.sha2(published, 256).alias("sha256"))
+
+
 def json_roundtrip(spark, sf_dir):
     """Turn rows to JSON transcripts and back: nothing is lost or reordered."""
     whole = assemble_transcripts(_conversations(spark, sf_dir))
@@ -427,6 +440,17 @@ def audit_hashed(spark, sf_dir):
     )
 
 
+#: The key of the example; a job takes its own from the configuration.
+KEYED_RULES = DEFAULT_RULES.with_(audit_text="keyed", audit_key="an example of a key")
+
+
+def audit_keyed(spark, sf_dir):
+    """Pseudonyms of what was found, and in how many calls each of them comes."""
+    done = _redacted_calls(spark, sf_dir).withColumn("conv_id", _key())
+    found = audit.detections(redacted_turns(done, "conv_id"), "conv_id", rules=KEYED_RULES)
+    return found.groupBy("entity", F.col("matched").alias("pseudonym")).agg(F.countDistinct("conv_id").alias("calls"))
+
+
 def audit_summary(spark, sf_dir):
     return audit.audit_summary(audit_rows(spark, sf_dir))
 
@@ -476,6 +500,7 @@ def queries() -> dict[str, Query]:
         "parse_turns": parse_turns,
         "quarantine": quarantine,
         "non_turns_kept": non_turns_kept,
+        "json_bytes": json_bytes,
         "json_roundtrip": json_roundtrip,
         "flatten_transcript": flatten_transcript,
         "turns_with_context": turns_with_context,
@@ -505,6 +530,7 @@ def queries() -> dict[str, Query]:
         "audit_rows": audit_rows,
         "audit_string": audit_string,
         "audit_hashed": audit_hashed,
+        "audit_keyed": audit_keyed,
         "audit_summary": audit_summary,
         "output_rows": output,
         "record_count": record_count,

@@ -8,7 +8,7 @@ detector patterns appears here.
 from __future__ import annotations
 
 from hushline.operators.analytics import FLAGS
-from hushline.plans.catalogue import CONVERSATION_RULES
+from hushline.plans.catalogue import CONVERSATION_RULES, KEYED_RULES
 from hushline.rules import DENY_WORDS, KINDS, PLACEHOLDERS, Rules, DEFAULT_RULES
 from hushline.sources.calls import DIGIT_WORDS, NAMES, QUESTIONS, SCENARIOS
 
@@ -174,6 +174,14 @@ whole_calls AS (
 )"""
 
 
+def _hmac(text: str, key: str) -> str:
+    """Of a key of at most 64 bytes."""
+    inner, outer = (
+        "'" + "".join(f"\\x{b ^ pad:02X}" for b in key.encode().ljust(64, b"\0")) + "'::BLOB" for pad in (0x36, 0x5C)
+    )
+    return f"sha256({outer} || unhex(sha256({inner} || encode({text}))))"
+
+
 def _audit(matched: str) -> str:
     return (
         f"SELECT conv_id, string_agg(head || {matched} || ' (score: 0.85)', '; ' "
@@ -294,6 +302,9 @@ def oracle_sql() -> dict[str, str]:
             WHEN 7 THEN '[{"role":"agent","content":null},{"role":"customer","content":"' || k || '"}]'
             WHEN 12 THEN '[{"role":"agent","content":"A ] IN \\"QUOTES\\" [ ' || k || '"},[["]",[]],' || k || ']]'
             END AS transcription FROM (SELECT o_orderkey AS k FROM orders)""",
+        "json_bytes": r"""WITH j AS (SELECT c_custkey, '[{"role":"agent","content":"STRASSE Stra\u00dfe ' || c_custkey
+              || ' \ud83d\ude00 \u001f\t\"QUOTE\" \\ \\u001F \u007f' || c_name || '"},"\u00c4\u00d6 \ud834\udd1e"]' AS transcription FROM customer)
+            SELECT *, sha256(transcription) AS sha256 FROM j""",
         "json_roundtrip": "SELECT conv_id, turn, role, text AS content FROM conversations",
         "flatten_transcript": """SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS turns,
             string_agg(text, ' ' ORDER BY turn) AS redacted_transcript FROM conversations GROUP BY conv_id""",
@@ -408,6 +419,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT k AS conv_id, coalesce(audit, '') AS redacted_entity FROM keys LEFT JOIN audits ON k = conv_id""",
         "audit_hashed": f"""WITH {REDACTED}, audits AS ({_audit('sha256(matched)')})
             SELECT k AS conv_id, coalesce(audit, '') AS redacted_entity FROM keys LEFT JOIN audits ON k = conv_id""",
+        "audit_keyed": f"""WITH {FOUND} SELECT entity, {_hmac('matched', KEYED_RULES.audit_key)} AS pseudonym,
+            count(DISTINCT conv_id) AS calls FROM found GROUP BY ALL""",
         "audit_summary": f"""WITH {FOUND} SELECT role, entity, count(*) AS spans,
             CAST(sum("end" - "start") AS BIGINT) AS characters,
             min(score) AS lowest_score, max(score) AS highest_score FROM found GROUP BY role, entity""",

@@ -155,8 +155,10 @@ class Rules:
     deny_scope: str = "all"
     #: Let the spoken e-mail pattern take the whole word before the first DOT.
     strict_bounds: bool = False
-    #: 'clear' keeps the matched text in the audit, 'hash' its SHA-256, 'none' nothing.
+    #: 'clear' keeps the matched text in the audit, 'hash' its SHA-256, 'keyed' a pseudonym
+    #: that nobody without ``audit_key`` can work out, 'none' nothing.
     audit_text: str = "clear"
+    audit_key: str = field(default="", repr=False)
     #: Written-form detectors to run next to the spoken ones.
     written: tuple[str, ...] = ("written_email", "written_card", "iban")
 
@@ -178,8 +180,10 @@ class Rules:
             raise RulesError("placeholders must not be empty")
         if self.deny_scope not in ("all", "gazetteer"):
             raise RulesError(f"unknown deny_scope {self.deny_scope!r}")
-        if self.audit_text not in ("clear", "hash", "none"):
+        if self.audit_text not in ("clear", "hash", "keyed", "none"):
             raise RulesError(f"unknown audit_text {self.audit_text!r}")
+        if self.audit_text == "keyed" and not self.audit_key:
+            raise RulesError("audit_text 'keyed' needs an audit_key")
 
     def __hash__(self):
         return hash(repr(self))
@@ -199,6 +203,8 @@ class Rules:
         values: dict = {}
         if "pii_entities" in job:
             values["placeholders"] = dict(job["pii_entities"])
+        if "audit" in job:
+            values.update({f"audit_{k}": job["audit"][k] for k in ("text", "key") if k in job["audit"]})
         if "context_indicators" in job:
             given = job["context_indicators"]
             values["indicators"] = {k: given[k] for k in KINDS if k in given}
