@@ -41,7 +41,7 @@ def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judged(_table(spark, sf_dir, "pages"))
+    return urls.judged(_table(spark, sf_dir, "pages"), html="html")
 
 
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

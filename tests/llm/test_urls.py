@@ -58,6 +58,50 @@ def test_templates_learn_from_labels(spark):
     } == {("h.com", "/bad/*/*", "block"), ("h.com", "/good/*/*", "allow"), ("plain.com", "/*", "allow")}
 
 
+def page(words):
+    return f"<html><head><title>t</title><style>p{{x:y}}</style><script>var t='</p>';</script></head><body><nav>a</nav><p>{words}</p></body></html>"
+
+
+def test_query_rejects_bad_directories_by_their_own_pages(spark, prose, tmp_path):
+    from hushline.llm import entries
+
+    rows, planted = [], set()
+    for i in range(60):
+        good, junk = page(prose(i, 60, 5000)), page("### $$$ *** " * 20)
+        for k, (url, html, bad) in enumerate([
+            (f"http://h.com/shop/{i}.html", good, 0), (f"http://h.com/spam/{i}.html", junk, 1), (f"http://h.com/a/b/c/junk/{i}", junk, 1),
+            (f"http://h.com/a/b/c/news/{i}", good, 0), (f"http://x.example.com/de/{i}", good, None), (f"http://x.example.com/en/{i}", good, 0),
+            (f"http://few.com/{i % 3}/x", junk if i < 3 else None, None), (f"http://mixed.com/en/{i}", junk if i % 3 == 0 else good, 0),
+        ]):
+            rows.append((100 * i + k, url, html))
+            if bad:
+                planted.add(100 * i + k)
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r for r in entries.op4_url_templates(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    ruled = {k for k, r in got.items() if r["rule"]}
+    assert {k for k, r in got.items() if r["verdict"] == "block" and k not in ruled and r["host"] != "few.com"} == planted
+    assert ruled == {k for k, u, _ in rows if "/de/" in u} and all(got[k]["verdict"] == "block" for k in ruled)
+    assert len({got[k]["template"] for k, u, _ in rows if u.startswith("http://h.com")}) >= 4
+    assert got[0]["template"] == "/shop/*" and got[1]["template"] == "/spam/*"
+
+
+def test_siblings_alike_below_are_merged_and_others_not(spark):
+    rows = [(1000 * k + i, f"http://h.com/{name}/{i}", None) for k, name in enumerate(["en", "de", "fr", "es"]) for i in range(40)]
+    rows += [(9000 + i, f"http://h.com/about/{'abcdefghij'[i % 10]}{'klmnop'[i % 6]}x/y", 0) for i in range(40)]
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string, label int"), rules=(), label="label").collect()
+    by = {r["page_id"]: r["template"] for r in got}
+    assert by[9000].startswith("/about/") and by[0] != by[9000]
+
+
+def test_long_urls_and_clashing_columns(spark):
+    long = "http://h.com/" + "/".join(["seg"] * 300) + "/" + "x" * 100_000
+    rows = [(1, long, None, 1, "a", "b", 2, 3)] + [(2 + i, f"http://h.com/{i}", "<p>x", 1, "a", "b", 2, 3) for i in range(10)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string, host int, path string, template string, tree int, bad int")
+    got = urls.judged(docs, html="html").collect()
+    assert len(got) == 11 and {r["host"] for r in got} == {"h.com"} and max(len(r["path"]) for r in got) > 100_000
+
+
 def test_a_rule_says_nothing_of_sibling_paths(spark):
     rows = [(i, f"http://a.example.com/de/{i}") for i in range(40)] + [(100 + i, f"http://a.example.com/en/{i}") for i in range(5)]
     rows += [(200 + i, f"http://a.example.com/x{i}/1") for i in range(20)]
