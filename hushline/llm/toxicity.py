@@ -120,26 +120,32 @@ class Linear:
         return np.bincount(row, self.weights[column] * x, n) + self.bias
 
 
+def _pool(docs: list, bound: int, draw: np.random.Generator) -> np.ndarray:
+    """Numbers of the documents, each as often as it has copies; drawn by copies where that is more than the bound."""
+    copies = np.array([d[2] for d in docs], np.int64)
+    if copies.sum() <= bound:
+        return np.repeat(np.arange(len(docs)), copies)
+    return draw.choice(len(docs), bound, p=copies / copies.sum())
+
+
 def fit(positive: list, unlabelled: list, width: int, prior: float, seed: int) -> Linear:
     """A classifier from documents, each (columns, values, copies), by the non-negative risk with logistic loss."""
     draw = np.random.Generator(np.random.PCG64(seed))
     w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
     m, v, t = np.zeros(width + 1), np.zeros(width + 1), 0
-    docs = positive + unlabelled
-    steps = max(1, -(-len(docs) // BATCH))
+    positives, others = _pool(positive, POSITIVES // SHARDS * 2, draw), _pool(unlabelled, UNLABELLED // SHARDS * 2, draw)
+    steps = max(1, -(-(len(positives) + len(others)) // BATCH))
 
     def gradient(some: list, sign: float) -> np.ndarray:
-        """Of the mean of log(1 + exp(sign * margin)) over documents and copies, and its value."""
-        copies = np.array([d[2] for d in some], float)
-        part = copies / copies.sum()
+        """Of the mean of log(1 + exp(sign * margin)), and its value."""
         row = np.repeat(np.arange(len(some)), [len(d[0]) for d in some])
         column, x = np.concatenate([d[0] for d in some]), np.concatenate([d[1] for d in some])
         z = sign * (np.bincount(row, w[column] * x, len(some)) + b)
-        pull = sign * part / (1 + np.exp(-np.clip(z, -30, 30)))
-        return np.append(np.bincount(column, pull[row] * x, width), pull.sum()), float((part * np.logaddexp(0, z)).sum())
+        pull = sign / (1 + np.exp(-np.clip(z, -30, 30))) / len(some)
+        return np.append(np.bincount(column, pull[row] * x, width), pull.sum()), float(np.logaddexp(0, z).mean())
 
     for _ in range(EPOCHS):
-        p, u = draw.permutation(len(positive)), draw.permutation(len(unlabelled))
+        p, u = draw.permutation(positives), draw.permutation(others)
         for k in range(steps):
             one = [positive[i] for i in p[k::steps]]
             any_ = [unlabelled[i] for i in u[k::steps]]
