@@ -306,7 +306,7 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows without all but one of each group of near copies, columns unchanged.
+    """The rows without all but the first (by key, null last) of each group of near copies, columns unchanged.
 
     Rows are compared, whatever their keys: each gets a number of its own, written once. So two
     different texts under one key are two documents, and copies without a key are copies all
@@ -315,5 +315,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     """
     own = free_name(docs, "row_number")
     numbered = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
-    kept = near_copies(numbered.select(own, text), own, text, n, percent).where("kept").select(own)
+    groups = near_copies(numbered.select(own, text), own, text, n, percent).select(own, "component_id")
+    keys = numbered.select(F.col(own), F.col(key).alias("key"))
+    first = F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col(own).alias("row"))).alias("first")
+    kept = keys.join(groups, own).groupBy("component_id").agg(first).select(F.col("first.row").alias(own))
     return numbered.join(kept, own, "left_semi").drop(own)
