@@ -23,6 +23,9 @@ the counts of at most KNOWN frequent words. Rarer words meet their counts in a j
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,13 +47,26 @@ SHARD_TOKENS, SHARDS = 4_000_000, 4096
 KNOWN = 300_000
 #: Tokens shuffled together, tokens of a step, noise classes of a step, noise words of a class in a step.
 PIECE, BATCH, NOISE, WITHIN, RATE = 1 << 17, 4096, 32, 4, 0.1
-#: Tokens scored at a time, rows of parameters summed together.
-BLOCK, BLOCK_ROWS = 1 << 15, 1024
+#: Tokens scored at a time, rows of a product that stay in a core's cache, rows of parameters summed together.
+BLOCK, CACHED, BLOCK_ROWS = 1 << 16, 512, 1024
 _WORDS = Hasher(10, fold=True)
 #: The end of a text, as a word's hash.
 END = np.uint64(0x0E0F_ED0C_E0F7_E117)
 
 
+def one_thread() -> None:
+    """Keeps the products of a task to its own core, where numpy brings a library that can be told so.
+
+    Its threads would wait for one another while other tasks hold the cores; results are the same.
+    """
+    for path in glob.glob(os.path.join(os.path.dirname(os.path.dirname(np.__file__)), "numpy.libs", "*openblas*")):
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            tell = getattr(ctypes.CDLL(path), name, None)
+            if tell is not None:
+                tell(1)
+                break
+
+
 def held_out(key: Column) -> Column:
     """Whether a document is kept from training; a null key counts as an empty one."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 7 == 2
@@ -214,7 +230,7 @@ class Model:
         order = np.argsort(unit, kind="stable")
         unit, context = unit[order], context[order]
         vector = np.ones((len(unit), DIMS + 1), np.float32)
-        vector[:, :DIMS] = sum(table[context[:, i]] for i, table in enumerate(places))
+        vector[:, :DIMS] = sum(table.take(context[:, i], axis=0) for i, table in enumerate(places))
         kind = unit // self.size
         made = _normalised(vector, self.r, kind)
         starts = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]])) if len(kind) else np.zeros(0, int)
@@ -227,13 +243,17 @@ class Model:
 
 
 def _normalised(vector: np.ndarray, table: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    scores = vector @ table.T
     # No score is further from 0 than this; below 60 exponentials neither overflow nor vanish.
-    if np.sqrt((vector * vector).sum(axis=1).max(initial=0) * (table * table).sum(axis=1).max()) > 60:
-        scores -= scores.max(axis=1, keepdims=True)
-    own = scores[np.arange(len(chosen)), chosen].astype(np.float64)
-    np.exp(scores, out=scores)
-    return own - np.log((scores @ np.ones(scores.shape[1], np.float32)).astype(np.float64))
+    large = np.sqrt((vector * vector).sum(axis=1).max(initial=0) * (table * table).sum(axis=1).max()) > 60
+    out, ones = np.empty(len(chosen)), np.ones(len(table), np.float32)
+    for i in range(0, len(chosen), CACHED):
+        scores = vector[i:i + CACHED] @ table.T
+        if large:
+            scores -= scores.max(axis=1, keepdims=True)
+        own = scores[np.arange(len(scores)), chosen[i:i + CACHED]].astype(np.float64)
+        np.exp(scores, out=scores)
+        out[i:i + CACHED] = own - np.log((scores @ ones).astype(np.float64))
+    return out
 
 
 class Trainer:
@@ -265,9 +285,9 @@ class Trainer:
     def _step(self, context: np.ndarray, unit: np.ndarray) -> None:
         m = self.model
         kind = unit // m.size
-        one = m.e[context]
+        one = m.e.take(context.ravel(), axis=0).reshape(len(unit), -1)
         vector = np.ones((len(unit), DIMS + 1), np.float32)
-        vector[:, :DIMS] = sum(one[:, i] @ m.c[i * DIMS:(i + 1) * DIMS] for i in range(CONTEXT))
+        vector[:, :DIMS] = one @ m.c
         # The class against classes drawn for the step, the unit against units drawn for its class.
         starts = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
         present = kind[starts]
@@ -277,24 +297,30 @@ class Trainer:
         low, high = self.sums[self.edges[present]], self.sums[self.edges[present + 1]]
         false = self._draws(low[:, None], high[:, None], (len(present), WITHIN))
         false = np.clip(false, self.edges[present][:, None], self.edges[present + 1][:, None] - 1)
-        r_real, r_false, q_real, q_false = m.r[kind], m.r[false_kind], m.q[unit], m.q[false]
-        up_kind = _up((vector * r_real).sum(axis=1) - self.log_class[kind])
+        r_real, r_false, q_real, q_false = (t.take(at, axis=0) for t, at in ((m.r, kind), (m.r, false_kind), (m.q, unit), (m.q, false)))
+        up_kind = _up(np.einsum("nd,nd->n", vector, r_real) - self.log_class[kind])
         down_kind = _down(vector @ r_false.T - self.log_class[false_kind])
-        up = _up((vector * q_real).sum(axis=1) - self.log_unit[unit])
-        q_drawn = q_false[group]
+        up = _up(np.einsum("nd,nd->n", vector, q_real) - self.log_unit[unit])
+        q_drawn = q_false.take(group, axis=0)
         down = _down(np.einsum("nd,nkd->nk", vector, q_drawn) - self.log_unit[false][group])
         back = up_kind[:, None] * r_real + down_kind @ r_false + up[:, None] * q_real
         back = (back + np.einsum("nk,nkd->nd", down, q_drawn))[:, :DIMS]
         to_false = [down[a:b].T @ vector[a:b] for a, b in zip(starts, ends)]
         q_at, q_rows = _sums(np.concatenate([unit, false.ravel()]), np.concatenate([up[:, None] * vector, *to_false]))
-        r_at, r_rows = _sums(np.concatenate([kind, false_kind]), np.concatenate([up_kind[:, None] * vector, down_kind.T @ vector]))
-        places = [m.c[i * DIMS:(i + 1) * DIMS] for i in range(CONTEXT)]
-        e_at, e_rows = _sums(context.T.ravel(), np.concatenate([back @ c.T for c in places]))
-        c_rows = np.concatenate([one[:, i].T @ back for i in range(CONTEXT)])
+        of_kind = np.add.reduceat(up_kind[:, None] * vector, starts, axis=0)
+        r_at, r_rows = _sums(np.concatenate([present, false_kind]), np.concatenate([of_kind, down_kind.T @ vector]))
+        e_at, e_rows = _sums(context.ravel(), (back @ m.c.T).reshape(-1, DIMS))
+        c_rows = one.T @ back
         whole = [(e_at, e_rows), (np.arange(len(m.c)), c_rows), (q_at, q_rows), (r_at, r_rows)]
         for p, past, times, (at, rows) in zip(m.parts(), self.past, self.times, whole):
-            past[at] += rows * rows
-            p[at] += RATE * rows / np.sqrt(past[at])
+            now = past.take(at, axis=0)
+            now += rows * rows
+            past[at] = now
+            np.sqrt(now, out=now)
+            np.divide(rows, now, out=now)
+            now *= np.float32(RATE)
+            now += p.take(at, axis=0)
+            p[at] = now
             times[at] += 1
 
 
@@ -350,6 +376,7 @@ def trained(docs: DataFrame, counts: Counts, tokens: int) -> Model:
         start = context.broadcast(model.parts())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            one_thread()
             known, now, trainer = shared.value, None, None
             for shard, before, unit in _pieces(known, batches):
                 if shard != now:
@@ -420,6 +447,7 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     whole = tokens + types + 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         counts = shared.value
         model = Model(counts.masses)
         model.load(parameters.value)
