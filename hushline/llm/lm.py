@@ -46,7 +46,7 @@ SHARD_TOKENS, SHARDS = 4_000_000, 4096
 #: Frequent words whose counts every task gets.
 KNOWN = 300_000
 #: Tokens shuffled together, tokens of a step, noise classes of a step, noise words of a class in a step.
-PIECE, BATCH, NOISE, WITHIN, RATE = 1 << 17, 4096, 32, 4, 0.1
+PIECE, BATCH, NOISE, WITHIN, RATE = 1 << 17, 4096, 32, 6, 0.1
 #: Tokens scored at a time, rows of a product that stay in a core's cache, rows of parameters summed together.
 BLOCK, CACHED, BLOCK_ROWS = 1 << 16, 512, 1024
 _WORDS = Hasher(10, fold=True)
