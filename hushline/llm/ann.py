@@ -6,11 +6,13 @@ their estimated success: the distances from the query to the borders that a cell
 behind, squared and summed, least first. Candidates from all tables are ranked again by
 exact cosines.
 
-K grows with the number of vectors, so cells keep their size; the number of visited cells
-is fitted on a bounded sample, without a cap. Where no number of cells that costs less than
-comparing all vectors finds enough neighbours there (as with nearly random vectors of many
-dimensions), all queries are compared with all vectors, in blocks. Cells are dealt to groups of about GROUP_ROWS vectors; a
-fuller cell is split over several groups and its queries visit all parts, so no cap applies.
+K, the numbers a hash, and the number of visited cells are fitted on a bounded sample: of all K up to
+one whose cells would hold CELL_ROWS vectors, with as many cells as its recall there needs, the pair of
+least work. Fewer numbers make wider cells, so vectors without structure are found as well, only that a
+query then looks at much of the table. Near vectors of the sample lie farther off than those of the table,
+so the table's recall is no worse. A query that finds fewer than k is compared with all vectors, in blocks;
+so are all queries where no K reaches the recall aimed at. Cells are dealt to groups of about GROUP_ROWS
+vectors; a fuller cell is split over several groups and its queries visit all parts, so no cap applies.
 Each group answers a query with its best vectors only: no pair of candidates is shuffled.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,10 @@ TABLES, WIDTH = 2, 2.0
 CELL_ROWS, HASH_BITS, GROUP_ROWS = 64, 1.6, 4096
 #: Vectors and queries of the sample on which the number of probes is fitted, and the recall it must show there.
 SAMPLE, SAMPLE_QUERIES, AIM = 6000, 100, 0.97
-#: Vectors that a block compares in the time of one probe (49 and 0.175 microseconds where measured).
-PROBE_ROWS = 300
+#: Vectors that can be compared in the time of one visit to a cell, and most cells that the fit tries a table.
+PROBE_ROWS, MOST_PROBES = 300, 2048
+#: Most hashes a table whose neighbouring cells are listed as a whole and sorted; beyond, they come off a heap.
+LISTED = 8
 #: Pairs whose products are held at a time.
 BLOCK = 32_768
 #: Least number of blocks of vectors, numbers in a block of vectors or queries, and more than the rounding of a cosine.
@@ -59,12 +64,27 @@ class Tables:
         return (h * U64(0x9E3779B97F4A7C15)).view(np.int64)
 
     def probes(self, unit: np.ndarray, table: int, n: int) -> np.ndarray:
-        """The n cells nearest to one vector (fewer if there are no more neighbours)."""
-        place = self.places(unit[None], table)[0]
+        """A row a vector: the n cells nearest to it (fewer if there are no more neighbours), nearest first."""
+        place = self.places(unit, table)
         home = np.floor(place)
         below = place - home
-        steps = np.array(list(perturbations(below, n)))
-        return self.cells(home + steps, table)
+        if self.hashes > LISTED:
+            return np.stack([self.cells(h + np.array(list(perturbations(b, n))), table) for h, b in zip(home, below)])
+        steps = _steps(self.hashes)
+        out = np.empty((len(unit), min(n, len(steps))), np.int64)
+        for i in range(0, len(unit), 256):
+            part = below[i:i + 256]
+            cost = part ** 2 @ (steps < 0).T + (1 - part) ** 2 @ (steps > 0).T
+            order = np.argsort(cost, axis=1, kind="stable")[:, :n]
+            out[i:i + 256] = self.cells(home[i:i + 256, None] + steps[order], table)
+        return out
+
+
+@cache
+def _steps(hashes: int) -> np.ndarray:
+    """All steps of -1, 0 or 1 a hash, the one that stays at home first."""
+    steps = np.stack(np.meshgrid(*[[0.0, -1.0, 1.0]] * hashes, indexing="ij"), axis=-1)
+    return steps.reshape(-1, hashes)
 
 
 def perturbations(below: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -134,161 +154,201 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.exists("vec", lambda x: x != 0))
 
 
-def fitted_probes(tables: Tables, sample: np.ndarray, k: int, limit: int) -> int | None:
-    """The least number of probes a table, doubled from 1, whose recall on the sample reaches AIM.
-
-    None if more than `limit` would be needed, or if all cells beside a query's do not suffice.
+def fitted_probes(tables: Tables, sample: np.ndarray, k: int) -> tuple[int, float] | None:
+    """The least number of probes a table, doubled from 1, whose recall on the sample reaches AIM, and the share of
+    the sample they look at. None if the probes tried do not suffice.
     """
     queries = sample[:SAMPLE_QUERIES]
     truth = queries @ sample.T
     truth[np.arange(len(queries)), np.arange(len(queries))] = -2
     near = np.argsort(-truth, axis=1)[:, :k]
     cells = [tables.cells(np.floor(tables.places(sample, t)), t) for t in range(TABLES)]
-    n, most = 1, min(limit, 256)
-    while n <= limit:
+    held = [dict(zip(*(x.tolist() for x in np.unique(c, return_counts=True)))) for c in cells]
+    most, limit = 256, min(3 ** tables.hashes, MOST_PROBES)
+    n = 1
+    while True:
+        most = min(most, limit)
+        orders = [tables.probes(queries, t, most) for t in range(TABLES)]
         ranks = np.full(near.shape, most)
         for t in range(TABLES):
-            for i, q in enumerate(queries):
-                order = {c: r for r, c in reversed(list(enumerate(tables.probes(q, t, most).tolist())))}
-                for j, p in enumerate(near[i]):
-                    ranks[i, j] = min(ranks[i, j], order.get(int(cells[t][p]), most))
-        while n <= most:
-            if (ranks < n).mean() >= AIM:
-                return n
+            same = cells[t][near][:, :, None] == orders[t][:, None]
+            ranks = np.minimum(ranks, np.where(same.any(axis=2), same.argmax(axis=2), most))
+        while n < 2 * most:
+            if (ranks < min(n, most)).mean() >= AIM:
+                n = min(n, most)
+                looked = sum(held[t].get(c, 0) for t in range(TABLES) for c in orders[t][:, :n].ravel().tolist())
+                return n, looked / (len(queries) * len(sample))
             n *= 2
-        if most >= 3 ** tables.hashes:
+        if most == limit:
             return None
-        most = min(limit, most * 4)
-    return None
+        n, most = most, most * 4
+
+
+def fitted_tables(sample: np.ndarray, dims: int, n: int, k: int) -> tuple[Tables, int] | None:
+    """The tables and probes of least work for n vectors whose recall on the sample reaches AIM; None if none does."""
+    best = None
+    for hashes in range(1, max(2, round(np.log2(max(n, 2) / CELL_ROWS) / HASH_BITS)) + 1):
+        tables = Tables(dims, hashes)
+        fitted = fitted_probes(tables, sample, k)
+        if fitted is None:
+            continue
+        work = fitted[1] * n + TABLES * fitted[0] * PROBE_ROWS
+        if best is None or work < best[0]:
+            best = work, tables, fitted[0]
+    return best and best[1:]
+
+
+ANSWER = "query_id long, vec_id long, score double"
 
 
 def nearest(
     vectors: DataFrame, queries_where: str = "vec_id % 50 = 0", k: int = 5, key: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query by cosine, ties to the smaller vec_id.
+    """(query_id, rank, vec_id, score, found_by): the k nearest found of each query by cosine, ties to the smaller vec_id.
 
-    Queries are the usable rows that the condition on vec_id picks. Rows of the query's own
-    vec_id are no candidates; repeated rows are one candidate. A query which found fewer than
-    k looks at all vectors, in blocks, and so do all queries where probing would not reach AIM
-    or costs more. No usable vectors give no rows.
+    Queries are the usable rows that the condition on vec_id picks. A query's own row is no
+    candidate; of rows with one vec_id the one of the least vector counts. Other columns are
+    not read, whatever their names; vectors may be of any length. found_by is `probes`, or
+    `blocks` for a query which found fewer than k and so was compared with all vectors (all
+    queries, where no fit reaches AIM). No usable vectors give no rows.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
-    sizes = rows.groupBy(F.size("vec").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
+    sizes = rows.groupBy(F.size("vec").alias("dims")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dims").limit(1).collect()
     if not sizes:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, n = sizes[0]["dims"], sizes[0]["count"]
-    rows = written(rows.where(F.size("vec") == dims), "vectors")
-    hashes = max(2, round(np.log2(max(n, 2) / CELL_ROWS) / HASH_BITS))
-    tables = Tables(dims, hashes)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, found_by string")
+    dims = sizes[0]["dims"]
+    rows = written(rows.where(F.size("vec") == dims).groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
+    n = rows.count()
     sample = rows.select("vec").where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n // SAMPLE))) == 0).limit(SAMPLE)
     sample = _unit(np.array([r["vec"] for r in sample.collect()], np.float64).reshape(-1, dims))
-    probes = fitted_probes(tables, sample, k, n // (TABLES * PROBE_ROWS))
-    queries = rows.where(queries_where).dropDuplicates(["vec_id"])
-    if probes is None:
-        exact = _merged(_all_blocks(rows, written(queries, "queries"), dims, n, k), k)
-        return exact.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
-    found = written(_merged(_search(rows, queries, tables, dims, n, probes, k), k), "nearest")
-    short = queries.join(found.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
-    short = written(short, "short")
+    fitted = fitted_tables(sample, dims, n, k) if len(sample) else None
+    queries = written(rows.where(queries_where), "queries")
+    if fitted is None:
+        return _finished(_merged(_all_blocks(rows, queries, dims, n, k), k), "blocks")
+    found = written(_merged(_search(rows, queries, *fitted, dims, n, k), k), "nearest")
+    enough = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    short = written(queries.join(enough, "vec_id", "left_anti"), "short")
     rest = _merged(_all_blocks(rows, short, dims, n, k), k)
     done = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
-    return done.unionByName(rest).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return _finished(done, "probes").unionByName(_finished(rest, "blocks"))
+
+
+def _finished(ranked: DataFrame, found_by: str) -> DataFrame:
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score", F.lit(found_by).alias("found_by"))
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", place).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", place).where(F.col("rank") <= k)
 
 
-def _search(rows: DataFrame, queries: DataFrame, tables: Tables, dims: int, n: int, probes: int, k: int) -> DataFrame:
+def _tops(
+    query: np.ndarray, query_ids: np.ndarray, vecs: np.ndarray, ids: np.ndarray, k: int,
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query's place, ids, scores) of the k best of the vectors, the query's own row aside.
+
+    Matrix products name the candidates, with all that could be among the k best but for
+    rounding; their scores are the same exact cosines everywhere.
+    """
+    columns, step = _unit(vecs).T, max(1, BLOCK_NUMBERS // len(ids))
+    cut = max(len(ids) - k, 0)
+    for i in range(0, len(query), step):
+        near = _unit(query[i:i + step]) @ columns
+        near[query_ids[i:i + step, None] == ids[None]] = -np.inf
+        edges = np.partition(near, cut, axis=1)[:, cut] - ROUNDING
+        for j in range(len(near)):
+            at = np.flatnonzero((near[j] >= edges[j]) & (near[j] > -np.inf))
+            row = cosines(query[i + j][None], vecs[at])[0]
+            top = _best(row, ids[at], k)
+            yield i + j, ids[at][top], row[top]
+
+
+def _answer(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+    sizes = [len(ids) for _, ids, _ in found]
+    parts = ([q for q, _, _ in found], [i for _, i, _ in found], [s for _, _, s in found])
+    return pa.table({
+        "query_id": np.repeat(np.array(parts[0], np.int64), sizes),
+        "vec_id": np.concatenate(parts[1]) if found else np.zeros(0, np.int64),
+        "score": np.concatenate(parts[2]) if found else np.zeros(0),
+    })
+
+
+def _search(rows: DataFrame, queries: DataFrame, tables: Tables, probes: int, dims: int, n: int, k: int) -> DataFrame:
     groups = max(1, -(-n * TABLES // GROUP_ROWS))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             unit = _unit(_matrix(batch.column(1), dims))
-            cells = [pa.array(tables.cells(np.floor(tables.places(unit, t)), t)) for t in range(TABLES)]
-            for c in cells:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), c], names=["vec_id", "vec", "cell"])
+            for t in range(TABLES):
+                cells = pa.array(tables.cells(np.floor(tables.places(unit, t)), t))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cells], names=["vec_id", "vec", "cell"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit = _unit(_matrix(batch.column(1), dims))
-            for i in range(len(unit)):
-                cells = np.unique(np.concatenate([tables.probes(unit[i], t, probes) for t in range(TABLES)]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(batch.column(0).to_numpy(False)[i], len(cells))), pa.array(cells),
-                ], names=["query_id", "cell"])
-
-    points = rows.mapInArrow(index, "vec_id long, vec array<double>, cell long")
-    full = points.groupBy("cell").count().where(f"count > {GROUP_ROWS}").select(
-        "cell", F.ceil(F.col("count") / GROUP_ROWS).cast("int").alias("parts")
-    )
-    full = written(full, "full_cells")
-    parts = F.coalesce("parts", F.lit(1))
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                unit = _unit(_matrix(part.column(1), dims))
+                for t in range(TABLES):
+                    cells = tables.probes(unit, t, probes)
+                    ids = np.repeat(part.column(0).to_numpy(False), cells.shape[1])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(cells.ravel())], names=["query_id", "cell"])
+
+    points = written(rows.mapInArrow(index, "vec_id long, vec array<double>, cell long"), "points")
+    sizes = points.groupBy("cell").agg(F.count("*").alias("held"))
+    sizes = written(sizes.select("cell", F.ceil(F.col("held") / GROUP_ROWS).cast("int").alias("parts")), "cells")
     group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).cast("int").alias("grp")
-    points = points.join(full, "cell", "left").withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")).select(
-        group, "cell", "vec_id", "vec"
-    )
-    visits = queries.mapInArrow(visit, "query_id long, cell long").join(full, "cell", "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    visits = visits.groupBy("query_id", group).agg(F.collect_set("cell").alias("cells")).join(
-        queries.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query")), "query_id"
+    full = sizes.where("parts > 1")
+    points = points.join(full, "cell", "left").withColumn(
+        "part", F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1))).cast("int")
+    ).select(group, "cell", "vec_id", "vec")
+    # Cells without a vector are left out here, before anything is grouped.
+    visits = queries.mapInArrow(visit, "query_id long, cell long").join(sizes, "cell").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
+    visits = written(visits.groupBy("query_id", group).agg(F.collect_set("cell").alias("cells")), "visits")
     # Many queries of one group go to several tasks, which all get its vectors.
-    rounds = max(1, -(-queries.count() // GROUP_ROWS))
-    visits = visits.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(rounds)).cast("int"))
-    points = points.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    loads = visits.groupBy("grp").agg(F.count("*").alias("asked")).where(f"asked > {GROUP_ROWS}")
+    loads = written(loads.select("grp", F.ceil(F.col("asked") / GROUP_ROWS).cast("int").alias("rounds")), "loads")
+    rounds = F.coalesce("rounds", F.lit(1))
+    visits = visits.join(loads, "grp", "left").withColumn("turn", F.pmod(F.xxhash64("query_id"), rounds).cast("int")).join(
+        queries.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query")), "query_id"
+    ).select("grp", "turn", "query_id", "cells", "query")
+    points = points.join(loads, "grp", "left").withColumn("turn", F.explode(F.sequence(F.lit(0), rounds - 1))).drop("rounds")
 
     def answer(points: pa.Table, visits: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        if len(points) and len(visits):
-            cells, ids, vecs = points["cell"].to_numpy(), points["vec_id"].to_numpy(), _matrix(points["vec"], dims)
-            order = np.argsort(cells, kind="stable")
-            cells, ids, vecs = cells[order], ids[order], vecs[order]
-            named, starts = np.unique(cells, return_index=True)
-            ends = np.append(starts[1:], len(cells))
-            asks: dict[int, list[int]] = {}
-            for q, wanted in enumerate(visits["cells"].to_pylist()):
-                at = np.searchsorted(named, wanted)
-                for a, w in zip(at, wanted):
-                    if a < len(named) and named[a] == w:
-                        asks.setdefault(int(a), []).append(q)
-            query_ids, query = visits["query_id"].to_numpy(), _matrix(visits["query"], dims)
-            best: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-            for a, who in asks.items():
-                own = ids[starts[a]:ends[a]]
-                scores = cosines(query[who], vecs[starts[a]:ends[a]])
-                scores[own[None] == query_ids[who][:, None]] = -np.inf
-                for row, q in zip(scores, who):
-                    top = _best(row, own, k + 1)
-                    top = top[row[top] > -np.inf]
-                    best.setdefault(q, []).append((own[top], row[top]))
-            for q, found in best.items():
-                near, score = (np.concatenate(x) for x in zip(*found))
-                near, first = np.unique(near, return_index=True)
-                score = score[first]
-                top = _best(score, near, k)
-                out[0].append(np.repeat(query_ids[q], len(top)))
-                out[1].append(near[top])
-                out[2].append(score[top])
-        made = [np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(out, (np.int64, np.int64, np.float64))]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), made)))
-
-    return points.groupBy("grp", "turn").cogroup(visits.groupBy("grp", "turn")).applyInArrow(
-        answer, "query_id long, vec_id long, score double"
-    )
+        if not (len(points) and len(visits)):
+            return _answer([])
+        cells, ids, vecs = points["cell"].to_numpy(), points["vec_id"].to_numpy(), _matrix(points["vec"], dims)
+        order = np.argsort(cells, kind="stable")
+        cells, ids, vecs = cells[order], ids[order], vecs[order]
+        named, starts = np.unique(cells, return_index=True)
+        ends = np.append(starts[1:], len(cells))
+        wanted = visits["cells"].combine_chunks()
+        who = np.repeat(np.arange(len(visits)), np.diff(wanted.offsets.to_numpy()))
+        at = np.searchsorted(named, wanted.flatten().to_numpy(zero_copy_only=False))
+        order = np.argsort(at, kind="stable")
+        who, borders = who[order], np.searchsorted(at[order], np.arange(len(named) + 1))
+        query_ids, query = visits["query_id"].to_numpy(), _matrix(visits["query"], dims)
+        best: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for a in range(len(named)):
+            asking = who[borders[a]:borders[a + 1]]
+            own = slice(starts[a], ends[a])
+            for q, near, score in _tops(query[asking], query_ids[asking], vecs[own], ids[own], k) if len(asking) else ():
+                best.setdefault(int(asking[q]), []).append((near, score))
+        found = []
+        for q, parts in best.items():
+            near, score = (np.concatenate(x) for x in zip(*parts))
+            near, first = np.unique(near, return_index=True)
+            top = _best(score[first], near, k)
+            found.append((query_ids[q], near[top], score[first][top]))
+        return _answer(found)
+
+    return points.groupBy("grp", "turn").cogroup(visits.groupBy("grp", "turn")).applyInArrow(answer, ANSWER)
 
 
 def _all_blocks(rows: DataFrame, queries: DataFrame, dims: int, n: int, k: int) -> DataFrame:
-    """The nearest of all vectors: queries and vectors in blocks, each pair of blocks one group.
-
-    Matrix products name the candidates, with all that could be among the k best but for
-    rounding; their scores are the same exact cosines as elsewhere.
-    """
+    """The nearest of all vectors: queries and vectors in blocks, each pair of blocks one group."""
     row_blocks = max(BLOCKS, -(-n * dims // BLOCK_NUMBERS))
     query_blocks = max(1, -(-queries.count() * dims // BLOCK_NUMBERS))
     block = lambda c, b: F.pmod(F.xxhash64(c), F.lit(b)).cast("int")
@@ -298,28 +358,10 @@ def _all_blocks(rows: DataFrame, queries: DataFrame, dims: int, n: int, k: int)
     )
 
     def answer(points: pa.Table, asks: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        if len(points) and len(asks):
-            ids, vecs = points["vec_id"].to_numpy(), _matrix(points["vec"], dims)
-            ids, first = np.unique(ids, return_index=True)
-            vecs = vecs[first]
-            query_ids, query = asks["query_id"].to_numpy(), _matrix(asks["query"], dims)
-            columns, step = _unit(vecs).T, max(1, BLOCK_NUMBERS // len(ids))
-            for i in range(0, len(query), step):
-                near = _unit(query[i:i + step]) @ columns
-                near[query_ids[i:i + step, None] == ids[None]] = -np.inf
-                cut = max(len(ids) - k, 0)
-                edges = np.partition(near, cut, axis=1)[:, cut] - ROUNDING
-                for j, q in enumerate(query_ids[i:i + step]):
-                    at = np.flatnonzero((near[j] >= edges[j]) & (near[j] > -np.inf))
-                    row = cosines(query[i + j][None], vecs[at])[0]
-                    top = _best(row, ids[at], k)
-                    out[0].append(np.repeat(q, len(top)))
-                    out[1].append(ids[at][top])
-                    out[2].append(row[top])
-        made = [np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(out, (np.int64, np.int64, np.float64))]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), made)))
-
-    return points.groupBy("grp", "turn").cogroup(asks.groupBy("grp", "turn")).applyInArrow(
-        answer, "query_id long, vec_id long, score double"
-    )
+        if not (len(points) and len(asks)):
+            return _answer([])
+        query_ids = asks["query_id"].to_numpy()
+        tops = _tops(_matrix(asks["query"], dims), query_ids, _matrix(points["vec"], dims), points["vec_id"].to_numpy(), k)
+        return _answer([(query_ids[q], ids, scores) for q, ids, scores in tops])
+
+    return points.groupBy("grp", "turn").cogroup(asks.groupBy("grp", "turn")).applyInArrow(answer, ANSWER)

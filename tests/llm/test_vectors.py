@@ -54,26 +54,55 @@ def test_clusters_hot_vectors_and_ties(spark, monkeypatch):
     assert hit >= 0.9 * 5 * len(want)
 
 
-def test_all_vectors_are_compared_where_probes_do_not_find_enough(spark):
+def recall(got, want):
+    return sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def test_random_vectors_are_found_by_probes(spark):
     draw = np.random.default_rng(3)
-    # As many hashes as for millions of vectors.
-    sample = ann._unit(draw.standard_normal((1500, 64)))
-    assert ann.fitted_probes(ann.Tables(64, 10), sample, 5, limit=1024) is None
-    rows = [(i, draw.standard_normal(64).astype(np.float32).tolist(), 0) for i in range(3000)]
-    assert answers(ann.nearest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
-
-
-def test_probes_where_they_find_enough(spark, monkeypatch):
-    monkeypatch.setattr(ann, "PROBE_ROWS", 1)
-    looked = []
-    search = ann._search
-    monkeypatch.setattr(ann, "_search", lambda *a: looked.append(a[5]) or search(*a))
+    rows = [(i, draw.standard_normal(64).astype(np.float32).tolist(), 0) for i in range(6000)]
+    found = ann.nearest(spark.createDataFrame(rows, SCHEMA)).cache()
+    assert {r["found_by"] for r in found.collect()} == {"probes"}
+    assert recall(answers(found), brute(rows)) >= 0.9
+
+
+def test_the_fit_narrows_cells_where_vectors_have_structure():
     draw = np.random.default_rng(4)
-    centres = draw.standard_normal((20, 16))
-    rows = [(i, (centres[i % 20] + 0.02 * draw.standard_normal(16)).astype(np.float32).tolist(), 0) for i in range(900)]
-    want, got = brute(rows), answers(ann.nearest(spark.createDataFrame(rows, SCHEMA)))
-    assert len(looked) == 1
-    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+    centres = draw.standard_normal((500, 16))
+    tight = ann._unit(centres[draw.integers(0, 500, 6000)] + 0.02 * draw.standard_normal((6000, 16)))
+    loose = ann._unit(draw.standard_normal((6000, 64)))
+    tables, probes = ann.fitted_tables(tight, 16, 10_000_000, 5)
+    assert tables.hashes >= 8 and ann.fitted_probes(tables, tight, 5)[1] < 0.05
+    tables, probes = ann.fitted_tables(loose, 64, 200_000, 5)
+    assert ann.fitted_probes(tables, loose, 5)[0] == probes
+
+
+def test_queries_short_of_k_are_compared_with_all_vectors(spark):
+    draw = np.random.default_rng(5)
+    centre = draw.standard_normal(16)
+    rows = [(i, (centre + 0.01 * draw.standard_normal(16)).astype(np.float32).tolist(), 0) for i in range(1, 4000) if i % 50]
+    rows.append((50, (-centre).astype(np.float32).tolist(), 0))  # its neighbours are all at the other side
+    found = ann.nearest(spark.createDataFrame(rows, SCHEMA))
+    assert answers(found) == brute(rows)
+
+
+def test_where_no_fit_reaches_the_aim_all_vectors_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(ann, "AIM", 1.1)
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(8).astype(np.float32).tolist(), 0) for i in range(600)]
+    found = ann.nearest(spark.createDataFrame(rows, SCHEMA))
+    assert {r["found_by"] for r in found.collect()} == {"blocks"} and answers(found) == brute(rows)
+
+
+def test_long_vectors_clashing_names_and_rows_of_one_id(spark):
+    draw = np.random.default_rng(7)
+    rows = [(i, draw.standard_normal(3000).astype(np.float32).tolist(), 0) for i in range(120)]
+    plain = spark.createDataFrame(rows, SCHEMA)
+    want = answers(ann.nearest(plain))
+    more = plain.selectExpr("*", "1 AS vec", "2 AS cell", "3 AS grp", "4 AS turn", "5 AS query_id", "6 AS part", "7 AS rounds")
+    assert answers(ann.nearest(more.union(more))) == want == brute(rows)
+    two = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [1.0, 0.0], 0)], SCHEMA)
+    assert answers(ann.nearest(two)) == {0: [(1, 0.0)]}  # the least vector of id 1
 
 
 def test_vectors_that_take_no_part_and_few_vectors(spark):
@@ -91,3 +120,14 @@ def test_probes_come_by_estimated_success():
     assert len(steps) == 27 and len({tuple(s) for s in steps}) == 27
     costs = [sum((b if s < 0 else 1 - b) ** 2 for b, s in zip(below, step) if s) for step in steps]
     assert costs == sorted(costs)
+
+
+def test_listed_cells_come_in_the_order_of_the_heap():
+    draw = np.random.default_rng(8)
+    tables, x = ann.Tables(12, 5), ann._unit(draw.standard_normal((20, 12)))
+    place = tables.places(x, 0)
+    home = np.floor(place)
+    got = tables.probes(x, 0, 100)
+    for i in range(20):
+        steps = np.array(list(ann.perturbations(place[i] - home[i], 100)))
+        assert got[i].tolist() == tables.cells(home[i] + steps, 0).tolist()
