@@ -6,11 +6,10 @@ their estimated success: the distances from the query to the borders that a cell
 behind, squared and summed, least first. Candidates from all tables are ranked again by
 exact cosines.
 
-K, the numbers a hash, and the number of visited cells are fitted on a bounded sample: of all K up to
-one whose cells would hold CELL_ROWS vectors, with as many cells as its recall there needs, the pair of
-least work. Fewer numbers make wider cells, so vectors without structure are found as well, only that a
-query then looks at much of the table. Near vectors of the sample lie farther off than those of the table,
-so the table's recall is no worse. A query that finds fewer than k is compared with all vectors, in blocks;
+K, the numbers a hash, and the number of visited cells are fitted on the true neighbours, in the whole
+table, of a bounded number of queries: of all K up to one whose cells would hold CELL_ROWS vectors, with as
+many cells as the recall aimed at needs, the pair of least work. Fewer numbers make wider cells, so vectors
+without structure are found as well, only that a query then looks at much of the table. A query that finds fewer than k is compared with all vectors, in blocks;
 so are all queries where no K reaches the recall aimed at. Cells are dealt to groups of about GROUP_ROWS
 vectors; a fuller cell is split over several groups and its queries visit all parts, so no cap applies.
 Each group answers a query with its best vectors only: no pair of candidates is shuffled.
@@ -32,10 +31,10 @@ U64 = np.uint64
 TABLES, WIDTH = 2, 2.0
 #: Vectors aimed at in a cell (at the entropy of a hash, in bits) and in a group.
 CELL_ROWS, HASH_BITS, GROUP_ROWS = 64, 1.6, 4096
-#: Vectors and queries of the sample on which the number of probes is fitted, and the recall it must show there.
+#: Vectors by which the fullness of cells is judged, queries on which probes are fitted, and the recall they must show.
 SAMPLE, SAMPLE_QUERIES, AIM = 6000, 100, 0.97
 #: Vectors that can be compared in the time of one visit to a cell, and most cells that the fit tries a table.
-PROBE_ROWS, MOST_PROBES = 300, 2048
+PROBE_ROWS, MOST_PROBES = 30, 2048
 #: Most hashes a table whose neighbouring cells are listed as a whole and sorted; beyond, they come off a heap.
 LISTED = 8
 #: Pairs whose products are held at a time.
@@ -124,6 +123,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _cosines_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All cosines of two sets of rows, each by the same sequence of operations wherever its rows stand."""
     out = np.empty((len(a), len(b)))
@@ -134,16 +137,6 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best by score, ties to the smaller id."""
-    if len(scores) > k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= edge)
-    else:
-        at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))][:k]
-
-
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(vec_id, vec) of the rows that take part: finite, not zero, of the most frequent dimension, with a key."""
     v = F.col(vector).cast("array<double>")
@@ -154,51 +147,52 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.exists("vec", lambda x: x != 0))
 
 
-def fitted_probes(tables: Tables, sample: np.ndarray, k: int) -> tuple[int, float] | None:
-    """The least number of probes a table, doubled from 1, whose recall on the sample reaches AIM, and the share of
-    the sample they look at. None if the probes tried do not suffice.
+def fitted_probes(tables: Tables, asked: np.ndarray, near: np.ndarray, sample: np.ndarray) -> tuple[int, float] | None:
+    """The least number of probes a table, doubled from 1, which finds the share AIM of the neighbours, and the
+    share of the table, judged by the sample, that a query then looks at. None if the probes tried do not suffice.
+
+    asked and near: a row a pair of a query and one of its true neighbours, unit vectors both.
     """
-    queries = sample[:SAMPLE_QUERIES]
-    truth = queries @ sample.T
-    truth[np.arange(len(queries)), np.arange(len(queries))] = -2
-    near = np.argsort(-truth, axis=1)[:, :k]
-    cells = [tables.cells(np.floor(tables.places(sample, t)), t) for t in range(TABLES)]
-    held = [dict(zip(*(x.tolist() for x in np.unique(c, return_counts=True)))) for c in cells]
-    most, limit = 256, min(3 ** tables.hashes, MOST_PROBES)
-    n = 1
+    queries, who = np.unique(asked, axis=0, return_inverse=True)
+    who = who.reshape(-1)
+    cells = [tables.cells(np.floor(tables.places(near, t)), t) for t in range(TABLES)]
+    held = [np.unique(tables.cells(np.floor(tables.places(sample, t)), t), return_counts=True) for t in range(TABLES)]
+    limit = min(3 ** tables.hashes, MOST_PROBES)
+    n, most = 1, min(256, limit)
     while True:
-        most = min(most, limit)
         orders = [tables.probes(queries, t, most) for t in range(TABLES)]
-        ranks = np.full(near.shape, most)
+        ranks = np.full(len(near), most)
         for t in range(TABLES):
-            same = cells[t][near][:, :, None] == orders[t][:, None]
-            ranks = np.minimum(ranks, np.where(same.any(axis=2), same.argmax(axis=2), most))
-        while n < 2 * most:
-            if (ranks < min(n, most)).mean() >= AIM:
-                n = min(n, most)
-                looked = sum(held[t].get(c, 0) for t in range(TABLES) for c in orders[t][:, :n].ravel().tolist())
+            same = cells[t][:, None] == orders[t][who]
+            ranks = np.minimum(ranks, np.where(same.any(axis=1), same.argmax(axis=1), most))
+        while True:
+            n = min(n, most)
+            if (ranks < n).mean() >= AIM:
+                looked = sum(held[t][1][np.isin(held[t][0], order)].sum() for t in range(TABLES) for order in orders[t][:, :n])
                 return n, looked / (len(queries) * len(sample))
+            if n == most:
+                break
             n *= 2
         if most == limit:
             return None
-        n, most = most, most * 4
+        n, most = 2 * most, min(4 * most, limit)
 
 
-def fitted_tables(sample: np.ndarray, dims: int, n: int, k: int) -> tuple[Tables, int] | None:
-    """The tables and probes of least work for n vectors whose recall on the sample reaches AIM; None if none does."""
+def fitted_tables(asked: np.ndarray, near: np.ndarray, sample: np.ndarray, n: int) -> tuple[Tables, int] | None:
+    """The tables and probes of least work for n vectors that find the share AIM of the neighbours; None if none do."""
     best = None
-    for hashes in range(1, max(2, round(np.log2(max(n, 2) / CELL_ROWS) / HASH_BITS)) + 1):
-        tables = Tables(dims, hashes)
-        fitted = fitted_probes(tables, sample, k)
-        if fitted is None:
-            continue
-        work = fitted[1] * n + TABLES * fitted[0] * PROBE_ROWS
-        if best is None or work < best[0]:
-            best = work, tables, fitted[0]
+    for hashes in range(2, max(2, round(np.log2(max(n, 2) / CELL_ROWS) / HASH_BITS)) + 1):
+        tables = Tables(sample.shape[1], hashes)
+        fitted = fitted_probes(tables, asked, near, sample)
+        if fitted is not None:
+            work = fitted[1] * n + TABLES * fitted[0] * PROBE_ROWS
+            if best is None or work < best[0]:
+                best = work, tables, fitted[0]
     return best and best[1:]
 
 
 ANSWER = "query_id long, vec_id long, score double"
+EMPTY = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
 
 def nearest(
@@ -220,9 +214,14 @@ def nearest(
     dims = sizes[0]["dims"]
     rows = written(rows.where(F.size("vec") == dims).groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
     n = rows.count()
-    sample = rows.select("vec").where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n // SAMPLE))) == 0).limit(SAMPLE)
-    sample = _unit(np.array([r["vec"] for r in sample.collect()], np.float64).reshape(-1, dims))
-    fitted = fitted_tables(sample, dims, n, k) if len(sample) else None
+    picked = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n // SAMPLE))) == 0).limit(SAMPLE).collect()
+    sample = _unit(np.array([r["vec"] for r in picked], np.float64).reshape(-1, dims))
+    asked = spark.createDataFrame([(r["vec_id"], r["vec"]) for r in picked[:SAMPLE_QUERIES]], rows.schema)
+    near = _merged(_all_blocks(rows, asked, dims, n, k), k).join(rows, "vec_id").select("query_id", "vec").join(
+        F.broadcast(asked.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"))), "query_id"
+    ).select("query", "vec").collect() if picked else []
+    pairs = [_unit(np.array([r[c] for r in near], np.float64).reshape(-1, dims)) for c in ("query", "vec")]
+    fitted = fitted_tables(*pairs, sample, n) if near else None
     queries = written(rows.where(queries_where), "queries")
     if fitted is None:
         return _finished(_merged(_all_blocks(rows, queries, dims, n, k), k), "blocks")
@@ -243,35 +242,36 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
     return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", place).where(F.col("rank") <= k)
 
 
-def _tops(
-    query: np.ndarray, query_ids: np.ndarray, vecs: np.ndarray, ids: np.ndarray, k: int,
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query's place, ids, scores) of the k best of the vectors, the query's own row aside.
-
-    Matrix products name the candidates, with all that could be among the k best but for
-    rounding; their scores are the same exact cosines everywhere.
+def _candidates(query: np.ndarray, query_ids: np.ndarray, vecs: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the query, place of the vector): all that could be among a query's k best but for rounding, by
+    matrix products; the query's own row aside.
     """
-    columns, step = _unit(vecs).T, max(1, BLOCK_NUMBERS // len(ids))
-    cut = max(len(ids) - k, 0)
+    out = []
+    columns, step, cut = _unit(vecs).T, max(1, BLOCK_NUMBERS // len(ids)), max(len(ids) - k, 0)
     for i in range(0, len(query), step):
         near = _unit(query[i:i + step]) @ columns
         near[query_ids[i:i + step, None] == ids[None]] = -np.inf
         edges = np.partition(near, cut, axis=1)[:, cut] - ROUNDING
-        for j in range(len(near)):
-            at = np.flatnonzero((near[j] >= edges[j]) & (near[j] > -np.inf))
-            row = cosines(query[i + j][None], vecs[at])[0]
-            top = _best(row, ids[at], k)
-            yield i + j, ids[at][top], row[top]
-
-
-def _answer(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
-    sizes = [len(ids) for _, ids, _ in found]
-    parts = ([q for q, _, _ in found], [i for _, i, _ in found], [s for _, _, s in found])
-    return pa.table({
-        "query_id": np.repeat(np.array(parts[0], np.int64), sizes),
-        "vec_id": np.concatenate(parts[1]) if found else np.zeros(0, np.int64),
-        "score": np.concatenate(parts[2]) if found else np.zeros(0),
-    })
+        q, v = np.nonzero((near >= edges[:, None]) & (near > -np.inf))
+        out.append((q + i, v))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _ranked(query: np.ndarray, query_ids: np.ndarray, vecs: np.ndarray, ids: np.ndarray, pairs: list, k: int) -> pa.Table:
+    """The k best of each query's candidates by exact cosines, ties to the smaller id, each id once."""
+    q, v = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, int),) * 2
+    scores = np.empty(len(q))
+    step = max(1, BLOCK_NUMBERS // vecs.shape[1])
+    for i in range(0, len(q), step):
+        scores[i:i + step] = _cosines_of_pairs(query[q[i:i + step]], vecs[v[i:i + step]])
+    near = ids[v]
+    order = np.lexsort((near, -scores, q))
+    q, near, scores = q[order], near[order], scores[order]
+    once = np.ones(len(q), bool)
+    once[1:] = (q[1:] != q[:-1]) | (near[1:] != near[:-1])
+    q, near, scores = q[once], near[once], scores[once]
+    top = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return pa.table({"query_id": query_ids[q[top]], "vec_id": near[top], "score": scores[top]})
 
 
 def _search(rows: DataFrame, queries: DataFrame, tables: Tables, probes: int, dims: int, n: int, k: int) -> DataFrame:
@@ -318,7 +318,7 @@ def _search(rows: DataFrame, queries: DataFrame, tables: Tables, probes: int, di
 
     def answer(points: pa.Table, visits: pa.Table) -> pa.Table:
         if not (len(points) and len(visits)):
-            return _answer([])
+            return EMPTY
         cells, ids, vecs = points["cell"].to_numpy(), points["vec_id"].to_numpy(), _matrix(points["vec"], dims)
         order = np.argsort(cells, kind="stable")
         cells, ids, vecs = cells[order], ids[order], vecs[order]
@@ -330,19 +330,14 @@ def _search(rows: DataFrame, queries: DataFrame, tables: Tables, probes: int, di
         order = np.argsort(at, kind="stable")
         who, borders = who[order], np.searchsorted(at[order], np.arange(len(named) + 1))
         query_ids, query = visits["query_id"].to_numpy(), _matrix(visits["query"], dims)
-        best: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        pairs = []
         for a in range(len(named)):
             asking = who[borders[a]:borders[a + 1]]
-            own = slice(starts[a], ends[a])
-            for q, near, score in _tops(query[asking], query_ids[asking], vecs[own], ids[own], k) if len(asking) else ():
-                best.setdefault(int(asking[q]), []).append((near, score))
-        found = []
-        for q, parts in best.items():
-            near, score = (np.concatenate(x) for x in zip(*parts))
-            near, first = np.unique(near, return_index=True)
-            top = _best(score[first], near, k)
-            found.append((query_ids[q], near[top], score[first][top]))
-        return _answer(found)
+            if len(asking):
+                own = slice(starts[a], ends[a])
+                q, v = _candidates(query[asking], query_ids[asking], vecs[own], ids[own], k)
+                pairs.append((asking[q], v + starts[a]))
+        return _ranked(query, query_ids, vecs, ids, pairs, k)
 
     return points.groupBy("grp", "turn").cogroup(visits.groupBy("grp", "turn")).applyInArrow(answer, ANSWER)
 
@@ -359,9 +354,9 @@ def _all_blocks(rows: DataFrame, queries: DataFrame, dims: int, n: int, k: int)
 
     def answer(points: pa.Table, asks: pa.Table) -> pa.Table:
         if not (len(points) and len(asks)):
-            return _answer([])
-        query_ids = asks["query_id"].to_numpy()
-        tops = _tops(_matrix(asks["query"], dims), query_ids, _matrix(points["vec"], dims), points["vec_id"].to_numpy(), k)
-        return _answer([(query_ids[q], ids, scores) for q, ids, scores in tops])
+            return EMPTY
+        query, query_ids = _matrix(asks["query"], dims), asks["query_id"].to_numpy()
+        vecs, ids = _matrix(points["vec"], dims), points["vec_id"].to_numpy()
+        return _ranked(query, query_ids, vecs, ids, [_candidates(query, query_ids, vecs, ids, k)], k)
 
     return points.groupBy("grp", "turn").cogroup(asks.groupBy("grp", "turn")).applyInArrow(answer, ANSWER)

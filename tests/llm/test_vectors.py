@@ -66,15 +66,21 @@ def test_random_vectors_are_found_by_probes(spark):
     assert recall(answers(found), brute(rows)) >= 0.9
 
 
+def pairs(x, k=5):
+    near = x[:100] @ x.T
+    near[np.arange(100), np.arange(100)] = -2
+    return np.repeat(x[:100], k, axis=0), x[np.argsort(-near, axis=1)[:, :k].ravel()]
+
+
 def test_the_fit_narrows_cells_where_vectors_have_structure():
     draw = np.random.default_rng(4)
     centres = draw.standard_normal((500, 16))
     tight = ann._unit(centres[draw.integers(0, 500, 6000)] + 0.02 * draw.standard_normal((6000, 16)))
     loose = ann._unit(draw.standard_normal((6000, 64)))
-    tables, probes = ann.fitted_tables(tight, 16, 10_000_000, 5)
-    assert tables.hashes >= 8 and ann.fitted_probes(tables, tight, 5)[1] < 0.05
-    tables, probes = ann.fitted_tables(loose, 64, 200_000, 5)
-    assert ann.fitted_probes(tables, loose, 5)[0] == probes
+    tables, probes = ann.fitted_tables(*pairs(tight), tight, 10_000_000)
+    assert tables.hashes >= 8 and ann.fitted_probes(tables, *pairs(tight), tight)[1] < 0.05
+    tables, probes = ann.fitted_tables(*pairs(loose), loose, 200_000)
+    assert ann.fitted_probes(tables, *pairs(loose), loose)[0] == probes
 
 
 def test_queries_short_of_k_are_compared_with_all_vectors(spark):
