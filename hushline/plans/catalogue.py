@@ -24,7 +24,8 @@ from hushline.operators.spoken import Turn
 from hushline.plans.job import redact_with_lookups
 from hushline.rules import DEFAULT_RULES, Rules
 from hushline.sources.calls import QUESTIONS, SCENARIOS, call_transcripts, call_turns
-from hushline.sources.sinks import output_rows
+from hushline.sources.scratch import shared_path
+from hushline.sources.sinks import output_rows, write_rows
 from hushline.sources.transcripts import (
     assemble_transcripts, explode_turns, parse_transcripts, quarantined, select_rows,
 )
@@ -459,6 +460,15 @@ def output(spark, sf_dir):
     return output_rows(_redacted_calls(spark, sf_dir)).drop("load_dt")
 
 
+def append_rerun(spark, sf_dir):
+    """Loads that overlap: the calls before 1996, all calls, and all of them again; what the target then holds."""
+    rows = output_rows(_redacted_calls(spark, sf_dir)).withColumn("year", F.year("file_date"))
+    target = shared_path(spark, "append_rerun")
+    for load in (rows.where("file_date < date'1996-01-01'"), rows, rows):
+        write_rows(load, target, mode="append", partition_by=("year",), skip_loaded=True)
+    return spark.read.schema(rows.schema).parquet(target).drop("load_dt")
+
+
 def record_count(spark, sf_dir):
     """Records a day, and the length of what is written: a count alone would not need the redaction."""
     rows = output_rows(_redacted_calls(spark, sf_dir))
@@ -533,6 +543,7 @@ def queries() -> dict[str, Query]:
         "audit_keyed": audit_keyed,
         "audit_summary": audit_summary,
         "output_rows": output,
+        "append_rerun": append_rerun,
         "record_count": record_count,
         "setting_quality": partial(_report, analytics.setting_quality),
         "setting_flag_rates": partial(_report, analytics.setting_flag_rates),

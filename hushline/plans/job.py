@@ -35,6 +35,8 @@ class Job:
     mode: str = "overwrite"
     partition_by: tuple[str, ...] = ()
     only_touched_partitions: bool = False
+    #: In mode append: rows which the target holds already, but for the time of the load, are not written again.
+    skip_loaded: bool = False
     #: Source column names, by role.
     columns: dict[str, str] = field(default_factory=dict)
     #: Target column names, by role; a role left out keeps its own name.
@@ -67,6 +69,8 @@ class Job:
                 "condition": processing.get("condition", "1=1"),
                 "limit": processing.get("limit"),
                 "batch_size": processing.get("batch_size"),
+                "mode": processing.get("mode", "overwrite"),
+                "skip_loaded": processing.get("skip_loaded", False),
                 "columns": dict(tables["source"].get("columns", {})),
                 "target_columns": dict(tables["target"].get("columns", {})),
                 "names": (tables.get("names") or {}).get("name"),
@@ -148,6 +152,7 @@ def run_job(
         redacted_output(spark, job, rules, model), job.target, format=job.target_format, mode=job.mode,
         partition_by=job.partition_by, only_touched_partitions=job.only_touched_partitions,
         batch_size=job.batch_size, options=job.target_options,
+        skip_loaded=job.skip_loaded, ignore=(job.target_columns.get("load_dt", "load_dt"),),
     )
     if quarantine_target is not None:
         unread = quarantined(read_and_parse(spark, job), "transaction_id", "transaction_identifier", "file_date")

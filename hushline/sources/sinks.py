@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from hushline.operators.audit import audit_string
 from hushline.operators.redaction import transcript_json
@@ -26,6 +27,49 @@ def output_rows(redacted: DataFrame, rules: Rules = DEFAULT_RULES, load_dt: Colu
     )
 
 
+def content_digest(columns: list[str]) -> Column:
+    """One digest for all values of a row, nulls and microseconds included."""
+    moment = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": moment + "XXX", "timestampNTZFormat": moment}
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), options), 256)
+
+
+def not_loaded(rows: DataFrame, loaded: DataFrame, ignore: tuple[str, ...] = ("load_dt",), partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows which ``loaded`` does not hold yet, so that a load can be repeated (A10).
+
+    A row is there if all its values are, but for those of the columns to ignore (the time
+    of the load); a null equals a null. Rows that are equal among themselves all stay. With
+    ``partition_by`` only partitions of ``loaded`` from the least to the greatest value of the
+    rows are read; digests alone are compared, and a row which comes very often is split by
+    the skew join.
+    """
+    compared = sorted(set(rows.columns) - set(ignore))
+    for c in partition_by:
+        # Scalar subqueries, which choose the partitions when the scan starts.
+        least, most = (rows.agg(f(c)).scalar() for f in (F.min, F.max))
+        loaded = loaded.where(F.col(c).isNull() | ((F.col(c) >= least) & (F.col(c) <= most)))
+    digest = "_digest"
+    while digest in rows.columns:
+        digest += "_"
+    there = loaded.select(content_digest(compared).alias(digest)).distinct()
+    return rows.withColumn(digest, content_digest(compared)).join(there, digest, "left_anti").drop(digest)
+
+
+def _loaded(spark: SparkSession, target: str, format: str, options: dict[str, str], like: DataFrame) -> DataFrame | None:
+    """What the target holds; None if there is none yet. A JDBC table has to be there."""
+    if format == "table":
+        return spark.table(target) if spark.catalog.tableExists(target) else None
+    reader = spark.read.format(format).options(**options)
+    if format == "jdbc":
+        return reader.option("dbtable", target).load()
+    try:
+        return reader.schema(like.schema).load(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_rows(
     rows: DataFrame,
     target: str,
@@ -36,6 +80,8 @@ def write_rows(
     only_touched_partitions: bool = False,
     batch_size: int | None = None,
     options: dict[str, str] | None = None,
+    skip_loaded: bool = False,
+    ignore: tuple[str, ...] = ("load_dt",),
 ) -> int:
     """Write and return the number of rows, counted on the way.
 
@@ -44,9 +90,16 @@ def write_rows(
     ``format='table'`` writes to a table of the session catalogue and creates it if
     needed; a table which is there keeps its schema, partitioning and rights, and rows
     go into it by column name. ``batch_size`` is rows per insert for JDBC, rows per file otherwise.
+    ``skip_loaded`` appends only what is ``not_loaded``: the same load once more adds nothing.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
+    if skip_loaded:
+        if mode != "append":
+            raise ValueError("skip_loaded is for mode append")
+        loaded = _loaded(rows.sparkSession, target, format, options or {}, rows)
+        if loaded is not None:
+            rows = not_loaded(rows, loaded, ignore, partition_by)
     seen = Observation("rows written")
     counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode).options(**(options or {}))
