@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from hushline.functions.rows import explode_items
 from hushline.functions.spans import SPANS_TYPE, merged
@@ -21,7 +21,7 @@ from hushline.operators.redaction import (
 )
 from hushline.operators.registry import SPOKEN
 from hushline.operators.spoken import Turn
-from hushline.plans.job import redact_with_lookups
+from hushline.plans.job import observed_counts, redact_with_lookups
 from hushline.rules import DEFAULT_RULES, Rules
 from hushline.sources.calls import QUESTIONS, SCENARIOS, call_transcripts, call_turns
 from hushline.sources.scratch import shared_path
@@ -469,6 +469,19 @@ def append_rerun(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(target).drop("load_dt")
 
 
+def counts_on_the_way(spark, sf_dir):
+    """Transcripts by status and spans by entity, as seen while calls and messy transcripts are written."""
+    columns = "transaction_id", "transcription"
+    messy = messy_transcripts(spark, sf_dir).withColumn("transaction_id", F.col("conv_id").cast("string"))
+    rows = call_transcripts(spark, sf_dir).select(*columns).unionByName(messy.select(*columns))
+    seen = Observation("counts on the way")
+    done = observed_counts(redact_transcripts(parse_transcripts(rows, keep_original=None)), seen)
+    write_rows(
+        done.select("transaction_id", transcript_json(F.col("redacted")).alias("transcription")), shared_path(spark, "counts_on_the_way")
+    )
+    return spark.createDataFrame([(name, n) for name, n in seen.get.items() if n], "counted string, n long")
+
+
 def record_count(spark, sf_dir):
     """Records a day, and the length of what is written: a count alone would not need the redaction."""
     rows = output_rows(_redacted_calls(spark, sf_dir))
@@ -544,6 +557,7 @@ def queries() -> dict[str, Query]:
         "audit_summary": audit_summary,
         "output_rows": output,
         "append_rerun": append_rerun,
+        "counts_on_the_way": counts_on_the_way,
         "record_count": record_count,
         "setting_quality": partial(_report, analytics.setting_quality),
         "setting_flag_rates": partial(_report, analytics.setting_flag_rates),

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from hushline.operators.lookups import Model, gazetteer_detections, model_detections, name_table
 from hushline.operators.redaction import redact_transcripts
 from hushline.rules import DEFAULT_RULES, Rules
 from hushline.sources.sinks import output_rows, write_rows
-from hushline.sources.transcripts import DEFAULT_FIELDS, explode_turns, parse_transcripts, quarantined, read_transcripts
+from hushline.sources.transcripts import (
+    DEFAULT_FIELDS, STATUSES, explode_turns, parse_transcripts, quarantined, read_transcripts,
+)
 
 
 class JobError(ValueError):
@@ -128,33 +130,68 @@ def redact_with_lookups(
     return redact_transcripts(keyed, rules, found, ("_digest",)).drop("_digest")
 
 
+def _redacted(
+    spark: SparkSession, job: Job, rules: Rules, model: Callable[[], Model] | None,
+) -> DataFrame:
+    names = name_table(spark.table(job.names), job.names_column) if job.names else None
+    return redact_with_lookups(read_and_parse(spark, job), rules, names, model)
+
+
+def _shaped(redacted: DataFrame, job: Job, rules: Rules) -> DataFrame:
+    rows = output_rows(redacted, rules)
+    return rows.withColumnsRenamed({n: to for n, to in job.target_columns.items() if n in rows.columns and n != to})
+
+
 def redacted_output(
     spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES, model: Callable[[], Model] | None = None,
 ) -> DataFrame:
     """The rows the job writes. One stage from scan to write, unless a row cap or lookups are set."""
-    parsed = read_and_parse(spark, job)
-    names = name_table(spark.table(job.names), job.names_column) if job.names else None
-    rows = output_rows(redact_with_lookups(parsed, rules, names, model), rules)
-    renames = {n: to for n, to in job.target_columns.items() if n in rows.columns and n != to}
-    return rows.withColumnsRenamed(renames)
+    return _shaped(_redacted(spark, job, rules, model), job, rules)
+
+
+def observed_counts(redacted: DataFrame, seen: Observation, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The same rows; whatever reads them counts them by status, and their spans by entity, on the way.
+
+    The counts are columns ``status <name>``, ``entity <name>`` and ``entities`` (spans of any entity).
+    """
+    entities = F.flatten(F.transform("redacted", lambda e: F.transform(e["spans"], lambda s: s["entity"])))
+    spans = lambda found: F.coalesce(F.sum(F.coalesce(found, F.lit(0))), F.lit(0))
+    return redacted.withColumn("_entities", entities).observe(
+        seen,
+        *[F.count_if(F.col("status") == s).alias(f"status {s}") for s in STATUSES],
+        *[spans(F.size(F.filter("_entities", lambda x: x == e))).alias(f"entity {e}") for e in sorted(rules.placeholders)],
+        spans(F.when(F.col("_entities").isNotNull(), F.size("_entities"))).alias("entities"),
+    ).drop("_entities")
 
 
 def run_job(
     spark: SparkSession, job: Job, rules: Rules = DEFAULT_RULES, quarantine_target: str | None = None,
-    model: Callable[[], Model] | None = None,
+    model: Callable[[], Model] | None = None, counts: dict[str, int] | None = None,
 ) -> int:
     """Run the job; returns the number of rows written.
 
     With ``quarantine_target`` the ids of unreadable transcripts are written as well. They
-    are found by their status alone; the second scan parses, but redacts nothing.
+    are found by their status alone; the second scan parses, but redacts nothing, and is
+    left out where ``counts`` show that all were read. ``counts`` is filled with what
+    ``observed_counts`` saw during the write. Not with ``skip_loaded``, which reads rows
+    more than once.
     """
+    if counts is not None and job.skip_loaded:
+        raise JobError("counts on the way are those of one pass; skip_loaded takes more")
+    redacted, seen = _redacted(spark, job, rules, model), Observation("what the job saw")
+    if counts is not None:
+        redacted = observed_counts(redacted, seen, rules)
     written = write_rows(
-        redacted_output(spark, job, rules, model), job.target, format=job.target_format, mode=job.mode,
+        _shaped(redacted, job, rules), job.target, format=job.target_format, mode=job.mode,
         partition_by=job.partition_by, only_touched_partitions=job.only_touched_partitions,
         batch_size=job.batch_size, options=job.target_options,
         skip_loaded=job.skip_loaded, ignore=(job.target_columns.get("load_dt", "load_dt"),),
     )
+    if counts is not None:
+        counts.update(seen.get)
     if quarantine_target is not None:
         unread = quarantined(read_and_parse(spark, job), "transaction_id", "transaction_identifier", "file_date")
+        if counts is not None and counts["status ok"] == written:
+            unread = unread.where(F.lit(False))
         write_rows(unread, quarantine_target, format=job.target_format, mode=job.mode)
     return written

@@ -432,6 +432,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT file_date, CAST(k AS VARCHAR) AS transaction_id, 'call-' || k AS transaction_identifier,
               json AS transcription_redacted, coalesce(audit, '') AS redacted_entity, CAST(year(file_date) AS INTEGER) AS year
             FROM keys JOIN whole_calls w ON k = w.conv_id LEFT JOIN audits a ON k = a.conv_id""",
+        "counts_on_the_way": f"""WITH {FOUND}, statuses AS (
+              SELECT 'ok' AS status FROM orders UNION ALL SELECT {_MESSY} FROM (SELECT o_orderkey AS k FROM orders))
+            SELECT 'status ' || status AS counted, count(*) AS n FROM statuses GROUP BY ALL
+            UNION ALL SELECT 'entity ' || entity, count(*) FROM found GROUP BY ALL
+            UNION ALL SELECT 'entities', count(*) FROM found HAVING count(*) > 0""",
         "record_count": f"""WITH {REDACTED} SELECT file_date, count(*) AS records, CAST(sum(length(json)) AS BIGINT) AS characters
             FROM keys JOIN whole_calls w ON k = w.conv_id GROUP BY file_date""",
         "setting_quality": f"""WITH {_SCORES} SELECT setting, round(avg(model_score), 9) AS avg_model_score,

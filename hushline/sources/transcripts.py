@@ -77,6 +77,10 @@ def _mixed_elements(text: Column) -> Column:
     return F.transform(items, element).cast(ELEMENTS_TYPE)
 
 
+#: What ``parse_transcripts`` says of a transcript.
+STATUSES = ("ok", "missing", "unparsable", "not_an_array")
+
+
 def _looks_like_array(text: Column) -> Column:
     return text.rlike(r"(?s)\A\s*\[.*\]\s*\z")
 

@@ -242,6 +242,18 @@ def test_job_from_tables_to_table(spark, sf_dir, tmp_path):
     whole = Job.from_file(str(path), limit=None, target="calls_all")
     assert run_job(spark, whole, rules, quarantine_target="calls_bad") == 1501
     assert [tuple(r)[:2] for r in spark.table("calls_bad").collect()] == [("x1", "bad")]
+    # Counted during the write: the same, and no second scan where all were read.
+    counts = {}
+    assert run_job(spark, whole, rules, quarantine_target="calls_bad", counts=counts) == 1501
+    assert (counts["status ok"], counts["status unparsable"], counts["status missing"]) == (1500, 1, 0)
+    # Spans of entities which this job's placeholders do not name are in the whole number alone.
+    assert counts["entities"] > sum(n for name, n in counts.items() if name.startswith("entity ")) > 1500
+    assert spark.table("calls_bad").count() == 1
+    read = Job.from_file(str(path), limit=None, target="calls_all", condition="transaction_id <> 'x1'")
+    assert run_job(spark, read, rules, quarantine_target="calls_bad", counts=counts) == 1500
+    assert spark.table("calls_bad").count() == 0
+    with pytest.raises(JobError):
+        run_job(spark, Job("calls_in", "calls_all", mode="append", skip_loaded=True), rules, counts={})
     assert spark.table("calls_all").where("transaction_id = 'x1'").first().transcription_redacted is None
 
 
