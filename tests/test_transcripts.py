@@ -249,7 +249,7 @@ def test_job_from_tables_to_table(spark, sf_dir, tmp_path):
     # Spans of entities which this job's placeholders do not name are in the whole number alone.
     assert counts["entities"] > sum(n for name, n in counts.items() if name.startswith("entity ")) > 1500
     assert spark.table("calls_bad").count() == 1
-    read = Job.from_file(str(path), limit=None, target="calls_all", condition="transaction_id <> 'x1'")
+    read = Job.from_file(str(path), limit=None, target="calls_read", condition="transaction_id <> 'x1'")
     assert run_job(spark, read, rules, quarantine_target="calls_bad", counts=counts) == 1500
     assert spark.table("calls_bad").count() == 0
     with pytest.raises(JobError):
