@@ -7,9 +7,10 @@ for each block's root, which are the nodes of the next table. Paths come back do
 way: each block gets the siblings of its root, level by level.
 
 Inside a block the tree is persistent. A tampered leaf makes a version: its ancestors are
-copied, everything else is shared with the tree as it was. The version's block root goes on
-upwards over the siblings of the block's path, so versions above are worked out where their
-leaf is, and no node ever meets all versions below it.
+copied up to the root of all, everything else is shared with the tree as it was. For this a
+block is set into the tree above it: the ancestors of its root with all their children, those
+off the way as digests alone. So versions are made where their leaf is, and no node ever
+meets all versions below it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from hushline.llm.storage import discard, written
 #: Children of a node, levels of a block, and so nodes of a block.
 FAN, HEIGHT = 16, 2
 BLOCK = FAN ** HEIGHT
+#: Signs of a digest.
+DIGITS = 64
 #: A row is tampered with where this divides the checksum of its key.
 TAMPERED = 5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -79,8 +82,22 @@ def siblings(node: Node, levels: int, at: int) -> list[str]:
     return [side for pair in reversed(found) for side in pair]
 
 
+def ancestry(node: Node, path: list[str]) -> tuple[Node, int]:
+    """The root of all with a block's root set in at its place, and the number of that place among the nodes so deep.
+
+    Nodes off the way are digests alone: no version of a leaf in the block changes what is below them.
+    """
+    at = 0
+    for level, (left, right) in enumerate(zip(path[::2], path[1::2])):
+        before, after = ([(side[i:i + DIGITS], ()) for i in range(0, len(side), DIGITS)] for side in (left, right))
+        at += len(before) * FAN ** level
+        children = (*before, node, *after)
+        node = digest_of("".join(c[0] for c in children)), children
+    return node, at
+
+
 def upwards(digest: str, path: list[str]) -> str:
-    """The root over a node, from the siblings on its way."""
+    """The root over a node as one who holds only the siblings on its way works it out; that of its version equals it."""
     for left, right in zip(path[::2], path[1::2]):
         digest = digest_of(left + digest + right)
     return digest
@@ -268,14 +285,15 @@ def manifest(
             levels = min(HEIGHT, levels_of(rows[0]["total"]))
             base = tree([r["digest"] for r in rows], levels)
             beyond = "".join(head["path"])
+            whole, block_at = ancestry(base, head["path"])
+            depth = levels + len(head["path"]) // 2
             proofs, folded = [], []
             for i, row in enumerate(rows):
                 proofs.append(digest_of("".join(siblings(base, levels, i)) + beyond))
                 if row["tampered"] is None:
                     folded.append(root)
                 else:
-                    version = changed(base, levels, i, row["tampered"])
-                    folded.append(upwards(version[0], head["path"]))
+                    folded.append(changed(whole, depth, block_at * FAN ** levels + i, row["tampered"])[0])
             n = len(rows)
             yield _out({
                 "key": (key_type, [r["key"] for r in rows]), "leaf": (pa.string(), [r["digest"] for r in rows]),

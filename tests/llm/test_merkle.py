@@ -87,3 +87,20 @@ def test_versions_share_what_a_leaf_does_not_touch():
     assert [a is b for a, b in zip(base[1], version[1])] == [k != 2 for k in range(16)]
     assert [a is b for a, b in zip(base[1][2][1], version[1][2][1])] == [k != 5 for k in range(16)]
     assert merkle.upwards(H("other"), merkle.siblings(base, 2, 37)) == version[0]
+
+
+def test_versions_copy_ancestors_above_their_block_and_share_the_rest():
+    leaves = [H(str(i)) for i in range(16 * 256 * 3 - 5)]
+    root, ways = climb(leaves)
+    blocks = [merkle.tree(leaves[i:i + 256], 2) for i in range(0, len(leaves), 256)]
+    _, paths = climb([b[0] for b in blocks])
+    at = 20 * 256 + 37
+    whole, block_at = merkle.ancestry(blocks[20], [side for pair in paths[20] for side in pair])
+    assert whole[0] == root and block_at == 20
+    version = merkle.changed(whole, 4, at, H("other"))
+    assert version[0] == merkle.upwards(H("other"), [side for pair in ways[at] for side in pair]) != root
+    old, new = whole, version
+    for k in (1, 4, 2, 5):
+        assert [a is b for a, b in zip(old[1], new[1], strict=True)] == [i != k for i in range(len(old[1]))]
+        old, new = old[1][k], new[1][k]
+    assert whole[0] == root and old[0] == leaves[at] and new[0] == H("other")
