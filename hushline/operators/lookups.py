@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,55 +37,36 @@ def name_table(names: DataFrame, column: str = "name") -> DataFrame:
     )
 
 
-def _words_of(content: Column) -> Column:
-    """The words of a text in order: start, end (blanks behind it included), as written, and folded.
-
-    Folding keeps every letter one letter, so the folded text falls into the same words and is
-    cut once, not folded word by word.
-    """
-    text = F.translate(content, MARK, MARK_STAND_IN)
-    hits = locate_all(text, pattern(_WORD), "PERSON", "gazetteer", SPOKEN_SCORE)
+def _folded_words(text: Column) -> Column:
+    """The words of a text in order, folded. Folding keeps every letter one letter, so the folded text falls into the same words."""
     straight = let(text, lambda t: F.replace(fold(t), F.lit("’"), F.lit("'")))
     marked = F.regexp_replace(straight, F.lit(pattern(_BARE_WORD)), F.lit(f"{MARK}$0{MARK}"))
-    folded = F.filter(F.split(marked, MARK), lambda _, i: i % 2 == 1)
+    return F.filter(F.split(marked, MARK), lambda _, i: i % 2 == 1)
 
-    def both(words: Column) -> Column:
-        return F.transform(hits, lambda h, i: F.struct(
-            h["start"].alias("start"), h["end"].alias("end"), h["matched"].alias("raw"), F.get(words, i).alias("word")
-        ))
 
-    return let(folded, both)
+#: Bits of the screen before the join with the names: 1 MB, whatever the number of names.
+SCREEN_BITS = 1 << 23
 
 
-def name_tokens(
-    turns: DataFrame, *keys: str, content: str = "content", rules: Rules = DEFAULT_RULES,
-) -> DataFrame:
-    """Words at which a name could begin, with offset, place among the words, and the word behind.
+def _place(words: Column) -> Column:
+    """The bit of a row of words."""
+    return F.pmod(F.xxhash64(words), F.lit(SCREEN_BITS))
 
-    Deny words are left out here, before any shuffle: a name hit which holds one would be
-    dropped later all the same. The words are cut from the text inside its row, so the text
-    itself is not copied for each of them; a digest says which text it was.
-    """
-    def begin(words: Column) -> Column:
-        def one(w: Column, i: Column) -> Column:
-            behind = F.get(words, i + 1)
-            found = F.struct(
-                w["start"].alias("start"), i.alias("at"), w["word"].alias("word"), w["raw"].alias("raw"),
-                # A neighbour only: it starts where the word, with its blanks, ends.
-                F.when(behind["start"] == w["end"], behind).alias("behind"),
-            )
-            return F.when(~w["word"].isin(*rules.deny_words), found)
 
-        return F.filter(F.transform(words, one), lambda w: w.isNotNull())
-
-    known = turns.where(F.col(content).isNotNull()).withColumn("_text", F.md5(F.col(content)))
-    rows = explode_items(known, let(_words_of(F.col(content)), begin), *keys, "turn", "role", "_text")
-    # A genitive also stands for the name itself.
-    word = F.col("_item.word")
-    forms = F.when(word.endswith("'S"), F.array(word, F.substring(word, F.lit(1), F.length(word) - 2))).otherwise(F.array(word))
-    return rows.select(
-        *keys, "turn", "role", "_text", "_item.start", "_item.at", "_item.raw", "_item.behind", F.explode(forms).alias("_first")
-    )
+def _screen(names: DataFrame) -> Column:
+    """Of a table of names (``_name``, arrays of words), as a subquery: the numbers of words they have, and a bit set for
+    each name and its first one and two words."""
+    name = F.col("_name")
+    begins = F.array_distinct(F.array(F.slice(name, 1, 1), F.slice(name, 1, 2), name))
+    places = names.select(F.size(name).alias("n"), F.explode(begins).alias("_words")).select("n", _place(F.col("_words")).alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    slots = places.groupBy(F.shiftright("place", 6).alias("id")).agg(F.bit_or(bit).alias("bits"), F.collect_set("n").alias("lengths"))
+    slots = names.sparkSession.range(SCREEN_BITS // 64).join(slots, "id", "left")
+    bits = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return slots.agg(F.struct(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("lengths")))).alias("lengths"),
+        F.transform(bits, lambda s: s["bits"]).alias("bits"),
+    ).alias("screen")).scalar()
 
 
 def _no_gap(words: Column) -> Column:
@@ -97,21 +77,63 @@ def _no_gap(words: Column) -> Column:
     )
 
 
-def _named(found: DataFrame, keys: tuple[str, ...], near: Column, rest: Column) -> DataFrame:
-    """Spans where the words ``near`` are a name's ``rest``; the last may be a genitive of it."""
-    words = F.transform(near, lambda w: w["word"])
-    bare = F.transform(words, lambda w, k: F.when(k == F.size(rest) - 1, F.regexp_replace(w, "'S\\z", "")).otherwise(w))
-    text = F.concat(F.col("raw"), F.array_join(F.transform(near, lambda w: w["raw"]), ""))
-    text = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
-    # A genitive's ending is no part of the name, unless the table has it.
-    text = F.when(F.size(rest) == 0, F.substring(text, F.lit(1), F.length("_first"))).when(
-        words != rest, F.substring(text, F.lit(1), F.length(text) - 2)
-    ).otherwise(text)
-    return found.where((words == rest) | (bare == rest)).select(
-        *keys, "turn", "role", F.lit("PERSON").alias("entity"), "start",
-        (F.col("start") + F.length(text)).alias("end"), text.alias("matched"),
-        F.lit(SPOKEN_SCORE).alias("score"), F.lit("gazetteer").alias("detector"),
-    )
+def _forms(word: Column) -> Column:
+    """A genitive also stands for the name itself."""
+    return F.when(word.endswith("'S"), F.array(word, F.substring(word, F.lit(1), F.length(word) - 2))).otherwise(F.array(word))
+
+
+def _said(content: Column, screen: Column, rules: Rules) -> Column:
+    """Rows of words which may be a name: start, text as written, and the words folded.
+
+    Words at which no name begins are passed over by one look at the screen; what is left is cut
+    from the text with as many words as the names have. Nothing is left out that is a name, but
+    for those which begin with a deny word: they would be dropped later all the same.
+    """
+    def may_be(words: Column) -> Column:
+        return let(_place(words), lambda at: F.getbit(F.get(screen["bits"], F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1)
+
+    def begins(word: Column) -> Column:
+        return F.exists(_forms(word), lambda f: may_be(F.array(f))) & ~word.isin(*rules.deny_words)
+
+    def of_line(line: Column, n: Column) -> Column:
+        first, last, rest = F.get(line, F.lit(0)), F.get(line, n - 1), F.slice(line, F.lit(2), n - 1)
+        text = F.array_join(F.transform(line, lambda w: w["raw"]), "")
+        text = F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", "")
+        known = F.transform(F.slice(rest, F.lit(1), F.greatest(n - 2, F.lit(0))), lambda w: w["word"])
+
+        def one(name: Column, cut: Column) -> Column:
+            # A genitive's ending is no part of the name, unless the table has it.
+            return F.struct(
+                first["start"].alias("start"), F.substring(text, F.lit(1), F.length(text) - cut).alias("matched"), name.alias("name")
+            )
+
+        def all_of(form: Column) -> Column:
+            ends = F.transform(_forms(last["word"]), lambda e: one(F.concat(F.array(form), known, F.array(e)), F.length(last["word"]) - F.length(e)))
+            # What a longer name goes on with has its bit as well.
+            longer = F.when(n == 2, F.lit(True)).otherwise(may_be(F.array(form, F.get(line, F.lit(1))["word"])))
+            return F.when(n == 1, F.array(one(F.array(form), F.length(first["word"]) - F.length(form)))).when(longer, ends)
+
+        found = F.flatten(F.filter(F.transform(_forms(first["word"]), all_of), lambda x: x.isNotNull()))
+        return F.when((F.size(line) == n) & _no_gap(line), F.filter(found, lambda x: may_be(x["name"])))
+
+    def at_word(words: Column, i: Column) -> Column:
+        lengths = F.filter(screen["lengths"], lambda n: n <= F.size(words) - i)
+        lines = F.transform(lengths, lambda n: let(F.slice(words, i + 1, n), lambda line: of_line(line, n)))
+        return F.flatten(F.filter(lines, lambda x: x.isNotNull()))
+
+    def cut(text: Column, folded: Column) -> Column:
+        hits = locate_all(text, pattern(_WORD), "PERSON", "gazetteer", SPOKEN_SCORE)
+        words = F.transform(hits, lambda h, i: F.struct(
+            h["start"].alias("start"), h["end"].alias("end"), h["matched"].alias("raw"), F.get(folded, i).alias("word")
+        ))
+        return let(words, lambda ws: F.flatten(F.filter(
+            F.transform(ws, lambda w, i: F.when(begins(w["word"]), at_word(ws, i))), lambda x: x.isNotNull()
+        )))
+
+    def search(text: Column) -> Column:
+        return let(_folded_words(text), lambda folded: F.when(F.exists(folded, begins), cut(text, folded)))
+
+    return let(F.translate(content, MARK, MARK_STAND_IN), search)
 
 
 def gazetteer_detections(
@@ -119,35 +141,26 @@ def gazetteer_detections(
 ) -> DataFrame:
     """PERSON spans of the names in ``names`` (made by ``name_table``).
 
-    Matches grow with the words. A row carries a word and its neighbour, which are joined with the
-    names' first words and compared with their second; names of one and two words are then
-    found. Of longer names, only what is left by then meets the words of its text, and is
-    compared whole, however many words that are. That second step reads the turns again,
-    and nothing of them if the table has no such name: the longest name is asked for inside the
-    plan, so no job runs while it is built.
+    The turns are read once. Inside its row each text is cut into words, and only rows of words
+    whose bits are set in a screen of the names become rows; they are joined with the names on all
+    their words at once, so many names which begin alike do not multiply. The screen is a
+    subquery of bounded size inside the plan, so no job runs while it is built. A very long name
+    costs only where its first two words are said.
 
-    Spark picks the joins by the measured sizes; where both sides are shuffled, the words of
-    the turns are the side which adaptive execution splits when one word is very frequent.
+    Spark picks the join by the measured sizes; where both sides are shuffled, the words of
+    the turns are the side which adaptive execution splits when one name is very frequent.
     """
-    rest = F.col("_rest")
-    behind = F.when(F.size(rest) > 0, F.array("behind")).otherwise(F.slice(F.array("behind"), 1, 0))
-    short = name_tokens(turns, *keys, content=content, rules=rules).join(names.where(F.size("_rest") <= 1), "_first")
-    short = _named(short.where((F.size(rest) == 0) | F.col("behind").isNotNull()), keys, behind, rest)
-
-    long_names = names.where(F.size("_rest") > 1)
-    some = turns.where(long_names.agg(F.count(F.lit(1)).alias("n")).scalar() > 0)
-    begun = name_tokens(some, *keys, content=content, rules=rules).where("behind is not null").withColumn("_second", F.col("behind.word"))
-    begun = begun.join(long_names.withColumn("_second", F.get("_rest", F.lit(0))), ["_first", "_second"])
-    texts = some.where(F.col(content).isNotNull()).select(
-        *(F.col(k).alias(f"_k{i}") for i, k in enumerate((*keys, "turn"))), F.md5(F.col(content)).alias("_own"), F.col(content).alias("_content")
-    ).distinct().withColumn("_words", _words_of(F.col("_content"))).drop("_content")
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate((*keys, "turn"))))
-    grown = begun.join(texts, same & (F.col("_text") == F.col("_own")))
-    # With the begin, so that gaps are seen; then without it.
-    line = F.slice(F.col("_words"), F.col("at") + 1, F.size(rest) + 1)
-    grown = grown.withColumn("_line", line).where((F.size("_line") == F.size(rest) + 1) & _no_gap(F.col("_line")))
-    near = F.slice(F.col("_line"), F.lit(2), F.size(rest))
-    return short.unionByName(_named(grown, keys, near, rest))
+    names = names.select(F.concat(F.array("_first"), F.col("_rest")).alias("_name"))
+    said = let(F.col("_screen"), lambda screen: _said(F.col(content), screen, rules))
+    # A subquery may not be named inside a lambda. It is used once, so both selects become one and no row holds it.
+    screened = turns.where(F.col(content).isNotNull()).select(*keys, "turn", "role", content, _screen(names).alias("_screen"))
+    rows = explode_items(screened.select(*keys, "turn", "role", said.alias("_said")), F.col("_said"), *keys, "turn", "role")
+    rows = rows.select(*keys, "turn", "role", "_item.start", "_item.matched", F.col("_item.name").alias("_name"))
+    return rows.join(names, "_name").select(
+        *keys, "turn", "role", F.lit("PERSON").alias("entity"), "start",
+        (F.col("start") + F.length("matched")).alias("end"), "matched",
+        F.lit(SPOKEN_SCORE).alias("score"), F.lit("gazetteer").alias("detector"),
+    )
 
 
 Model = Callable[[Sequence[str]], Sequence[Sequence[tuple[str, int, int, float]]]]

@@ -97,3 +97,16 @@ def test_model_hits_which_are_small_talk_go(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(looks_conversational(F.col("t"), DEFAULT_RULES)).collect()]
     assert got == [True, False, False, True, False, True, False]
+
+
+def test_names_which_begin_alike_are_joined_whole(spark):
+    n = 400
+    spoken = [f"Van der {chr(65 + i // 20)}{chr(97 + i % 20)}q" for i in range(n)] + [f"Mary {chr(65 + i // 20)}{chr(97 + i % 20)}z" for i in range(n)]
+    names = name_table(spark.createDataFrame([(x,) for x in spoken], "name string"))
+    rows = [(k, 0, "agent", f"it is {x}, not {x}'s or Mary Van der") for k, x in enumerate(spoken)]
+    found = gazetteer_detections(spark.createDataFrame(rows, "conv_id long, turn long, role string, content string"), names, "conv_id")
+    assert sorted((r.conv_id, r.matched) for r in found.collect()) == sorted((k, x) for k, x in enumerate(spoken) for _ in range(2))
+    # One join, on all words of a name: rows of words are not multiplied by the names which begin like them.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    inner = re.findall(r"Join Inner, \((\w+)#\d+ = (\w+)#\d+\)", plan)
+    assert ("_name", "_name") in inner and not any("_first" in pair for pair in inner)
