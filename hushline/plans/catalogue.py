@@ -23,7 +23,7 @@ from hushline.operators.registry import SPOKEN
 from hushline.operators.spoken import Turn
 from hushline.plans.job import observed_counts, redact_with_lookups
 from hushline.rules import DEFAULT_RULES, Rules
-from hushline.sources.calls import QUESTIONS, SCENARIOS, call_transcripts, call_turns
+from hushline.sources.calls import QUESTIONS, SCENARIOS, call_transcripts, call_turns, dealt
 from hushline.sources.scratch import shared_path
 from hushline.sources.sinks import output_rows, write_rows
 from hushline.sources.transcripts import (
@@ -108,7 +108,8 @@ def messy_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = None
     for i, shape in enumerate(shapes):
         text = F.when(key % 13 == i, shape) if text is None else text.when(key % 13 == i, shape)
-    return _table(spark, sf_dir, "orders").select(key.alias("conv_id"), text.alias("transcription"))
+    orders = dealt(_table(spark, sf_dir, "orders").select("o_orderkey"))
+    return orders.select(key.alias("conv_id"), text.alias("transcription"))
 
 
 def parse_status(spark, sf_dir):
@@ -139,7 +140,7 @@ def json_bytes(spark, sf_dir):
         F.lit("STRASSE Straße "), key, F.lit(" 😀 "), F.chr(F.lit(31)), F.lit('\t"QUOTE" \\ \\u001F '), F.chr(F.lit(127)), F.col("c_name")
     )
     turn = F.struct(F.lit("agent").alias("role"), said.alias("content"))
-    rows = _table(spark, sf_dir, "customer").select(
+    rows = dealt(_table(spark, sf_dir, "customer").select("c_custkey", "c_name")).select(
         "c_custkey", F.concat(F.lit("["), F.to_json(turn), F.lit(',"ÄÖ 𝄞"]')).alias("transcription")
     )
     done = redact_transcripts(parse_transcripts(rows, keep_original=None))
@@ -237,7 +238,7 @@ def detect_written_iban(spark, sf_dir):
     remainder = F.pmod(digits.cast("decimal(38,0)"), F.lit(97).cast("decimal(38,0)")).cast("int")
     check = F.lpad(F.pmod(F.lit(98) - remainder + F.when(key % 2 == 1, 1).otherwise(0), F.lit(100)).cast("string"), 2, "0")
     text = F.concat(F.lit("pay to GB"), check, body, F.lit(" today"))
-    rows = _table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    rows = dealt(_table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", text.alias("text"))
     spans = turn_spans(F.col("text"), F.lit(0), only="iban")
     return explode_items(rows, spans, "c_custkey").select(
         "c_custkey", "_item.start", "_item.end", F.length("_item.matched").alias("length")
@@ -250,7 +251,7 @@ def detect_age_money(spark, sf_dir):
         F.lit("She is "), F.col("c_custkey") % 90, F.lit(" years old and owes £"),
         F.col("c_custkey").cast("string"), F.lit(".50 or "), (F.col("c_custkey") % 7).cast("string"), F.lit(" pounds"),
     )
-    rows = _table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    rows = dealt(_table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", text.alias("text"))
     spans = F.concat(*[turn_spans(F.col("text"), F.lit(0), only=n) for n in ("age", "money")])
     return explode_items(rows, spans, "c_custkey").select(
         "c_custkey", "_item.entity", "_item.start", "_item.end", "_item.matched"
@@ -364,8 +365,7 @@ def merge_spans(spark, sf_dir):
 
     spans = F.array(*[span(i) for i in range(6)]).cast(SPANS_TYPE)
     orders = _table(spark, sf_dir, "orders").select("o_orderkey")
-    orders = orders.repartition(2 * spark.sparkContext.defaultParallelism)
-    return explode_items(orders, merged(spans), key.alias("conv_id")).select(
+    return explode_items(dealt(orders), merged(spans), key.alias("conv_id")).select(
         "conv_id", "_item.start", "_item.end", "_item.entity"
     )
 

@@ -40,6 +40,15 @@ QUESTIONS = (
 SCENARIOS = len(QUESTIONS)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """The same rows in even parts, some for each core.
+
+    For narrow rows from which texts are made: a table of a few megabytes is read in one or two tasks, but the
+    text made of it is many times its size.
+    """
+    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _name(key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in NAMES]), (key % 8 + 1).cast("int"))
 
@@ -107,8 +116,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, c in enumerate(contents)
     ])
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
-    # Two narrow columns are dealt evenly, for the text made of them is many times their size.
-    return orders.repartition(2 * spark.sparkContext.defaultParallelism).select(
+    return dealt(orders).select(
         key.alias("conv_id"), F.to_date("o_orderdate").alias("file_date"), turns.alias("turns")
     )
 
