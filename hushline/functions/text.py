@@ -6,6 +6,7 @@ import re
 import string
 from collections.abc import Callable, Iterable
 from itertools import groupby
+from os.path import commonprefix
 
 from pyspark.sql import Column, functions as F
 
@@ -55,17 +56,24 @@ def pattern(regex: str) -> str:
 def any_of(words: Iterable[str]) -> str:
     """A pattern for any of the literal words, common beginnings written once.
 
-    The matcher then tries one branch per next letter, not one per word. A longer
-    word is tried before the one it begins with, so that it never stops short.
+    The matcher then tries one branch per next letter, not one per word, and none
+    where many branches have other first letters. A longer word is tried before the
+    one it begins with, so that it never stops short. Groups are dear (the matcher keeps
+    a place for each, and clears them for every text), so letters without a branch have none.
     """
     unique = sorted(set(words))
-    branches = []
+    branches, initials = [], ""
     for first, group in groupby((w for w in unique if w), key=lambda w: w[0]):
-        rests = [w[1:] for w in group]
-        branches.append(quote(first) + (any_of(rests) if rests != [""] else ""))
+        alike = list(group)
+        head = commonprefix(alike)
+        rests = [w[len(head):] for w in alike]
+        branches.append(quote(head) + (any_of(rests) if rests != [""] else ""))
+        initials += quote(first)
     if not branches:
         return ""
-    return f"(?:{'|'.join(branches)}){'?' if '' in unique else ''}"
+    if "" in unique:
+        return f"(?:{'|'.join(branches)})?"
+    return f"(?:(?=[{initials}])(?:{'|'.join(branches)}))" if len(branches) > 4 else f"(?:{'|'.join(branches)})"
 
 
 def quote(word: str) -> str:
@@ -102,8 +110,8 @@ def count_tokens(text: Column, body: str = INK + "++") -> Column:
 
 
 def is_one_of(text: Column, words: Iterable[str]) -> Column:
-    """The whole text is one of the words. One literal, however long the list is."""
-    return text.rlike(pattern(rf"\A{any_of(words)}\z"))
+    """The whole text is one of the words."""
+    return text.isin(*sorted(set(words)))
 
 
 def has_word(text: Column, words: Iterable[str]) -> Column:
@@ -111,6 +119,10 @@ def has_word(text: Column, words: Iterable[str]) -> Column:
     return text.rlike(pattern(token(any_of(words))))
 
 
+def is_one_word(text: Column) -> Column:
+    return ~text.rlike(pattern(BLANK))
+
+
 def is_blank(text: Column) -> Column:
     return ~text.rlike(pattern(INK))
 

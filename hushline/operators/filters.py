@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.text import any_of, count_tokens, has_word, is_one_of
+from hushline.functions.text import any_of, count_tokens, has_word, is_one_of, is_one_word
 from hushline.operators.spoken import Turn
 from hushline.rules import Rules
 
@@ -15,7 +15,10 @@ LOOKUP_DETECTORS = ("gazetteer", "model")
 def _denied(span: Column, rules: Rules) -> Column:
     """The text, or any word of it, is a deny word."""
     phrases = [w for w in rules.deny_words if " " in w]
-    denied = has_word(span["matched"], rules.deny_words)
+    # Where there is no blank, the text is its only word.
+    denied = is_one_of(span["matched"], rules.deny_words) | (
+        ~is_one_word(span["matched"]) & has_word(span["matched"], rules.deny_words)
+    )
     return denied | is_one_of(span["matched"], phrases) if phrases else denied
 
 

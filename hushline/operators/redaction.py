@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hushline.functions.memo import per_application
 from hushline.functions.rows import explode_items
-from hushline.functions.spans import SPANS_TYPE, as_written, merged, no_spans, replaced
+from hushline.functions.spans import SPANS_TYPE, as_written, joined, merged, no_spans, replaced
 from hushline.functions.text import ascii_json, fold, let
 from hushline.operators.context import elements_context, with_context
 from hushline.operators.filters import apply_filters
@@ -28,12 +30,19 @@ def turn_spans(
         turn = Turn(folded, context, rules)
         found = detect(turn, only)
         if lookups is not None:
-            found = F.concat(found, F.coalesce(lookups, no_spans()))
-        return apply_filters(found, turn, lookups is not None) if filtered else found
+            found = joined(found, F.coalesce(lookups, no_spans()))
+
+        def finish(spans: Column) -> Column:
+            kept = apply_filters(spans, turn, lookups is not None) if filtered else spans
+            return let(F.array_sort(kept), lambda s: as_written(content, s))
+
+        return if_any(found, finish)
+
+    def if_any(spans: Column, body: Callable[[Column], Column]) -> Column:
+        """Most turns have no span, and nothing is to be done for them."""
+        return let(spans, lambda s: F.when(F.size(s) == 0, no_spans()).otherwise(body(s)))
 
-    found = F.array_sort(let(fold(content), search))
-    ordered = let(found, lambda spans: F.when(F.size(spans) == 0, no_spans()).otherwise(as_written(content, spans)))
-    return F.when(content.isNull(), no_spans()).otherwise(ordered)
+    return F.when(content.isNull(), no_spans()).otherwise(let(fold(content), search))
 
 
 @per_application
@@ -44,7 +53,8 @@ def _column_spans(content: str, context: str, rules: Rules, lookups: str | None,
 
 def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> Column:
     """The text with every block of overlapping spans replaced; ``ordered`` as for ``merged``."""
-    return let(merged(spans, ordered), lambda blocks: replaced(content, blocks, rules.placeholders))
+    done = let(merged(spans, ordered), lambda blocks: replaced(content, blocks, rules.placeholders))
+    return F.when(F.size(spans) == 0, content).otherwise(done)
 
 
 def redact_elements(

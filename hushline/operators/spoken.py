@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from hushline.functions import context as ctx
-from hushline.functions.spans import locate_all, locate_first, no_spans, whole
+from hushline.functions.spans import joined, locate_all, locate_first, no_spans, whole
 from hushline.functions.text import (
     BLANK, DIGIT_CHAR, INK, TOKEN_END, TOKEN_START, any_of, but_not, count_tokens, is_blank, is_one_of,
     let, pattern, token,
@@ -52,7 +52,7 @@ def _when(gate: Column, spans: Column) -> Column:
 def reference_number(turn: Turn) -> Column:
     words = pattern(_run(any_of(turn.rules.number_words), 5))
     digits = pattern(r"\b\d{7,}\b")
-    return _when(turn.expects("reference_number"), F.concat(
+    return _when(turn.expects("reference_number"), joined(
         locate_all(turn.text, words, "REFERENCE_NUMBER", "reference_in_words", SPOKEN_SCORE),
         locate_all(turn.text, digits, "REFERENCE_NUMBER", "reference_in_digits", SPOKEN_SCORE),
     ))
@@ -87,7 +87,11 @@ def _introduced(turn: Turn) -> Column:
     regex = pattern(rf"(MY{BLANK}+NAME(?:{BLANK}+IS|'S){BLANK}+)([A-Z]{{3,}})\b{after}")
     spans = locate_all(turn.text, regex, "PERSON", "after_my_name_is", SPOKEN_SCORE, group=True)
     named = F.filter(spans, lambda s: ~is_one_of(s["matched"], rules.deny_words))
-    return _when(turn.text.contains("NAME"), named)
+    return _when(_may_introduce(turn), named)
+
+
+def _may_introduce(turn: Turn) -> Column:
+    return turn.text.contains("NAME") & turn.text.contains("MY")
 
 
 def _letter(rules: Rules) -> str:
@@ -126,8 +130,8 @@ def _after_cue(turn: Turn) -> Column:
                        SPOKEN_SCORE, group=True)
             for name in (titled, plain)
         ]
-        found.append(_when(turn.text.contains(word), F.concat(*spans)))
-    return F.array_distinct(F.concat(*found))
+        found.append(_when(turn.text.contains(word), joined(*spans)))
+    return F.array_distinct(joined(*found))
 
 
 def _direct_answer(turn: Turn) -> Column:
@@ -144,7 +148,7 @@ def _direct_answer(turn: Turn) -> Column:
 def person(turn: Turn) -> Column:
     """Names. An introduction or a fully spelled answer ends the search (C4)."""
     spelled_out = whole(turn.text, "PERSON", "letters_throughout", SPOKEN_SCORE)
-    cued = F.concat(_spelled(turn), _after_cue(turn))
+    cued = joined(_spelled(turn), _after_cue(turn))
     by_context = let(cued, lambda s: F.when(F.size(s) > 0, s).otherwise(_direct_answer(turn)))
 
     def search(intro: Column) -> Column:
@@ -155,7 +159,7 @@ def person(turn: Turn) -> Column:
             .otherwise(by_context)
         )
 
-    worth_it = turn.expects("name") | turn.text.contains("NAME")
+    worth_it = turn.expects("name") | _may_introduce(turn)
     return _when(worth_it & ~turn.combined, let(_introduced(turn), search))
 
 
@@ -211,7 +215,7 @@ def email(turn: Turn) -> Column:
         locate_all(turn.text, pattern(r), "EMAIL_ADDRESS", "email_in_words", SPOKEN_SCORE)
         for r in regexes
     ]
-    return _when(turn.expects("email") & turn.text.contains("DOT"), F.array_distinct(F.concat(*spans)))
+    return _when(turn.expects("email") & turn.text.contains("DOT"), F.array_distinct(joined(*spans)))
 
 
 # -- C8 ---------------------------------------------------------------------
@@ -246,7 +250,7 @@ def phone(turn: Turn) -> Column:
     # Nine words and their blanks have a least length, and every written number a zero:
     # these tests keep the patterns away from many turns.
     shortest = 9 * min(map(len, turn.rules.number_words)) + 8
-    return F.concat(
+    return joined(
         _when(F.length(turn.text) >= shortest,
               locate_all(turn.text, spoken, "PHONE_NUMBER", "phone_in_words", SPOKEN_SCORE)),
         _when(turn.text.contains("0"),

@@ -81,11 +81,7 @@ def _mixed_elements(text: Column) -> Column:
 STATUSES = ("ok", "missing", "unparsable", "not_an_array")
 
 
-def _looks_like_array(text: Column) -> Column:
-    return text.rlike(r"(?s)\A\s*\[.*\]\s*\z")
-
-
-def _is_one_value(text: Column) -> Column:
+def _is_one_array(text: Column) -> Column:
     """Nothing follows the array: its last bracket is the first that closes all that are open.
 
     Where no bracket closes but the last sign, that is plain to see. Of other texts the strings
@@ -93,6 +89,8 @@ def _is_one_value(text: Column) -> Column:
     down, and the count may come to nothing at the end only. The parsers cannot tell: they
     stop after the first value, whatever is behind it.
     """
+    plain = text.rlike(r"\A\s*\[[^\]]*+\]\s*\z")
+    looks_like = text.rlike(r"(?s)\A\s*\[.*\]\s*\z")
     bare = F.regexp_replace(text, r'(?s)"(?:[^"\\]++|\\.)*+"', '"')
 
     def closed_at_end(bare: Column) -> Column:
@@ -106,8 +104,7 @@ def _is_one_value(text: Column) -> Column:
         counted = F.aggregate(F.split(brackets, "(?<=.)(?=.)"), start, step, lambda acc: (acc["depth"] == 0) & (acc["ends"] == 1))
         return bare.rlike(r"\]\s*\z") & ((brackets == "[]") | counted)
 
-    closes = F.locate("]", text)
-    return (closes == F.length(F.regexp_replace(text, r"\s+\z", ""))) | let(bare, closed_at_end)
+    return plain | (looks_like & let(bare, closed_at_end))
 
 
 def parse_transcripts(
@@ -130,7 +127,7 @@ def parse_transcripts(
         # The typed parse alone would stop after the first value and lose what follows.
         return let(F.when(one_array, F.from_json(text, TURNS_TYPE)), choose)
 
-    elements = let(_looks_like_array(text) & _is_one_value(text), parse)
+    elements = let(_is_one_array(text), parse)
     status = (
         F.when(text.isNull(), F.lit("missing"))
         .when(F.col("elements").isNotNull(), F.lit("ok"))

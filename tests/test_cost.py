@@ -1,6 +1,43 @@
-"""What a query costs: narrow rows dealt before texts are made."""
+"""What a turn costs: few groups in the patterns, one screen for all phrases, narrow rows dealt before texts are made."""
 
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from hushline.functions.context import BIT, signals
+from hushline.functions.text import any_of, pattern
 from hushline.plans.catalogue import queries
+from hushline.rules import DEFAULT_RULES as R, INDICATORS
+
+
+def test_letters_without_a_branch_have_no_group():
+    assert any_of(["SOMEWHERE"]) == "(?:SOMEWHERE)"
+    # A group a letter made 500 of them, all cleared for every text.
+    assert any_of(R.deny_words).count("(") < len(set(R.deny_words))
+
+
+def test_any_of_takes_the_longest_word_of_a_beginning(spark):
+    rng = random.Random(3)
+    for size in (1, 2, 6, 60):
+        words = ["".join(rng.choice("AB'-. É") for _ in range(rng.randint(1, 5))).strip() or "A" for _ in range(size)]
+        texts = ["".join(rng.choice("AB'-. É") for _ in range(30)) for _ in range(50)]
+        plain = "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
+        rows = spark.createDataFrame([(t,) for t in texts], "t string")
+        found = rows.select("t", F.regexp_extract_all("t", F.lit(pattern(any_of(words))), F.lit(0)).alias("f"))
+        assert all(row.f == re.findall(plain, row.t) for row in found.collect())
+
+
+def test_signals_are_plain_substring_tests(spark):
+    rng = random.Random(4)
+    parts = sorted({w for ps in INDICATORS.values() for p in ps for w in p.split()}) + ["A", "XNAMEX", "É"]
+    texts = [rng.choice([" ", "", "  "]).join(rng.choice(parts) for _ in range(rng.randint(0, 5))) for _ in range(400)]
+    texts += [p for ps in INDICATORS.values() for p in ps]
+    for rules in (R, R.with_(indicators={**INDICATORS, "name": ("WHO ARE", "WHO IS", "WHO WAS", " ", "A-B"), "email": ("[X]",)})):
+        rows = spark.createDataFrame([(t,) for t in [*texts, "WHO IS [X]", "A-B ^"]], "t string")
+        for row in rows.select("t", signals(F.col("t"), rules).alias("bits")).collect():
+            wanted = sum(BIT[k] for k, ps in rules.indicators.items() if any(p in row.t for p in ps))
+            assert row.bits == wanted, row.t
 
 
 def test_narrow_rows_are_dealt_before_texts_are_made_of_them(spark, sf_dir):
