@@ -159,13 +159,21 @@ def lookup_spans(detections: DataFrame, *keys: str) -> DataFrame:
 # -- shapes of a redacted conversation ---------------------------------------
 
 def transcript_json(redacted: Column) -> Column:
-    """Compact ASCII JSON of the conversation; elements which are no turns keep their value."""
+    """Compact ASCII JSON of the conversation; elements which are no turns keep their value.
+
+    Usually all are turns, and one call writes the array.
+    """
+    options = {"ignoreNullFields": "false"}
+
+    def turn(e: Column) -> Column:
+        return F.struct(e["role"].alias("role"), e["content"].alias("content"))
 
     def text(e: Column) -> Column:
-        turn = F.struct(e["role"].alias("role"), e["content"].alias("content"))
-        return F.when(e["is_turn"], F.to_json(turn, {"ignoreNullFields": "false"})).otherwise(e["raw"])
+        return F.when(e["is_turn"], F.to_json(turn(e), options)).otherwise(e["raw"])
 
-    return ascii_json(F.concat(F.lit("["), F.array_join(F.transform(redacted, text), ","), F.lit("]")))
+    mixed = F.concat(F.lit("["), F.array_join(F.transform(redacted, text), ","), F.lit("]"))
+    plain = F.forall(redacted, lambda e: e["is_turn"])
+    return ascii_json(F.when(plain, F.to_json(F.transform(redacted, turn), options)).otherwise(mixed))
 
 
 def flat_transcript(redacted: Column) -> Column:
