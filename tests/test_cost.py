@@ -1,12 +1,15 @@
 """What a turn costs: few groups in the patterns, one screen for all phrases, narrow rows dealt before texts are made."""
 
+import json
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from hushline.functions.context import BIT, signals
+from hushline.functions.spans import SPANS_TYPE
 from hushline.functions.text import any_of, pattern
+from hushline.operators.redaction import transcript_json
 from hushline.plans.catalogue import queries
 from hushline.rules import DEFAULT_RULES as R, INDICATORS
 
@@ -45,3 +48,20 @@ def test_narrow_rows_are_dealt_before_texts_are_made_of_them(spark, sf_dir):
     for name in ("json_bytes", "parse_transcripts", "detect_written_iban", "detect_age_money"):
         plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "RoundRobinPartitioning" in plan, name
+
+
+def test_transcripts_of_turns_alone_are_written_at_once(spark):
+    """The same JSON as turn by turn; a null transcript stays null."""
+    turn = lambda role, content: (True, None, role, content, [])
+    rows = [
+        [], [turn("agent", None)], [turn("", 'É "Q" \\ 😀'), turn("customer", "B")],
+        [turn("agent", "A"), (False, '{"note":1}', None, None, [])], None,
+    ]
+    shape = f"i int, r array<struct<is_turn:boolean,raw:string,role:string,content:string,spans:{SPANS_TYPE}>>"
+    column = transcript_json(F.col("r"))
+    made = spark.createDataFrame(list(enumerate(rows)), shape).select("i", column.alias("json"))
+    for row in made.collect():
+        items = rows[row.i]
+        wanted = items and [json.loads(raw) if raw else {"role": role, "content": said} for _, raw, role, said, _ in items]
+        assert row.json == (None if items is None else json.dumps(wanted, separators=(",", ":")))
+    assert "forall" in made._jdf.queryExecution().optimizedPlan().toString()
