@@ -461,9 +461,15 @@ def output(spark, sf_dir):
 
 
 def append_rerun(spark, sf_dir):
-    """Loads that overlap: the calls before 1996, all calls, and all of them again; what the target then holds."""
-    rows = output_rows(_redacted_calls(spark, sf_dir)).withColumn("year", F.year("file_date"))
-    target = shared_path(spark, "append_rerun")
+    """Loads that overlap: the calls before 1996, all calls, and all of them again; what the target then holds.
+
+    The calls are redacted once and written; each load reads them there and has a time of its own.
+    """
+    done = output_rows(_redacted_calls(spark, sf_dir)).withColumn("year", F.year("file_date"))
+    staged, target = shared_path(spark, "append_rerun_staged"), shared_path(spark, "append_rerun")
+    write_rows(done.drop("load_dt"), staged)
+    kept = spark.read.schema(done.drop("load_dt").schema).parquet(staged)
+    rows = kept.withColumn("load_dt", F.current_timestamp()).select(*done.columns)
     for load in (rows.where("file_date < date'1996-01-01'"), rows, rows):
         write_rows(load, target, mode="append", partition_by=("year",), skip_loaded=True)
     return spark.read.schema(rows.schema).parquet(target).drop("load_dt")

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from hushline.plans import catalogue
 from hushline.plans.job import Job, run_job
 from hushline.sources.calls import call_transcripts
 from hushline.sources.sinks import not_loaded, write_rows
@@ -74,3 +75,15 @@ def test_a_job_run_twice(spark, sf_dir):
     assert run_job(spark, job) == 1500 - first and run_job(spark, job) == 0
     out = spark.table("append_out")
     assert out.count() == out.select("transaction_id").distinct().count() == 1500
+
+
+def test_overlapping_loads_are_redacted_once(spark, sf_dir, monkeypatch):
+    plans = []
+
+    def put(rows, target, **more):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write_rows(rows, target, **more)
+
+    monkeypatch.setattr(catalogue, "write_rows", put)
+    assert catalogue.append_rerun(spark, sf_dir).count() == 1500
+    assert [re.search("from_json|JsonToStructs", plan) is not None for plan in plans] == [True, False, False, False]
