@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.text import any_of
+from hushline.functions.text import any_of, either
 from hushline.rules import KINDS, Rules
 
 BIT = {kind: 1 << i for i, kind in enumerate(KINDS)}
@@ -50,9 +50,9 @@ def signals(folded: Column, rules: Rules) -> Column:
     bits = []
     for kind in KINDS:
         hit = holds_any(folded, tuple(_needed(rules.indicators[kind])))
-        bits.append(F.when(hit, F.lit(BIT[kind])).otherwise(F.lit(0)))
+        bits.append(either(hit, F.lit(BIT[kind]), F.lit(0)))
     every = _needed(tuple({p: None for kind in KINDS for p in rules.indicators[kind]}))
-    return F.when(folded.rlike(any_of(every)), reduce(lambda a, b: a + b, bits)).otherwise(F.lit(0))
+    return either(folded.rlike(any_of(every)), reduce(lambda a, b: a + b, bits), F.lit(0))
 
 
 def expects(context: Column, kind: str) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.text import MARK, let
+from hushline.functions.text import MARK, either, let
 from hushline.rules import LABEL_ORDER, UNMAPPED_PLACEHOLDER
 
 SPAN_TYPE = (
@@ -68,11 +68,11 @@ _WALK_BLOCK = f"""aggregate(
       'at', acc.at + length(part),
       'inside', not acc.inside,
       'spans', if(acc.inside, concat(acc.spans, array({_sql_span("acc.at", "part")})), acc.spans)))"""
-_WALK = f"""parts -> case
-  when size(parts) < 3 then cast(array() as {SPANS_TYPE})
-  when size(parts) = 3 then array({_sql_span("length(parts[0])", "parts[1]")})
-  when size(parts) <= 65 then {_WALK_BLOCK.format(pieces="parts", entity="{entity}", detector="{detector}", score="{score}")}.spans
-  else aggregate(
+_WALK = f"""parts ->
+  if(size(parts) < 3, cast(array() as {SPANS_TYPE}),
+  if(size(parts) = 3, array({_sql_span("length(parts[0])", "parts[1]")}),
+  if(size(parts) <= 65, {_WALK_BLOCK.format(pieces="parts", entity="{entity}", detector="{detector}", score="{score}")}.spans,
+  aggregate(
     transform(
       sequence(0, (size(parts) - 1) div (2 * int(sqrt(size(parts))))),
       b -> {_WALK_BLOCK.format(
@@ -84,8 +84,7 @@ _WALK = f"""parts -> case
       'spans', concat(acc.spans, array(transform(x.spans, s -> cast(named_struct(
         'start', s.start + acc.at, 'end', s.end + acc.at, 'entity', s.entity, 'matched', s.matched,
         'score', s.score, 'detector', s.detector) as {SPAN_TYPE}))))),
-    acc -> flatten(acc.spans))
-  end"""
+    acc -> flatten(acc.spans)))))"""
 
 
 def locate_first(text: Column, regex: str, entity: str, detector: str, score: float) -> Column:
@@ -140,14 +139,14 @@ def merged(spans: Column, ordered: bool = False) -> Column:
         last = F.get(acc, F.size(acc) - 1)
 
         def extend() -> Column:
-            best = F.when(claim(s).cast(claim_type) < last["best"], claim(s).cast(claim_type))
+            best = either(claim(s).cast(claim_type) < last["best"], claim(s).cast(claim_type), last["best"])
             grown = block(
-                last["start"], F.greatest(last["end"], s["end"]), best.otherwise(last["best"])
+                last["start"], F.greatest(last["end"], s["end"]), best
             )
             return F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))
 
         fresh = F.concat(acc, F.array(block(s["start"], s["end"], claim(s))))
-        return F.when((F.size(acc) > 0) & (s["start"] < last["end"]), extend()).otherwise(fresh)
+        return either((F.size(acc) > 0) & (s["start"] < last["end"]), extend(), fresh)
 
     def simple(s: Column) -> Column:
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"))
@@ -167,15 +166,16 @@ def merged(spans: Column, ordered: bool = False) -> Column:
             F.array_min(F.concat(F.array(at["best"]), eaten["best"])),
         ).cast(open_type)
         closed = F.concat(F.array(grown), F.slice(left, F.lit(1), F.greatest(F.size(left) - 1, F.lit(0))))
-        going_on = F.when(F.size(left) == 0, F.struct(acc["done"].alias("done"), grown.alias("open"))).otherwise(
-            F.struct(F.concat(acc["done"], F.array(closed)).alias("done"), F.get(left, F.size(left) - 1).alias("open"))
+        going_on = either(
+            F.size(left) == 0, F.struct(acc["done"].alias("done"), grown.alias("open")),
+            F.struct(F.concat(acc["done"], F.array(closed)).alias("done"), F.get(left, F.size(left) - 1).alias("open")),
         )
 
         fresh = F.struct(
             F.concat(acc["done"], F.array(F.slice(found, F.lit(1), F.size(found) - 1))).alias("done"),
             F.get(found, F.size(found) - 1).alias("open"),
         )
-        return F.when(first.isNull(), acc).when(at.isNull(), fresh).otherwise(going_on)
+        return either(first.isNull(), acc, either(at.isNull(), fresh, going_on))
 
     def in_parts(sorted_spans: Column) -> Column:
         zero = F.struct(
@@ -187,7 +187,7 @@ def merged(spans: Column, ordered: bool = False) -> Column:
         )
 
     def found_in(sorted_spans: Column) -> Column:
-        return F.when(F.size(sorted_spans) <= FEW, inner(sorted_spans)).otherwise(in_parts(sorted_spans))
+        return either(F.size(sorted_spans) <= FEW, inner(sorted_spans), in_parts(sorted_spans))
 
     found = found_in(spans) if ordered else let(F.array_sort(spans), found_in)
     many = F.transform(
@@ -196,7 +196,7 @@ def merged(spans: Column, ordered: bool = False) -> Column:
             b["start"].alias("start"), b["end"].alias("end"), b["best"]["entity"].alias("entity")
         ),
     ).cast(BLOCKS_TYPE)
-    return F.when(F.size(spans) < 2, F.transform(spans, simple).cast(BLOCKS_TYPE)).otherwise(many)
+    return either(F.size(spans) < 2, F.transform(spans, simple).cast(BLOCKS_TYPE), many)
 
 
 #: Up to this many spans are handled one after the other; more of them in parts, which give the same.
@@ -229,8 +229,9 @@ def as_written(text: Column, spans: Column) -> Column:
         return F.struct(part.alias("part"), base.alias("base"), piece.alias("piece"))
 
     pieces = F.transform(parts(spans), one)
-    return F.when(F.size(spans) <= FEW, F.transform(spans, lambda s: cut(text, F.lit(0), s))).otherwise(
-        F.flatten(F.transform(pieces, lambda c: F.transform(c["part"], lambda s: cut(c["piece"], c["base"], s))))
+    return either(
+        F.size(spans) <= FEW, F.transform(spans, lambda s: cut(text, F.lit(0), s)),
+        F.flatten(F.transform(pieces, lambda c: F.transform(c["part"], lambda s: cut(c["piece"], c["base"], s)))),
     )
 
 
@@ -260,4 +261,4 @@ def replaced(text: Column, blocks: Column, placeholders: dict[str, str]) -> Colu
 
     few = F.concat(pieces(text, F.lit(0), blocks), rest)
     many = F.concat(let(parts(blocks), in_parts), rest)
-    return F.when(F.size(blocks) == 0, text).when(F.size(blocks) <= FEW, few).otherwise(many)
+    return either(F.size(blocks) == 0, text, either(F.size(blocks) <= FEW, few, many))

@@ -39,13 +39,11 @@ def fold(text: Column) -> Column:
     used several times: bind it, and the result, with ``let`` inside a lambda.
     """
     plain = (F.octet_length(text) == F.length(text)) & ~text.contains(MARK)
-    return F.when(plain, F.upper(text)).otherwise(
-        F.translate(
-            text,
-            string.ascii_lowercase + "ſı" + MARK,
-            string.ascii_uppercase + "SI" + MARK_STAND_IN,
-        )
-    )
+    return either(plain, F.upper(text), F.translate(
+        text,
+        string.ascii_lowercase + "ſı" + MARK,
+        string.ascii_uppercase + "SI" + MARK_STAND_IN,
+    ))
 
 
 def pattern(regex: str) -> str:
@@ -93,6 +91,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.aggregate(nothing, value, lambda acc, _: acc, body)
 
 
+def either(test: Column, yes: Column, no: Column) -> Column:
+    """``yes`` where the test holds, else ``no``.
+
+    Where nothing is compiled (in lambdas) a CASE walks the list of its branches for each row.
+    """
+    return F.call_function("if", test, yes, no)
+
+
 def token(body: str) -> str:
     """A whole blank-separated token."""
     return f"{TOKEN_START}(?:{body}){TOKEN_END}"
@@ -147,10 +153,10 @@ def ascii_json(json: Column) -> Column:
     def escaped(text: Column) -> Column:
         pieces = F.split(F.regexp_replace(text, F.lit(r"[^\x00-\x7E]+"), F.lit(f"{MARK}$0{MARK}")), MARK)
         units = lambda run: F.regexp_replace(F.lower(F.hex(F.encode(run, "UTF-16BE"))), "(.{4})", r"\\u$1")
-        return F.array_join(F.transform(pieces, lambda piece, i: F.when(i % 2 == 1, units(piece)).otherwise(piece)), "")
+        return F.array_join(F.transform(pieces, lambda piece, i: either(i % 2 == 1, units(piece), piece)), "")
 
     def ascii_only(text: Column) -> Column:
         plain = (F.octet_length(text) == F.length(text)) & ~text.contains("\x7f")
-        return F.when(plain, text).otherwise(escaped(text))
+        return either(plain, text, escaped(text))
 
-    return let(json, lambda text: let(F.when(text.contains("\\u00"), lowered(text)).otherwise(text), ascii_only))
+    return let(json, lambda text: let(either(text.contains("\\u00"), lowered(text), text), ascii_only))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hushline.functions import context as ctx
-from hushline.functions.text import fold, let
+from hushline.functions.text import either, fold, let
 from hushline.rules import DEFAULT_RULES, KINDS, Rules
 
 def text_signals(content: Column, rules: Rules) -> Column:
@@ -71,27 +71,32 @@ def flag_columns(context: Column, prefix: str = "expects_") -> list[Column]:
     return [*flags, ctx.combined(context).alias(prefix + "address_with_postcode")]
 
 
-def elements_context(elements: Column, rules: Rules, context_in: Column | None = None) -> Column:
+def elements_context(
+    elements: Column, rules: Rules, context_in: Column | None = None, folded: Column | None = None,
+) -> Column:
     """Context bits for each element of a conversation held as an array.
 
     Elements which are no turns, and turns without text, do not move the context.
     ``context_in`` is the context of the first element, where the array is a later part
     of a conversation. One running pass over the bits, however many elements have none:
     the bits of a stretch are looked up by the number of the latest element with text.
+    What the last element asks for is asked of no other. ``folded`` holds the folded contents, if they are at hand.
     """
-    own = F.transform(
-        elements,
-        lambda e: F.when(e["is_turn"] & e["content"].isNotNull(), text_signals(e["content"], rules)),
-    )
+    def asks(e: Column, i: Column) -> Column:
+        bits = text_signals(e["content"], rules) if folded is None else ctx.signals(F.get(folded, i), rules)
+        heard = (i < F.size(elements) - 1) & e["is_turn"] & e["content"].isNotNull()
+        return either(heard, bits, F.lit(None).cast("int"))
+
+    own = F.transform(elements, asks)
     start = F.lit(0) if context_in is None else F.coalesce(context_in, F.lit(0))
 
     def look_back(bits: Column) -> Column:
         def before(_: Column, i: Column) -> Column:
-            return F.coalesce(F.get(bits, i - 1), F.when(i == 0, start))
+            return F.coalesce(F.get(bits, i - 1), either(i == 0, start, F.lit(None).cast("int")))
 
         direct = F.transform(bits, before)
         # Only where an element without text comes in between is there anything to fill.
-        return F.when(~F.exists(direct, lambda b: b.isNull()), direct).otherwise(filled(bits, start))
+        return either(~F.exists(direct, lambda b: b.isNull()), direct, filled(bits, start))
 
     return let(own, look_back)
 
@@ -102,7 +107,7 @@ def filled(bits: Column, start: Column) -> Column:
     The values and their places are gathered once; each then holds up to the place of
     the next, so a repeat of it covers its stretch.
     """
-    places = F.filter(F.transform(bits, lambda b, i: F.when(b.isNotNull(), i)), lambda i: i.isNotNull())
+    places = F.filter(F.transform(bits, lambda b, i: either(b.isNotNull(), i, F.lit(None).cast("int"))), lambda i: i.isNotNull())
     size = F.size(bits)
 
     def stretches(at: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from hushline.functions.text import any_of, count_tokens, has_word, is_one_of, is_one_word
+from hushline.functions.text import any_of, count_tokens, either, has_word, is_one_of, is_one_word
 from hushline.operators.spoken import Turn
 from hushline.rules import Rules
 
@@ -27,7 +27,7 @@ def deny_filter(spans: Column, rules: Rules) -> Column:
         in_scope = s["entity"] == "PERSON"
         if rules.deny_scope == "gazetteer":
             in_scope = in_scope & s["detector"].isin(*LOOKUP_DETECTORS)
-        return ~F.when(in_scope, _denied(s, rules)).otherwise(F.lit(False))
+        return ~either(in_scope, _denied(s, rules), F.lit(False))
 
     return F.filter(spans, keep)
 
@@ -56,9 +56,7 @@ def looks_conversational(text: Column, rules: Rules) -> Column:
     if not rules.check_conversational:
         return F.lit(False)
     words, denied = count_tokens(text), _deny_count(text, rules)
-    return F.when(words <= 2, denied == words).otherwise(
-        denied / words > rules.max_conversational_ratio
-    )
+    return either(words <= 2, denied == words, denied / words > rules.max_conversational_ratio)
 
 
 def conversational_filter(spans: Column, turn: Turn) -> Column:
@@ -66,9 +64,7 @@ def conversational_filter(spans: Column, turn: Turn) -> Column:
 
     def keep(s: Column) -> Column:
         looked_up = (s["entity"] == "PERSON") & s["detector"].isin(*LOOKUP_DETECTORS)
-        return ~F.when(
-            looked_up & ~turn.expects("name"), looks_conversational(s["matched"], turn.rules)
-        ).otherwise(F.lit(False))
+        return ~either(looked_up & ~turn.expects("name"), looks_conversational(s["matched"], turn.rules), F.lit(False))
 
     return F.filter(spans, keep)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hushline.functions.memo import per_application
 from hushline.functions.rows import explode_items
 from hushline.functions.spans import SPANS_TYPE, as_written, joined, merged, no_spans, replaced
-from hushline.functions.text import ascii_json, fold, let
+from hushline.functions.text import ascii_json, either, fold, let
 from hushline.operators.context import elements_context, with_context
 from hushline.operators.filters import apply_filters
 from hushline.operators.registry import detect, signature
@@ -19,11 +19,12 @@ from hushline.rules import DEFAULT_RULES, Rules
 
 def turn_spans(
     content: Column, context: Column, rules: Rules = DEFAULT_RULES, *,
-    only: str | None = None, filtered: bool = True, lookups: Column | None = None,
+    only: str | None = None, filtered: bool = True, lookups: Column | None = None, folded: Column | None = None,
 ) -> Column:
     """Spans of one turn in order of (start, end, entity), with the text they cover.
 
-    ``lookups`` are spans found elsewhere (name table, model) for the same turn.
+    ``lookups`` are spans found elsewhere (name table, model) for the same turn, ``folded`` is its folded text, if
+    at hand.
     """
 
     def search(folded: Column) -> Column:
@@ -40,9 +41,9 @@ def turn_spans(
 
     def if_any(spans: Column, body: Callable[[Column], Column]) -> Column:
         """Most turns have no span, and nothing is to be done for them."""
-        return let(spans, lambda s: F.when(F.size(s) == 0, no_spans()).otherwise(body(s)))
+        return let(spans, lambda s: either(F.size(s) == 0, no_spans(), body(s)))
 
-    return F.when(content.isNull(), no_spans()).otherwise(let(fold(content), search))
+    return either(content.isNull(), no_spans(), let(fold(content) if folded is None else folded, search))
 
 
 @per_application
@@ -54,7 +55,7 @@ def _column_spans(content: str, context: str, rules: Rules, lookups: str | None,
 def redact_text(content: Column, spans: Column, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> Column:
     """The text with every block of overlapping spans replaced; ``ordered`` as for ``merged``."""
     done = let(merged(spans, ordered), lambda blocks: replaced(content, blocks, rules.placeholders))
-    return F.when(F.size(spans) == 0, content).otherwise(done)
+    return either(F.size(spans) == 0, content, done)
 
 
 def redact_elements(
@@ -67,7 +68,7 @@ def redact_elements(
     elsewhere, a map from the place of an element to its spans.
     """
 
-    def each(contexts: Column, items: Column) -> Column:
+    def each(contexts: Column, items: Column, folded: Column) -> Column:
         def one(e: Column, i: Column) -> Column:
             def rebuild(spans: Column) -> Column:
                 return F.struct(
@@ -79,15 +80,16 @@ def redact_elements(
                 )
 
             extra = None if lookups is None else F.try_element_at(lookups, i)
-            spans = F.when(e["is_turn"], turn_spans(e["content"], F.get(contexts, i), rules, lookups=extra))
-            return let(spans.otherwise(no_spans()), rebuild)
+            spans = turn_spans(e["content"], F.get(contexts, i), rules, lookups=extra, folded=F.get(folded, i))
+            return let(either(e["is_turn"], spans, no_spans()), rebuild)
 
         return F.transform(items, one)
 
-    return let(
-        elements,
-        lambda items: let(elements_context(items, rules, context_in), lambda contexts: each(contexts, items)),
-    )
+    def known(items: Column, folded: Column) -> Column:
+        return let(elements_context(items, rules, context_in, folded), lambda contexts: each(contexts, items, folded))
+
+    # Folded once, for the context and the search.
+    return let(elements, lambda items: let(F.transform(items, lambda e: fold(e["content"])), lambda folded: known(items, folded)))
 
 
 @per_application
@@ -140,7 +142,7 @@ def redact_turns(
         known.withColumn("spans", _column_spans(text, "context", rules, extra, signature()))
         .drop("_lookups")
         .withColumn("redacted", F.when(placed, redact_text(content, F.col("spans"), rules)))
-        .withColumn("status", F.when(placed, F.lit("ok")).otherwise(F.lit("no_conversation")))
+        .withColumn("status", either(placed, F.lit("ok"), F.lit("no_conversation")))
     )
 
 
@@ -169,11 +171,11 @@ def transcript_json(redacted: Column) -> Column:
         return F.struct(e["role"].alias("role"), e["content"].alias("content"))
 
     def text(e: Column) -> Column:
-        return F.when(e["is_turn"], F.to_json(turn(e), options)).otherwise(e["raw"])
+        return either(e["is_turn"], F.to_json(turn(e), options), e["raw"])
 
     mixed = F.concat(F.lit("["), F.array_join(F.transform(redacted, text), ","), F.lit("]"))
     plain = F.forall(redacted, lambda e: e["is_turn"])
-    return ascii_json(F.when(plain, F.to_json(F.transform(redacted, turn), options)).otherwise(mixed))
+    return ascii_json(either(plain, F.to_json(F.transform(redacted, turn), options), mixed))
 
 
 def flat_transcript(redacted: Column) -> Column:

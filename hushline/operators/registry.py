@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 from hushline.functions.spans import joined, no_spans
+from hushline.functions.text import either
 from hushline.operators import spoken, written
 from hushline.operators.spoken import Turn
 
@@ -73,7 +74,7 @@ def detect(turn: Turn, only: str | None = None) -> Column:
 
     def group(among: list[Detector], gate: Column) -> list[Column]:
         found = [d(turn) for d in wanted if d in among]
-        return [F.when(gate, joined(*found)).otherwise(no_spans())] if found else []
+        return [either(gate, joined(*found), no_spans())] if found else []
 
     return joined(
         *group(by_context, turn.context != 0), *group(by_digit, turn.text.rlike("[0-9]")),

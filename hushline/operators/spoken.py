@@ -16,7 +16,7 @@ from pyspark.sql import Column, functions as F
 from hushline.functions import context as ctx
 from hushline.functions.spans import joined, locate_all, locate_first, no_spans, whole
 from hushline.functions.text import (
-    BLANK, DIGIT_CHAR, INK, TOKEN_END, TOKEN_START, any_of, but_not, count_tokens, is_blank, is_one_of,
+    BLANK, DIGIT_CHAR, INK, TOKEN_END, TOKEN_START, any_of, but_not, count_tokens, either, is_blank, is_one_of,
     let, pattern, token,
 )
 from hushline.rules import SPOKEN_SCORE, Rules
@@ -44,7 +44,7 @@ def _run(body: str, at_least: int) -> str:
 
 
 def _when(gate: Column, spans: Column) -> Column:
-    return F.when(gate, spans).otherwise(no_spans())
+    return either(gate, spans, no_spans())
 
 
 # -- C1 ---------------------------------------------------------------------
@@ -74,7 +74,7 @@ def card_digits(turn: Turn) -> Column:
     four = pattern(rf"\b{unit}(?:{BLANK}+{unit}){{3}}\b")
     fours = locate_all(turn.text, four, "CREDIT_CARD", "card_four_in_a_row", SPOKEN_SCORE)
     singles = locate_all(turn.text, pattern(r"\b\d\b"), "CREDIT_CARD", "card_lone_digit", SPOKEN_SCORE)
-    best = let(fours, lambda found: F.when(F.size(found) > 0, found).otherwise(singles))
+    best = let(fours, lambda found: either(F.size(found) > 0, found, singles))
     return _when(turn.expects("card_digits"), best)
 
 
@@ -149,15 +149,11 @@ def person(turn: Turn) -> Column:
     """Names. An introduction or a fully spelled answer ends the search (C4)."""
     spelled_out = whole(turn.text, "PERSON", "letters_throughout", SPOKEN_SCORE)
     cued = joined(_spelled(turn), _after_cue(turn))
-    by_context = let(cued, lambda s: F.when(F.size(s) > 0, s).otherwise(_direct_answer(turn)))
+    by_context = let(cued, lambda s: either(F.size(s) > 0, s, _direct_answer(turn)))
 
     def search(intro: Column) -> Column:
-        return (
-            F.when(F.size(intro) > 0, intro)
-            .when(~turn.expects("name"), no_spans())
-            .when(_spelled_out(turn), spelled_out)
-            .otherwise(by_context)
-        )
+        asked = either(_spelled_out(turn), spelled_out, by_context)
+        return either(F.size(intro) > 0, intro, either(turn.expects("name"), asked, no_spans()))
 
     worth_it = turn.expects("name") | _may_introduce(turn)
     return _when(worth_it & ~turn.combined, let(_introduced(turn), search))
@@ -182,11 +178,8 @@ def location(turn: Turn) -> Column:
         turn.text, _first_to_last(turn.rules), "LOCATION", "first_to_last_word", SPOKEN_SCORE
     )
     everything = whole(turn.text, "LOCATION", "whole_answer", SPOKEN_SCORE)
-    return (
-        F.when(~turn.expects("address") | is_blank(turn.text), no_spans())
-        .when(turn.combined, everything)
-        .otherwise(answer)
-    )
+    nothing = ~turn.expects("address") | is_blank(turn.text)
+    return either(nothing, no_spans(), either(turn.combined, everything, answer))
 
 
 def postcode(turn: Turn) -> Column:
@@ -235,7 +228,7 @@ def password(turn: Turn) -> Column:
     everything = whole(turn.text, "PASSWORD", "short_answer_with_digit", SPOKEN_SCORE)
 
     def choose(found: Column) -> Column:
-        return F.when(F.size(found) > 0, found).when(short, everything).otherwise(no_spans())
+        return either(F.size(found) > 0, found, either(short, everything, no_spans()))
 
     return _when(turn.expects("password"), let(run, choose))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from hushline.functions.spans import locate_all, no_spans
-from hushline.functions.text import pattern
+from hushline.functions.text import either, pattern
 from hushline.operators.spoken import Turn
 
 #: Scores of the written forms: a check digit is worth full confidence.
@@ -32,7 +32,7 @@ def luhn_ok(number: Column) -> Column:
     def share(digit: Column, i: Column) -> Column:
         value = digit.cast("int")
         twice = value * 2
-        return F.when(i % 2 == 0, value).otherwise(twice - F.when(twice > 9, 9).otherwise(0))
+        return either(i % 2 == 0, value, twice - either(twice > 9, F.lit(9), F.lit(0)))
 
     total = F.aggregate(F.transform(digits, share), F.lit(0), lambda a, x: a + x)
     return total % 10 == 0
@@ -45,7 +45,7 @@ def iban_ok(iban: Column) -> Column:
 
     def fold_in(acc: Column, ch: Column) -> Column:
         code = F.ascii(ch)
-        return F.when(code < 58, (acc * 10 + code - 48) % 97).otherwise((acc * 100 + code - 55) % 97)
+        return either(code < 58, (acc * 10 + code - 48) % 97, (acc * 100 + code - 55) % 97)
 
     chars = F.regexp_extract_all(turned, F.lit("[A-Z0-9]"), F.lit(0))
     return (F.aggregate(chars, F.lit(0), fold_in) == 1) & F.length(bare).between(15, 34)
@@ -53,19 +53,19 @@ def iban_ok(iban: Column) -> Column:
 
 def written_email(turn: Turn) -> Column:
     spans = locate_all(turn.text, pattern(EMAIL), "EMAIL_ADDRESS", "written_email", CHECKED_SCORE)
-    return F.when(turn.text.contains("@"), spans).otherwise(no_spans())
+    return either(turn.text.contains("@"), spans, no_spans())
 
 
 def written_card(turn: Turn) -> Column:
     spans = locate_all(turn.text, pattern(CARD), "CREDIT_CARD", "written_card", CHECKED_SCORE)
     good = F.filter(spans, lambda s: luhn_ok(s["matched"]))
-    return F.when(turn.text.rlike("[0-9]{4}"), good).otherwise(no_spans())
+    return either(turn.text.rlike("[0-9]{4}"), good, no_spans())
 
 
 def iban(turn: Turn) -> Column:
     spans = locate_all(turn.text, pattern(IBAN), "IBAN_CODE", "iban", CHECKED_SCORE)
     good = F.filter(spans, lambda s: iban_ok(s["matched"]))
-    return F.when(turn.text.rlike("[A-Z]{2}[0-9]{2}"), good).otherwise(no_spans())
+    return either(turn.text.rlike("[A-Z]{2}[0-9]{2}"), good, no_spans())
 
 
 def age(turn: Turn) -> Column:

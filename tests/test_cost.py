@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from hushline.functions.context import BIT, signals
 from hushline.functions.spans import SPANS_TYPE
 from hushline.functions.text import any_of, pattern
-from hushline.operators.redaction import transcript_json
+from hushline.operators.context import elements_context
+from hushline.operators.redaction import redact_elements, transcript_json
 from hushline.plans.catalogue import queries
 from hushline.rules import DEFAULT_RULES as R, INDICATORS
+from hushline.sources.transcripts import ELEMENTS_TYPE
 
 
 def test_letters_without_a_branch_have_no_group():
@@ -65,3 +67,20 @@ def test_transcripts_of_turns_alone_are_written_at_once(spark):
         wanted = items and [json.loads(raw) if raw else {"role": role, "content": said} for _, raw, role, said, _ in items]
         assert row.json == (None if items is None else json.dumps(wanted, separators=(",", ":")))
     assert "forall" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_case_is_left_in_the_lambdas_of_a_redaction(spark):
+    """Where nothing is compiled, a CASE walks the list of its branches for each row; IF does not."""
+    elements = F.from_json(F.lit("[]"), ELEMENTS_TYPE)
+    plan = spark.range(1).select(redact_elements(F.when(F.col("id") >= 0, elements)).alias("r"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") == 1 and plan.count("upper(") == 1
+
+
+def test_the_last_turn_asks_nothing(spark):
+    """Its bits are nobody's context, also behind turns without text."""
+    rows = [("A", [(True, None, "agent", c) for c in said]) for said in (
+        ["YOUR NAME"], ["YOUR NAME", None, "YOUR EMAIL"], [None, "YOUR NAME", None], ["YOUR EMAIL", "X", "YOUR NAME", None, None], [],
+    )]
+    found = spark.createDataFrame(rows, f"k string, elements {ELEMENTS_TYPE}").select(elements_context(F.col("elements"), R).alias("c"))
+    name, email = BIT["name"], BIT["email"]
+    assert [r.c for r in found.collect()] == [[0], [0, name, name], [0, 0, name], [0, email, 0, name, name], []]
