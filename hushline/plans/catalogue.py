@@ -467,7 +467,7 @@ def append_rerun(spark, sf_dir):
     """
     done = output_rows(_redacted_calls(spark, sf_dir)).withColumn("year", F.year("file_date"))
     staged, target = shared_path(spark, "append_rerun_staged"), shared_path(spark, "append_rerun")
-    write_rows(done.drop("load_dt"), staged)
+    done.drop("load_dt").write.parquet(staged)
     kept = spark.read.schema(done.drop("load_dt").schema).parquet(staged)
     rows = kept.withColumn("load_dt", F.current_timestamp()).select(*done.columns)
     for load in (rows.where("file_date < date'1996-01-01'"), rows, rows):
