@@ -117,28 +117,29 @@ def _list_array(rows: list[np.ndarray]) -> pa.Array:
 SKETCHED, SET_BYTES = 1024, 1 << 20
 
 
+def sketched_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Sizes, fingerprints and band keys for batches of (id, text); a worker keeps its largest arrays, so texts go in small pieces."""
+    for chunk in chunks(batches, "text", SET_BYTES):
+        sets = shingles(chunk, n)
+        keys = [band_keys(sketches(sets[i:i + SKETCHED])) for i in range(0, len(sets), SKETCHED)]
+        keys = np.concatenate(keys).view(np.int64)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        flat = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
+        bands = pa.ListArray.from_arrays(
+            flat.offsets, flat.values, mask=pa.array(sizes == 0)
+        )
+        yield appended(chunk.rows.select(["id"]), {
+            "n_shingles": sizes,
+            "f1": np.array([mix(s).sum(dtype=U64) for s in sets], U64).view(np.int64),
+            "f2": np.array([mix(s ^ U64(0xA0761D6478BD642F)).sum(dtype=U64) for s in sets], U64).view(np.int64),
+            "bands": bands,
+        })
+
+
 def _sketched(docs: DataFrame, n: int) -> DataFrame:
     """(id, n_shingles, f1, f2, bands) for each row of (id, text); bands null for empty sets."""
     out = "id long, n_shingles long, f1 long, f2 long, bands array<long>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "text"):
-            sets = shingles(chunk, n)
-            keys = [band_keys(sketches(sets[i:i + SKETCHED])) for i in range(0, len(sets), SKETCHED)]
-            keys = np.concatenate(keys).view(np.int64)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
-            bands = pa.ListArray.from_arrays(
-                flat.offsets, flat.values, mask=pa.array(sizes == 0)
-            )
-            yield appended(chunk.rows.select(["id"]), {
-                "n_shingles": sizes,
-                "f1": np.array([mix(s).sum(dtype=U64) for s in sets], U64).view(np.int64),
-                "f2": np.array([mix(s ^ U64(0xA0761D6478BD642F)).sum(dtype=U64) for s in sets], U64).view(np.int64),
-                "bands": bands,
-            })
-
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(lambda batches: sketched_batches(batches, n), out)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:

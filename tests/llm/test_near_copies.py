@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 import brute
 from hushline.llm import minhash
@@ -86,3 +88,16 @@ def test_components_against_union_find(spark):
         parent[max(x, y)] = min(x, y)
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {n: root(n) for n in parent if root(n) != n}
+
+
+def test_sketching_holds_arrays_of_a_small_piece_of_text():
+    draw, some = random.Random(5), [f"w{i}" for i in range(5000)]
+    texts = [" ".join(draw.choices(some, k=400)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array(texts)], names=["id", "text"])
+    tracemalloc.start()
+    try:
+        made = sum(found.num_rows for found in minhash.sketched_batches(iter([batch]), 4))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made == 4000 and most < 60 << 20
